@@ -244,3 +244,37 @@ def playlist_tracks_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def plays_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_play_history(parse_pages(play_pages(spark, sf_dir), "value", schemas.PLAY_PAGE))
+
+
+def play_pages_li(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed play pages holding the ``li`` plays, 50 items per page (page
+    number from the row's position in its input partition)."""
+    li = plays_li(spark, sf_dir)
+    artists = F.array(F.struct(F.col("artist_id").alias("id"), F.col("artist_name").alias("name")))
+    item = F.struct(
+        F.col("played_at").alias("played_at"),
+        F.struct(F.col("track_id").alias("id"), F.col("track_name").alias("name"),
+                 F.col("duration_ms").alias("duration_ms"), artists.alias("artists"),
+                 F.struct(F.col("album_id").alias("id"), F.col("album_name").alias("name")).alias("album"),
+                 ).alias("track"),
+        F.struct(F.col("context_type").alias("type")).alias("context"),
+    )
+    return _pack(li, F.floor(F.monotonically_increasing_id() / PAGE_SIZE), item, F.lit(False), "items")
+
+
+def land(spark: SparkSession, sf_dir: str, root: str, plays: str = "li") -> dict[str, str]:
+    """Write every kind of landed page under ``root`` as JSON Lines text and
+    return the landing map ``pipeline.run`` takes."""
+    pages = {
+        "plays": play_pages_li(spark, sf_dir) if plays == "li" else play_pages(spark, sf_dir),
+        "playlists": playlist_pages(spark, sf_dir),
+        "playlist_tracks": playlist_item_pages(spark, sf_dir),
+        "tracks": track_pages(spark, sf_dir),
+        "artists": artist_pages(spark, sf_dir),
+    }
+    out = {}
+    for kind, df in pages.items():
+        path = f"{root}/{kind}"
+        df.select("value").write.mode("overwrite").text(path)
+        out[kind] = path
+    return out

@@ -1,0 +1 @@
+"""Table builders (model, marts), reports and the layer pipeline."""
