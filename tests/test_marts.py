@@ -1,0 +1,105 @@
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tunestats.plans import marts, model
+from conftest import rows
+
+FCT_COLS = ("play_id string, play_timestamp timestamp, track_id string, artist_id string, album_id string, "
+            "duration_ms bigint, context_type string")
+
+
+@pytest.fixture
+def star(spark):
+    ts = datetime(2024, 1, 7, 10)  # a Sunday
+    fct = spark.createDataFrame([
+        ("p1", ts, "t1", "a1", None, 60000, None),
+        ("p2", ts, "t1", "a1", None, 30000, None),
+        ("p3", datetime(2024, 2, 1, 20), "t2", "a2", None, 90000, None),
+        ("p4", datetime(2024, 2, 1, 3), "tX", "aX", None, 1, None),      # no track, no artist
+        (None, None, "t3", "a2", None, 1000, None),                      # NULL key, NULL time
+    ], FCT_COLS)
+    tracks = model.dim_tracks(spark.createDataFrame(
+        [("t1", "Same", 10), ("t2", "Other", 20), ("t3", "Same", 30)],
+        "track_id string, track_name string, popularity bigint"))
+    artists = model.dim_artists(spark.createDataFrame(
+        [("a1", "Alpha", ["pop", "rock"]), ("a2", "Beta", ["pop", None])],
+        "artist_id string, artist_name string, genres array<string>"))
+    return fct, tracks, artists
+
+
+def test_base_analytics_null_sides_and_row_count(star):
+    fct, tracks, artists = star
+    base = marts.base_analytics(fct, tracks, artists)
+    assert base.count() == fct.count()
+    r = {x.play_id: x for x in base.collect()}
+    assert r["p4"].track_id is None and r["p4"].artist_id is None and r["p4"].genres is None
+    assert r["p1"].hour_of_day == 10 and r["p1"].weekday_name == "Sun" and r["p1"].month == "2024-01"
+    assert r[None].hour_of_day is None and r[None].month is None
+
+
+def test_base_derived_time_equals_time_dim_join(spark, star):
+    fct, tracks, artists = star
+    plays = spark.createDataFrame([("2024-01-07T10:00:00Z",), ("2024-02-01T20:00:00Z",), ("2024-02-01T03:00:00Z",),
+                                   (None,)], "played_at string")
+    a = marts.base_analytics(fct, tracks, artists)
+    b = marts.base_analytics(fct, tracks, artists, time=model.dim_time(plays))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_user_summary(spark, star):
+    base = marts.base_analytics(*star)
+    s = marts.user_summary(base).collect()
+    assert len(s) == 1
+    r = s[0]
+    assert r.user_id == "default_user"
+    assert r.total_tracks == 4                      # counts plays with a key, not distinct tracks
+    assert r.unique_artists == 2
+    assert r.total_minutes == Decimal("3.0166834")  # all plays, matched or not: 1+0.5+1.5+0.0000167+0.0166667
+    assert r.favorite_artist in ("Alpha", "Beta")   # 2 plays each -> the smaller name
+    assert r.favorite_artist == "Alpha"
+    assert r.top_track == "Same"                    # t1 and t3 share a name: merged (3 plays)
+
+
+def test_user_summary_empty(spark, star):
+    fct, tracks, artists = star
+    base = marts.base_analytics(fct.limit(0), tracks, artists)
+    assert marts.user_summary(base).count() == 0
+
+
+def test_top_tracks_and_artists(spark, star):
+    base = marts.base_analytics(*star)
+    tt = marts.top_tracks(base)
+    assert rows(tt, "track_id", "track_name", "artist_name", "play_count", "popularity") == [
+        ("t1", "Same", "Alpha", 2, 10), ("t2", "Other", "Beta", 1, 20), ("t3", "Same", "Beta", 0, 30)]
+    ta = marts.top_artists(base)
+    got = {r.artist_id: r for r in ta.collect()}
+    assert set(got) == {"a1", "a2"}
+    assert (got["a2"].total_plays, got["a2"].unique_tracks, got["a2"].genres) == (1, 2, ["pop", None])
+    assert ta.columns == ["artist_id", "artist_name", "total_plays", "unique_tracks", "total_minutes", "genres"]
+    # grouping on the genre list equals FIRST(genres) per (artist_id, artist_name)
+    ref = (base.where("artist_id IS NOT NULL").groupBy("artist_id", "artist_name")
+           .agg(F.count("play_id").alias("total_plays"), F.first("genres").alias("genres")))
+    assert rows(ref, "artist_id", "total_plays") == rows(ta, "artist_id", "total_plays")
+    assert [r.play_count for r in marts.top_tracks(base, ordered=True).collect()] == [2, 1, 0]
+
+
+def test_genre_trends(spark, star):
+    base = marts.base_analytics(*star)
+    g = marts.genre_trends(base)
+    got = rows(g, "genre", "month", "total_plays", "avg_popularity", "unique_users")
+    # NULL genre elements drop; the NULL-key play (no month) still explodes
+    assert got == sorted([("pop", None, 0, 30.0, 1), ("pop", "2024-01", 2, 10.0, 1), ("pop", "2024-02", 1, 20.0, 1),
+                          ("rock", "2024-01", 2, 10.0, 1)], key=lambda t: tuple((v is not None, str(v)) for v in t))
+
+
+def test_listening_patterns(spark, star):
+    base = marts.base_analytics(*star)
+    p = marts.listening_patterns(base)
+    got = rows(p, "user_id", "hour_of_day", "weekday_name", "total_minutes")
+    assert ("default_user", 10, "Sun", Decimal("1.5000000")) in got
+    assert ("default_user", None, None, Decimal("0.0166667")) in got
+    total = p.agg(F.sum("total_minutes")).first()[0]
+    assert total == marts.user_summary(base).first().total_minutes

@@ -1,0 +1,54 @@
+from datetime import datetime
+
+from tunestats.plans import model
+from conftest import rows
+
+PLAYS = [
+    ("2024-01-07T10:00:00Z", "t1", "a1", "al", 1000, "playlist"),
+    ("2024-01-07T10:00:00Z", "t1", "a0", "al", 1000, "album"),     # same key: survivor a0
+    ("2024-01-07T11:00:00Z", None, "a1", "al", 2000, None),         # NULL key
+    (None, "t2", "a1", "al", 3000, None),                           # NULL key
+    ("garbage", "t3", "a2", "al", 4000, None),                      # malformed time, key kept
+]
+COLS = "played_at string, track_id string, artist_id string, album_id string, duration_ms bigint, context_type string"
+
+
+def test_fct_plays(spark):
+    fct = model.fct_plays(spark.createDataFrame(PLAYS, COLS))
+    assert fct.columns == ["play_id", "play_timestamp", "track_id", "artist_id", "album_id", "duration_ms",
+                           "context_type"]
+    got = rows(fct, "play_id", "play_timestamp", "track_id", "artist_id")
+    assert len(got) == 3
+    null_row = [g for g in got if g[0] is None]
+    # the NULL key collapses two plays; survivor is the smallest row (NULL timestamp first)
+    assert null_row == [(None, None, "t2", "a1")]
+    assert any(g[2] == "t1" and g[3] == "a0" for g in got)
+    assert any(g[2] == "t3" and g[1] is None for g in got)
+
+
+def test_dim_time(spark):
+    dt = model.dim_time(spark.createDataFrame(PLAYS, COLS))
+    assert dt.count() == 3  # two timestamps and one NULL
+    r = [x for x in dt.collect() if x.play_timestamp == datetime(2024, 1, 7, 10)][0]
+    assert (r.hour_of_day, r.day_of_week_num, r.weekday_name, r.month_name, r.quarter, r.year) == (
+        10, 1, "Sun", "Jan", 1, 2024)
+
+
+def test_dim_tracks_adds_preview_url_and_dedupes(spark):
+    raw = spark.createDataFrame([("t1", "B", 5), ("t1", "A", 7), ("t2", "C", 1)],
+                                "track_id string, track_name string, popularity bigint")
+    d = model.dim_tracks(raw)
+    assert d.columns[-1] == "preview_url" and len(d.columns) == 11
+    assert rows(d, "track_id", "track_name", "popularity", "preview_url") == [("t1", "A", 7, None), ("t2", "C", 1, None)]
+
+
+def test_dim_artists_and_playlists(spark):
+    a = spark.createDataFrame([("a1", "X", ["g"], 1, 2, "u"), ("a1", "W", None, 1, 2, "u")],
+                              "artist_id string, artist_name string, genres array<string>, followers bigint, "
+                              "popularity bigint, uri string")
+    assert rows(model.dim_artists(a), "artist_id", "artist_name") == [("a1", "W")]
+    p = spark.createDataFrame([("p1", "n", "o", 3, "d", "s")],
+                              "playlist_id string, playlist_name string, owner_name string, total_tracks bigint, "
+                              "description string, snapshot_id string")
+    d = model.dim_playlists(p)
+    assert d.columns[3] == "followers" and d.first().followers is None
