@@ -85,10 +85,10 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         # sources
         "flatten_play_pages": lambda s, d: fx.plays_from_pages(s, d),
-        "flatten_playlist_pages": lambda s, d: fx.playlists_raw(s, d),
-        "flatten_playlist_item_pages": lambda s, d: fx.playlist_tracks_raw(s, d),
-        "flatten_track_pages": lambda s, d: fx.tracks_raw(s, d),
-        "flatten_artist_pages": lambda s, d: fx.artists_raw(s, d),
+        "flatten_playlist_pages": lambda s, d: fx.playlists_from_pages(s, d),
+        "flatten_playlist_item_pages": lambda s, d: fx.playlist_tracks_from_pages(s, d),
+        "flatten_track_pages": lambda s, d: fx.tracks_from_pages(s, d),
+        "flatten_artist_pages": lambda s, d: fx.artists_from_pages(s, d),
         "recent_plays": lambda s, d: recent(fx.plays_ev(s, d), RUN_TS, hours=24),
         "harvest_track_keys": lambda s, d: _harvest(s, d)[0],
         "harvest_artist_keys": lambda s, d: _harvest(s, d)[1],

@@ -100,3 +100,16 @@ def test_harvest_and_enrich(spark):
     assert rows(ak) == [("a1",), ("a2",), ("a3",)]
     cat = spark.createDataFrame([("t1", "x"), ("t3", "y"), ("t2", "z")], "track_id string, name string")
     assert rows(enrich(cat, tk, "track_id")) == [("t1", "x"), ("t2", "z")]
+
+
+def test_fixture_pages_flatten_to_stored_rows(spark):
+    """The JSON page path and the one-item-per-row path give the same rows."""
+    from tunestats import fixtures as fx
+    from conftest import SF_SMALL
+    pairs = [(fx.tracks_from_pages(spark, SF_SMALL), fx.tracks_raw(spark, SF_SMALL)),
+             (fx.artists_from_pages(spark, SF_SMALL), fx.artists_raw(spark, SF_SMALL)),
+             (fx.playlists_from_pages(spark, SF_SMALL), fx.playlists_raw(spark, SF_SMALL)),
+             (fx.playlist_tracks_from_pages(spark, SF_SMALL), fx.playlist_tracks_raw(spark, SF_SMALL))]
+    for a, b in pairs:
+        assert a.count() == b.count() > 0
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -44,8 +44,23 @@ LI_BAD_TIME = 997              # order key % 997 = 0: played_at malformed
 LI_MS_PER_QTY = 10007          # li duration_ms = quantity * 10007
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One driver table, read once per session (listing and footer reads
+    are not repeated for every query built on it).
+
+    Each file holds a single row group, which Spark cannot split, so a scan
+    plans fewer input partitions than there are cores; such a scan is spread
+    round-robin over the session's default parallelism (a many-file input on
+    a cluster is left as it is)."""
+    key = (id(spark._jsparkSession), f"{sf_dir}/{name}.parquet")
+    if key not in _READS:
+        df = spark.read.parquet(key[1])
+        cores = spark.sparkContext.defaultParallelism
+        _READS[key] = df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return _READS[key]
 
 
 def _str(c: Column | str) -> Column:
@@ -71,6 +86,16 @@ def _pack(items: DataFrame, page_key: Column, item: Column, is_null: Column, arr
     return grouped.select("_page", F.to_json(body).alias("value"))
 
 
+def _single(items: DataFrame, page_key: Column, item: Column, is_null: Column, array_name: str,
+            carry: dict[str, Column] | None = None) -> DataFrame:
+    """The same items as ``_pack`` but one item per row and no JSON: what a
+    stored raw table is made from. Flattening it gives exactly the rows that
+    flattening the packed pages gives (tested), without the page shuffle."""
+    carry = carry or {}
+    return items.select(*[c.alias(n) for n, c in carry.items()],
+                        F.array(F.when(~is_null, item)).alias(array_name))
+
+
 # ----------------------------------------------------------------- plays --
 def _ev_k(events: DataFrame) -> Column:
     return F.get_json_object(F.col("props"), "$.k")
@@ -116,7 +141,7 @@ def plays_li(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def play_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _play_spec(spark: SparkSession, sf_dir: str) -> tuple:
     """Landed play pages from ``events``: 50 items per page; k = 0 gives a
     null item, k = 1 a null track, k = 2 no artists, k = 3 no context."""
     ev = table(spark, sf_dir, "events")
@@ -134,17 +159,17 @@ def play_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     context = F.when(k != "3", F.struct(F.col("event_type").alias("type")))
     item = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("played_at"),
                     track.alias("track"), context.alias("context"))
-    return _pack(ev, F.floor(F.col("event_id") / PAGE_SIZE), item, k == "0", "items")
+    return (ev, F.floor(F.col("event_id") / PAGE_SIZE), item, k == "0", "items")
 
 
 # ------------------------------------------------------------- catalogue --
-def track_pages(spark: SparkSession, sf_dir: str, holes: bool = True) -> DataFrame:
+def _track_spec(spark: SparkSession, sf_dir: str, holes: bool = True) -> tuple:
     """Landed track catalogue pages from ``part``."""
     p = table(spark, sf_dir, "part")
     key = _str("p_partkey")
     artist = _str(F.col("p_partkey") % 7)
     item = F.struct(
-        key.alias("id"), F.col("p_name").alias("name"),
+        key.alias("id"), F.col("p_name").alias("name"), F.lit(None).cast("string").alias("preview_url"),
         (F.col("p_size").cast("bigint") * 7919).alias("duration_ms"),
         F.col("p_size").cast("bigint").alias("popularity"),
         (F.col("p_partkey") % 2 == 0).alias("explicit"),
@@ -153,10 +178,10 @@ def track_pages(spark: SparkSession, sf_dir: str, holes: bool = True) -> DataFra
                  F.concat(_str(F.col("p_partkey") % 30 + 1990), F.lit("-01-01")).alias("release_date")).alias("album"),
     )
     hole = (F.col("p_partkey") % TRACK_HOLE[0] == TRACK_HOLE[1]) if holes else F.lit(False)
-    return _pack(p, F.floor(F.col("p_partkey") / PAGE_SIZE), item, hole, "tracks")
+    return (p, F.floor(F.col("p_partkey") / PAGE_SIZE), item, hole, "tracks")
 
 
-def artist_pages(spark: SparkSession, sf_dir: str, holes: bool = True) -> DataFrame:
+def _artist_spec(spark: SparkSession, sf_dir: str, holes: bool = True) -> tuple:
     """Landed artist catalogue pages from ``supplier`` (+ nation, region
     for genres): key % 5 = 1 no genres, = 2 empty genres, = 3 a NULL genre."""
     s = table(spark, sf_dir, "supplier")
@@ -177,10 +202,10 @@ def artist_pages(spark: SparkSession, sf_dir: str, holes: bool = True) -> DataFr
         (F.col("s_suppkey") % 100).cast("bigint").alias("popularity"),
     )
     hole = (F.col("s_suppkey") % ARTIST_HOLE[0] == ARTIST_HOLE[1]) if holes else F.lit(False)
-    return _pack(sn, F.floor(F.col("s_suppkey") / PAGE_SIZE), item, hole, "artists")
+    return (sn, F.floor(F.col("s_suppkey") / PAGE_SIZE), item, hole, "artists")
 
 
-def playlist_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _playlist_spec(spark: SparkSession, sf_dir: str) -> tuple:
     """Landed playlist pages from ``orders``: key % 13 = 0 has no id,
     = 1 an empty id; key % 5 = 0 carries a follower total."""
     o = table(spark, sf_dir, "orders")
@@ -196,10 +221,10 @@ def playlist_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderkey") % 5 == 0, F.struct(F.col("o_custkey").alias("total"))).alias("followers"),
         F.struct(F.coalesce(F.col("n_lines"), F.lit(0)).cast("bigint").alias("total")).alias("tracks"),
     )
-    return _pack(ol, F.floor(F.col("o_orderkey") / PAGE_SIZE), item, F.lit(False), "items")
+    return (ol, F.floor(F.col("o_orderkey") / PAGE_SIZE), item, F.lit(False), "items")
 
 
-def playlist_item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _playlist_item_spec(spark: SparkSession, sf_dir: str) -> tuple:
     """Landed playlist item pages from ``lineitem`` (one page per order);
     part key % 17 = 0 has no track, % 19 = 0 a track without id; the second
     artist id is missing, empty or present by line number % 3."""
@@ -220,30 +245,66 @@ def playlist_item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.concat(F.lit("user"), _str(F.col("l_orderkey") % 10)).alias("id")).alias("added_by"),
         track.alias("track"),
     )
-    return _pack(li, F.col("l_orderkey"), item, F.lit(False), "items",
-                 carry={"playlist_id": _str("l_orderkey")})
+    return (li, F.col("l_orderkey"), item, F.lit(False), "items", {"playlist_id": _str("l_orderkey")})
 
 
-# --------------------------------------------------------- raw tables --
-def tracks_raw(spark: SparkSession, sf_dir: str, holes: bool = True) -> DataFrame:
+# ------------------------------------------------ landed pages (JSON) --
+def play_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pack(*_play_spec(spark, sf_dir))
+
+
+def track_pages(spark: SparkSession, sf_dir: str, holes: bool = True) -> DataFrame:
+    return _pack(*_track_spec(spark, sf_dir, holes))
+
+
+def artist_pages(spark: SparkSession, sf_dir: str, holes: bool = True) -> DataFrame:
+    return _pack(*_artist_spec(spark, sf_dir, holes))
+
+
+def playlist_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pack(*_playlist_spec(spark, sf_dir))
+
+
+def playlist_item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pack(*_playlist_item_spec(spark, sf_dir))
+
+
+def plays_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatten_play_history(parse_pages(play_pages(spark, sf_dir), "value", schemas.PLAY_PAGE))
+
+
+def tracks_from_pages(spark: SparkSession, sf_dir: str, holes: bool = True) -> DataFrame:
     return flatten_tracks(parse_pages(track_pages(spark, sf_dir, holes), "value", schemas.TRACK_PAGE))
 
 
-def artists_raw(spark: SparkSession, sf_dir: str, holes: bool = True) -> DataFrame:
+def artists_from_pages(spark: SparkSession, sf_dir: str, holes: bool = True) -> DataFrame:
     return flatten_artists(parse_pages(artist_pages(spark, sf_dir, holes), "value", schemas.ARTIST_PAGE))
 
 
-def playlists_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def playlists_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_playlists(parse_pages(playlist_pages(spark, sf_dir), "value", schemas.PLAYLIST_PAGE))
 
 
-def playlist_tracks_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def playlist_tracks_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_playlist_tracks(parse_pages(playlist_item_pages(spark, sf_dir), "value",
                                                schemas.PLAYLIST_ITEM_PAGE))
 
 
-def plays_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten_play_history(parse_pages(play_pages(spark, sf_dir), "value", schemas.PLAY_PAGE))
+# ------------------------------------------- raw tables (stored form) --
+def tracks_raw(spark: SparkSession, sf_dir: str, holes: bool = True) -> DataFrame:
+    return flatten_tracks(_single(*_track_spec(spark, sf_dir, holes)))
+
+
+def artists_raw(spark: SparkSession, sf_dir: str, holes: bool = True) -> DataFrame:
+    return flatten_artists(_single(*_artist_spec(spark, sf_dir, holes)))
+
+
+def playlists_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatten_playlists(_single(*_playlist_spec(spark, sf_dir)))
+
+
+def playlist_tracks_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatten_playlist_tracks(_single(*_playlist_item_spec(spark, sf_dir)))
 
 
 def play_pages_li(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,10 +15,9 @@ from pyspark.sql.types import StructType
 
 from tunestats.functions import typed_null
 
-# Largest dimension (in rows) broadcast to every task of a star join. Dims
-# here are narrow (ids, names, a short genre list): 2M rows stay well under
-# a few hundred MB. Larger dims take the shuffle join, where adaptive query
-# execution splits skewed fact partitions (see ``session.SCALE_CONF``).
+# Row bound for an explicit broadcast of a star-join dimension (opt-in, see
+# ``left_join_dim``). Dims here are narrow (ids, names, a short genre list):
+# 2M rows stay well under a few hundred MB.
 BROADCAST_MAX_ROWS = 2_000_000
 
 
@@ -113,13 +112,19 @@ def left_join_dim(fact: DataFrame, dim: DataFrame, on: str,
     Row-preserving: every fact row appears once. ``on`` is taken from the
     dimension, so it is NULL for unmatched fact rows.
 
-    Strategy: a dimension proven to have at most ``broadcast_max_rows`` rows
-    is broadcast (no fact shuffle, no skew exposure). Otherwise both sides
-    are hash-partitioned on the key (sort-merge join); a hot key, including
-    the NULL key of unmatched rows, lands in one reducer partition, which
-    adaptive execution splits across tasks (left side of a left outer join).
-    Pass ``broadcast_max_rows=None`` to skip the check and let the optimizer's
-    own size estimate decide.
+    Strategy: a dimension proven (by a bounded count that reads at most
+    ``broadcast_max_rows + 1`` rows) to be small is broadcast, so the fact
+    stays where it is (no fact shuffle, no skew exposure) and the dimension
+    is always the build side, even where a later ``key IS NOT NULL`` filter
+    lets the optimizer turn the left join into an inner one. Beyond the bound
+    both sides are hash-partitioned on the key (sort-merge join); a hot key,
+    including the NULL key of unmatched plays, lands in one reducer
+    partition, which adaptive execution splits across tasks (fact side of a
+    left outer join; see ``session.SCALE_CONF``).
+
+    ``broadcast_max_rows=None`` skips the count and leaves the choice to the
+    optimizer's size estimate (which, for a file scan, is the compressed
+    file size and can understate the in-memory size several times).
     """
     key = "_dim_key"
     d = dim.select(F.col(on).alias(key), *dim.columns)
