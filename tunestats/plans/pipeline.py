@@ -1,6 +1,8 @@
 """The three layers, end to end.
 
-``run`` reads landed pages, writes the raw tables, builds the star schema
+``run`` reads landed pages, writes the raw play, playlist and playlist
+item tables, restricts the landed catalogue pages to the ids harvested from
+those stored tables and writes them, builds the star schema
 from the written raw tables, the wide play table from the written star
 schema, and the aggregates from the written wide table. Each layer reads
 only stored tables of the layer before it, so every layer is a durable
@@ -36,24 +38,43 @@ LANDING_KEYS = {
 }
 
 
+ACTIVITY = ("bronze_play_history", "bronze_playlists", "bronze_playlist_tracks")
+CATALOGUE = ("bronze_tracks", "bronze_artists")
+
+
+def bronze_activity(spark: SparkSession, landing: Mapping[str, str | list[str]],
+                    run_ts: str | datetime | None = None, window_hours: int = 24,
+                    mode: str = "FAILFAST") -> dict[str, DataFrame]:
+    """Raw plays, playlists and playlist items from landed pages (``landing``
+    maps ``plays``, ``playlists``, ``playlist_tracks`` to paths). With
+    ``run_ts`` only plays after ``run_ts - window_hours`` are kept."""
+    raw = {LANDING_KEYS[k]: read_raw(spark, LANDING_KEYS[k], landing[k], mode)
+           for k in ("plays", "playlists", "playlist_tracks")}
+    if run_ts is not None:
+        raw["bronze_play_history"] = recent(raw["bronze_play_history"], run_ts, window_hours)
+    return raw
+
+
+def bronze_catalogue(spark: SparkSession, landing: Mapping[str, str | list[str]], plays: DataFrame,
+                     playlist_tracks: DataFrame, mode: str = "FAILFAST") -> dict[str, DataFrame]:
+    """Raw track and artist catalogue rows from landed pages, restricted to
+    the ids harvested from ``plays`` and ``playlist_tracks`` (pass the
+    stored raw tables: the harvest then reads two columns of each)."""
+    track_keys, artist_keys = harvest_keys(plays, playlist_tracks)
+    return {
+        "bronze_tracks": enrich(read_raw(spark, "bronze_tracks", landing["tracks"], mode), track_keys, "track_id"),
+        "bronze_artists": enrich(read_raw(spark, "bronze_artists", landing["artists"], mode), artist_keys,
+                                 "artist_id"),
+    }
+
+
 def bronze_tables(spark: SparkSession, landing: Mapping[str, str | list[str]],
                   run_ts: str | datetime | None = None, window_hours: int = 24,
                   mode: str = "FAILFAST") -> dict[str, DataFrame]:
-    """Raw tables from landed pages (``landing`` maps ``plays``,
-    ``playlists``, ``playlist_tracks``, ``tracks``, ``artists`` to paths).
-
-    With ``run_ts`` only plays after ``run_ts - window_hours`` are kept. The
-    catalogue pages are restricted to the ids harvested from plays and
-    playlist items."""
-    raw = {LANDING_KEYS[k]: read_raw(spark, LANDING_KEYS[k], p, mode) for k, p in landing.items()}
-    plays = raw["bronze_play_history"]
-    if run_ts is not None:
-        plays = recent(plays, run_ts, window_hours)
-        raw["bronze_play_history"] = plays
-    track_keys, artist_keys = harvest_keys(plays, raw["bronze_playlist_tracks"])
-    raw["bronze_tracks"] = enrich(raw["bronze_tracks"], track_keys, "track_id")
-    raw["bronze_artists"] = enrich(raw["bronze_artists"], artist_keys, "artist_id")
-    return {k: raw[k] for k in RAW}
+    """All five raw tables as DataFrames (nothing stored in between)."""
+    act = bronze_activity(spark, landing, run_ts, window_hours, mode)
+    cat = bronze_catalogue(spark, landing, act["bronze_play_history"], act["bronze_playlist_tracks"], mode)
+    return {k: {**act, **cat}[k] for k in RAW}
 
 
 def silver_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -99,8 +120,12 @@ def run(spark: SparkSession, landing: Mapping[str, str | list[str]], database: s
         return f"{root}/{layer}" if root else None
 
     written: dict[str, dict[str, int | None]] = {}
-    written["bronze"] = load_all(bronze_tables(spark, landing, run_ts, window_hours), dbs["bronze"], fmt,
+    written["bronze"] = load_all(bronze_activity(spark, landing, run_ts, window_hours), dbs["bronze"], fmt,
                                  loc("bronze"))
+    act = _read(spark, dbs["bronze"], ACTIVITY)
+    written["bronze"].update(load_all(
+        bronze_catalogue(spark, landing, act["bronze_play_history"], act["bronze_playlist_tracks"]),
+        dbs["bronze"], fmt, loc("bronze")))
     raw = _read(spark, dbs["bronze"], RAW)
     written["silver"] = load_all(silver_tables(raw), dbs["silver"], fmt, loc("silver"))
     silver = _read(spark, dbs["silver"], SILVER)

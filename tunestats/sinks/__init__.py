@@ -1,3 +1,3 @@
 """Sinks: full-refresh table writes, loader, schema-enforced write."""
 
-from tunestats.sinks.tables import ensure_schema, load_all, write_table, write_with_schema  # noqa: F401
+from tunestats.sinks.tables import ensure_schema, load_all, publish, write_table, write_with_schema  # noqa: F401

@@ -7,6 +7,7 @@ the classpath.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -34,26 +35,65 @@ def write_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None
     w.saveAsTable(name)
 
 
+def _table_root(spark: SparkSession, full_name: str, root: str | None) -> str:
+    if root:
+        return f"{root}/{full_name.split('.')[-1]}"
+    db, _, table = full_name.rpartition(".")
+    location = spark.catalog.getDatabase(db or spark.catalog.currentDatabase()).locationUri
+    return f"{location.rstrip('/')}/{table}"
+
+
+def _current_location(spark: SparkSession, full_name: str) -> str | None:
+    if not spark.catalog.tableExists(full_name):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {full_name}").where("col_name = 'Location'").collect()
+    return rows[0].data_type if rows else None
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def publish(spark: SparkSession, df: DataFrame, full_name: str, fmt: str = "parquet",
+            root: str | None = None) -> int | None:
+    """Write ``df`` once into a new version folder and make it the table.
+
+    The rows are counted by an ``Observation`` during that single write. A
+    result with no rows is not published: the table keeps its previous
+    version. Readers see the old version until the new one is complete, and
+    a job that fails mid-write leaves the table as it was. The replaced
+    version's files are removed after the switch. Returns the rows written,
+    or ``None`` when nothing was published.
+    """
+    version = f"{_table_root(spark, full_name, root)}/v-{uuid.uuid4().hex}"
+    obs = Observation(f"rows_{full_name}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("errorifexists").save(version)
+    rows = int(obs.get["rows"])
+    if rows == 0:
+        _delete(spark, version)
+        return None
+    previous = _current_location(spark, full_name)
+    spark.sql(f"DROP TABLE IF EXISTS {full_name}")
+    spark.catalog.createTable(full_name, path=version, source=fmt)
+    if previous and previous.rstrip("/") != version.rstrip("/"):
+        _delete(spark, previous)
+    return rows
+
+
 def load_all(tables: Mapping[str, DataFrame], database: str | None = None, fmt: str = "parquet",
              root: str | None = None) -> dict[str, int | None]:
-    """SNK-2: write each non-empty DataFrame as a table; a DataFrame with no
-    rows is skipped and the table keeps its previous contents.
+    """SNK-2: publish each DataFrame as a table (``publish``); a DataFrame
+    with no rows is skipped and the table keeps its previous contents.
 
-    Returns the rows written per table (``None`` for skipped ones). The count
-    is collected with an ``Observation`` during the write itself, not by a
-    second job over the data.
+    Returns the rows written per table (``None`` for skipped ones). Each
+    table is computed exactly once: there is no separate emptiness or count
+    job over the data.
     """
-    written: dict[str, int | None] = {}
-    for name, df in tables.items():
-        if df.isEmpty():
-            written[name] = None
-            continue
-        obs = Observation(f"rows_{name}")
-        full = f"{database}.{name}" if database else name
-        write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), full, fmt,
-                    path=f"{root}/{name}" if root else None)
-        written[name] = int(obs.get["rows"])
-    return written
+    spark = next(iter(tables.values())).sparkSession if tables else None
+    return {name: publish(spark, df, f"{database}.{name}" if database else name, fmt, root)
+            for name, df in tables.items()}
 
 
 def write_with_schema(spark: SparkSession, data, name: str, schema: StructType, fmt: str = "parquet",
