@@ -13,16 +13,29 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
-# Fixed values that must equal the reference's for right results.
-# Milliseconds per minute as a decimal(6,1) literal, so that ms / 60000.0 is a
-# decimal(28,7) per row (rounded half-up to 7 places) and its sum decimal(38,7).
+# ---------------------------------------------------------------------------
+# These must equal the reference's for right results.
+# Milliseconds per minute, as a decimal(6,1) literal, so that ms / 60000.0 is
+# a decimal(28,7) per row (rounded half-up to 7 places) and its sum
+# decimal(38,7).
 MS_PER_MINUTE = Decimal("60000.0")
-# Day-part buckets by hour of day (inclusive ranges); any other hour,
-# and a NULL hour, is "Night".
+# Day parts by hour of day, inclusive ranges, in this order; any other hour
+# (and a NULL hour) is "Night".
 DAY_PARTS = (("Morning", 6, 11), ("Afternoon", 12, 17), ("Evening", 18, 23))
 NIGHT = "Night"
 # The single listener every aggregate is attributed to.
 DEFAULT_USER = "default_user"
+# Date formats: short weekday name, short month name, month bucket.
+WEEKDAY_FORMAT = "E"
+MONTH_NAME_FORMAT = "MMM"
+MONTH_BUCKET_FORMAT = "yyyy-MM"
+# Play key: SHA-2 digest length in bits.
+PLAY_KEY_BITS = 256
+# Rows in the ranking reports (artists, tracks) and in the top-genre query.
+TOP_ARTISTS_ROWS = 100
+TOP_TRACKS_ROWS = 100
+TOP_GENRES_ROWS = 10
+# ---------------------------------------------------------------------------
 
 
 def _c(c: ColumnOrName) -> Column:
@@ -46,12 +59,12 @@ def day_of_week_num(ts: ColumnOrName) -> Column:
 
 def weekday_name(ts: ColumnOrName) -> Column:
     """FN-4: short English weekday name (``Sun``)."""
-    return F.date_format(_c(ts), "E")
+    return F.date_format(_c(ts), WEEKDAY_FORMAT)
 
 
 def month_name(ts: ColumnOrName) -> Column:
     """FN-5: short English month name (``Jan``)."""
-    return F.date_format(_c(ts), "MMM")
+    return F.date_format(_c(ts), MONTH_NAME_FORMAT)
 
 
 def quarter(ts: ColumnOrName) -> Column:
@@ -66,13 +79,13 @@ def year(ts: ColumnOrName) -> Column:
 
 def month_bucket(ts: ColumnOrName) -> Column:
     """FN-8: ``yyyy-MM``."""
-    return F.date_format(_c(ts), "yyyy-MM")
+    return F.date_format(_c(ts), MONTH_BUCKET_FORMAT)
 
 
 def play_key(played_at: ColumnOrName, track_id: ColumnOrName) -> Column:
     """FN-9 + FN-10: SHA-256 hex of the two parts concatenated with no
     separator. NULL when either part is NULL (``concat`` propagates NULL)."""
-    return F.sha2(F.concat(_c(played_at), _c(track_id)), 256)
+    return F.sha2(F.concat(_c(played_at), _c(track_id)), PLAY_KEY_BITS)
 
 
 def minutes(ms: ColumnOrName) -> Column:

@@ -122,6 +122,11 @@ def left_join_dim(fact: DataFrame, dim: DataFrame, on: str,
     partition, which adaptive execution splits across tasks (fact side of a
     left outer join; see ``session.SCALE_CONF``).
 
+    The split needs a plain shuffle on both sides, which is what a stored
+    dimension table gets; the pipeline therefore joins the stored silver
+    tables (a dimension de-duplicated in the same query would hand its own
+    partitioning to the join instead).
+
     ``broadcast_max_rows=None`` skips the count and leaves the choice to the
     optimizer's size estimate (which, for a file scan, is the compressed
     file size and can understate the in-memory size several times).

@@ -12,15 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunestats.functions import day_part
+from tunestats.functions import TOP_ARTISTS_ROWS, TOP_GENRES_ROWS, TOP_TRACKS_ROWS, day_part
 from tunestats.operators import top_n
 
-# Fixed values that must equal the reference's: rows in the ranking reports
-# and in the ad-hoc top-genre query.
-TOP_ARTISTS_ROWS = 100
-TOP_TRACKS_ROWS = 100
-TOP_GENRES_ROWS = 10
-
 
 def report_genre_trends(genre_trends: DataFrame) -> DataFrame:
     """RPT-1."""
