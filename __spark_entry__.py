@@ -51,11 +51,26 @@ def _present(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------ builders --
+_BASES: dict[tuple, DataFrame] = {}
+
+
 def _base(spark: SparkSession, d: str, holes: bool = True) -> DataFrame:
-    fct = model.fct_plays(fx.plays_li(spark, d))
-    tracks = model.dim_tracks(fx.tracks_raw(spark, d, holes))
-    artists = model.dim_artists(fx.artists_raw(spark, d, holes))
-    return marts.base_analytics(fct, tracks, artists)
+    """The wide play table over the stand-ins. The plan (not its data) is
+    built once per session and shared by the queries derived from it, as a
+    stored wide table would be; every query still executes all of its work."""
+    try:
+        key = (id(spark._jsparkSession), d, holes)
+    except Exception:
+        key = None
+    if key is None or key not in _BASES:
+        fct = model.fct_plays(fx.plays_li(spark, d))
+        tracks = model.dim_tracks(fx.tracks_raw(spark, d, holes))
+        artists = model.dim_artists(fx.artists_raw(spark, d, holes))
+        base = marts.base_analytics(fct, tracks, artists)
+        if key is None:
+            return base
+        _BASES[key] = base
+    return _BASES[key]
 
 
 def _harvest(spark: SparkSession, d: str):

@@ -55,10 +55,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     plans fewer input partitions than there are cores; such a scan is spread
     round-robin over the session's default parallelism (a many-file input on
     a cluster is left as it is)."""
-    key = (id(spark._jsparkSession), f"{sf_dir}/{name}.parquet")
-    if key not in _READS:
-        df = spark.read.parquet(key[1])
+    path = f"{sf_dir}/{name}.parquet"
+    try:
+        key = (id(spark._jsparkSession), path)
         cores = spark.sparkContext.defaultParallelism
+    except Exception:  # a session without a local JVM (Spark Connect): plain read
+        return spark.read.parquet(path)
+    if key not in _READS:
+        df = spark.read.parquet(path)
         _READS[key] = df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
     return _READS[key]
 

@@ -41,7 +41,7 @@ def dim_tracks(tracks_raw: DataFrame) -> DataFrame:
     """TBL-2: one row per ``track_id``; ``preview_url`` kept as a typed NULL
     when the source lacks it."""
     df = add_missing(tracks_raw, "preview_url", schemas.S)
-    return conform(dedupe(conform(df, schemas.DIM_TRACKS), ["track_id"]), schemas.DIM_TRACKS)
+    return dedupe(conform(df, schemas.DIM_TRACKS), ["track_id"])
 
 
 # Survivor order for artists: scalar columns first, the genre list last.
@@ -51,14 +51,14 @@ _ARTIST_ORDER = ["artist_name", "followers", "popularity", "uri", "genres"]
 def dim_artists(artists_raw: DataFrame) -> DataFrame:
     """TBL-3: one row per ``artist_id``."""
     df = conform(artists_raw, schemas.DIM_ARTISTS)
-    return conform(dedupe(df, ["artist_id"], _ARTIST_ORDER), schemas.DIM_ARTISTS)
+    return dedupe(df, ["artist_id"], _ARTIST_ORDER)
 
 
 def dim_playlists(playlists_raw: DataFrame) -> DataFrame:
     """TBL-4: one row per ``playlist_id``; ``followers`` kept as a typed
     NULL when the source lacks it."""
     df = add_missing(playlists_raw, "followers", schemas.L)
-    return conform(dedupe(conform(df, schemas.DIM_PLAYLISTS), ["playlist_id"]), schemas.DIM_PLAYLISTS)
+    return dedupe(conform(df, schemas.DIM_PLAYLISTS), ["playlist_id"])
 
 
 def fct_plays(plays_raw: DataFrame) -> DataFrame:
@@ -72,4 +72,4 @@ def fct_plays(plays_raw: DataFrame) -> DataFrame:
         parse_ts("played_at").alias("play_timestamp"),
         "track_id", "artist_id", "album_id", "duration_ms", "context_type",
     )
-    return conform(dedupe(df, ["play_id"]), schemas.FCT_PLAYS)
+    return dedupe(conform(df, schemas.FCT_PLAYS), ["play_id"])

@@ -61,7 +61,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="tunestats-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # no local SparkContext (Spark Connect): DataFrame checkpoints use the conf
+        pass
     return path
 
 

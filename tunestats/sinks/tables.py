@@ -51,9 +51,14 @@ def _current_location(spark: SparkSession, full_name: str) -> str | None:
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    """Remove a replaced table version (best effort: a leftover version is
+    unreferenced, never read)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:
+        pass
 
 
 def publish(spark: SparkSession, df: DataFrame, full_name: str, fmt: str = "parquet",
