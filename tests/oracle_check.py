@@ -13,6 +13,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
@@ -22,11 +24,11 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return (1, "nan")
-        return (2, f"{v:.12g}")
+        return (2, repr(v) if EXACT else f"{v:.12g}")
     if isinstance(v, bool):
         return (3, str(v))
     if isinstance(v, int):
-        return (2, f"{float(v):.12g}") if abs(v) < 2**53 else (4, str(v))
+        return (2, repr(float(v)) if EXACT else f"{float(v):.12g}") if abs(v) < 2**53 else (4, str(v))
     return (5, str(v))
 
 
