@@ -1,7 +1,9 @@
 """Relational operators (projection, de-dup, top-k, explode, joins)."""
 
 from tunestats.operators.core import (  # noqa: F401
+    BROADCAST_CONF,
     BROADCAST_MAX_ROWS,
+    broadcast_bound,
     add_missing,
     conform,
     dedupe,

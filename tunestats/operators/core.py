@@ -15,10 +15,19 @@ from pyspark.sql.types import StructType
 
 from tunestats.functions import typed_null
 
-# Row bound for an explicit broadcast of a star-join dimension (opt-in, see
-# ``left_join_dim``). Dims here are narrow (ids, names, a short genre list):
-# 2M rows stay well under a few hundred MB.
+# Row bound for broadcasting a star-join dimension (see ``left_join_dim``).
+# The joined dimensions are projected to 3 narrow columns (id, name and
+# popularity or genre list), so 2M rows stay within a few hundred MB. A
+# cluster with large executors can raise it with the session setting
+# ``tunestats.broadcast.maxRows`` (read by ``broadcast_bound``).
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_CONF = "tunestats.broadcast.maxRows"
+
+
+def broadcast_bound(spark) -> int:
+    """The session's dimension broadcast bound in rows (``-1`` disables
+    explicit broadcasts)."""
+    return int(spark.conf.get(BROADCAST_CONF, str(BROADCAST_MAX_ROWS)))
 
 
 # --------------------------------------------------------------------------
@@ -133,7 +142,7 @@ def left_join_dim(fact: DataFrame, dim: DataFrame, on: str,
     """
     key = "_dim_key"
     d = dim.select(F.col(on).alias(key), *dim.columns)
-    if broadcast_max_rows is not None and fits_broadcast(dim, broadcast_max_rows):
+    if broadcast_max_rows is not None and broadcast_max_rows >= 0 and fits_broadcast(dim, broadcast_max_rows):
         d = F.broadcast(d)
     f = fact.withColumnRenamed(on, key)
     return f.join(d, on=key, how="left").drop(key)

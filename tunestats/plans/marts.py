@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tunestats import schemas
 from tunestats.functions import DEFAULT_USER, hour_of_day, minutes, month_bucket, weekday_name
 from tunestats.operators import (
-    BROADCAST_MAX_ROWS,
+    broadcast_bound,
     conform,
     explode_genres,
     left_join_dim,
@@ -24,8 +24,11 @@ from tunestats.operators import (
 )
 
 
+_SESSION_BOUND = object()
+
+
 def base_analytics(fct: DataFrame, tracks: DataFrame, artists: DataFrame, time: DataFrame | None = None,
-                   broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+                   broadcast_max_rows=_SESSION_BOUND) -> DataFrame:
     """TBL-6 / JN-5: plays left-joined to tracks, artists and time.
 
     ``track_id`` / ``artist_id`` are the dimension's keys (NULL when the
@@ -34,7 +37,12 @@ def base_analytics(fct: DataFrame, tracks: DataFrame, artists: DataFrame, time:
     the left join to ``dim_time`` (one row per timestamp, NULL never
     matches) without shuffling the fact against a fact-sized dimension.
     Pass ``time`` to take them from a ``dim_time`` table instead (JN-3).
+
+    ``broadcast_max_rows`` defaults to the session's bound
+    (``operators.broadcast_bound``); see ``operators.left_join_dim``.
     """
+    if broadcast_max_rows is _SESSION_BOUND:
+        broadcast_max_rows = broadcast_bound(fct.sparkSession)
     f = fct.select("play_id", "play_timestamp", "duration_ms", "context_type", "track_id", "artist_id")
     t = tracks.select("track_id", "track_name", "popularity")
     a = artists.select("artist_id", "artist_name", "genres")
