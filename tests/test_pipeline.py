@@ -70,3 +70,21 @@ def test_gold_equals_query_path(spark, run):
                         ("gold_user_listening_summary", marts.user_summary)]:
         a, b = _t(spark, name), build(base)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_report_sql_over_stored_tables(spark, run):
+    from tunestats.plans import report_sql, reports
+    g = lambda n: _t(spark, n)
+    frames = {
+        "report_genre_trends": reports.report_genre_trends(g("gold_genre_trends")),
+        "report_top_artists": reports.report_top_artists(g("gold_top_artists")),
+        "report_top_tracks": reports.report_top_tracks(g("gold_top_tracks")),
+        "report_day_parts": reports.report_day_parts(g("gold_listening_patterns")),
+        "report_kpis": reports.report_kpis(g("gold_user_listening_summary")),
+        "report_top_genres": reports.report_top_genres(g("gold_genre_trends")),
+    }
+    for name, df in frames.items():
+        sql = report_sql.run_report(spark, name, "tp_gold")
+        assert sql.columns == df.columns, name
+        assert [tuple(r) for r in sql.collect()] == [tuple(r) for r in df.collect()] or (
+            sql.exceptAll(df).count() == 0 and df.exceptAll(sql).count() == 0), name
