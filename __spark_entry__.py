@@ -62,7 +62,7 @@ def _base(spark: SparkSession, d: str, holes: bool = True) -> DataFrame:
         key = (id(spark._jsparkSession), d, holes)
     except Exception:
         key = None
-    if key is None or key not in _BASES:
+    if key is None or key not in _BASES or _BASES[key].sparkSession is not spark:
         fct = model.fct_plays(fx.plays_li(spark, d))
         tracks = model.dim_tracks(fx.tracks_raw(spark, d, holes))
         artists = model.dim_artists(fx.artists_raw(spark, d, holes))
@@ -78,22 +78,25 @@ def _harvest(spark: SparkSession, d: str):
 
 
 def _write_read_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    root = f"{shared_dir(spark)}/roundtrip-{uuid.uuid4().hex}"
+    run = uuid.uuid4().hex
+    root = f"{shared_dir(spark)}/roundtrip-{run}"
     db = "tunestats_roundtrip"
     ensure_schema(spark, db, location=f"{root}/db")
-    load_all({"fct_plays": model.fct_plays(fx.plays_li(spark, d))}, database=db, root=root)
-    return spark.table(f"{db}.fct_plays")
+    # a table per call, so no later call replaces files an earlier result reads
+    load_all({f"fct_plays_{run}": model.fct_plays(fx.plays_li(spark, d))}, database=db, root=root)
+    return spark.table(f"{db}.fct_plays_{run}")
 
 
 def _write_with_schema_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    root = f"{shared_dir(spark)}/schema-{uuid.uuid4().hex}"
+    run = uuid.uuid4().hex
+    root = f"{shared_dir(spark)}/schema-{run}"
     db = "tunestats_roundtrip"
     ensure_schema(spark, db, location=f"{root}/db")
     # extra column dropped, preview_url absent → typed NULL, columns reordered
     raw = fx.tracks_raw(spark, d).drop("preview_url").withColumn("extra", F.lit(1))
-    write_with_schema(spark, raw.select(*reversed(raw.columns)), f"{db}.dim_tracks_conformed",
+    write_with_schema(spark, raw.select(*reversed(raw.columns)), f"{db}.dim_tracks_{run}",
                       schemas.DIM_TRACKS, path=f"{root}/dim_tracks")
-    return spark.table(f"{db}.dim_tracks_conformed")
+    return spark.table(f"{db}.dim_tracks_{run}")
 
 
 def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -61,7 +61,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         cores = spark.sparkContext.defaultParallelism
     except Exception:  # a session without a local JVM (Spark Connect): plain read
         return spark.read.parquet(path)
-    if key not in _READS:
+    if key not in _READS or _READS[key].sparkSession is not spark:
         df = spark.read.parquet(path)
         _READS[key] = df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
     return _READS[key]
