@@ -88,3 +88,19 @@ def test_report_sql_over_stored_tables(spark, run):
         assert sql.columns == df.columns, name
         assert [tuple(r) for r in sql.collect()] == [tuple(r) for r in df.collect()] or (
             sql.exceptAll(df).count() == 0 and df.exceptAll(sql).count() == 0), name
+
+
+def test_layers_as_separate_jobs_via_cli(spark, run):
+    """The command line runs the layers one by one on the session; the
+    result equals the single-call run."""
+    import tempfile
+    from tunestats.__main__ import main
+    root = tempfile.mkdtemp(prefix="tunestats-cli-")
+    landing = fx.land(spark, SF_SMALL, f"{root}/landing")
+    base = landing["plays"].rsplit("/", 1)[0]
+    out = main(["--landing", base, "--root", f"{root}/tables", "--database", "tc", "--layers", "bronze"])
+    assert out["bronze"]["bronze_play_history"] == 6000
+    out = main(["--root", f"{root}/tables", "--database", "tc", "--layers", "silver,gold"])
+    assert out["gold"]["gold_user_listening_summary"] == 1
+    a, b = _t(spark, "gold_top_artists", "tc"), _t(spark, "gold_top_artists", "tp")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

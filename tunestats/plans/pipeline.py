@@ -103,34 +103,70 @@ def _read(spark: SparkSession, database: str, names) -> dict[str, DataFrame]:
     return {n: spark.table(f"{database}.{n}") for n in names}
 
 
-def run(spark: SparkSession, landing: Mapping[str, str | list[str]], database: str = "tunestats",
-        root: str | None = None, run_ts: str | datetime | None = None, window_hours: int = 24,
-        fmt: str = "parquet", user_id: str = DEFAULT_USER) -> dict[str, dict[str, int | None]]:
-    """Run all layers; returns rows written per table per layer.
+def _databases(database: str) -> dict[str, str]:
+    return {layer: f"{database}_{layer}" for layer in ("bronze", "silver", "gold")}
 
-    Tables go to the databases ``{database}_bronze`` / ``_silver`` /
-    ``_gold``; with ``root`` their files live under ``root/<layer>/<table>``
-    (shared storage on a cluster)."""
+
+def _prepare(spark: SparkSession, database: str, root: str | None) -> dict[str, str]:
     apply_scale_conf(spark)
-    dbs = {layer: f"{database}_{layer}" for layer in ("bronze", "silver", "gold")}
+    dbs = _databases(database)
     for layer, db in dbs.items():
         ensure_schema(spark, db, location=f"{root}/{layer}/_db" if root else None)
+    return dbs
 
-    def loc(layer: str) -> str | None:
-        return f"{root}/{layer}" if root else None
 
-    written: dict[str, dict[str, int | None]] = {}
-    written["bronze"] = load_all(bronze_activity(spark, landing, run_ts, window_hours), dbs["bronze"], fmt,
-                                 loc("bronze"))
+def _loc(root: str | None, layer: str) -> str | None:
+    return f"{root}/{layer}" if root else None
+
+
+def run_bronze(spark: SparkSession, landing: Mapping[str, str | list[str]], database: str = "tunestats",
+               root: str | None = None, run_ts: str | datetime | None = None, window_hours: int = 24,
+               fmt: str = "parquet") -> dict[str, int | None]:
+    """Layer 1: landed pages → the five raw tables."""
+    dbs = _prepare(spark, database, root)
+    written = load_all(bronze_activity(spark, landing, run_ts, window_hours), dbs["bronze"], fmt,
+                       _loc(root, "bronze"))
     act = _read(spark, dbs["bronze"], ACTIVITY)
-    written["bronze"].update(load_all(
+    written.update(load_all(
         bronze_catalogue(spark, landing, act["bronze_play_history"], act["bronze_playlist_tracks"]),
-        dbs["bronze"], fmt, loc("bronze")))
+        dbs["bronze"], fmt, _loc(root, "bronze")))
+    return written
+
+
+def run_silver(spark: SparkSession, database: str = "tunestats", root: str | None = None,
+               fmt: str = "parquet") -> dict[str, int | None]:
+    """Layer 2: stored raw tables → the star schema."""
+    dbs = _prepare(spark, database, root)
     raw = _read(spark, dbs["bronze"], RAW)
-    written["silver"] = load_all(silver_tables(raw), dbs["silver"], fmt, loc("silver"))
+    return load_all(silver_tables(raw), dbs["silver"], fmt, _loc(root, "silver"))
+
+
+def run_gold(spark: SparkSession, database: str = "tunestats", root: str | None = None, fmt: str = "parquet",
+             user_id: str = DEFAULT_USER) -> dict[str, int | None]:
+    """Layer 3: stored star schema → wide play table → aggregate tables."""
+    dbs = _prepare(spark, database, root)
     silver = _read(spark, dbs["silver"], SILVER)
     base = marts.base_analytics(silver["fct_plays"], silver["dim_tracks"], silver["dim_artists"])
-    written["base"] = load_all({"base_analytics": base}, dbs["gold"], fmt, loc("gold"))
+    written = load_all({"base_analytics": base}, dbs["gold"], fmt, _loc(root, "gold"))
     base = spark.table(f"{dbs['gold']}.base_analytics")
-    written["gold"] = load_all(gold_tables(base, user_id), dbs["gold"], fmt, loc("gold"))
+    written.update(load_all(gold_tables(base, user_id), dbs["gold"], fmt, _loc(root, "gold")))
+    return written
+
+
+def run(spark: SparkSession, landing: Mapping[str, str | list[str]], database: str = "tunestats",
+        root: str | None = None, run_ts: str | datetime | None = None, window_hours: int = 24,
+        fmt: str = "parquet", user_id: str = DEFAULT_USER) -> dict[str, dict[str, int | None]]:
+    """Run all layers; returns rows written per table per layer.
+
+    Tables go to the databases ``{database}_bronze`` / ``_silver`` /
+    ``_gold``; with ``root`` their files live under ``root/<layer>/<table>``
+    (shared storage on a cluster). Each layer reads only the stored tables
+    of the layer before it, so the three can also run as separate jobs."""
+    written = {
+        "bronze": run_bronze(spark, landing, database, root, run_ts, window_hours, fmt),
+        "silver": run_silver(spark, database, root, fmt),
+    }
+    gold = run_gold(spark, database, root, fmt, user_id)
+    written["base"] = {"base_analytics": gold.pop("base_analytics")}
+    written["gold"] = gold
     return written
