@@ -113,3 +113,13 @@ def test_fixture_pages_flatten_to_stored_rows(spark):
     for a, b in pairs:
         assert a.count() == b.count() > 0
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_one_pretty_printed_page_per_file(spark, scratch):
+    folder = os.path.join(scratch, "pretty")
+    os.makedirs(folder)
+    for i, page in enumerate(PLAY_PAGES[:1] * 3):
+        with open(os.path.join(folder, f"page-{i}.json"), "w") as fh:
+            json.dump(page, fh, indent=2)
+    df = read_raw(spark, "bronze_play_history", folder, multi_line=True)
+    assert df.count() == 9

@@ -18,14 +18,16 @@ from tunestats.operators import conform
 
 
 def read_pages(spark: SparkSession, path: str | list[str], schema: StructType,
-               mode: str = "FAILFAST") -> DataFrame:
-    """Read landed pages (JSON Lines) with a fixed schema.
+               mode: str = "FAILFAST", multi_line: bool = False) -> DataFrame:
+    """Read landed pages with a fixed schema: JSON Lines (one page per line,
+    files split across tasks), or with ``multi_line`` one document per file
+    as an API returns it (one task per file).
 
     ``FAILFAST`` (default) fails the job on a malformed page instead of
     loading partial data; ``PERMISSIVE`` keeps going and reads a broken page
     as a page with no items.
     """
-    return spark.read.schema(schema).option("mode", mode).json(path)
+    return spark.read.schema(schema).option("mode", mode).option("multiLine", multi_line).json(path)
 
 
 def parse_pages(df: DataFrame, text_col: str, schema: StructType, keep: list[str] | None = None,
@@ -147,10 +149,11 @@ PAGE_KINDS = {
 }
 
 
-def read_raw(spark: SparkSession, table: str, path: str | list[str], mode: str = "FAILFAST") -> DataFrame:
+def read_raw(spark: SparkSession, table: str, path: str | list[str], mode: str = "FAILFAST",
+             multi_line: bool = False) -> DataFrame:
     """Read one kind of landed page and flatten it to its raw table."""
     schema, flatten = PAGE_KINDS[table]
-    return flatten(read_pages(spark, path, schema, mode))
+    return flatten(read_pages(spark, path, schema, mode, multi_line))
 
 
 def read_play_history(spark: SparkSession, path, mode: str = "FAILFAST") -> DataFrame:
