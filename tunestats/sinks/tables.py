@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -88,17 +89,29 @@ def publish(spark: SparkSession, df: DataFrame, full_name: str, fmt: str = "parq
 
 
 def load_all(tables: Mapping[str, DataFrame], database: str | None = None, fmt: str = "parquet",
-             root: str | None = None) -> dict[str, int | None]:
+             root: str | None = None, concurrency: int = 4) -> dict[str, int | None]:
     """SNK-2: publish each DataFrame as a table (``publish``); a DataFrame
     with no rows is skipped and the table keeps its previous contents.
 
     Returns the rows written per table (``None`` for skipped ones). Each
     table is computed exactly once: there is no separate emptiness or count
-    job over the data.
+    job over the data. The tables of one call are independent, so up to
+    ``concurrency`` of them are written as concurrent Spark jobs (later jobs
+    use the task slots that the tail stages of earlier ones leave idle).
     """
-    spark = next(iter(tables.values())).sparkSession if tables else None
-    return {name: publish(spark, df, f"{database}.{name}" if database else name, fmt, root)
-            for name, df in tables.items()}
+    if not tables:
+        return {}
+    spark = next(iter(tables.values())).sparkSession
+
+    def one(item):
+        name, df = item
+        return name, publish(spark, df, f"{database}.{name}" if database else name, fmt, root)
+
+    if concurrency <= 1 or len(tables) == 1:
+        return dict(map(one, tables.items()))
+    with ThreadPoolExecutor(max_workers=min(concurrency, len(tables))) as pool:
+        done = dict(pool.map(one, tables.items()))
+    return {name: done[name] for name in tables}
 
 
 def write_with_schema(spark: SparkSession, data, name: str, schema: StructType, fmt: str = "parquet",
