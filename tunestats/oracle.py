@@ -61,7 +61,8 @@ PLAYS_LI = """plays_li AS (
 
 
 def tracks_raw(holes: bool = True, name: str = "tracks_raw") -> str:
-    where = "WHERE p_partkey % 10 <> 3" if holes else ""
+    # fixture rule: the track catalogue answers null for these ids (no row)
+    where = "WHERE p_partkey % 10 <> 3  -- catalogue hole, see fixtures.TRACK_HOLE" if holes else ""
     return f"""{name} AS (
   SELECT CAST(p_partkey AS VARCHAR) AS track_id, p_name AS track_name,
          CAST(p_partkey % 100 AS VARCHAR) AS album_id, p_brand AS album_name,
@@ -69,11 +70,13 @@ def tracks_raw(holes: bool = True, name: str = "tracks_raw") -> str:
          CAST(p_size AS BIGINT) * 7919 AS duration_ms, CAST(p_size AS BIGINT) AS popularity,
          p_partkey % 2 = 0 AS explicit, CAST(p_partkey % 30 + 1990 AS VARCHAR) || '-01-01' AS release_date,
          CAST(NULL AS VARCHAR) AS preview_url
-  FROM part {where})"""
+  FROM part {where}
+)"""
 
 
 def artists_raw(holes: bool = True, name: str = "artists_raw") -> str:
-    where = "WHERE s_suppkey % 7 <> 5" if holes else ""
+    # fixture rule: the artist catalogue answers null for these ids (no row)
+    where = "WHERE s_suppkey % 7 <> 5  -- catalogue hole, see fixtures.ARTIST_HOLE" if holes else ""
     return f"""{name} AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS artist_id, s_name AS artist_name,
          CASE s_suppkey % 5 WHEN 1 THEN NULL WHEN 2 THEN []::VARCHAR[]
@@ -81,7 +84,8 @@ def artists_raw(holes: bool = True, name: str = "artists_raw") -> str:
          CAST(s_nationkey AS BIGINT) * 1000 + s_suppkey AS followers,
          CAST(s_suppkey % 100 AS BIGINT) AS popularity, 'artist:' || CAST(s_suppkey AS VARCHAR) AS uri
   FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
-  {where})"""
+  {where}
+)"""
 
 
 PLAYLISTS_RAW = """playlists_raw AS (
@@ -92,7 +96,8 @@ PLAYLISTS_RAW = """playlists_raw AS (
          'snap-' || CAST(o_custkey AS VARCHAR) AS snapshot_id
   FROM orders LEFT JOIN (SELECT l_orderkey, COUNT(*) AS n_lines FROM lineitem GROUP BY l_orderkey) c
        ON o_orderkey = c.l_orderkey
-  WHERE o_orderkey % 13 NOT IN (0, 1))"""
+  WHERE o_orderkey % 13 NOT IN (0, 1)  -- playlists landed without id / with an empty id are dropped
+)"""
 
 ITEMS_RAW = """items_raw AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS playlist_id, CAST(l_partkey AS VARCHAR) AS track_id,
@@ -102,7 +107,9 @@ ITEMS_RAW = """items_raw AS (
          CAST(l_orderkey AS VARCHAR) AS album_id, strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') AS added_at,
          'user' || CAST(l_orderkey % 10 AS VARCHAR) AS added_by,
          CAST(l_quantity * 10007 AS BIGINT) AS duration_ms, CAST(l_linenumber AS BIGINT) AS popularity
-  FROM lineitem WHERE l_partkey % 17 <> 0 AND l_partkey % 19 <> 0)"""
+  FROM lineitem
+  WHERE l_partkey % 17 <> 0 AND l_partkey % 19 <> 0  -- items landed without track / track id are dropped
+)"""
 
 
 def fct(src: str, name: str) -> str:
@@ -201,7 +208,8 @@ SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS played_at,
        CASE WHEN k = '3' THEN NULL ELSE event_type END AS context_type,
        CASE WHEN k = '1' THEN NULL ELSE CAST(round(value * 1000) AS BIGINT) END AS duration_ms
 FROM (SELECT *, json_extract_string(props, '$.k') AS k FROM events)
-WHERE k <> '0'"""
+WHERE k <> '0'  -- fixture rule: these page items are landed as null and dropped
+"""
     q["flatten_playlist_pages"] = with_(PLAYLISTS_RAW) + "SELECT * FROM playlists_raw"
     q["flatten_playlist_item_pages"] = with_(ITEMS_RAW) + (
         "SELECT playlist_id, track_id, track_name, to_json(artist_ids) AS artist_ids, album_id, added_at, "
