@@ -28,3 +28,21 @@ def test_incremental_ingest_exactly_once(spark, scratch):
     assert got.count() == 12                         # the first file is not loaded again
     assert got.exceptAll(read_raw(spark, "bronze_play_history", landing)).count() == 0
     assert got.columns == read_raw(spark, "bronze_play_history", landing).columns
+
+
+def test_ingest_all_kinds(spark, scratch):
+    """Every kind of landed page streams into its raw table; the result
+    equals the batch read of the same folder."""
+    from tunestats import fixtures as fx
+    from tunestats.plans.pipeline import LANDING_KEYS
+    from tunestats.streaming import ingest_all
+    from conftest import SF_SMALL
+    landing = fx.land(spark, SF_SMALL, f"{scratch}/landing")
+    root = landing["plays"].rsplit("/", 1)[0]
+    for q in ingest_all(spark, root, f"{scratch}/raw", f"{scratch}/ckpt").values():
+        q.awaitTermination(300)
+    for kind, table in LANDING_KEYS.items():
+        got = spark.read.parquet(f"{scratch}/raw/{table}")
+        want = read_raw(spark, table, landing[kind])
+        assert got.count() == want.count() > 0, table
+        assert got.exceptAll(want).count() == 0, table

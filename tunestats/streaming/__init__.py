@@ -1,3 +1,3 @@
 """Streaming: incremental landed-page ingestion (file source → raw table)."""
 
-from tunestats.streaming.ingest import ingest, stream_raw  # noqa: F401
+from tunestats.streaming.ingest import ingest, ingest_all, stream_raw  # noqa: F401
