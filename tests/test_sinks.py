@@ -31,3 +31,17 @@ def test_write_with_schema_rows_and_dataframe(spark, scratch):
     write_with_schema(spark, df, "t_sinks3.pl2", schemas.BRONZE_PLAYLISTS, path=f"{scratch}/pl2")
     r = spark.table("t_sinks3.pl2").first()
     assert (r.playlist_id, r.total_tracks, r.followers) == ("p2", 1, None)
+
+
+def test_publish_switches_versions_in_place(spark, scratch):
+    from tunestats.sinks import publish
+    ensure_schema(spark, "t_sinks4", location=f"{scratch}/db")
+    assert publish(spark, spark.range(3), "t_sinks4.v", root=scratch) == 3
+    first = spark.sql("DESCRIBE TABLE EXTENDED t_sinks4.v").where("col_name = 'Location'").first().data_type
+    assert publish(spark, spark.range(5), "t_sinks4.v", root=scratch) == 5
+    second = spark.sql("DESCRIBE TABLE EXTENDED t_sinks4.v").where("col_name = 'Location'").first().data_type
+    assert first != second and spark.table("t_sinks4.v").count() == 5
+    import os
+    assert not os.path.exists(first.replace("file:", ""))   # replaced version removed
+    assert publish(spark, spark.range(2).selectExpr("'x' AS s"), "t_sinks4.v", root=scratch) == 2
+    assert spark.table("t_sinks4.v").columns == ["s"]       # new schema: table re-created

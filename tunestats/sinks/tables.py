@@ -69,8 +69,10 @@ def publish(spark: SparkSession, df: DataFrame, full_name: str, fmt: str = "parq
     The rows are counted by an ``Observation`` during that single write. A
     result with no rows is not published: the table keeps its previous
     version. Readers see the old version until the new one is complete, and
-    a job that fails mid-write leaves the table as it was. The replaced
-    version's files are removed after the switch. Returns the rows written,
+    a job that fails mid-write leaves the table as it was. With an unchanged
+    schema the switch is one ``ALTER TABLE … SET LOCATION``; a new schema
+    re-creates the table. The replaced version's files are removed after the
+    switch. Returns the rows written,
     or ``None`` when nothing was published.
     """
     version = f"{_table_root(spark, full_name, root)}/v-{uuid.uuid4().hex}"
@@ -81,8 +83,14 @@ def publish(spark: SparkSession, df: DataFrame, full_name: str, fmt: str = "parq
         _delete(spark, version)
         return None
     previous = _current_location(spark, full_name)
-    spark.sql(f"DROP TABLE IF EXISTS {full_name}")
-    spark.catalog.createTable(full_name, path=version, source=fmt)
+    new_schema = spark.read.format(fmt).load(version).schema
+    if previous and spark.table(full_name).schema == new_schema:
+        # same schema: one catalog operation switches readers to the new files
+        spark.sql(f"ALTER TABLE {full_name} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(full_name)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {full_name}")
+        spark.catalog.createTable(full_name, path=version, source=fmt)
     if previous and previous.rstrip("/") != version.rstrip("/"):
         _delete(spark, previous)
     return rows
