@@ -104,3 +104,22 @@ def test_layers_as_separate_jobs_via_cli(spark, run):
     assert out["gold"]["gold_user_listening_summary"] == 1
     a, b = _t(spark, "gold_top_artists", "tc"), _t(spark, "gold_top_artists", "tp")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_run_with_ingestion_window(spark):
+    """With run_ts only the last 24 hours of plays land in the raw table,
+    and the catalogue is restricted to the ids those plays and the playlist
+    items use."""
+    import tempfile
+    from tunestats.sources import recent
+    root = tempfile.mkdtemp(prefix="tunestats-window-")
+    landing = fx.land(spark, SF_SMALL, f"{root}/landing", plays="ev")
+    run_ts = "2024-01-16T00:00:00Z"
+    written = pipeline.run_bronze(spark, landing, database="tw", root=f"{root}/t", run_ts=run_ts)
+    want = recent(fx.plays_from_pages(spark, SF_SMALL), run_ts, 24)
+    got = spark.table("tw_bronze.bronze_play_history")
+    assert written["bronze_play_history"] == want.count() == got.count() > 0
+    assert got.exceptAll(want).count() == 0
+    keys = (got.select("track_id").union(spark.table("tw_bronze.bronze_playlist_tracks").select("track_id"))
+            .distinct())
+    assert spark.table("tw_bronze.bronze_tracks").join(keys, "track_id", "left_anti").count() == 0
