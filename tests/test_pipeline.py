@@ -123,3 +123,22 @@ def test_run_with_ingestion_window(spark):
     keys = (got.select("track_id").union(spark.table("tw_bronze.bronze_playlist_tracks").select("track_id"))
             .distinct())
     assert spark.table("tw_bronze.bronze_tracks").join(keys, "track_id", "left_anti").count() == 0
+
+
+def test_tile_sql_over_stored_tables(spark, run):
+    from tunestats.plans import report_sql, reports
+    g = lambda n: _t(spark, n)
+    kpis = reports.report_kpis(g("gold_user_listening_summary"))
+    frames = {
+        "tile_genre_plays": reports.tile_genre_plays(reports.report_genre_trends(g("gold_genre_trends"))),
+        "tile_artist_minutes": reports.tile_artist_minutes(reports.report_top_artists(g("gold_top_artists"))),
+        "tile_track_plays": reports.tile_track_plays(reports.report_top_tracks(g("gold_top_tracks"))),
+        "tile_heatmap": reports.tile_heatmap(reports.report_day_parts(g("gold_listening_patterns"))),
+        "tile_favourites": reports.tile_favourites(kpis),
+        "tile_total_tracks": reports.tile_total_tracks(kpis),
+        "tile_total_minutes": reports.tile_total_minutes(kpis),
+    }
+    for name, df in frames.items():
+        sql = report_sql.run_report(spark, name, "tp_gold")
+        assert sql.columns == df.columns, name
+        assert sql.exceptAll(df).count() == 0 and df.exceptAll(sql).count() == 0, name

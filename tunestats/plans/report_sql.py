@@ -43,5 +43,22 @@ def statements(gold: str) -> dict[str, str]:
     }
 
 
+def tile_statements(gold: str) -> dict[str, str]:
+    """The report tiles as SQL over the report statements (TIL-1 … TIL-7)."""
+    r = statements(gold)
+    return {
+        "tile_genre_plays": f"SELECT genre, month, total_plays FROM ({r['report_genre_trends']})",
+        "tile_artist_minutes": (f"SELECT total_minutes, artist_name FROM ({r['report_top_artists']}) "
+                                "ORDER BY total_minutes DESC"),
+        "tile_track_plays": f"SELECT track_name, play_count FROM ({r['report_top_tracks']})",
+        "tile_heatmap": (f"SELECT weekday_name, time_period, SUM(total_minutes) AS sum_total_minutes "
+                         f"FROM ({r['report_day_parts']}) GROUP BY weekday_name, time_period"),
+        "tile_favourites": f"SELECT top_track, favorite_artist FROM ({r['report_kpis']})",
+        "tile_total_tracks": f"SELECT SUM(total_tracks) AS sum_total_tracks FROM ({r['report_kpis']})",
+        "tile_total_minutes": f"SELECT SUM(total_minutes) AS sum_total_minutes FROM ({r['report_kpis']})",
+    }
+
+
 def run_report(spark: SparkSession, name: str, gold: str) -> DataFrame:
-    return spark.sql(statements(gold)[name])
+    """Run a report or tile statement by name."""
+    return spark.sql({**statements(gold), **tile_statements(gold)}[name])
