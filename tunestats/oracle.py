@@ -165,7 +165,7 @@ TOP_TRACKS = f"""top_tracks AS (
 
 TOP_ARTISTS = f"""top_artists AS (
   SELECT artist_id, artist_name, COUNT(play_id) AS total_plays, COUNT(DISTINCT track_id) AS unique_tracks,
-         SUM({units('duration_ms')}) AS total_units, to_json(ANY_VALUE(genres)) AS genres
+         SUM({units('duration_ms')}) AS total_units, CAST(to_json(ANY_VALUE(genres)) AS VARCHAR) AS genres
   FROM base WHERE artist_id IS NOT NULL GROUP BY artist_id, artist_name)"""
 
 GENRE_TRENDS = """genre_trends AS (
@@ -212,11 +212,11 @@ WHERE k <> '0'  -- fixture rule: these page items are landed as null and dropped
 """
     q["flatten_playlist_pages"] = with_(PLAYLISTS_RAW) + "SELECT * FROM playlists_raw"
     q["flatten_playlist_item_pages"] = with_(ITEMS_RAW) + (
-        "SELECT playlist_id, track_id, track_name, to_json(artist_ids) AS artist_ids, album_id, added_at, "
+        "SELECT playlist_id, track_id, track_name, CAST(to_json(artist_ids) AS VARCHAR) AS artist_ids, album_id, added_at, "
         "added_by, duration_ms, popularity FROM items_raw")
     q["flatten_track_pages"] = with_(tracks_raw()) + "SELECT * FROM tracks_raw"
     q["flatten_artist_pages"] = with_(artists_raw()) + (
-        "SELECT artist_id, artist_name, to_json(genres) AS genres, followers, popularity, uri FROM artists_raw")
+        "SELECT artist_id, artist_name, CAST(to_json(genres) AS VARCHAR) AS genres, followers, popularity, uri FROM artists_raw")
     q["recent_plays"] = with_(PLAYS_EV) + (
         "SELECT * FROM plays_ev WHERE TRY_CAST(played_at AS TIMESTAMP) > "
         "TIMESTAMP '2024-01-16 00:00:00' - INTERVAL 24 HOURS")
@@ -232,7 +232,7 @@ WHERE k <> '0'  -- fixture rule: these page items are landed as null and dropped
     q["harvest_artist_keys"] = harvest + "SELECT artist_id FROM artist_keys"
     q["enrich_tracks"] = harvest + "SELECT * FROM tracks_raw WHERE track_id IN (SELECT track_id FROM track_keys)"
     q["enrich_artists"] = harvest + (
-        "SELECT artist_id, artist_name, to_json(genres) AS genres, followers, popularity, uri "
+        "SELECT artist_id, artist_name, CAST(to_json(genres) AS VARCHAR) AS genres, followers, popularity, uri "
         "FROM artists_raw WHERE artist_id IN (SELECT artist_id FROM artist_keys)")
 
     # ---- model ------------------------------------------------------
@@ -244,7 +244,7 @@ SELECT {ts('play_timestamp')} AS play_timestamp, CAST(hour(play_timestamp) AS IN
 FROM (SELECT DISTINCT TRY_CAST(played_at AS TIMESTAMP) AS play_timestamp FROM plays_li)"""
     q["dim_tracks"] = with_(tracks_raw()) + "SELECT * FROM tracks_raw"
     q["dim_artists"] = with_(artists_raw()) + (
-        "SELECT artist_id, artist_name, to_json(genres) AS genres, followers, popularity, uri FROM artists_raw")
+        "SELECT artist_id, artist_name, CAST(to_json(genres) AS VARCHAR) AS genres, followers, popularity, uri FROM artists_raw")
     q["dim_playlists"] = with_(PLAYLISTS_RAW) + "SELECT * FROM playlists_raw"
     fct_cols = (f"SELECT play_id, {ts('play_timestamp')} AS play_timestamp, track_id, artist_id, album_id, "
                 "duration_ms, context_type FROM ")
@@ -254,7 +254,7 @@ FROM (SELECT DISTINCT TRY_CAST(played_at AS TIMESTAMP) AS play_timestamp FROM pl
     # ---- marts ------------------------------------------------------
     q["base_analytics"] = B + f"""
 SELECT play_id, {ts('play_timestamp')} AS play_timestamp, duration_ms, context_type, track_id, track_name,
-       popularity, artist_id, artist_name, to_json(genres) AS genres, hour_of_day, weekday_name, month
+       popularity, artist_id, artist_name, CAST(to_json(genres) AS VARCHAR) AS genres, hour_of_day, weekday_name, month
 FROM base"""
     q["user_summary"] = with_(*BASE_CTES, summary()) + SUMMARY_SELECT
     q["user_summary_full_dims"] = with_(
