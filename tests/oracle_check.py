@@ -15,6 +15,9 @@ import duckdb  # noqa: E402
 
 EXACT = os.environ.get("ORACLE_EXACT") == "1"
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "boolean": "BOOLEAN"}
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
@@ -56,13 +59,19 @@ def compare(spark, sf_dir: str, names=None) -> dict[str, dict]:
         s_rows = [r.asDict() for r in sdf.collect()]
         t1 = time.time()
         res = con.sql(sql[name])
+        s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in sdf.schema.fields}
+        d_types = dict(zip(res.columns, map(str, res.types)))
         d_cols = sorted(res.columns)
         d_rows = [dict(zip(res.columns, r)) for r in res.fetchall()]
         ok_cols = s_cols == d_cols
         ok_n = len(s_rows) == len(d_rows)
         ok_v = ok_cols and rows_of(s_rows, s_cols) == rows_of(d_rows, d_cols)
-        out[name] = dict(cols=ok_cols, rows=ok_n, values=ok_v, n=len(s_rows), n_oracle=len(d_rows),
-                         spark_s=round(t1 - t0, 2))
+        out[name] = dict(cols=ok_cols, rows=ok_n, values=ok_v, types=s_types == d_types, n=len(s_rows),
+                         n_oracle=len(d_rows), spark_s=round(t1 - t0, 2))
+        if s_types != d_types:
+            out[name]["type_diff"] = {c: (s_types.get(c), d_types.get(c)) for c in s_types
+                                      if s_types.get(c) != d_types.get(c)}
         if not ok_cols:
             out[name]["col_diff"] = (s_cols, d_cols)
         elif not ok_v:
@@ -82,7 +91,7 @@ if __name__ == "__main__":
     res = compare(spark, sf, names)
     bad = 0
     for k, v in res.items():
-        flag = "OK " if v["values"] and v["rows"] else "BAD"
+        flag = "OK " if v["values"] and v["rows"] and v["types"] else "BAD"
         bad += flag == "BAD"
-        print(flag, k, {x: y for x, y in v.items() if x not in ("cols", "rows", "values")})
+        print(flag, k, {x: y for x, y in v.items() if x not in ("cols", "rows", "values", "types")})
     print(f"{len(res) - bad}/{len(res)} match")

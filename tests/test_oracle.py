@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 @pytest.mark.parametrize("sf_dir", [SF_SMALL])
 def test_all_queries_match_oracle(spark, sf_dir):
     res = oracle_check.compare(spark, sf_dir)
-    bad = {k: v for k, v in res.items() if not (v["values"] and v["rows"])}
+    bad = {k: v for k, v in res.items() if not (v["values"] and v["rows"] and v["types"])}
     assert not bad, bad
     assert len(res) >= 38
 
