@@ -25,20 +25,20 @@ SCALE_CONF = {
 
 # A starting profile for runs over ~100 TB of landed pages on ~1000 executors
 # (apply with ``apply_cluster_profile``; values are sizes, not guarantees):
-# * input splits of 512 MB keep the number of scan tasks near 200k;
-# * shuffles start wide (the fact is shuffled for its de-duplication, and for
-#   a dimension join only when the dimension is too large to broadcast) and
-#   adaptive execution coalesces them to ~256 MB partitions, so a reducer's
-#   sort and hash buffers fit an executor core's share of memory and spill
-#   only at the edges;
+# * 1 GB input splits keep the scan near 100k tasks;
+# * shuffles start at 100k partitions and adaptive execution coalesces them
+#   to ~512 MB, so a reducer's sort and hash buffers fit an executor core's
+#   share of memory and spill only at the edges; starting wider would
+#   multiply the map x reduce shuffle blocks (already ~10^10 for the one
+#   full-fact shuffle, the de-duplication) for little gain;
 # * a partition counts as skewed from 5x the median and 1 GB up, and is split;
 # * dimensions of up to 10M rows (3 narrow columns, ~1 GB) are broadcast,
 #   which spares the fact one full shuffle per dimension.
 CLUSTER_PROFILE = {
-    "spark.sql.files.maxPartitionBytes": "512m",
-    "spark.sql.shuffle.partitions": "200000",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "200000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "1g",
+    "spark.sql.shuffle.partitions": "100000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "100000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512m",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
