@@ -2,10 +2,12 @@
 
     python -m tunestats --landing /data/landing --root /shared/tunestats \\
         [--database tunestats] [--layers bronze,silver,gold] [--run-ts 2024-01-16T00:00:00Z]
+        [--cluster-profile]
 
 ``--landing`` holds one folder per kind of page: plays, playlists,
 playlist_tracks, tracks, artists. The session comes from the environment
-(``spark-submit`` settings); nothing is set beyond ``session.SCALE_CONF``.
+(``spark-submit`` settings); nothing is set beyond ``session.SCALE_CONF``
+unless ``--cluster-profile`` is given.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ import json
 from pyspark.sql import SparkSession
 
 from tunestats.plans import pipeline
+from tunestats.session import apply_cluster_profile
 
 
 def main(argv: list[str] | None = None) -> dict:
@@ -27,9 +30,13 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--run-ts", default=None, help="UTC instant closing the play window (none: keep all plays)")
     ap.add_argument("--window-hours", type=int, default=24)
     ap.add_argument("--format", default="parquet")
+    ap.add_argument("--cluster-profile", action="store_true",
+                    help="apply session.CLUSTER_PROFILE (settings for ~100 TB runs)")
     a = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("tunestats").getOrCreate()
+    if a.cluster_profile:
+        apply_cluster_profile(spark)
     layers = [x.strip() for x in a.layers.split(",") if x.strip()]
     out: dict = {}
     if "bronze" in layers:
