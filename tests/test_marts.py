@@ -103,3 +103,13 @@ def test_listening_patterns(spark, star):
     assert ("default_user", None, None, Decimal("0.0166667")) in got
     total = p.agg(F.sum("total_minutes")).first()[0]
     assert total == marts.user_summary(base).first().total_minutes
+
+
+def test_ordered_marts_follow_the_reference_order(spark, star):
+    base = marts.base_analytics(*star)
+    ta = [r.total_plays for r in marts.top_artists(base, ordered=True).collect()]
+    assert ta == sorted(ta, reverse=True)                                   # SRT-1
+    gt = [(r.month, r.total_plays) for r in marts.genre_trends(base, ordered=True).collect()]
+    assert gt == sorted(gt, key=lambda t: (t[0] is not None, t[0] or "", -t[1]))  # SRT-2: month asc, plays desc
+    lp = [(r.hour_of_day, r.weekday_name) for r in marts.listening_patterns(base, ordered=True).collect()]
+    assert lp == sorted(lp, key=lambda t: (t[0] is not None, t[0] or 0, t[1] or ""))  # SRT-3, NULLs first
