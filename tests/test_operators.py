@@ -56,7 +56,7 @@ def test_left_join_dim_row_preserving_and_right_key(spark):
         assert sorted(got) == [(1, "t1", "one"), (2, None, None), (3, None, None), (4, "t1", "one")]
 
 
-def test_fits_broadcast_is_bounded(spark):
+def test_fits_broadcast_compares_an_exact_count(spark):
     assert fits_broadcast(spark.range(5), 5)
     assert not fits_broadcast(spark.range(6), 5)
 

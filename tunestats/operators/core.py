@@ -2,7 +2,7 @@
 
 All of them are compositions of DataFrame operators; none collects data to
 the driver. Where an operator needs a size decision (broadcast or not) it
-asks a bounded question (``limit(n + 1).count()``), never "how big is it".
+counts rows exactly (parallel partial counts) and compares with a bound.
 """
 
 from __future__ import annotations
@@ -109,9 +109,14 @@ def explode_genres(df: DataFrame, keep: Iterable[str], array_col: str = "genres"
 # Joins (JN-1, JN-2)
 # --------------------------------------------------------------------------
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Bounded: it reads at
-    most ``max_rows + 1`` rows whatever the size of ``df``."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    An exact count planned as partial counts per partition plus one merge
+    (one row per partition crosses the network); for a stored parquet
+    dimension it reads row-group metadata only. (``limit(n + 1).count()``
+    would instead funnel up to ``partitions x (n + 1)`` rows through a
+    single-partition exchange.)"""
+    return df.count() <= max_rows
 
 
 def left_join_dim(fact: DataFrame, dim: DataFrame, on: str,
@@ -121,8 +126,8 @@ def left_join_dim(fact: DataFrame, dim: DataFrame, on: str,
     Row-preserving: every fact row appears once. ``on`` is taken from the
     dimension, so it is NULL for unmatched fact rows.
 
-    Strategy: a dimension proven (by a bounded count that reads at most
-    ``broadcast_max_rows + 1`` rows) to be small is broadcast, so the fact
+    Strategy: a dimension proven (by an exact row count, see
+    ``fits_broadcast``) to be small is broadcast, so the fact
     stays where it is (no fact shuffle, no skew exposure) and the dimension
     is always the build side, even where a later ``key IS NOT NULL`` filter
     lets the optimizer turn the left join into an inner one. Beyond the bound
