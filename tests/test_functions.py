@@ -63,3 +63,10 @@ def test_first_or_null_and_nonempty_ids(spark):
 def test_typed_null(spark):
     df = spark.range(1).select(fn.typed_null("bigint").alias("x"))
     assert df.schema["x"].dataType.typeName() == "long" and df.first().x is None
+
+
+def test_parse_ts_offsets_to_utc(spark):
+    df = spark.createDataFrame([("2024-01-07T12:00:00+02:00",), ("2024-01-07T12:00:00-05:30",),
+                                ("2024-01-07 12:00:00",)], "s string")
+    got = [r.t for r in df.select(fn.parse_ts("s").alias("t")).collect()]
+    assert got == [datetime(2024, 1, 7, 10, 0), datetime(2024, 1, 7, 17, 30), datetime(2024, 1, 7, 12, 0)]
