@@ -64,3 +64,31 @@ def test_not_null_filters_reach_the_scan(stored):
 def test_dedupe_combines_before_the_shuffle(spark, stored):
     p = _plan(model.fct_plays(fx.plays_li(spark, SF_SMALL)))
     assert "partial_min" in p and p.count("Exchange hashpartitioning") == 1
+
+
+def test_broadcast_bound_setting_controls_the_join(spark, stored):
+    from tunestats.operators import BROADCAST_CONF
+    fct, tr, ar = (spark.table("tpl.fct_plays"), spark.table("tpl.dim_tracks"), spark.table("tpl.dim_artists"))
+    keys = {BROADCAST_CONF: "-1", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        p = _plan(marts.base_analytics(fct, tr, ar))
+        assert p.count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in p
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert _plan(marts.base_analytics(fct, tr, ar)).count("BroadcastHashJoin") == 2
+
+
+def test_cluster_profile_applies(spark):
+    from tunestats.session import CLUSTER_PROFILE, apply_cluster_profile
+    old = {k: spark.conf.get(k, None) for k in CLUSTER_PROFILE}
+    try:
+        apply_cluster_profile(spark)
+        assert all(spark.conf.get(k) == v for k, v in CLUSTER_PROFILE.items())
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
