@@ -76,6 +76,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("TUNESTATS_DRIVER_MEMORY", "8g"))
         .config("spark.sql.session.timeZone", "UTC")
+        # local runs keep the default database out of the working directory
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tunestats-warehouse-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
