@@ -18,7 +18,8 @@ EXACT = os.environ.get("ORACLE_EXACT") == "1"
 SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
                  "boolean": "BOOLEAN"}
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 def _norm(v):
@@ -52,7 +53,7 @@ def compare(spark, sf_dir: str, names=None) -> dict[str, dict]:
     qs, sql = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     out = {}
-    for name in names or qs:
+    for name in names or sql:
         t0 = time.time()
         sdf = qs[name](spark, sf_dir)
         s_cols = sorted(sdf.columns)
