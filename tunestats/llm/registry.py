@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunestats.llm import bpe
+from tunestats.llm import bpe, warc
+from tunestats.llm.shared import shared_root
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,8 +28,18 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record and read back from the archives."""
+    folder = f"{shared_root(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write(_table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder, payloads=False).select(
+        F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"), "digest_ok")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op5_warc": op5_warc,
 }
 
 SQL: dict[str, str] = {}
