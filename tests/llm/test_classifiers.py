@@ -1,0 +1,73 @@
+"""Quality and language models: held-out accuracy and edge cases."""
+
+import zlib
+
+import numpy as np
+import pytest
+
+from tunestats.llm import langid, quality, registry
+
+SF = "/root/testdata/sf0.01"
+
+
+def crc(i, n):
+    return zlib.crc32(str(i).encode()) % n
+
+
+def test_quality_held_out(spark):
+    got = {r.doc_id: r for r in registry.op2_quality(spark, SF).collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    assert len(got) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert all(r.held_out == (crc(i, 3) == 1) and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for i, r in got.items())
+    held = [(got[i].score, y) for i, y in labels.items() if crc(i, 3) == 1]
+    good, bad = [s for s, y in held if y], [s for s, y in held if not y]
+    assert np.mean([g > b for g in good for b in bad]) > 0.9
+    assert np.mean([(s >= 0.5) == y for s, y in held]) > 0.9
+
+
+def test_quality_edges(spark):
+    docs = spark.createDataFrame([(1, "good text"), (2, None), (3, ""), (None, "x"), (1, "good text")], "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    model = quality.fit(docs, none)
+    assert [r.score for r in quality.score(docs, model).collect()] == [0.5] * 5
+    one = quality.fit(docs, spark.createDataFrame([(1, 1), (None, 0), (2, None)], "doc_id long, quality int"))
+    assert one.prior == 1.0 and one.weights is None
+    rng = np.random.default_rng(0)
+    text = lambda y: " ".join(rng.choice(["the", "sun", "is", "warm", "today"] if y else ["###", "$$$", "||", "!!"], 60))
+    rows = [(i, text(i % 2), i % 2) for i in range(300)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    model = quality.fit(table, table)
+    scored = quality.score(table.select("doc_id", "text", "quality"), model).collect()
+    assert np.mean([(r.score >= 0.5) == r.quality for r in scored]) > 0.95
+    assert 0 <= model.scores([None, "", "x" * 300_000])[2] <= 1 and model.scores([None])[0] == model.scores([""])[0]
+    assert quality.score(docs.limit(0), model).count() == 0
+    with pytest.raises(ValueError):
+        quality.score(docs.withColumnRenamed("doc_id", "Score"), model)
+
+
+def test_language_held_out(spark):
+    got = {r.doc_id: r for r in registry.op9_langid(spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    assert len(got) == len(docs)
+    held = [(got[d.doc_id], d.lang) for d in docs if crc(d.doc_id, 4) == 2]
+    assert all(r.held_out for r, _ in held) and np.mean([r.lang_pred == y for r, y in held]) > 0.95
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_language_edges(spark):
+    docs = spark.createDataFrame([(1, "abc abc", "en"), (2, None, "en"), (3, "12 !", "de"), (4, "zzz zz", None), (5, "xyz", "en")],
+                                 "doc_id long, text string, lang string")
+    got = langid.predict(docs, langid.fit(docs)).collect()
+    assert [(r.language.lang, r.language.score) for r in got] == [("en", 1.0), ("und", 0.0), ("und", 0.0), ("en", 1.0), ("en", 1.0)]
+    nothing = langid.fit(docs.where("lang = 'fr'"))
+    assert {r.language.lang for r in langid.predict(docs, nothing).collect()} == {"und"}
+    with pytest.raises(ValueError):
+        langid.predict(docs, nothing, out_col="TEXT")
+
+
+def test_subwords_do_not_depend_on_spans(monkeypatch):
+    text = "Zwölf Boxkämpfer, 12 jagen! Viktor quer über den großen Sylter Deich" * 3
+    whole = np.sort(np.concatenate(langid.subwords(text)))
+    for span in (4, 5, 7, 16):
+        monkeypatch.setattr(langid, "SPAN", span)
+        assert (np.sort(np.concatenate(langid.subwords(text))) == whole).all()

@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunestats.llm import bpe, warc
+from tunestats.llm import bpe, langid, quality, warc
+from tunestats.llm.sampling import fold
 from tunestats.llm.shared import shared_root
 
 
@@ -28,6 +29,16 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score of every document, learned outside fold 1 of 3."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels.where(fold(F.col("doc_id"), 3) != 1))
+    return quality.score(docs, model).select(
+        "doc_id", F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(True)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written as a WARC record and read back from the archives."""
     folder = f"{shared_root(spark)}/warc-{uuid.uuid4().hex}"
@@ -37,9 +48,21 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("refers_to").cast("long").alias("refers_to"), "digest_ok")
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned outside fold 2 of 4."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(fold(F.col("doc_id"), 4) != 2))
+    return langid.predict(docs.drop("lang"), model).select(
+        "doc_id", F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(True)).alias("held_out"),
+        F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"),
+        F.col("language.rejected").alias("rejected"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_quality": op2_quality,
     "op5_warc": op5_warc,
+    "op9_langid": op9_langid,
 }
 
 SQL: dict[str, str] = {}
