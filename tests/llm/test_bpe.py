@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -37,7 +38,14 @@ def test_segment_tree_equals_scan():
                 ranks[pair] = (r, nxt)
                 nxt += 1
         symbols = [rng.randrange(4) for _ in range(rng.randint(0, 40))]
-        assert bpe.merge_symbols(symbols, ranks) == scan_merge(symbols, ranks)
+        want = scan_merge(symbols, ranks)
+        assert bpe.merge_symbols(symbols, ranks) == want
+        if ranks and symbols:
+            rows = np.full((3, 41), -1)
+            rows[1, :len(symbols)], rows[2, :len(symbols) // 2] = symbols, symbols[:len(symbols) // 2]
+            got = bpe.Merges(ranks).rows(rows)
+            assert got[1][got[1] >= 0].tolist() == want and (got[0] == -1).all()
+            assert got[2][got[2] >= 0].tolist() == scan_merge(symbols[:len(symbols) // 2], ranks)
 
 
 @settings(max_examples=300, deadline=None)
@@ -77,3 +85,17 @@ def test_query_whole_table(spark):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(LIB.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_tables_start_afresh(monkeypatch):
+    monkeypatch.setattr(bpe, "MAX_CACHED", 20)
+    monkeypatch.setattr(bpe, "PART_CHARS", 50)
+    own = bpe.WordBpe(PATH)
+    texts = [f"word{i} other{i % 7}, and more{i // 3}!" for i in range(60)] + [None]
+    assert [x.tolist() for x in own.encode_many(texts)] == [LIB.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_decode_leaves_unknown_ids_out(spark):
+    df = spark.createDataFrame([(1, [320, -5, 10 ** 6, None, 320]), (2, None), (3, [])], "k int, ids array<int>")
+    a = LIB.decode([320, 320], skip_special_tokens=False)
+    assert [r.decoded for r in bpe.decode(df, PATH).orderBy("k").collect()] == [a, "", ""]

@@ -4,8 +4,10 @@ A word's symbols sit in a linked row; a segment tree over the adjacent pairs
 holds ``rank * width + position`` per pair, so its root is always the leftmost
 lowest-ranked merge. A merge changes at most three leaves (the merged pair and
 its two neighbours), each in O(log n), until the root says that no pair is
-mergeable. Words are encoded once per worker and kept in a table of bounded
-size; texts of any length are handled whole, word by word.
+mergeable. The trees of many words of like length are rows of one array, and
+every step merges once in each of them; a word too long for that has a tree of
+its own. A worker keeps the words that it has met in tables of bounded size;
+texts of any length are handled whole, some thousands of words at a time.
 
 Defined results: a null text encodes as the empty text (no ids) and decodes to
 the empty string; ties of rank merge the leftmost pair first; repeated rows
@@ -17,16 +19,22 @@ from __future__ import annotations
 
 import json
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_CACHED_WORDS = 400_000   # words a worker remembers before it starts afresh
+MAX_CACHED = 600_000      # words, and pieces between spaces, that a worker keeps before it starts afresh
+ROW_SYMBOLS = 65          # longest word, in symbols, whose tree is a row of an array
+PART_CHARS = 1 << 20      # characters of text that are cut into pieces at a time
+PART_ROWS = 1000          # texts taken from an Arrow batch at a time
+NONE = 1 << 62            # a leaf or root without a mergeable pair
+SEPARATORS = "\x1c\x1d\x1e\x1f"   # white space to str.split, but not to the word pattern
 
 #: The byte-level alphabet (printable Latin-1 bytes stand for
 #: themselves, the others for 256, 257, ... in order).
@@ -51,7 +59,7 @@ def merge_symbols(symbols: list[int], ranks: dict[tuple[int, int], tuple[int, in
         return symbols
     get = ranks.get
     width = 1 << (n - 2).bit_length() if n > 2 else 1     # leaves: one for each adjacent pair
-    none = 1 << 62
+    none = NONE
     tree = [none] * (2 * width)
     for i in range(n - 1):
         found = get((symbols[i], symbols[i + 1]))
@@ -101,6 +109,82 @@ def merge_symbols(symbols: list[int], ranks: dict[tuple[int, int], tuple[int, in
     return [s for s in symbols if s >= 0]
 
 
+def spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... (count places) of every span, one after the other."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + counts, counts)
+
+
+class Merges:
+    """Merge rules as sorted arrays, for rows of words at once."""
+
+    def __init__(self, ranks: dict[tuple[int, int], tuple[int, int]]):
+        keys = np.array([a << 20 | b for a, b in ranks], np.int64)
+        order = np.argsort(keys)
+        values = np.array(list(ranks.values()), np.int64).reshape(-1, 2)
+        self.keys = np.append(keys[order], 1 << 62)
+        self.rank = np.append(values[order, 0], 0)
+        self.made = np.zeros(int(values[:, 0].max()) + 1 if len(values) else 1, np.int64)
+        self.made[values[:, 0]] = values[:, 1]
+
+    def leaves(self, left: np.ndarray, right: np.ndarray, place: np.ndarray, width: int) -> np.ndarray:
+        """rank * width + place of the pairs; NONE where a pair has no rule
+        or its right symbol is missing (-1)."""
+        key = (left << 20) | right
+        at = np.searchsorted(self.keys, key)
+        return np.where((self.keys[at] == key) & (right >= 0), self.rank[at] * width + place, NONE)
+
+    def rows(self, symbols: np.ndarray) -> np.ndarray:
+        """Merge every row of ``symbols`` (padded with -1); merged symbols
+        stand at the place of their first, -1 elsewhere."""
+        count, n = symbols.shape
+        width = 1 << max(0, (n - 2).bit_length())
+        row = width + 2                                    # one place beyond the last symbol, and one for "none before"
+        s = np.full((count, row), -1, np.int64)
+        s[:, :n] = symbols
+        tree = np.full((count, 2 * width), NONE, np.int64)
+        place = np.arange(width)
+        tree[:, width:] = np.where(s[:, :width] >= 0, self.leaves(s[:, :width], s[:, 1:width + 1], place, width), NONE)
+        for level in range(width.bit_length() - 2, -1, -1):
+            at = 1 << level
+            tree[:, at:2 * at] = np.minimum(tree[:, 2 * at:4 * at:2], tree[:, 2 * at + 1:4 * at:2])
+        after = np.broadcast_to(np.minimum(np.arange(1, row + 1), width + 1), (count, row)).ravel().copy()
+        before = np.broadcast_to(np.arange(-1, row - 1) % row, (count, row)).ravel().copy()
+        s, tree = s.ravel(), tree.ravel()
+        live = np.arange(count)
+        while True:
+            root = tree[live * (2 * width) + 1]
+            go = root != NONE
+            live, root = live[go], root[go]
+            if not len(live):
+                return s.reshape(count, row)
+            base, trunk = live * row, live * (2 * width)
+            i = root & (width - 1)
+            j = after[base + i]
+            merged = self.made[root // width]
+            s[base + i], s[base + j] = merged, -1
+            k = after[base + j]
+            after[base + i] = k
+            before[base + k] = i
+            h = before[base + i]                           # row - 1 where none is before: its symbol is -1
+            gone = np.minimum(j, width - 1)
+            changes = [(gone, np.where(j < width, NONE, tree[trunk + width + gone])),
+                       (i, self.leaves(merged, s[base + k], i, width))]
+            left = s[base + h]
+            some = left >= 0
+            prev = np.where(some, h, i)
+            changes.append((prev, np.where(some, self.leaves(left, merged, prev, width), changes[1][1])))
+            for place, value in changes:
+                node = trunk + width + place
+                tree[node] = value
+            for place, _ in changes:
+                node = width + place
+                for _ in range(width.bit_length() - 1):
+                    up = node >> 1
+                    tree[trunk + up] = np.minimum(tree[trunk + node], tree[trunk + (node ^ 1)])
+                    node = up
+
+
 class WordBpe:
     """A tokenizer read from its JSON file (normaliser NFC, white space,
     lower case; words by the file's own pattern; byte-level; word-end BPE)."""
@@ -119,17 +203,19 @@ class WordBpe:
         for t in spec["added_tokens"]:
             self.tokens[t["id"]] = t["content"]
             self.special[t["content"]] = t["id"]
+        self.arrow_tokens = pa.array(self.tokens, pa.string())
         self.ranks = {}
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.ranks[vocab[a], vocab[b]] = (rank, vocab[a + b])
+        self.merges = Merges(self.ranks)
         letters = byte_alphabet()
-        self.inner = [vocab.get(c) for c in letters]
-        self.final = [vocab.get(c + suffix) for c in letters]
+        self.inner = np.array([vocab.get(c, -1) for c in letters], np.int64)
+        self.final = np.array([vocab.get(c + suffix, -1) for c in letters], np.int64)
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.words = regex.compile(split["pattern"]["Regex"]).findall
+        self.words_of = regex.compile(split["pattern"]["Regex"]).findall
         self.cuts = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split if self.special else lambda t: [t]
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self._clear()
 
     @staticmethod
     def _require(spec: dict) -> None:
@@ -138,44 +224,136 @@ class WordBpe:
                 or spec["model"]["unk_token"] is not None or any(t["normalized"] for t in spec["added_tokens"])):
             raise ValueError("not a word-end BPE tokenizer of the supported form")
 
-    def word(self, word: str) -> tuple[int, ...]:
-        """The ids of one word."""
-        data = word.encode("utf-8")
-        symbols = [s for s in map(self.inner.__getitem__, data[:-1]) if s is not None]
-        if (last := self.final[data[-1]]) is not None:
-            symbols.append(last)
-        ids = tuple(merge_symbols(symbols, self.ranks))
-        if len(self.cache) >= MAX_CACHED_WORDS:
-            self.cache.clear()
-        if len(word) <= 64:
-            self.cache[word] = ids
-        return ids
-
-    def _plain(self, text: str) -> Iterator[tuple[int, ...]]:
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, one after the other, and each word's number
+        of ids; words of like length are merged together."""
+        data = [w.encode("utf-8") for w in words]
+        flat = np.frombuffer(b"".join(data), np.uint8)
+        lengths = np.fromiter(map(len, data), np.int64, len(data))
+        symbols, last = self.inner[flat], np.cumsum(lengths) - 1
+        symbols[last] = self.final[flat[last]]
+        if (symbols < 0).any():                            # bytes that the vocabulary does not have
+            lengths = np.bincount(np.repeat(np.arange(len(data)), lengths)[symbols >= 0], minlength=len(data))
+            symbols = symbols[symbols >= 0]
+        starts = np.cumsum(lengths) - lengths
+        counts, got = np.zeros(len(data), np.int64), []
+        sizes = np.ceil(np.log2(np.maximum(lengths - 1, 1))).astype(np.int64)
+        for size in np.unique(sizes[lengths > 0]):
+            members = np.flatnonzero((sizes == size) & (lengths > 0))
+            if (1 << size) + 1 > ROW_SYMBOLS:
+                for m in members:
+                    ids = merge_symbols(symbols[starts[m]:starts[m] + lengths[m]].tolist(), self.ranks)
+                    counts[m] = len(ids)
+                    got.append((members[members == m], np.array(ids)))
+                continue
+            place = np.arange((1 << size) + 1)
+            inside = place < lengths[members, None]
+            at = np.minimum(starts[members, None] + place, len(symbols) - 1)
+            merged = self.merges.rows(np.where(inside, symbols[at], -1))
+            counts[members] = (merged >= 0).sum(1)
+            got.append((members, merged[merged >= 0]))
+        out, starts = np.empty(counts.sum(), np.int32), np.cumsum(counts) - counts
+        for members, ids in got:
+            out[spans(starts[members], counts[members])] = ids
+        return out, counts
+
+    def _clear(self) -> None:
+        """Tables of what has been met: the ids of entry k are
+        ``ids[start[k]:start[k] + count[k]]``."""
+        self.index: dict[str, int] = {}
+        self.ids = np.empty(1 << 16, np.int32)
+        self.start, self.count = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+        self.used = 0
+
+    def _keep(self, names: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        first, more = len(self.index), len(names)
+        while first + more > len(self.start):
+            self.start, self.count = np.resize(self.start, 2 * len(self.start)), np.resize(self.count, 2 * len(self.count))
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * len(self.ids))
+        self.index.update(zip(names, range(first, first + more)))
+        self.start[first:first + more] = self.used + np.cumsum(counts) - counts
+        self.count[first:first + more] = counts
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
+
+    def _gather(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the entries, one after the other, and their counts."""
+        counts = self.count[entries]
+        return self.ids[spans(self.start[entries], counts)], counts
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Put unmet pieces (runs without white space) and their words into
+        the tables."""
+        mixed = [p for p in pieces if not p.isalpha()]
+        cuts = [self.words_of(p) for p in mixed]
+        words = list(({p for p in pieces if p.isalpha()} | set(chain.from_iterable(cuts))) - self.index.keys())
+        self._keep(words, *self.encode_words(words))
+        joint = [(p, ws) for p, ws in zip(mixed, cuts) if p not in self.index]
+        if joint:
+            parts = np.fromiter(map(self.index.__getitem__, chain.from_iterable(ws for _, ws in joint)), np.int64)
+            ids, counts = self._gather(parts)
+            owner = np.repeat(np.arange(len(joint)), [len(ws) for _, ws in joint])
+            self._keep([p for p, _ in joint], ids, np.bincount(owner, counts, len(joint)).astype(np.int64))
+
+    def _cut(self, text: str) -> list[str]:
+        """Pieces of a text: no word of the pattern crosses white space."""
         if not text.isascii():
             # the lower case of each character by itself: no final-sigma rule
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        get, word = self.cache.get, self.word
-        return (get(w) or word(w) for w in self.words(text.lower()))
+        text = text.lower()
+        if any(c in text for c in SEPARATORS):
+            return self.words_of(text)
+        return text.split()
+
+    def encode_many(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text, ``PART_CHARS`` characters at a time."""
+        out, part, size = [], [], 0
+        for text in texts:
+            part.append(text or "")
+            size += len(part[-1])
+            if size >= PART_CHARS:
+                out += self._encode_part(part)
+                part, size = [], 0
+        return out + self._encode_part(part)
+
+    def _encode_part(self, texts: list[str]) -> list[np.ndarray]:
+        cut = []                                           # for each text: ids of special tokens, lists of pieces
+        for text in texts:
+            if "<|" not in text:
+                cut.append([self._cut(text)])
+            else:
+                cut.append([self.special[p] if p in self.special else self._cut(p) for p in self.cuts(text)])
+        met = set().union(*(p for parts in cut for p in parts if isinstance(p, list)))
+        if len(self.index) > MAX_CACHED:
+            self._clear()
+        self._learn(met - self.index.keys())
+        out, find = [], self.index.__getitem__
+        for parts in cut:
+            got = [self._gather(np.fromiter(map(find, p), np.int64, len(p)))[0] if isinstance(p, list) else np.array([p], np.int32)
+                   for p in parts]
+            out.append(got[0] if len(got) == 1 else np.concatenate(got) if got else np.empty(0, np.int32))
+        return out
 
     def encode(self, text: str | None) -> list[int]:
-        if not text:
-            return []
-        if "<|" not in text:
-            return list(chain.from_iterable(self._plain(text)))
-        out: list[int] = []
-        for piece in self.cuts(text):
-            if piece in self.special:
-                out.append(self.special[piece])
-            elif piece:
-                out.extend(chain.from_iterable(self._plain(piece)))
-        return out
+        return self.encode_many([text])[0].tolist()
 
-    def decode(self, ids: Iterable[int]) -> str:
+    def decode_many(self, lists: pa.ListArray) -> pa.Array:
         """Tokens joined by one space (the file names no decoder); ids that
-        the vocabulary does not have are left out."""
-        tokens, top = self.tokens, len(self.tokens)
-        return " ".join([t for i in ids if 0 <= i < top and (t := tokens[i]) is not None])
+        the vocabulary does not have are left out; a null list is empty."""
+        lists = pc.if_else(pc.is_null(lists), pa.scalar([], lists.type), lists) if lists.null_count else lists
+        flat, offsets = lists.flatten(), np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy()))).astype(np.int64)
+        ids = pc.fill_null(flat, -1).to_numpy(zero_copy_only=False)
+        known = (ids >= 0) & (ids < len(self.tokens))
+        known[known] = self.arrow_tokens.is_valid().to_numpy(zero_copy_only=False)[ids[known]]
+        if not known.all():
+            offsets = np.concatenate(([0], np.cumsum(known)))[offsets]
+            ids = ids[known]
+        words = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), self.arrow_tokens.take(pa.array(ids)))
+        return pc.binary_join(words, " ")
+
+    def decode(self, ids: Iterable[int]) -> str:
+        return self.decode_many(pa.array([list(ids)], pa.list_(pa.int32())))[0].as_py()
 
 
 _LOADED: dict[str, WordBpe] = {}
@@ -199,12 +377,11 @@ def encode_column(text: Column, path: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        bpe, offsets, ids = load(path), [0], []
-        for text in texts.to_pylist():
-            ids.append(np.array(bpe.encode(text), dtype=np.int32))
-            offsets.append(offsets[-1] + len(ids[-1]))
-        flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
+        bpe, ids = load(path), []
+        for i in range(0, len(texts), PART_ROWS):
+            ids += bpe.encode_many(texts.slice(i, PART_ROWS).to_pylist())
+        offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32)))
 
     return encode(text)
 
@@ -215,7 +392,8 @@ def decode_column(ids: Column, path: str) -> Column:
     @F.arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
         bpe = load(path)
-        return pa.array([bpe.decode(x or ()) for x in lists.to_pylist()], pa.string())
+        parts = [bpe.decode_many(lists.slice(i, PART_ROWS)) for i in range(0, len(lists), PART_ROWS)]
+        return pa.concat_arrays(parts).cast(pa.string()) if parts else pa.array([], pa.string())
 
     return decode(ids)
 
