@@ -1,0 +1,141 @@
+"""PII, secrets and quality rules against plain Python over the same texts."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from tunestats.llm import pii, registry, rules, secrets
+from tunestats.llm.spans import redact
+
+SCHEMA = "doc_id long, text string, extra string"
+
+
+def texts(seed, pieces, n=250):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 14))) for _ in range(n)]
+
+
+def luhn(d):
+    return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def plain_pii(t):
+    digits = lambda m: re.sub("[^0-9]", "", m)
+    kinds = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+             ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m.split("."))),
+             ("card", r"[0-9]([\x20-]?[0-9])+", lambda m: 13 <= len(digits(m)) <= 19 and luhn(digits(m))),
+             ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(digits(m)) <= 15)]
+    return [(k, m.start(), m.end()) for k, p, ok in kinds for m in re.finditer(p, t) if ok(m[0])]
+
+
+def plain_secrets(t):
+    assign = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    found = [(m.start(), 0, "assign", m.end()) for m in re.finditer(assign, t, re.A) if len(m[2]) >= 8]
+    found += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+    found += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 32]
+    return [(k, s, e) for s, _, k, e in sorted(found)]
+
+
+def base_of(rows):
+    return {r.doc_id: [(s.kind, s.start, s.end) for s in r.base_spans] for r in rows}
+
+
+def test_pii_base_equals_plain(spark):
+    pieces = ["a@b.c", "x.y+z@", "@", "mail.example-1.org", ".", " ", "-", "1.2.3.4", "300.1.1.1", "0255.1.2.3", "000000000000000000001.2.3.4", "4111 1111 1111 1111",
+              "4111-1111-1111-1112", "4242424242424242", "12", "+1 (555) 010-2030", "+", "+49", "(", ")", "é", "😀", "a", "9", "99999999999999999999", "\n"]
+    given = texts(3, pieces, 400) + ["", "x@" * 300, "1" * 60_000, "1-" * 30_000, "a" * 60_000, "+1" + "(" * 20_000]
+    df = spark.createDataFrame([(i, t, None) for i, t in enumerate(given)] + [(-1, None, "e")], SCHEMA)
+    got = base_of(pii.scan(df, pii.PiiModel(None, {})).collect())
+    assert got.pop(-1) == []
+    assert got == {i: plain_pii(t) for i, t in enumerate(given)}
+
+
+def test_secret_base_equals_plain(spark):
+    pieces = ["password", "passwd", "Secret", "TOKEN", "api_key", "apikey", "\"", "'", " ", "  ", ":", "=", "==", "abc", "A1b2C3d4", "/", "AKIA", "AKIAAAAABBBBCCCC",
+              "0123456789abcdef", "deadbeef" * 4, "f", "X", "é", "😀", "\n", "ſ", "K", "_", "-"]
+    given = texts(4, pieces, 400) + ["", "a" * 60_000, "AKIA" * 10_000, "token" * 5000 + "=" + "x" * 50_000]
+    df = spark.createDataFrame([(i, t, None) for i, t in enumerate(given)] + [(-1, None, "e")], SCHEMA)
+    rows = secrets.scan(df).collect()
+    got = base_of(rows)
+    assert got.pop(-1) == []
+    assert got == {i: plain_secrets(t) for i, t in enumerate(given)}
+    for r in rows:
+        all_spans = [(s.kind, s.start, s.end) for s in r.spans]
+        assert {(s.kind, s.start, s.end) for s in r.base_spans} <= set(all_spans)
+
+
+def test_battery_tells_random_from_text(spark):
+    rng = random.Random(1)
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(rng.choice(alnum) for _ in range(40)) for _ in range(20)]
+    words = [a + b + c for a in ("Geschwindigkeits", "Donaudampf", "internationali") for b in ("begrenzungs", "schiff", "zation") for c in ("verordnung", "gesellschaft")]
+    df = spark.createDataFrame([(i, f"see {t}.", None) for i, t in enumerate(keys + words)], SCHEMA)
+    found = {r.doc_id for r in secrets.scan(df).collect() if r.spans}
+    assert len(found & set(range(20))) >= 18 and not found - set(range(20))
+
+
+def test_pii_model_and_redaction(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(600):
+        phone = f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}"
+        rows.append((i, f"call {phone} now, case {rng.randint(10 ** 7, 10 ** 8)} x", None))
+    df = spark.createDataFrame(rows, SCHEMA)
+    model = pii.fit(df)
+    assert model.limits
+    more = spark.createDataFrame([(1, "call (555) 555-1234 now", None), (2, None, None), (3, "", None), (4, "a@b.de and 1.2.3.4", None)], SCHEMA)
+    out = {r.doc_id: r for r in pii.scan(more, model).withColumn("clean", redact(F.col("text"), F.col("spans"))).collect()}
+    assert out[4].clean == "[EMAIL] and [IP]" and out[2].clean is None and out[3].clean == ""
+    assert pii.fit(df.limit(0)).trees is None
+    with pytest.raises(ValueError):
+        pii.scan(df.withColumnRenamed("extra", "Spans"), model)
+
+
+def test_queries_whole_tables(spark):
+    docs = {d.doc_id: d.text or "" for d in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    for query, plain, kinds in ((registry.op3_pii, plain_pii, ("email", "ip", "card", "phone")),
+                                (registry.op6_secrets, plain_secrets, ("assign", "access", "hex"))):
+        got = {r.doc_id: r for r in query(spark, SF_SMALL).collect()}
+        assert got.keys() == docs.keys()
+        for i, t in docs.items():
+            spans = [f"{k}:{s}:{e}" for k, s, e in plain(t)]
+            n = Counter(x.split(":")[0] for x in spans)
+            assert [got[i][f"n_{k}"] for k in kinds] == [n[k] for k in kinds]
+            assert got[i].base_sha256 == hashlib.sha256(",".join(spans).encode()).hexdigest()
+            assert set(spans) <= set(got[i].spans.split(",")) or not spans
+
+
+def plain_counts(t):
+    t = t or ""
+    w = [x for x in re.split(r"[\x20\x09-\x0D]+", t) if x]
+    grams = Counter(tuple(w[i:i + 3]) for i in range(len(w) - 2))
+    covered = {j for i in range(len(w) - 2) if grams[tuple(w[i:i + 3])] > 1 for j in (i, i + 1, i + 2)}
+    lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(covered))
+
+
+def test_rule_counts_equal_plain(spark):
+    given = texts(8, ["a ", "b ", "a b c ", "c\n", "\n", "\t", "é#", "<*> ", "\x0b", "\x0c", "\r\n", "\x1c", " ", "😀 ", "same line\n"], 400)
+    given += ["", " \n ", "x " * 20_000, "a b c d " * 30, " ".join(map(str, range(20_000)))]
+    df = spark.createDataFrame([(i, t, None) for i, t in enumerate(given)] + [(-1, None, None), (-1, None, None), (None, "a b", "x")], SCHEMA)
+    rows = rules.judge(df).collect()
+    assert len(rows) == len(given) + 3 and {"doc_id", "text", "extra", "kept"} <= set(rows[0].asDict())
+    for r in rows:
+        want = plain_counts(r.text)
+        assert tuple(r[c] for c in rules.METRICS) == want, r.text[:80]
+        assert r.base_failed == (want[0] < 50 or 100 * want[4] > 50 * want[0]) and not (r.base_failed and r.kept)
+
+
+def test_cascade_order_changes_no_verdict(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").withColumn("w", rules.words(F.col("text")))
+    given = rules.default_rules(F.col("text"), F.col("w"))
+    ordered = rules.order_rules(docs, given, sample_rows=100)
+    assert sorted(r.name for r in ordered) == sorted(r.name for r in given)
+    assert docs.where(rules.cascade(given) != rules.cascade(ordered)).count() == 0
+    assert docs.where(~rules.cascade(given)).count() > 0
+    assert rules.order_rules(docs.limit(0), given) == given

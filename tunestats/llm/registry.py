@@ -6,12 +6,13 @@ import uuid
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunestats.llm import bpe, langid, quality, warc
+from tunestats.llm import bpe, langid, pii, quality, rules, secrets, warc
 from tunestats.llm.sampling import fold
 from tunestats.llm.shared import shared_root
+from tunestats.llm.spans import told
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +40,18 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def _count(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.scan(docs, pii.fit(docs)).select("doc_id", "base_spans", "spans")
+    return found.select("doc_id", *(_count("base_spans", k) for k in ("email", "ip", "card", "phone")),
+                        F.sha2(told(F.col("base_spans")), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written as a WARC record and read back from the archives."""
     folder = f"{shared_root(spark)}/warc-{uuid.uuid4().hex}"
@@ -48,6 +61,19 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("refers_to").cast("long").alias("refers_to"), "digest_ok")
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    found = secrets.scan(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "base_spans", "spans")
+    return found.select("doc_id", *(_count("base_spans", k) for k in ("assign", "access", "hex")),
+                        F.sha2(told(F.col("base_spans")), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+
+
+def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document and the cascade's verdict."""
+    judged = rules.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", *rules.METRICS, "base_failed", "kept")
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned outside fold 2 of 4."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -61,7 +87,10 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
+    "op3_pii": op3_pii,
     "op5_warc": op5_warc,
+    "op6_secrets": op6_secrets,
+    "op8_rules": op8_rules,
     "op9_langid": op9_langid,
 }
 
