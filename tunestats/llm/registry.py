@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunestats.llm import bpe, langid, pii, quality, rules, secrets, warc
+from tunestats.llm import bpe, langid, neardup, pii, quality, rules, secrets, warc
 from tunestats.llm.sampling import fold
 from tunestats.llm.shared import shared_root
 from tunestats.llm.spans import told
@@ -68,6 +68,12 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(told(F.col("base_spans")), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with similar sets of four-word shingles."""
+    found = neardup.near_duplicates(_table(spark, sf_dir, "documents"), size=4)
+    return found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
 def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document and the cascade's verdict."""
     judged = rules.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -90,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": op3_pii,
     "op5_warc": op5_warc,
     "op6_secrets": op6_secrets,
+    "op7_minhash": op7_minhash,
     "op8_rules": op8_rules,
     "op9_langid": op9_langid,
 }
