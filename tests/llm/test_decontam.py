@@ -1,0 +1,80 @@
+"""Decontamination against every place of every item in every text."""
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from conftest import SF_SMALL
+from tunestats.llm import decontam, registry
+
+
+def plain_words(t):
+    return re.findall(r"(?:[a-z0-9]|[^\x00-\x7f])+", (t or "").lower())
+
+
+def exact_places(text, item):
+    t, i = plain_words(text), plain_words(item)
+    return len(i) >= 5 and any(t[k:k + len(i)] == i for k in range(len(t) - len(i) + 1))
+
+
+def test_multi_index_misses_nothing():
+    rng = np.random.default_rng(3)
+    prints = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
+    queries = []
+    for p in prints:
+        for flips in (0, 1, 7, 12, 15, 16, 20):
+            bits = rng.choice(64, flips, replace=False)
+            queries.append(int(p) ^ sum(1 << int(b) for b in bits))
+    queries = np.array(queries + rng.integers(0, 1 << 63, 3000, dtype=np.uint64).tolist(), np.uint64)
+    want = {(q, p) for p in range(len(prints)) for q in np.flatnonzero(np.bitwise_count(queries ^ prints[p]) <= decontam.RADIUS).tolist()}
+    assert set(zip(*(x.tolist() for x in decontam.MultiIndex(prints).within(queries)))) == want
+
+
+def test_planted_at_every_phase(spark):
+    rng = random.Random(4)
+    vocab = [f"w{i}é" if i % 9 == 0 else f"w{i}" for i in range(900)]
+    say = lambda n: " ".join(rng.choice(vocab) for _ in range(n))
+    items = [(i, say(n)) for i, n in enumerate([5, 6, 9, 14, 17, 23, 33, 34, 41, 60, 120, 400])]
+    docs, want = [], set()
+    for k in range(240):
+        i, text = items[k % len(items)]
+        if k % 3 == 0 and i >= 8:                          # one word changed in a long item: still similar
+            w = text.split()
+            w[rng.randrange(len(w) // 3, len(w) // 2)] = "changed"
+            text = " ".join(w)
+        docs.append((k, say(rng.randint(0, 50)) + " " + text.upper().replace(" ", ",\n" if k % 2 else " - ") + "! " + say(rng.randint(0, 40))))
+        want.add((k, i))
+    clean = [(1000 + k, say(rng.randint(0, 300))) for k in range(60)] + [(2000, None), (2001, ""), (2002, "w1 " * 20_000)]
+    table = spark.createDataFrame([(*d, "x", 7) for d in docs + clean], "doc_id long, text string, item_id string, id int")
+    bench = spark.createDataFrame([(i, t) for i, t in items] + [(None, items[5][1]), (77, None), (78, "too short"), (3, items[3][1])], "item_id long, text string")
+    rows = decontam.matches(table, bench).collect()
+    got = {(r.doc_id, m.item_id): m for r in rows for m in r.matches}
+    assert got.keys() <= want and all(m.similarity >= 0.8 for m in got.values())
+    missed = want - got.keys()
+    assert all(k % 3 == 0 and i >= 8 for k, i in missed) and len(missed) <= 6
+    assert all(Counter(m.item_id for m in r.matches).most_common(1)[0][1] == 1 for r in rows if r.matches)
+
+
+def test_blocks_empty_tables_and_names(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "one two three four five six seven"), (2, "a b c d e f g")], "doc_id long, text string")
+    bench = spark.createDataFrame([(9, "one two three four five"), (8, "c d e f g"), (7, "three four five six seven")], "item_id long, text string")
+    monkeypatch.setattr(decontam, "ITEM_BLOCK", 1)
+    got = {r.doc_id: sorted((m.item_id, m.similarity, m.start_word, m.n_words) for m in r.matches) for r in decontam.matches(docs, bench).collect()}
+    assert got == {1: [(7, 1.0, 2, 5), (9, 1.0, 0, 5)], 2: [(8, 1.0, 2, 5)]}
+    assert [r.matches for r in decontam.matches(docs, bench.limit(0)).collect()] == [[], []]
+    assert decontam.matches(docs.limit(0), bench).count() == 0
+    with pytest.raises(ValueError):
+        decontam.matches(docs, bench, out_col="Text")
+
+
+def test_query_whole_table(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()
+    items = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()
+    got = {(r.doc_id, r.item_id) for r in registry.op4_decontam(spark, SF_SMALL).collect()}
+    assert {(d.doc_id, i.item_id) for d in docs for i in items if exact_places(d.text, i.text)} <= got
+    shingles = lambda t: {tuple(w[k:k + 5]) for w in [plain_words(t)] for k in range(len(w) - 4)}
+    by_doc, by_item = {d.doc_id: shingles(d.text) for d in docs}, {i.item_id: shingles(i.text) for i in items}
+    assert all(len(by_doc[d] & by_item[i]) >= 0.7 * len(by_item[i]) for d, i in got)

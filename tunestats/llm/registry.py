@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunestats.llm import bpe, langid, neardup, pii, quality, rules, secrets, warc
+from tunestats.llm import bpe, decontam, langid, neardup, pii, quality, rules, secrets, warc
 from tunestats.llm.sampling import fold
 from tunestats.llm.shared import shared_root
 from tunestats.llm.spans import told
@@ -52,6 +52,13 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(told(F.col("base_spans")), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
 
 
+def op4_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold a benchmark item, with the items found."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.matches(docs, _table(spark, sf_dir, "benchmark")).where(F.size("matches") > 0)
+    return found.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written as a WARC record and read back from the archives."""
     folder = f"{shared_root(spark)}/warc-{uuid.uuid4().hex}"
@@ -94,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
     "op3_pii": op3_pii,
+    "op4_decontam": op4_decontam,
     "op5_warc": op5_warc,
     "op6_secrets": op6_secrets,
     "op7_minhash": op7_minhash,
