@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunestats.llm import bpe, decontam, langid, neardup, pii, quality, rules, secrets, warc
+from tunestats.llm import bpe, decontam, langid, lmscore, neardup, pii, quality, rules, secrets, warc
 from tunestats.llm.sampling import fold
 from tunestats.llm.shared import shared_root
 from tunestats.llm.spans import told
@@ -97,6 +97,15 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("language.rejected").alias("rejected"))
 
 
+def op10_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pseudo log-likelihood of every document under a network trained on
+    all of them."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocab = lmscore.vocabulary(docs)
+    scored = lmscore.score(docs, vocab, lmscore.train(docs, vocab)).select("doc_id", "lm.n_tokens", "lm.log_prob")
+    return scored.withColumn("mean_log_prob", F.try_divide("log_prob", "n_tokens"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
@@ -107,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_minhash": op7_minhash,
     "op8_rules": op8_rules,
     "op9_langid": op9_langid,
+    "op10_lmscore": op10_lmscore,
 }
 
 SQL: dict[str, str] = {}
