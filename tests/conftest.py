@@ -25,12 +25,11 @@ def spark():
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tunestats-wh-"))
+         # tests set their own shared folder
+         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tunestats-ckpt-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     apply_scale_conf(s)
-    # tests set their own shared folder, as spark.checkpoint.dir is unset here
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tunestats-ckpt-"))
     yield s
     s.stop()
 

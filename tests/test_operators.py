@@ -52,13 +52,22 @@ def test_left_join_dim_row_preserving_and_right_key(spark):
     fact = spark.createDataFrame([(1, "t1"), (2, "t2"), (3, None), (4, "t1")], "id int, track_id string")
     dim = spark.createDataFrame([("t1", "one"), ("t9", "nine")], "track_id string, name string")
     for limit in (10, 0, None):  # broadcast, shuffle join, optimizer's choice
-        got = rows(left_join_dim(fact, dim, "track_id", broadcast_max_rows=limit), "id", "track_id", "name")
+        got = rows(left_join_dim(fact, dim, "track_id", broadcast_max_bytes=limit), "id", "track_id", "name")
         assert sorted(got) == [(1, "t1", "one"), (2, None, None), (3, None, None), (4, "t1", "one")]
 
 
-def test_fits_broadcast_compares_an_exact_count(spark):
-    assert fits_broadcast(spark.range(5), 5)
-    assert not fits_broadcast(spark.range(6), 5)
+def test_fits_broadcast_compares_bytes(spark, scratch):
+    """Few but very wide rows exceed the bound that many narrow ones keep."""
+    long = F.concat(*[F.sha2(F.concat("id", F.lit(str(i))).cast("string"), 256) for i in range(200)])
+    spark.range(300).select("id", F.array(long).alias("genres")).write.parquet(f"{scratch}/wide")
+    spark.range(3000).write.parquet(f"{scratch}/narrow")
+    wide, narrow = spark.read.parquet(f"{scratch}/wide"), spark.read.parquet(f"{scratch}/narrow")
+    assert fits_broadcast(narrow, 1 << 20) and not fits_broadcast(wide, 1 << 20) and fits_broadcast(wide)
+    plan = left_join_dim(spark.range(10), wide, "id", 1 << 20)._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in plan.lower()
+    plan = left_join_dim(spark.range(10), narrow, "id", 1 << 20)._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan.lower()
+
 
 
 def test_stitch_rows_cross_product_semantics(spark):

@@ -66,6 +66,21 @@ def test_dedupe_combines_before_the_shuffle(spark, stored):
     assert "partial_min" in p and p.count("Exchange hashpartitioning") == 1
 
 
+def test_play_key_is_hashed_after_the_shuffle(spark, stored):
+    p = _plan(model.fct_plays(fx.plays_li(spark, SF_SMALL)))
+    assert 0 <= p.index("sha2(") < p.index("Exchange hashpartitioning")       # above it in the plan
+    assert "sha2(" not in p[p.index("Exchange hashpartitioning"):]
+
+
+def test_top_artists_shuffles_no_attributes(spark, stored):
+    p = _plan(marts.top_artists(stored, artists=spark.table("tpl.dim_artists")))
+    for line in p.splitlines():
+        if "HashAggregate" in line:
+            assert "genres" not in line and "artist_name" not in line
+    a, b = marts.top_artists(stored, artists=spark.table("tpl.dim_artists")), marts.top_artists(stored)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_broadcast_bound_setting_controls_the_join(spark, stored):
     from tunestats.operators import BROADCAST_CONF
     fct, tr, ar = (spark.table("tpl.fct_plays"), spark.table("tpl.dim_tracks"), spark.table("tpl.dim_artists"))

@@ -1,14 +1,16 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tunestats import schemas
-from tunestats.sinks import ensure_schema, load_all, write_table, write_with_schema
+from tunestats.session import shared_dir
+from tunestats.sinks import clean_versions, current_version, ensure_schema, load_all, publish, write_table, write_with_schema
 
 
 def test_load_all_counts_and_skips_empty(spark, scratch):
     ensure_schema(spark, "t_sinks", location=f"{scratch}/db")
     n = load_all({"a": spark.range(5), "b": spark.range(3)}, database="t_sinks", root=scratch)
     assert n == {"a": 5, "b": 3}
-    n = load_all({"a": spark.range(0), "b": spark.range(7)}, database="t_sinks", root=scratch)
+    n = load_all({"a": spark.range(0), "b": spark.range(7)}, database="t_sinks", root=scratch, skip_empty=True)
     assert n == {"a": None, "b": 7}
     assert spark.table("t_sinks.a").count() == 5     # skipped: old contents stay
     assert spark.table("t_sinks.b").count() == 7     # overwritten
@@ -33,15 +35,55 @@ def test_write_with_schema_rows_and_dataframe(spark, scratch):
     assert (r.playlist_id, r.total_tracks, r.followers) == ("p2", 1, None)
 
 
-def test_publish_switches_versions_in_place(spark, scratch):
-    from tunestats.sinks import publish
+def test_publish_switches_versions(spark, scratch):
     ensure_schema(spark, "t_sinks4", location=f"{scratch}/db")
     assert publish(spark, spark.range(3), "t_sinks4.v", root=scratch) == 3
-    first = spark.sql("DESCRIBE TABLE EXTENDED t_sinks4.v").where("col_name = 'Location'").first().data_type
+    first = current_version(spark, "t_sinks4.v")
+    planned = spark.table("t_sinks4.v")                     # a reader planned before the switch
     assert publish(spark, spark.range(5), "t_sinks4.v", root=scratch) == 5
-    second = spark.sql("DESCRIBE TABLE EXTENDED t_sinks4.v").where("col_name = 'Location'").first().data_type
-    assert first != second and spark.table("t_sinks4.v").count() == 5
-    import os
-    assert not os.path.exists(first.replace("file:", ""))   # replaced version removed
+    assert first != current_version(spark, "t_sinks4.v") and spark.table("t_sinks4.v").count() == 5
     assert publish(spark, spark.range(2).selectExpr("'x' AS s"), "t_sinks4.v", root=scratch) == 2
-    assert spark.table("t_sinks4.v").columns == ["s"]       # new schema: table re-created
+    assert spark.table("t_sinks4.v").columns == ["s"]       # new schema, same single switch
+    assert planned.count() == 3                             # its files are still there
+    assert clean_versions(spark, "t_sinks4.v", scratch, older_than_hours=1) == []
+    assert len(clean_versions(spark, "t_sinks4.v", scratch, keep=1, older_than_hours=-1)) == 2
+    assert spark.table("t_sinks4.v").count() == 2
+
+
+def test_empty_results_are_published_with_their_schema(spark, scratch):
+    ensure_schema(spark, "t_sinks5", location=f"{scratch}/db")
+    assert publish(spark, spark.range(0).selectExpr("id", "'x' AS s"), "t_sinks5.v", root=scratch) == 0
+    assert spark.table("t_sinks5.v").columns == ["id", "s"] and spark.table("t_sinks5.v").count() == 0
+    assert publish(spark, spark.range(4), "t_sinks5.v", root=scratch) == 4
+    assert publish(spark, spark.range(0), "t_sinks5.v", root=scratch) == 0
+    assert spark.table("t_sinks5.v").count() == 0           # no stale rows
+
+
+def test_no_table_changes_if_one_write_fails(spark, scratch):
+    ensure_schema(spark, "t_sinks6", location=f"{scratch}/db")
+    names = ["a", "b", "c", "d", "e"]
+    load_all({n: spark.range(1) for n in names}, database="t_sinks6", root=scratch)
+    broken = spark.range(3).select(F.raise_error(F.lit("broken")).alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        load_all({n: broken if n == "c" else spark.range(2) for n in names}, database="t_sinks6", root=scratch)
+    assert [spark.table(f"t_sinks6.{n}").count() for n in names] == [1] * 5
+
+
+def test_a_plain_table_of_the_name_is_replaced(spark, scratch):
+    ensure_schema(spark, "t_sinks7", location=f"{scratch}/db")
+    write_table(spark.range(2), "t_sinks7.x", path=f"{scratch}/plain")
+    assert publish(spark, spark.range(6), "t_sinks7.x", root=scratch) == 6
+    assert spark.table("t_sinks7.x").count() == 6
+
+
+def test_shared_dir_needs_a_setting(spark):
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Plain:
+        conf = Conf()
+
+    assert shared_dir(Plain(), "/some/where/") == "/some/where"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Plain())

@@ -53,7 +53,7 @@ def test_hot_key_shuffle_join_is_split_and_correct(spark):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        shuffled = marts.base_analytics(fct, tracks, artists, broadcast_max_rows=None).select(
+        shuffled = marts.base_analytics(fct, tracks, artists, broadcast_max_bytes=None).select(
             "play_id", "track_id", "popularity")
         got = shuffled.collect()
         assert "skew=true" in _plan(shuffled)  # the hot and the NULL partitions were split

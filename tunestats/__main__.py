@@ -27,9 +27,10 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--root", help="shared folder for the tables' files")
     ap.add_argument("--database", default="tunestats")
     ap.add_argument("--layers", default="bronze,silver,gold")
-    ap.add_argument("--run-ts", default=None, help="UTC instant closing the play window (none: keep all plays)")
+    ap.add_argument("--run-ts", default=None, help="UTC instant of the run: plays before it less the window are left out (none: keep all plays)")
     ap.add_argument("--window-hours", type=int, default=24)
     ap.add_argument("--format", default="parquet")
+    ap.add_argument("--mode", default="FAILFAST", choices=("FAILFAST", "PERMISSIVE"), help="what a broken landed page does")
     ap.add_argument("--cluster-profile", action="store_true",
                     help="apply session.CLUSTER_PROFILE (settings for ~100 TB runs)")
     a = ap.parse_args(argv)
@@ -43,7 +44,7 @@ def main(argv: list[str] | None = None) -> dict:
         if not a.landing:
             ap.error("--landing is needed for the bronze layer")
         landing = {k: f"{a.landing}/{k}" for k in pipeline.LANDING_KEYS}
-        out["bronze"] = pipeline.run_bronze(spark, landing, a.database, a.root, a.run_ts, a.window_hours, a.format)
+        out["bronze"] = pipeline.run_bronze(spark, landing, a.database, a.root, a.run_ts, a.window_hours, a.format, a.mode)
     if "silver" in layers:
         out["silver"] = pipeline.run_silver(spark, a.database, a.root, a.format)
     if "gold" in layers:

@@ -21,7 +21,9 @@ from tunestats.functions.columns import (  # noqa: F401
     month_name,
     nonempty_ids,
     parse_ts,
+    hashed_key,
     play_key,
+    play_key_text,
     quarter,
     typed_null,
     weekday_name,

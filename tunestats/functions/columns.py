@@ -82,10 +82,20 @@ def month_bucket(ts: ColumnOrName) -> Column:
     return F.date_format(_c(ts), MONTH_BUCKET_FORMAT)
 
 
+def play_key_text(played_at: ColumnOrName, track_id: ColumnOrName) -> Column:
+    """FN-9: the two parts concatenated with no separator. NULL when either
+    part is NULL (``concat`` propagates NULL)."""
+    return F.concat(_c(played_at), _c(track_id))
+
+
+def hashed_key(text: ColumnOrName) -> Column:
+    """FN-10: SHA-256 hex of a key's text."""
+    return F.sha2(_c(text), PLAY_KEY_BITS)
+
+
 def play_key(played_at: ColumnOrName, track_id: ColumnOrName) -> Column:
-    """FN-9 + FN-10: SHA-256 hex of the two parts concatenated with no
-    separator. NULL when either part is NULL (``concat`` propagates NULL)."""
-    return F.sha2(F.concat(_c(played_at), _c(track_id)), PLAY_KEY_BITS)
+    """FN-9 + FN-10: SHA-256 hex of the two parts."""
+    return hashed_key(play_key_text(played_at, track_id))
 
 
 def minutes(ms: ColumnOrName) -> Column:

@@ -2,13 +2,14 @@
 
 from tunestats.operators.core import (  # noqa: F401
     BROADCAST_CONF,
-    BROADCAST_MAX_ROWS,
+    BROADCAST_MAX_BYTES,
     broadcast_bound,
     add_missing,
     conform,
     dedupe,
     distinct_rows,
     explode_genres,
+    estimated_bytes,
     fits_broadcast,
     left_join_dim,
     stitch_rows,

@@ -2,7 +2,7 @@
 
 All of them are compositions of DataFrame operators; none collects data to
 the driver. Where an operator needs a size decision (broadcast or not) it
-counts rows exactly (parallel partial counts) and compares with a bound.
+compares the estimated bytes with a bound.
 """
 
 from __future__ import annotations
@@ -15,19 +15,23 @@ from pyspark.sql.types import StructType
 
 from tunestats.functions import typed_null
 
-# Row bound for broadcasting a star-join dimension (see ``left_join_dim``).
-# The joined dimensions are projected to 3 narrow columns (id, name and
-# popularity or genre list), so 2M rows stay within a few hundred MB. A
-# cluster with large executors can raise it with the session setting
-# ``tunestats.broadcast.maxRows`` (read by ``broadcast_bound``).
-BROADCAST_MAX_ROWS = 2_000_000
-BROADCAST_CONF = "tunestats.broadcast.maxRows"
+# Bound in bytes for broadcasting a star-join dimension (see
+# ``left_join_dim``): the estimated size in memory of the joined columns, all
+# widths included. It must stay well below the driver's result size
+# (``spark.driver.maxResultSize``, 1g by default), through which a broadcast
+# passes. The session setting ``tunestats.broadcast.maxBytes`` changes it
+# (read by ``broadcast_bound``).
+BROADCAST_MAX_BYTES = 256 << 20
+BROADCAST_CONF = "tunestats.broadcast.maxBytes"
+# Bytes in memory for each byte of a compressed file: what the optimizer's
+# estimate (the files' size, by the share of the columns read) is multiplied by.
+EXPANSION = 4
 
 
 def broadcast_bound(spark) -> int:
-    """The session's dimension broadcast bound in rows (``-1`` disables
+    """The session's dimension broadcast bound in bytes (``-1`` disables
     explicit broadcasts)."""
-    return int(spark.conf.get(BROADCAST_CONF, str(BROADCAST_MAX_ROWS)))
+    return int(spark.conf.get(BROADCAST_CONF, str(BROADCAST_MAX_BYTES)))
 
 
 # --------------------------------------------------------------------------
@@ -108,46 +112,46 @@ def explode_genres(df: DataFrame, keep: Iterable[str], array_col: str = "genres"
 # --------------------------------------------------------------------------
 # Joins (JN-1, JN-2)
 # --------------------------------------------------------------------------
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def estimated_bytes(df: DataFrame) -> int:
+    """Estimated size of ``df`` in memory: the optimizer's estimate, which for
+    a stored table is the size of its files by the share of the columns read,
+    times ``EXPANSION``. No job runs. Without statistics (a join of unknown
+    size) the estimate is huge, so such a frame is never broadcast by it."""
+    return EXPANSION * int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-    An exact count planned as partial counts per partition plus one merge
-    (one row per partition crosses the network); for a stored parquet
-    dimension it reads row-group metadata only. (``limit(n + 1).count()``
-    would instead funnel up to ``partitions x (n + 1)`` rows through a
-    single-partition exchange.)"""
-    return df.count() <= max_rows
+
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` is estimated to take at most ``max_bytes``."""
+    return estimated_bytes(df) <= max_bytes
 
 
 def left_join_dim(fact: DataFrame, dim: DataFrame, on: str,
-                  broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+                  broadcast_max_bytes: int | None = BROADCAST_MAX_BYTES) -> DataFrame:
     """Left equi-join of a fact to a dimension that is unique on ``on``.
 
     Row-preserving: every fact row appears once. ``on`` is taken from the
     dimension, so it is NULL for unmatched fact rows.
 
-    Strategy: a dimension proven (by an exact row count, see
-    ``fits_broadcast``) to be small is broadcast, so the fact
-    stays where it is (no fact shuffle, no skew exposure) and the dimension
-    is always the build side, even where a later ``key IS NOT NULL`` filter
-    lets the optimizer turn the left join into an inner one. Beyond the bound
-    both sides are hash-partitioned on the key (sort-merge join); a hot key,
-    including the NULL key of unmatched plays, lands in one reducer
-    partition, which adaptive execution splits across tasks (fact side of a
-    left outer join; see ``session.SCALE_CONF``).
+    Strategy: a dimension whose estimated bytes (see ``fits_broadcast``) are
+    within the bound is broadcast, so the fact stays where it is (no fact
+    shuffle, no skew exposure) and the dimension is always the build side,
+    even where a later ``key IS NOT NULL`` filter lets the optimizer turn the
+    left join into an inner one. Beyond the bound both sides are
+    hash-partitioned on the key (sort-merge join); a hot key, including the
+    NULL key of unmatched plays, lands in one reducer partition, which
+    adaptive execution splits across tasks (fact side of a left outer join;
+    see ``session.SCALE_CONF``). Building the plan runs no job.
 
     The split needs a plain shuffle on both sides, which is what a stored
     dimension table gets; the pipeline therefore joins the stored silver
     tables (a dimension de-duplicated in the same query would hand its own
     partitioning to the join instead).
 
-    ``broadcast_max_rows=None`` skips the count and leaves the choice to the
-    optimizer's size estimate (which, for a file scan, is the compressed
-    file size and can understate the in-memory size several times).
+    ``broadcast_max_bytes=None`` leaves the choice to the optimizer.
     """
     key = "_dim_key"
     d = dim.select(F.col(on).alias(key), *dim.columns)
-    if broadcast_max_rows is not None and broadcast_max_rows >= 0 and fits_broadcast(dim, broadcast_max_rows):
+    if broadcast_max_bytes is not None and broadcast_max_bytes >= 0 and fits_broadcast(dim, broadcast_max_bytes):
         d = F.broadcast(d)
     f = fact.withColumnRenamed(on, key)
     return f.join(d, on=key, how="left").drop(key)

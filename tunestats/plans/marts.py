@@ -28,7 +28,7 @@ _SESSION_BOUND = object()
 
 
 def base_analytics(fct: DataFrame, tracks: DataFrame, artists: DataFrame, time: DataFrame | None = None,
-                   broadcast_max_rows=_SESSION_BOUND) -> DataFrame:
+                   broadcast_max_bytes=_SESSION_BOUND) -> DataFrame:
     """TBL-6 / JN-5: plays left-joined to tracks, artists and time.
 
     ``track_id`` / ``artist_id`` are the dimension's keys (NULL when the
@@ -38,16 +38,16 @@ def base_analytics(fct: DataFrame, tracks: DataFrame, artists: DataFrame, time:
     matches) without shuffling the fact against a fact-sized dimension.
     Pass ``time`` to take them from a ``dim_time`` table instead (JN-3).
 
-    ``broadcast_max_rows`` defaults to the session's bound
+    ``broadcast_max_bytes`` defaults to the session's bound
     (``operators.broadcast_bound``); see ``operators.left_join_dim``.
     """
-    if broadcast_max_rows is _SESSION_BOUND:
-        broadcast_max_rows = broadcast_bound(fct.sparkSession)
+    if broadcast_max_bytes is _SESSION_BOUND:
+        broadcast_max_bytes = broadcast_bound(fct.sparkSession)
     f = fct.select("play_id", "play_timestamp", "duration_ms", "context_type", "track_id", "artist_id")
     t = tracks.select("track_id", "track_name", "popularity")
     a = artists.select("artist_id", "artist_name", "genres")
-    j = left_join_dim(f, t, "track_id", broadcast_max_rows)
-    j = left_join_dim(j, a, "artist_id", broadcast_max_rows)
+    j = left_join_dim(f, t, "track_id", broadcast_max_bytes)
+    j = left_join_dim(j, a, "artist_id", broadcast_max_bytes)
     if time is None:
         j = j.withColumns({
             "hour_of_day": hour_of_day("play_timestamp"),
@@ -89,20 +89,25 @@ def top_tracks(base: DataFrame, ordered: bool = False) -> DataFrame:
     return out.orderBy(F.desc("play_count")) if ordered else out
 
 
-def top_artists(base: DataFrame, ordered: bool = False) -> DataFrame:
+def top_artists(base: DataFrame, ordered: bool = False, artists: DataFrame | None = None) -> DataFrame:
     """TBL-9: per (artist_id, artist_name) of plays with a known artist,
     with the artist's genres.
 
-    In ``base_analytics`` the genre list comes from the one ``dim_artists``
-    row of ``artist_id``, so it is constant per group: carrying it as a
-    grouping key gives the same rows as ``FIRST(genres)`` while every
-    aggregation buffer stays fixed-width, so all stages are hash aggregates
-    (no sort of the plays)."""
+    In ``base_analytics`` name and genre list come from the one ``dim_artists``
+    row of ``artist_id``, so both are constant per group. With ``artists``
+    (that dimension) the plays are aggregated by id alone and the two
+    attributes are joined to the result last: no name and no genre list goes
+    through the plays' shuffles. Without it they are grouping keys, which
+    gives the same rows as ``FIRST(genres)`` with fixed-width buffers, so all
+    stages are hash aggregates either way."""
+    keys = ["artist_id"] if artists is not None else ["artist_id", "artist_name", "genres"]
     out = (base.where(F.col("artist_id").isNotNull())
-           .groupBy("artist_id", "artist_name", "genres")
+           .groupBy(*keys)
            .agg(F.count("play_id").alias("total_plays"),
                 F.count_distinct("track_id").alias("unique_tracks"),
                 _minutes_sum().alias("total_minutes")))
+    if artists is not None:
+        out = out.join(artists.select("artist_id", "artist_name", "genres"), "artist_id")
     out = conform(out, schemas.GOLD_TOP_ARTISTS)
     return out.orderBy(F.desc("total_plays")) if ordered else out
 

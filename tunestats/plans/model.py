@@ -6,6 +6,7 @@ Pure ``DataFrame → DataFrame`` builders; writing is the pipeline's job.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tunestats import schemas
 from tunestats.functions import (
@@ -13,7 +14,8 @@ from tunestats.functions import (
     hour_of_day,
     month_name,
     parse_ts,
-    play_key,
+    hashed_key,
+    play_key_text,
     quarter,
     weekday_name,
     year,
@@ -68,8 +70,12 @@ def fct_plays(plays_raw: DataFrame) -> DataFrame:
     them collapse into one row (as the key is NULL, not as the plays are
     equal)."""
     df = plays_raw.select(
-        play_key("played_at", "track_id").alias("play_id"),
+        # duplicates are found by the key's text, which is shorter than its
+        # hash; equal texts are equal keys, and NULL stays NULL
+        play_key_text("played_at", "track_id").alias("_key"),
         parse_ts("played_at").alias("play_timestamp"),
         "track_id", "artist_id", "album_id", "duration_ms", "context_type",
     )
-    return dedupe(conform(df, schemas.FCT_PLAYS), ["play_id"])
+    types = schemas.FCT_PLAYS
+    df = df.select("_key", *[F.col(f.name).cast(f.dataType) for f in types if f.name != "play_id"])
+    return conform(dedupe(df, ["_key"]).withColumn("play_id", hashed_key("_key")), types)

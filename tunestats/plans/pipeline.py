@@ -17,6 +17,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tunestats import schemas
 from tunestats.functions import DEFAULT_USER
 from tunestats.plans import marts, model
 from tunestats.session import apply_scale_conf
@@ -28,6 +29,12 @@ SILVER = ("dim_time", "dim_tracks", "dim_artists", "dim_playlists", "fct_plays")
 GOLD = ("gold_user_listening_summary", "gold_top_tracks", "gold_top_artists", "gold_genre_trends",
         "gold_listening_patterns")
 
+RAW_SCHEMAS = {
+    "bronze_play_history": schemas.BRONZE_PLAY_HISTORY, "bronze_playlists": schemas.BRONZE_PLAYLISTS,
+    "bronze_playlist_tracks": schemas.BRONZE_PLAYLIST_TRACKS, "bronze_tracks": schemas.BRONZE_TRACKS,
+    "bronze_artists": schemas.BRONZE_ARTISTS,
+}
+
 # Landing folders by kind of page.
 LANDING_KEYS = {
     "plays": "bronze_play_history",
@@ -88,17 +95,23 @@ def silver_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def gold_tables(base: DataFrame, user_id: str = DEFAULT_USER) -> dict[str, DataFrame]:
-    """Aggregate tables from the wide play table."""
+def gold_tables(base: DataFrame, user_id: str = DEFAULT_USER, artists: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Aggregate tables from the wide play table (and ``dim_artists``, see
+    ``marts.top_artists``)."""
     return {
         "gold_user_listening_summary": marts.user_summary(base, user_id),
         "gold_top_tracks": marts.top_tracks(base),
-        "gold_top_artists": marts.top_artists(base),
+        "gold_top_artists": marts.top_artists(base, artists=artists),
         "gold_genre_trends": marts.genre_trends(base, user_id),
         "gold_listening_patterns": marts.listening_patterns(base, user_id),
     }
 
 
+def empty_raw(spark: SparkSession, name: str) -> DataFrame:
+    """A raw table without rows."""
+    return spark.createDataFrame([], RAW_SCHEMAS[name])
+
+
 def _read(spark: SparkSession, database: str, names) -> dict[str, DataFrame]:
     return {n: spark.table(f"{database}.{n}") for n in names}
 
@@ -121,15 +134,23 @@ def _loc(root: str | None, layer: str) -> str | None:
 
 def run_bronze(spark: SparkSession, landing: Mapping[str, str | list[str]], database: str = "tunestats",
                root: str | None = None, run_ts: str | datetime | None = None, window_hours: int = 24,
-               fmt: str = "parquet") -> dict[str, int | None]:
-    """Layer 1: landed pages → the five raw tables."""
+               fmt: str = "parquet", mode: str = "FAILFAST") -> dict[str, int | None]:
+    """Layer 1: landed pages → the five raw tables. A raw table for which
+    nothing has landed keeps its contents (``None``). ``mode`` is that of the
+    JSON reader."""
     dbs = _prepare(spark, database, root)
-    written = load_all(bronze_activity(spark, landing, run_ts, window_hours), dbs["bronze"], fmt,
-                       _loc(root, "bronze"))
+    written = load_all(bronze_activity(spark, landing, run_ts, window_hours, mode), dbs["bronze"], fmt,
+                       _loc(root, "bronze"), skip_empty=True)
+    for name in ACTIVITY:                                   # nothing landed yet: an empty table, not none
+        if not spark.catalog.tableExists(f"{dbs['bronze']}.{name}"):
+            load_all({name: empty_raw(spark, name)}, dbs["bronze"], fmt, _loc(root, "bronze"))
     act = _read(spark, dbs["bronze"], ACTIVITY)
     written.update(load_all(
-        bronze_catalogue(spark, landing, act["bronze_play_history"], act["bronze_playlist_tracks"]),
-        dbs["bronze"], fmt, _loc(root, "bronze")))
+        bronze_catalogue(spark, landing, act["bronze_play_history"], act["bronze_playlist_tracks"], mode),
+        dbs["bronze"], fmt, _loc(root, "bronze"), skip_empty=True))
+    for name in CATALOGUE:
+        if not spark.catalog.tableExists(f"{dbs['bronze']}.{name}"):
+            load_all({name: empty_raw(spark, name)}, dbs["bronze"], fmt, _loc(root, "bronze"))
     return written
 
 
@@ -149,13 +170,14 @@ def run_gold(spark: SparkSession, database: str = "tunestats", root: str | None
     base = marts.base_analytics(silver["fct_plays"], silver["dim_tracks"], silver["dim_artists"])
     written = load_all({"base_analytics": base}, dbs["gold"], fmt, _loc(root, "gold"))
     base = spark.table(f"{dbs['gold']}.base_analytics")
-    written.update(load_all(gold_tables(base, user_id), dbs["gold"], fmt, _loc(root, "gold")))
+    written.update(load_all(gold_tables(base, user_id, silver["dim_artists"]), dbs["gold"], fmt, _loc(root, "gold")))
     return written
 
 
 def run(spark: SparkSession, landing: Mapping[str, str | list[str]], database: str = "tunestats",
         root: str | None = None, run_ts: str | datetime | None = None, window_hours: int = 24,
-        fmt: str = "parquet", user_id: str = DEFAULT_USER) -> dict[str, dict[str, int | None]]:
+        fmt: str = "parquet", user_id: str = DEFAULT_USER,
+        mode: str = "FAILFAST") -> dict[str, dict[str, int | None]]:
     """Run all layers; returns rows written per table per layer.
 
     Tables go to the databases ``{database}_bronze`` / ``_silver`` /
@@ -163,7 +185,7 @@ def run(spark: SparkSession, landing: Mapping[str, str | list[str]], database: s
     (shared storage on a cluster). Each layer reads only the stored tables
     of the layer before it, so the three can also run as separate jobs."""
     written = {
-        "bronze": run_bronze(spark, landing, database, root, run_ts, window_hours, fmt),
+        "bronze": run_bronze(spark, landing, database, root, run_ts, window_hours, fmt, mode),
         "silver": run_silver(spark, database, root, fmt),
     }
     gold = run_gold(spark, database, root, fmt, user_id)

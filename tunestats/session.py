@@ -26,23 +26,23 @@ SCALE_CONF = {
 # A starting profile for runs over ~100 TB of landed pages on ~1000 executors
 # (apply with ``apply_cluster_profile``; values are sizes, not guarantees):
 # * 1 GB input splits keep the scan near 100k tasks;
-# * shuffles start at 100k partitions and adaptive execution coalesces them
-#   to ~512 MB, so a reducer's sort and hash buffers fit an executor core's
-#   share of memory and spill only at the edges; starting wider would
-#   multiply the map x reduce shuffle blocks (already ~10^10 for the one
-#   full-fact shuffle, the de-duplication) for little gain;
+# * shuffles start at 20k partitions and adaptive execution coalesces them to
+#   ~512 MB; the one full-fact shuffle (the de-duplication) then has 100k x
+#   20k blocks, and its reducers may spill, which costs less than ten times as
+#   many blocks of some KB would;
 # * a partition counts as skewed from 5x the median and 1 GB up, and is split;
-# * dimensions of up to 10M rows (3 narrow columns, ~1 GB) are broadcast,
-#   which spares the fact one full shuffle per dimension.
+# * dimensions of up to 400 MB in memory are broadcast, which spares the fact
+#   one full shuffle per dimension; run with spark.driver.maxResultSize of 2g
+#   or more (a static setting), through which a broadcast passes.
 CLUSTER_PROFILE = {
     "spark.sql.files.maxPartitionBytes": "1g",
-    "spark.sql.shuffle.partitions": "100000",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "100000",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512m",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
-    "tunestats.broadcast.maxRows": "10000000",
+    "tunestats.broadcast.maxBytes": str(400 << 20),
 }
 
 
@@ -66,9 +66,11 @@ def apply_scale_conf(spark: SparkSession, overwrite: bool = False) -> SparkSessi
     return spark
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tunestats") -> SparkSession:
-    """A local session for tests and the bench (the Spark UI stays off)."""
-    spark = (
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tunestats",
+                  shared: str | None = None) -> SparkSession:
+    """A local session for tests and the bench (the Spark UI stays off).
+    ``shared`` sets ``spark.checkpoint.dir`` (else Spark's own defaults do)."""
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -78,25 +80,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         # local runs keep the default database out of the working directory
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tunestats-warehouse-"))
-        .getOrCreate()
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return apply_scale_conf(spark)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this is set by the cluster and is visible to every
-    executor. Only when it is unset (local runs and tests) a fresh local
-    folder is made and registered, so later calls reuse it.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+def shared_dir(spark: SparkSession, root: str | None = None) -> str:
+    """The folder that driver and executors share: ``root`` if given, else
+    the setting ``spark.checkpoint.dir``, which the cluster names. There is
+    no fallback to a folder of one machine; without either this raises."""
+    path = root or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="tunestats-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    try:
-        spark.sparkContext.setCheckpointDir(path)
-    except Exception:  # no local SparkContext (Spark Connect): DataFrame checkpoints use the conf
-        pass
-    return path
+        raise ValueError("no shared folder: set spark.checkpoint.dir to a folder that driver and executors "
+                         "share, or pass root")
+    return path.rstrip("/")

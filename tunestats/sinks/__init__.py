@@ -1,3 +1,13 @@
 """Sinks: full-refresh table writes, loader, schema-enforced write."""
 
-from tunestats.sinks.tables import ensure_schema, load_all, publish, write_table, write_with_schema  # noqa: F401
+from tunestats.sinks.tables import (  # noqa: F401
+    clean_versions,
+    current_version,
+    ensure_schema,
+    load_all,
+    publish,
+    switch,
+    write_table,
+    write_version,
+    write_with_schema,
+)

@@ -1,12 +1,14 @@
 """Table sinks (SNK-1 … SNK-4).
 
-Every layer is a full refresh: ``overwrite`` replaces rows and schema. The
-default format is parquet; pass ``fmt`` for another table format that is on
-the classpath.
+Every layer is a full refresh that replaces rows and schema. ``publish`` and
+``load_all`` write versions and point the table's name at the new one;
+``write_table`` overwrites a plain table in place. The default format is
+parquet; pass ``fmt`` for another file format that is on the classpath.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -30,96 +32,120 @@ def write_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None
 
     With ``path`` the table's files live there (an external table), e.g. a
     folder on shared storage; otherwise in the catalog's warehouse."""
-    w = df.write.format(fmt).mode(mode)
+    w = df.write.format(fmt).mode(mode).option("overwriteSchema", str(mode == "overwrite").lower())
     if path:
         w = w.option("path", path)
     w.saveAsTable(name)
 
 
+#: Property of a published name that holds its current version's path.
+VERSION = "tunestats.version"
+
+
 def _table_root(spark: SparkSession, full_name: str, root: str | None) -> str:
     if root:
-        return f"{root}/{full_name.split('.')[-1]}"
+        return f"{root.rstrip('/')}/{full_name.split('.')[-1]}"
     db, _, table = full_name.rpartition(".")
     location = spark.catalog.getDatabase(db or spark.catalog.currentDatabase()).locationUri
     return f"{location.rstrip('/')}/{table}"
 
 
-def _current_location(spark: SparkSession, full_name: str) -> str | None:
+def current_version(spark: SparkSession, full_name: str) -> str | None:
+    """The folder that a published name reads, ``None`` if nothing is published."""
     if not spark.catalog.tableExists(full_name):
         return None
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {full_name}").where("col_name = 'Location'").collect()
-    return rows[0].data_type if rows else None
+    held = spark.sql(f"SHOW TBLPROPERTIES {full_name}").where(F.col("key") == VERSION).first()
+    return held["value"] if held else None
+
+
+def write_version(spark: SparkSession, df: DataFrame, full_name: str, fmt: str = "parquet",
+                  root: str | None = None) -> tuple[str, int]:
+    """Write ``df`` once into a new version folder; readers see nothing of it
+    yet. The rows are counted by an ``Observation`` of that write. Returns
+    the folder and the rows."""
+    version = f"{_table_root(spark, full_name, root)}/v-{uuid.uuid4().hex}"
+    obs = Observation(f"rows_{full_name}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("errorifexists").save(version)
+    return version, int(obs.get["rows"])
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    """Remove a replaced table version (best effort: a leftover version is
-    unreferenced, never read)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    except Exception:
-        pass
+def switch(spark: SparkSession, full_name: str, version: str, fmt: str = "parquet") -> None:
+    """Make ``version`` what the name reads: one catalog operation, whether
+    or not the schema has changed, so there is no moment without the name.
+    (A plain table of that name, from another writer, is dropped first.)"""
+    if spark.catalog.tableExists(full_name) and spark.catalog.getTable(full_name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {full_name}")
+    spark.sql(f"CREATE OR REPLACE VIEW {full_name} TBLPROPERTIES ('{VERSION}' = '{version}') "
+              f"AS SELECT * FROM {fmt}.`{version}`")
 
 
 def publish(spark: SparkSession, df: DataFrame, full_name: str, fmt: str = "parquet",
-            root: str | None = None) -> int | None:
+            root: str | None = None, skip_empty: bool = False) -> int | None:
     """Write ``df`` once into a new version folder and make it the table.
 
-    The rows are counted by an ``Observation`` during that single write. A
-    result with no rows is not published: the table keeps its previous
-    version. Readers see the old version until the new one is complete, and
-    a job that fails mid-write leaves the table as it was. With an unchanged
-    schema the switch is one ``ALTER TABLE … SET LOCATION``; a new schema
-    re-creates the table. The replaced version's files are removed after the
-    switch. Returns the rows written,
-    or ``None`` when nothing was published.
-    """
-    version = f"{_table_root(spark, full_name, root)}/v-{uuid.uuid4().hex}"
-    obs = Observation(f"rows_{full_name}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("errorifexists").save(version)
-    rows = int(obs.get["rows"])
-    if rows == 0:
-        _delete(spark, version)
-        return None
-    previous = _current_location(spark, full_name)
-    new_schema = spark.read.format(fmt).load(version).schema
-    if previous and spark.table(full_name).schema == new_schema:
-        # same schema: one catalog operation switches readers to the new files
-        spark.sql(f"ALTER TABLE {full_name} SET LOCATION '{version}'")
-        spark.catalog.refreshTable(full_name)
-    else:
-        spark.sql(f"DROP TABLE IF EXISTS {full_name}")
-        spark.catalog.createTable(full_name, path=version, source=fmt)
-    if previous and previous.rstrip("/") != version.rstrip("/"):
-        _delete(spark, previous)
-    return rows
+    Readers see the old version until the new one is complete, and a job that
+    fails mid-write leaves the name as it was. Earlier versions stay, so a
+    query planned before the switch still finds its files; ``clean_versions``
+    removes them by age. A result with no rows is published as an empty table
+    with its schema, unless ``skip_empty``, which leaves the name alone and
+    returns ``None``. Returns the rows written."""
+    return load_all({full_name: df}, None, fmt, root, 1, skip_empty)[full_name]
 
 
 def load_all(tables: Mapping[str, DataFrame], database: str | None = None, fmt: str = "parquet",
-             root: str | None = None, concurrency: int = 4) -> dict[str, int | None]:
-    """SNK-2: publish each DataFrame as a table (``publish``); a DataFrame
-    with no rows is skipped and the table keeps its previous contents.
-
-    Returns the rows written per table (``None`` for skipped ones). Each
-    table is computed exactly once: there is no separate emptiness or count
-    job over the data. The tables of one call are independent, so up to
-    ``concurrency`` of them are written as concurrent Spark jobs (later jobs
-    use the task slots that the tail stages of earlier ones leave idle).
-    """
+             root: str | None = None, concurrency: int = 4, skip_empty: bool = False) -> dict[str, int | None]:
+    """SNK-2: publish each DataFrame as a table. With ``skip_empty`` (the raw
+    loader's way) a DataFrame with no rows is skipped and its table keeps its
+    previous contents.
+
+    First all versions are written, up to ``concurrency`` of them as
+    concurrent Spark jobs (the tables of one call are independent); only when
+    every write has succeeded are the names switched, one after the other. If
+    a write fails, no table has changed. Each table is computed exactly once:
+    there is no separate emptiness or count job over the data. Returns the
+    rows written per table (``None`` for skipped ones)."""
     if not tables:
         return {}
     spark = next(iter(tables.values())).sparkSession
+    full = {name: f"{database}.{name}" if database else name for name in tables}
 
-    def one(item):
-        name, df = item
-        return name, publish(spark, df, f"{database}.{name}" if database else name, fmt, root)
+    def one(name: str) -> tuple[str, int]:
+        return write_version(spark, tables[name], full[name], fmt, root)
 
     if concurrency <= 1 or len(tables) == 1:
-        return dict(map(one, tables.items()))
-    with ThreadPoolExecutor(max_workers=min(concurrency, len(tables))) as pool:
-        done = dict(pool.map(one, tables.items()))
-    return {name: done[name] for name in tables}
+        written = {name: one(name) for name in tables}
+    else:
+        with ThreadPoolExecutor(max_workers=min(concurrency, len(tables))) as pool:
+            written = dict(zip(tables, pool.map(one, tables)))
+    out: dict[str, int | None] = {}
+    for name, (version, rows) in written.items():
+        out[name] = None if skip_empty and not rows else rows
+        if out[name] is not None:
+            switch(spark, full[name], version, fmt)
+    return out
+
+
+def clean_versions(spark: SparkSession, full_name: str, root: str | None = None, keep: int = 2,
+                   older_than_hours: float = 24.0) -> list[str]:
+    """Remove versions of a published name that no reader should need any
+    more: neither the current one, nor among the ``keep`` newest, nor younger
+    than ``older_than_hours``. Returns the removed folders; a folder that
+    cannot be removed raises."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(_table_root(spark, full_name, root))
+    disk = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not disk.exists(folder):
+        return []
+    current = (current_version(spark, full_name) or "").rstrip("/").rpartition("/")[2]
+    found = sorted(((x.getModificationTime(), x.getPath()) for x in disk.listStatus(folder)
+                    if x.isDirectory() and x.getPath().getName().startswith("v-")), key=lambda v: -v[0])
+    limit, gone = (time.time() - 3600 * older_than_hours) * 1000, []
+    for at, path in found[max(1, keep):]:
+        if at < limit and path.getName() != current:
+            if not disk.delete(path, True):
+                raise OSError(f"cannot remove {path}")
+            gone.append(path.toString())
+    return gone
 
 
 def write_with_schema(spark: SparkSession, data, name: str, schema: StructType, fmt: str = "parquet",
