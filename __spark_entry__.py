@@ -22,15 +22,15 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import Column, DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql.types import ArrayType, DecimalType, TimestampNTZType, TimestampType  # noqa: E402
 
 from tunestats import fixtures as fx  # noqa: E402
 from tunestats import oracle, schemas  # noqa: E402
-from tunestats.plans import marts, model, reports  # noqa: E402
+from tunestats.plans import marts, model, pipeline, reports  # noqa: E402
 from tunestats.session import apply_scale_conf, shared_dir  # noqa: E402
-from tunestats.sinks import ensure_schema, load_all, write_with_schema  # noqa: E402
+from tunestats.sinks import ensure_schema, load_all, publish, write_with_schema  # noqa: E402
 from tunestats.sources import enrich, harvest_keys, recent  # noqa: E402
 
 try:  # the training-data queries: only where their subpackage is there
@@ -60,26 +60,76 @@ def _present(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------ builders --
-_BASES: dict[tuple, DataFrame] = {}
-
-
-def _base(spark: SparkSession, d: str, holes: bool = True) -> DataFrame:
-    """The wide play table over the stand-ins. The plan (not its data) is
-    built once per session and shared by the queries derived from it, as a
-    stored wide table would be; every query still executes all of its work."""
-    try:
-        key = (id(spark._jsparkSession), d, holes)
-    except Exception:
-        key = None
-    if key is None or key not in _BASES or _BASES[key].sparkSession is not spark:
-        fct = model.fct_plays(fx.plays_li(spark, d))
-        tracks = model.dim_tracks(fx.tracks_raw(spark, d, holes))
-        artists = model.dim_artists(fx.artists_raw(spark, d, holes))
-        base = marts.base_analytics(fct, tracks, artists)
-        if key is None:
-            return base
-        _BASES[key] = base
-    return _BASES[key]
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def _lazy_base(spark: SparkSession, d: str, holes: bool = True) -> DataFrame:
+    """The wide play table in one plan, from the raw stand-ins."""
+    return marts.base_analytics(model.fct_plays(fx.plays_li(spark, d)), model.dim_tracks(fx.tracks_raw(spark, d, holes)),
+                                model.dim_artists(fx.artists_raw(spark, d, holes)))
+
+
+def _stored(spark: SparkSession, d: str) -> str:
+    """The path that ships: land the pages of every kind, run the three
+    layers, and return the prefix of the databases that hold their tables.
+    Run once for each application and input folder; marts, reports and tiles
+    then read the stored tables, as their users do."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _STORED:
+        run = uuid.uuid4().hex
+        root = f"{shared_dir(spark)}/stored-{run}"
+        pipeline.run(spark, fx.land(spark, d, f"{root}/landing"), f"tunestats_{run}", f"{root}/tables")
+        _STORED[key] = f"tunestats_{run}"
+    return _STORED[key]
+
+
+def _bronze(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.table(f"{_stored(spark, d)}_bronze.{name}")
+
+
+def _silver(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.table(f"{_stored(spark, d)}_silver.{name}")
+
+
+def _gold(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.table(f"{_stored(spark, d)}_gold.{name}")
+
+
+def _base(spark: SparkSession, d: str) -> DataFrame:
+    return _gold(spark, d, "base_analytics")
+
+
+def _time_join(spark: SparkSession, d: str) -> DataFrame:
+    """The wide table with its time attributes from the stored dim_time."""
+    return marts.base_analytics(*(_silver(spark, d, t) for t in ("fct_plays", "dim_tracks", "dim_artists", "dim_time")))
+
+
+def _positioned(df: DataFrame, *order: Column) -> DataFrame:
+    """The place of every row of a small result in a stated order."""
+    return df.withColumn("position", F.row_number().over(Window.orderBy(*order)))
+
+
+def _relanded(df: DataFrame, key: str, name: str) -> DataFrame:
+    """The rows, and some of them once more with another name (fixed rule by
+    the key's last character): smaller, larger or missing."""
+    last = F.substring(key, -1, 1)
+    other = F.when(last == "1", F.concat(F.lit("!"), name)).when(last == "4", F.concat(F.col(name), F.lit("~")))
+    return df.unionByName(df.where(last.isin("1", "4", "7")).withColumn(name, other))
+
+
+def _overwrite_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Publish twice under one name: the fact, then fewer rows of another schema."""
+    run = uuid.uuid4().hex
+    root = f"{shared_dir(spark)}/overwrite-{run}"
+    ensure_schema(spark, "tunestats_roundtrip", location=f"{root}/db")
+    name = f"tunestats_roundtrip.overwritten_{run}"
+    publish(spark, model.fct_plays(fx.plays_li(spark, d)), name, root=root)
+    publish(spark, fx.playlists_raw(spark, d).select("playlist_id", "total_tracks"), name, root=root)
+    return spark.table(name)
+
+
+def _kpis(spark: SparkSession, d: str) -> DataFrame:
+    return reports.report_kpis(_gold(spark, d, "gold_user_listening_summary"))
 
 
 def _harvest(spark: SparkSession, d: str):
@@ -123,44 +173,57 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "enrich_artists": lambda s, d: enrich(fx.artists_raw(s, d), _harvest(s, d)[1], "artist_id"),
         # model
         "dim_time": lambda s, d: model.dim_time(fx.plays_li(s, d)),
-        "dim_tracks": lambda s, d: model.dim_tracks(fx.tracks_raw(s, d)),
-        "dim_artists": lambda s, d: model.dim_artists(fx.artists_raw(s, d)),
-        "dim_playlists": lambda s, d: model.dim_playlists(fx.playlists_raw(s, d)),
+        "dim_tracks": lambda s, d: model.dim_tracks(_relanded(fx.tracks_raw(s, d).drop("preview_url"), "track_id", "track_name")),
+        "dim_artists": lambda s, d: model.dim_artists(_relanded(fx.artists_raw(s, d), "artist_id", "artist_name")),
+        "dim_playlists": lambda s, d: model.dim_playlists(
+            _relanded(fx.playlists_raw(s, d).drop("followers"), "playlist_id", "playlist_name")),
         "fct_plays_ev": lambda s, d: model.fct_plays(fx.plays_ev(s, d)),
         "fct_plays_li": lambda s, d: model.fct_plays(fx.plays_li(s, d)),
         # marts
-        "base_analytics": lambda s, d: _base(s, d),
+        "base_analytics": lambda s, d: _lazy_base(s, d),
+        "base_analytics_time_join": _time_join,
         "user_summary": lambda s, d: marts.user_summary(_base(s, d)),
-        "user_summary_full_dims": lambda s, d: marts.user_summary(_base(s, d, holes=False)),
+        "user_summary_full_dims": lambda s, d: marts.user_summary(_lazy_base(s, d, holes=False)),
         "top_tracks": lambda s, d: marts.top_tracks(_base(s, d)),
-        "top_artists": lambda s, d: marts.top_artists(_base(s, d)),
+        "top_artists": lambda s, d: marts.top_artists(_base(s, d), artists=_silver(s, d, "dim_artists")),
         "genre_trends": lambda s, d: marts.genre_trends(_base(s, d)),
         "listening_patterns": lambda s, d: marts.listening_patterns(_base(s, d)),
+        # the layers' stored tables
+        "pipeline_bronze_plays": lambda s, d: _bronze(s, d, "bronze_play_history"),
+        "pipeline_bronze_playlists": lambda s, d: _bronze(s, d, "bronze_playlists"),
+        "pipeline_fct_plays": lambda s, d: _silver(s, d, "fct_plays"),
+        "pipeline_base": _base,
+        "pipeline_summary": lambda s, d: _gold(s, d, "gold_user_listening_summary"),
+        "pipeline_top_tracks": lambda s, d: _gold(s, d, "gold_top_tracks"),
+        "pipeline_top_artists": lambda s, d: _gold(s, d, "gold_top_artists"),
+        "pipeline_genre_trends": lambda s, d: _gold(s, d, "gold_genre_trends"),
+        "pipeline_listening_patterns": lambda s, d: _gold(s, d, "gold_listening_patterns"),
+        # their orders, as a column
+        "top_tracks_ordered": lambda s, d: _positioned(reports.report_top_tracks(_gold(s, d, "gold_top_tracks")), F.desc("play_count"), *map(
+            F.asc_nulls_last, ("track_name", "artist_name")), F.desc("popularity")),
+        "genre_trends_ordered": lambda s, d: _positioned(
+            marts.genre_trends(_base(s, d), ordered=True), F.asc("month"), F.desc("total_plays"), F.asc("genre")),
+        "listening_patterns_ordered": lambda s, d: _positioned(
+            marts.listening_patterns(_base(s, d), ordered=True), F.asc_nulls_first("hour_of_day"), F.asc_nulls_first("weekday_name")),
         # reports
-        "report_genre_trends": lambda s, d: reports.report_genre_trends(marts.genre_trends(_base(s, d))),
-        "report_top_artists": lambda s, d: reports.report_top_artists(marts.top_artists(_base(s, d))),
-        "report_top_tracks": lambda s, d: reports.report_top_tracks(marts.top_tracks(_base(s, d))),
-        "report_day_parts": lambda s, d: reports.report_day_parts(marts.listening_patterns(_base(s, d))),
-        "report_kpis": lambda s, d: reports.report_kpis(marts.user_summary(_base(s, d))),
-        "report_top_genres": lambda s, d: reports.report_top_genres(marts.genre_trends(_base(s, d))),
+        "report_genre_trends": lambda s, d: reports.report_genre_trends(_gold(s, d, "gold_genre_trends")),
+        "report_top_artists": lambda s, d: reports.report_top_artists(_gold(s, d, "gold_top_artists")),
+        "report_top_tracks": lambda s, d: reports.report_top_tracks(_gold(s, d, "gold_top_tracks")),
+        "report_day_parts": lambda s, d: reports.report_day_parts(_gold(s, d, "gold_listening_patterns")),
+        "report_kpis": lambda s, d: reports.report_kpis(_gold(s, d, "gold_user_listening_summary")),
+        "report_top_genres": lambda s, d: reports.report_top_genres(_gold(s, d, "gold_genre_trends")),
         # tiles
-        "tile_genre_plays": lambda s, d: reports.tile_genre_plays(
-            reports.report_genre_trends(marts.genre_trends(_base(s, d)))),
-        "tile_artist_minutes": lambda s, d: reports.tile_artist_minutes(
-            reports.report_top_artists(marts.top_artists(_base(s, d)))),
-        "tile_track_plays": lambda s, d: reports.tile_track_plays(
-            reports.report_top_tracks(marts.top_tracks(_base(s, d)))),
-        "tile_heatmap": lambda s, d: reports.tile_heatmap(
-            reports.report_day_parts(marts.listening_patterns(_base(s, d)))),
-        "tile_favourites": lambda s, d: reports.tile_favourites(
-            reports.report_kpis(marts.user_summary(_base(s, d)))),
-        "tile_total_tracks": lambda s, d: reports.tile_total_tracks(
-            reports.report_kpis(marts.user_summary(_base(s, d)))),
-        "tile_total_minutes": lambda s, d: reports.tile_total_minutes(
-            reports.report_kpis(marts.user_summary(_base(s, d)))),
+        "tile_genre_plays": lambda s, d: reports.tile_genre_plays(reports.report_genre_trends(_gold(s, d, "gold_genre_trends"))),
+        "tile_artist_minutes": lambda s, d: reports.tile_artist_minutes(reports.report_top_artists(_gold(s, d, "gold_top_artists"))),
+        "tile_track_plays": lambda s, d: reports.tile_track_plays(reports.report_top_tracks(_gold(s, d, "gold_top_tracks"))),
+        "tile_heatmap": lambda s, d: reports.tile_heatmap(reports.report_day_parts(_gold(s, d, "gold_listening_patterns"))),
+        "tile_favourites": lambda s, d: reports.tile_favourites(_kpis(s, d)),
+        "tile_total_tracks": lambda s, d: reports.tile_total_tracks(_kpis(s, d)),
+        "tile_total_minutes": lambda s, d: reports.tile_total_minutes(_kpis(s, d)),
         # sinks
         "write_read_roundtrip": _write_read_roundtrip,
         "write_with_schema_roundtrip": _write_with_schema_roundtrip,
+        "overwrite_roundtrip": _overwrite_roundtrip,
     }
     return q
 

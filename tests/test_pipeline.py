@@ -64,7 +64,7 @@ def test_rerun_is_deterministic(spark, run):
 
 
 def test_gold_equals_query_path(spark, run):
-    base = E._base(spark, SF_SMALL)
+    base = E._lazy_base(spark, SF_SMALL)
     for name, build in [("gold_top_tracks", marts.top_tracks), ("gold_top_artists", marts.top_artists),
                         ("gold_genre_trends", marts.genre_trends), ("gold_listening_patterns", marts.listening_patterns),
                         ("gold_user_listening_summary", marts.user_summary)]:

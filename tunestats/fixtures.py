@@ -44,33 +44,9 @@ LI_BAD_TIME = 997              # order key % 997 = 0: played_at malformed
 LI_MS_PER_QTY = 10007          # li duration_ms = quantity * 10007
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
-
-
-# Driver tables that carry volume (one row per play or playlist item).
-_SPREAD = {"lineitem", "events", "orders"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table, read once per session (listing and footer reads
-    are not repeated for every query built on it).
-
-    Each file holds a single row group, which Spark cannot split, so a scan
-    plans fewer input partitions than there are cores; the volume tables are
-    then spread round-robin over the session's default parallelism (a
-    many-file input on a cluster is left as it is; small lookup tables are
-    read as they are)."""
-    path = f"{sf_dir}/{name}.parquet"
-    try:
-        key = (id(spark._jsparkSession), path)
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # a session without a local JVM (Spark Connect): plain read
-        return spark.read.parquet(path)
-    if key not in _READS or _READS[key].sparkSession is not spark:
-        df = spark.read.parquet(path)
-        spread = name in _SPREAD and df.rdd.getNumPartitions() < cores
-        _READS[key] = df.repartition(cores) if spread else df
-    return _READS[key]
+    """One driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _str(c: Column | str) -> Column:

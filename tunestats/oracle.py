@@ -141,14 +141,17 @@ def with_(*ctes: str) -> str:
 
 BASE_CTES = (PLAYS_LI, tracks_raw(), artists_raw(), fct("plays_li", "fct_li"), base())
 
-SUMMARY = """summary AS (
-  SELECT us.user_id, us.total_tracks, us.unique_artists, us.total_units, ta.favorite_artist, tt.top_track
-  FROM (SELECT 'default_user' AS user_id, COUNT(play_id) AS total_tracks,
-               COUNT(DISTINCT artist_id) AS unique_artists, SUM({u}) AS total_units FROM {b}) us
-  CROSS JOIN (SELECT artist_name AS favorite_artist, COUNT(*) AS plays FROM {b} GROUP BY artist_name
-              ORDER BY plays DESC, favorite_artist ASC NULLS LAST LIMIT 1) ta
-  CROSS JOIN (SELECT track_name AS top_track, COUNT(*) AS plays FROM {b} GROUP BY track_name
-              ORDER BY plays DESC, top_track ASC NULLS LAST LIMIT 1) tt)"""
+SUMMARY = """artist_rank AS (
+  SELECT artist_name, row_number() OVER (ORDER BY n DESC, artist_name ASC NULLS LAST) AS place
+  FROM (SELECT artist_name, COUNT(*) AS n FROM {b} GROUP BY ALL)),
+track_rank AS (
+  SELECT track_name, row_number() OVER (ORDER BY n DESC, track_name ASC NULLS LAST) AS place
+  FROM (SELECT track_name, COUNT(*) AS n FROM {b} GROUP BY ALL)),
+summary AS (
+  SELECT 'default_user' AS user_id, COUNT(play_id) AS total_tracks, COUNT(DISTINCT artist_id) AS unique_artists,
+         SUM({u}) AS total_units, (SELECT artist_name FROM artist_rank WHERE place = 1) AS favorite_artist,
+         (SELECT track_name FROM track_rank WHERE place = 1) AS top_track
+  FROM {b} HAVING COUNT(*) > 0)"""
 
 
 def summary(b: str = "base") -> str:
@@ -192,6 +195,18 @@ DAY_PARTS = f"""day_parts AS (
   FROM patterns GROUP BY weekday_name, time_period)"""
 
 
+def relanded(raw: str, key: str, name: str) -> str:
+    """Re-landed rows and the survivor of each key: the smallest row, NULL first."""
+    return f"""landed AS (
+  SELECT * FROM {raw} UNION ALL BY NAME
+  SELECT * REPLACE (CASE right({key}, 1) WHEN '1' THEN '!' || {name} WHEN '4' THEN {name} || '~' END AS {name})
+  FROM {raw} WHERE right({key}, 1) IN ('1', '4', '7')),
+survivors AS (
+  SELECT * EXCLUDE (_place) FROM (
+    SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {name} ASC NULLS FIRST) AS _place FROM landed)
+  WHERE _place = 1)"""
+
+
 def statements() -> dict[str, str]:
     B = with_(*BASE_CTES)
     q: dict[str, str] = {}
@@ -242,10 +257,12 @@ SELECT {ts('play_timestamp')} AS play_timestamp, CAST(hour(play_timestamp) AS IN
        strftime(play_timestamp, '%a') AS weekday_name, strftime(play_timestamp, '%b') AS month_name,
        CAST(quarter(play_timestamp) AS INTEGER) AS quarter, CAST(year(play_timestamp) AS INTEGER) AS year
 FROM (SELECT DISTINCT TRY_CAST(played_at AS TIMESTAMP) AS play_timestamp FROM plays_li)"""
-    q["dim_tracks"] = with_(tracks_raw()) + "SELECT * FROM tracks_raw"
-    q["dim_artists"] = with_(artists_raw()) + (
-        "SELECT artist_id, artist_name, CAST(to_json(genres) AS VARCHAR) AS genres, followers, popularity, uri FROM artists_raw")
-    q["dim_playlists"] = with_(PLAYLISTS_RAW) + "SELECT * FROM playlists_raw"
+    q["dim_tracks"] = with_(tracks_raw(), relanded("tracks_raw", "track_id", "track_name")) + (
+        "SELECT * REPLACE (CAST(NULL AS VARCHAR) AS preview_url) FROM survivors")
+    q["dim_artists"] = with_(artists_raw(), relanded("artists_raw", "artist_id", "artist_name")) + (
+        "SELECT artist_id, artist_name, CAST(to_json(genres) AS VARCHAR) AS genres, followers, popularity, uri FROM survivors")
+    q["dim_playlists"] = with_(PLAYLISTS_RAW, relanded("playlists_raw", "playlist_id", "playlist_name")) + (
+        "SELECT * REPLACE (CAST(NULL AS BIGINT) AS followers) FROM survivors")
     fct_cols = (f"SELECT play_id, {ts('play_timestamp')} AS play_timestamp, track_id, artist_id, album_id, "
                 "duration_ms, context_type FROM ")
     q["fct_plays_ev"] = with_(PLAYS_EV, fct("plays_ev", "fct_ev")) + fct_cols + "fct_ev"
@@ -304,5 +321,22 @@ ORDER BY total_plays DESC, genre ASC NULLS LAST LIMIT 10"""
 
     # ---- sinks (content read back) ----------------------------------
     q["write_read_roundtrip"] = q["fct_plays_li"]
-    q["write_with_schema_roundtrip"] = q["dim_tracks"]
+    q["write_with_schema_roundtrip"] = with_(tracks_raw()) + "SELECT * REPLACE (CAST(NULL AS VARCHAR) AS preview_url) FROM tracks_raw"
+    q["overwrite_roundtrip"] = with_(PLAYLISTS_RAW) + "SELECT playlist_id, total_tracks FROM playlists_raw"
+
+    # ---- the layers' stored tables, and orders ------------------------
+    q["pipeline_bronze_plays"] = with_(PLAYS_LI) + "SELECT * FROM plays_li"
+    q["pipeline_bronze_playlists"] = q["flatten_playlist_pages"]
+    q["pipeline_fct_plays"] = q["fct_plays_li"]
+    for name, same in (("base", "base_analytics"), ("summary", "user_summary"), ("top_tracks", "top_tracks"),
+                       ("top_artists", "top_artists"), ("genre_trends", "genre_trends"), ("listening_patterns", "listening_patterns")):
+        q[f"pipeline_{name}"] = q[same]
+    q["base_analytics_time_join"] = q["base_analytics"]
+    place = "CAST(row_number() OVER (ORDER BY {}) AS INTEGER) AS position"
+    q["top_tracks_ordered"] = "SELECT *, " + place.format(
+        "play_count DESC, track_name ASC NULLS LAST, artist_name ASC NULLS LAST, popularity DESC NULLS LAST") + (
+        f" FROM ({q['report_top_tracks']})")
+    q["genre_trends_ordered"] = "SELECT *, " + place.format("month ASC NULLS FIRST, total_plays DESC, genre ASC") + f" FROM ({q['genre_trends']})"
+    q["listening_patterns_ordered"] = "SELECT *, " + place.format("hour_of_day ASC NULLS FIRST, weekday_name ASC NULLS FIRST") + (
+        f" FROM ({q['listening_patterns']})")
     return q
