@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunestats.llm import bpe, decontam, langid, lmscore, neardup, pii, quality, rules, secrets, warc
+from tunestats.llm import bpe, decontam, langid, lmscore, neardup, oracle, pii, quality, rules, secrets, warc
 from tunestats.llm.sampling import fold
 from tunestats.llm.shared import shared_root
 from tunestats.llm.spans import told
@@ -119,4 +119,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lmscore": op10_lmscore,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = dict(oracle.STATEMENTS)
