@@ -175,3 +175,40 @@ def test_second_run_leaves_no_stale_gold(spark):
     assert spark.table("te2_gold.gold_user_listening_summary").first().total_tracks == 5
     assert spark.table("te2_gold.gold_genre_trends").count() == 0
     assert again["bronze"]["bronze_playlists"] is None
+
+
+def test_dated_landing_and_broken_pages(spark):
+    """Days before the window are not read; broken pages are counted and kept."""
+    import contextlib
+    import io
+    import json
+    import os
+    import tempfile
+    from tunestats.sources import read_raw, window_start
+    root = tempfile.mkdtemp(prefix="tunestats-dated-")
+    landing = {k: f"{root}/{k}" for k in pipeline.LANDING_KEYS}
+
+    def page(day, i):
+        return json.dumps({"items": [{"played_at": f"2024-01-{day}T1{i}:00:00Z", "track": {"id": f"t{day}{i}", "name": "T", "duration_ms": 1}}]})
+
+    def put(folder, *lines):
+        os.makedirs(folder, exist_ok=True)
+        with open(f"{folder}/p.json", "w") as f:
+            f.write("\n".join(lines) + "\n")
+
+    for day in ("10", "14", "15"):
+        put(f"{landing['plays']}/land_date=2024-01-{day}", page(day, 1), "{broken " + day, page(day, 2))
+    for kind, body in (("playlists", {"items": []}), ("playlist_tracks", {"items": []}), ("tracks", {"tracks": []}), ("artists", {"artists": []})):
+        put(landing[kind], json.dumps(body))
+    run_ts = "2024-01-15T12:30:00Z"
+    out = pipeline.run_bronze(spark, landing, database="td", root=f"{root}/t", run_ts=run_ts, mode="PERMISSIVE")
+    assert out["bronze_play_history"] == 2 and out["bronze_corrupt_pages"] == 2
+    assert {r.track_id for r in spark.table("td_bronze.bronze_play_history").collect()} == {"t151", "t152"}
+    assert {r.page for r in spark.table("td_bronze.bronze_corrupt_pages").collect()} == {"{broken 14", "{broken 15"}
+    since = F.to_date(window_start(run_ts))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        read_raw(spark, "bronze_play_history", landing["plays"], since=since).explain()
+    assert "PartitionFilters: [isnotnull(land_date" in buf.getvalue()
+    with pytest.raises(Exception):
+        pipeline.run_bronze(spark, landing, database="td2", root=f"{root}/t2", run_ts=run_ts)

@@ -31,6 +31,7 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--window-hours", type=int, default=24)
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--mode", default="FAILFAST", choices=("FAILFAST", "PERMISSIVE"), help="what a broken landed page does")
+    ap.add_argument("--multi-line", action="store_true", help="landed files hold one page each, not one page per line")
     ap.add_argument("--cluster-profile", action="store_true",
                     help="apply session.CLUSTER_PROFILE (settings for ~100 TB runs)")
     a = ap.parse_args(argv)
@@ -44,7 +45,7 @@ def main(argv: list[str] | None = None) -> dict:
         if not a.landing:
             ap.error("--landing is needed for the bronze layer")
         landing = {k: f"{a.landing}/{k}" for k in pipeline.LANDING_KEYS}
-        out["bronze"] = pipeline.run_bronze(spark, landing, a.database, a.root, a.run_ts, a.window_hours, a.format, a.mode)
+        out["bronze"] = pipeline.run_bronze(spark, landing, a.database, a.root, a.run_ts, a.window_hours, a.format, a.mode, a.multi_line)
     if "silver" in layers:
         out["silver"] = pipeline.run_silver(spark, a.database, a.root, a.format)
     if "gold" in layers:

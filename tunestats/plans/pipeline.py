@@ -14,15 +14,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tunestats import schemas
 from tunestats.functions import DEFAULT_USER
 from tunestats.plans import marts, model
 from tunestats.session import apply_scale_conf
 from tunestats.sinks import ensure_schema, load_all
-from tunestats.sources import enrich, harvest_keys, read_raw, recent
+from tunestats.sources import corrupt_pages, enrich, harvest_keys, read_raw, recent, window_start
 
 RAW = ("bronze_play_history", "bronze_playlists", "bronze_playlist_tracks", "bronze_tracks", "bronze_artists")
 SILVER = ("dim_time", "dim_tracks", "dim_artists", "dim_playlists", "fct_plays")
@@ -51,11 +53,14 @@ CATALOGUE = ("bronze_tracks", "bronze_artists")
 
 def bronze_activity(spark: SparkSession, landing: Mapping[str, str | list[str]],
                     run_ts: str | datetime | None = None, window_hours: int = 24,
-                    mode: str = "FAILFAST") -> dict[str, DataFrame]:
+                    mode: str = "FAILFAST", multi_line: bool = False) -> dict[str, DataFrame]:
     """Raw plays, playlists and playlist items from landed pages (``landing``
     maps ``plays``, ``playlists``, ``playlist_tracks`` to paths). With
-    ``run_ts`` only plays after ``run_ts - window_hours`` are kept."""
-    raw = {LANDING_KEYS[k]: read_raw(spark, LANDING_KEYS[k], landing[k], mode)
+    ``run_ts`` only plays after ``run_ts - window_hours`` are kept; of a plays
+    folder landed by day (``land_date=...``) earlier days are then not read,
+    as a play lands on its own day or later."""
+    since = None if run_ts is None else F.to_date(window_start(run_ts, window_hours))
+    raw = {LANDING_KEYS[k]: read_raw(spark, LANDING_KEYS[k], landing[k], mode, multi_line, since if k == "plays" else None)
            for k in ("plays", "playlists", "playlist_tracks")}
     if run_ts is not None:
         raw["bronze_play_history"] = recent(raw["bronze_play_history"], run_ts, window_hours)
@@ -63,27 +68,36 @@ def bronze_activity(spark: SparkSession, landing: Mapping[str, str | list[str]],
 
 
 def bronze_catalogue(spark: SparkSession, landing: Mapping[str, str | list[str]], plays: DataFrame,
-                     playlist_tracks: DataFrame, mode: str = "FAILFAST") -> dict[str, DataFrame]:
+                     playlist_tracks: DataFrame, mode: str = "FAILFAST", multi_line: bool = False) -> dict[str, DataFrame]:
     """Raw track and artist catalogue rows from landed pages, restricted to
     the ids harvested from ``plays`` and ``playlist_tracks`` (pass the
     stored raw tables: the harvest then reads two columns of each)."""
     track_keys, artist_keys = harvest_keys(plays, playlist_tracks)
     return {
-        "bronze_tracks": enrich(read_raw(spark, "bronze_tracks", landing["tracks"], mode), track_keys, "track_id"),
-        "bronze_artists": enrich(read_raw(spark, "bronze_artists", landing["artists"], mode), artist_keys,
+        "bronze_tracks": enrich(read_raw(spark, "bronze_tracks", landing["tracks"], mode, multi_line), track_keys, "track_id"),
+        "bronze_artists": enrich(read_raw(spark, "bronze_artists", landing["artists"], mode, multi_line), artist_keys,
                                  "artist_id"),
     }
 
 
 def bronze_tables(spark: SparkSession, landing: Mapping[str, str | list[str]],
                   run_ts: str | datetime | None = None, window_hours: int = 24,
-                  mode: str = "FAILFAST") -> dict[str, DataFrame]:
+                  mode: str = "FAILFAST", multi_line: bool = False) -> dict[str, DataFrame]:
     """All five raw tables as DataFrames (nothing stored in between)."""
-    act = bronze_activity(spark, landing, run_ts, window_hours, mode)
-    cat = bronze_catalogue(spark, landing, act["bronze_play_history"], act["bronze_playlist_tracks"], mode)
+    act = bronze_activity(spark, landing, run_ts, window_hours, mode, multi_line)
+    cat = bronze_catalogue(spark, landing, act["bronze_play_history"], act["bronze_playlist_tracks"], mode, multi_line)
     return {k: {**act, **cat}[k] for k in RAW}
 
 
+def bronze_corrupt(spark: SparkSession, landing: Mapping[str, str | list[str]], run_ts: str | datetime | None = None,
+                   window_hours: int = 24, multi_line: bool = False) -> DataFrame:
+    """(kind, page): the landed pages that a permissive run passes over."""
+    since = None if run_ts is None else F.to_date(window_start(run_ts, window_hours))
+    parts = [corrupt_pages(spark, LANDING_KEYS[k], path, multi_line, since if k == "plays" else None)
+             for k, path in landing.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def silver_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Star schema from the raw tables."""
     return {
@@ -134,20 +148,25 @@ def _loc(root: str | None, layer: str) -> str | None:
 
 def run_bronze(spark: SparkSession, landing: Mapping[str, str | list[str]], database: str = "tunestats",
                root: str | None = None, run_ts: str | datetime | None = None, window_hours: int = 24,
-               fmt: str = "parquet", mode: str = "FAILFAST") -> dict[str, int | None]:
+               fmt: str = "parquet", mode: str = "FAILFAST", multi_line: bool = False) -> dict[str, int | None]:
     """Layer 1: landed pages → the five raw tables. A raw table for which
-    nothing has landed keeps its contents (``None``). ``mode`` is that of the
-    JSON reader."""
+    nothing has landed keeps its contents (``None``). ``mode`` and
+    ``multi_line`` are those of the page reader; a ``PERMISSIVE`` run also
+    stores the text of broken pages as ``bronze_corrupt_pages`` and tells
+    their number."""
     dbs = _prepare(spark, database, root)
-    written = load_all(bronze_activity(spark, landing, run_ts, window_hours, mode), dbs["bronze"], fmt,
+    written = load_all(bronze_activity(spark, landing, run_ts, window_hours, mode, multi_line), dbs["bronze"], fmt,
                        _loc(root, "bronze"), skip_empty=True)
     for name in ACTIVITY:                                   # nothing landed yet: an empty table, not none
         if not spark.catalog.tableExists(f"{dbs['bronze']}.{name}"):
             load_all({name: empty_raw(spark, name)}, dbs["bronze"], fmt, _loc(root, "bronze"))
     act = _read(spark, dbs["bronze"], ACTIVITY)
     written.update(load_all(
-        bronze_catalogue(spark, landing, act["bronze_play_history"], act["bronze_playlist_tracks"], mode),
+        bronze_catalogue(spark, landing, act["bronze_play_history"], act["bronze_playlist_tracks"], mode, multi_line),
         dbs["bronze"], fmt, _loc(root, "bronze"), skip_empty=True))
+    if mode == "PERMISSIVE":
+        broken = bronze_corrupt(spark, landing, run_ts, window_hours, multi_line)
+        written.update(load_all({"bronze_corrupt_pages": broken}, dbs["bronze"], fmt, _loc(root, "bronze")))
     for name in CATALOGUE:
         if not spark.catalog.tableExists(f"{dbs['bronze']}.{name}"):
             load_all({name: empty_raw(spark, name)}, dbs["bronze"], fmt, _loc(root, "bronze"))
@@ -177,7 +196,7 @@ def run_gold(spark: SparkSession, database: str = "tunestats", root: str | None
 def run(spark: SparkSession, landing: Mapping[str, str | list[str]], database: str = "tunestats",
         root: str | None = None, run_ts: str | datetime | None = None, window_hours: int = 24,
         fmt: str = "parquet", user_id: str = DEFAULT_USER,
-        mode: str = "FAILFAST") -> dict[str, dict[str, int | None]]:
+        mode: str = "FAILFAST", multi_line: bool = False) -> dict[str, dict[str, int | None]]:
     """Run all layers; returns rows written per table per layer.
 
     Tables go to the databases ``{database}_bronze`` / ``_silver`` /
@@ -185,7 +204,7 @@ def run(spark: SparkSession, landing: Mapping[str, str | list[str]], database: s
     (shared storage on a cluster). Each layer reads only the stored tables
     of the layer before it, so the three can also run as separate jobs."""
     written = {
-        "bronze": run_bronze(spark, landing, database, root, run_ts, window_hours, fmt, mode),
+        "bronze": run_bronze(spark, landing, database, root, run_ts, window_hours, fmt, mode, multi_line),
         "silver": run_silver(spark, database, root, fmt),
     }
     gold = run_gold(spark, database, root, fmt, user_id)

@@ -1,8 +1,9 @@
 """Sources: landed pages → raw tables, ingestion window, key harvest."""
 
-from tunestats.sources.ingest import enrich, harvest_keys, read_table, recent  # noqa: F401
+from tunestats.sources.ingest import enrich, harvest_keys, read_table, recent, window_start  # noqa: F401
 from tunestats.sources.pages import (  # noqa: F401
     PAGE_KINDS,
+    corrupt_pages,
     flatten_artists,
     flatten_play_history,
     flatten_playlist_tracks,

@@ -18,11 +18,15 @@ def _ts_literal(run_ts: str | datetime) -> Column:
     return F.lit(run_ts).cast("timestamp")
 
 
+def window_start(run_ts: str | datetime, hours: int = 24) -> Column:
+    """The instant after which a play belongs to the run."""
+    return _ts_literal(run_ts) - F.make_dt_interval(F.lit(0), F.lit(hours))
+
+
 def recent(plays: DataFrame, run_ts: str | datetime, hours: int = 24) -> DataFrame:
     """SRC-9: plays strictly after ``run_ts - hours`` (``run_ts`` is an
     explicit UTC instant, not the clock)."""
-    lower = _ts_literal(run_ts) - F.make_dt_interval(F.lit(0), F.lit(hours))
-    return plays.where(parse_ts("played_at") > lower)
+    return plays.where(parse_ts("played_at") > window_start(run_ts, hours))
 
 
 def _present(c: Column) -> Column:

@@ -10,24 +10,49 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tunestats import schemas
 from tunestats.functions import first_or_null, nonempty_ids
 from tunestats.operators import conform
 
 
+#: Partition column of a landing folder that is laid out by day
+#: (``.../land_date=2024-01-15/...``), and the column of a broken page's text.
+LAND_DATE = "land_date"
+CORRUPT = "_corrupt_record"
+
+
 def read_pages(spark: SparkSession, path: str | list[str], schema: StructType,
-               mode: str = "FAILFAST", multi_line: bool = False) -> DataFrame:
+               mode: str = "FAILFAST", multi_line: bool = False, since: Column | None = None) -> DataFrame:
     """Read landed pages with a fixed schema: JSON Lines (one page per line,
     files split across tasks), or with ``multi_line`` one document per file
     as an API returns it (one task per file).
 
     ``FAILFAST`` (default) fails the job on a malformed page instead of
     loading partial data; ``PERMISSIVE`` keeps going and reads a broken page
-    as a page with no items.
+    as a page with no items (``corrupt_pages`` returns its text).
+
+    ``since`` is the first day to read of a folder that is landed by day: a
+    filter on the partition column, so earlier days are not listed or read.
     """
-    return spark.read.schema(schema).option("mode", mode).option("multiLine", multi_line).json(path)
+    df = spark.read.schema(schema).option("mode", mode).option("multiLine", multi_line).json(path)
+    if LAND_DATE in df.columns:
+        if since is not None:
+            df = df.where(F.col(LAND_DATE) >= since)
+        df = df.drop(LAND_DATE)
+    return df
+
+
+def corrupt_pages(spark: SparkSession, table: str, path: str | list[str], multi_line: bool = False,
+                  since: Column | None = None) -> DataFrame:
+    """(kind, page): the text of every landed page that is not of its kind's form."""
+    schema, _ = PAGE_KINDS[table]
+    marked = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    pages = read_pages(spark, path, marked, "PERMISSIVE", multi_line, since)
+    # a page column is named too: Spark does not read the text alone
+    return pages.where(F.col(CORRUPT).isNotNull()).select(
+        F.lit(table).alias("kind"), F.col(CORRUPT).alias("page"), F.col(schema.fieldNames()[0]).isNull().alias("empty"))
 
 
 def parse_pages(df: DataFrame, text_col: str, schema: StructType, keep: list[str] | None = None,
@@ -150,10 +175,10 @@ PAGE_KINDS = {
 
 
 def read_raw(spark: SparkSession, table: str, path: str | list[str], mode: str = "FAILFAST",
-             multi_line: bool = False) -> DataFrame:
+             multi_line: bool = False, since: Column | None = None) -> DataFrame:
     """Read one kind of landed page and flatten it to its raw table."""
     schema, flatten = PAGE_KINDS[table]
-    return flatten(read_pages(spark, path, schema, mode, multi_line))
+    return flatten(read_pages(spark, path, schema, mode, multi_line, since))
 
 
 def read_play_history(spark: SparkSession, path, mode: str = "FAILFAST") -> DataFrame:
