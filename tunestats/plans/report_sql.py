@@ -1,64 +1,53 @@
-"""The report queries as Spark SQL text over the stored gold tables.
+"""The reports and tiles as views over the stored gold tables.
 
-Dashboards and ad-hoc users address the gold tables by name with SQL; these
-statements give the same rows as the DataFrame reports in ``reports.py``
-(ranking ties broken the same way) and run unchanged with ``spark.sql``.
+Dashboards and ad-hoc users address results by name with SQL. The views are
+made from the frames of ``reports.py``, so there is one statement of each.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
-from tunestats.functions import DAY_PARTS, NIGHT, TOP_ARTISTS_ROWS, TOP_GENRES_ROWS, TOP_TRACKS_ROWS
-
-
-def _day_part_sql(col: str = "hour_of_day") -> str:
-    whens = " ".join(f"WHEN {col} BETWEEN {lo} AND {hi} THEN '{name}'" for name, lo, hi in DAY_PARTS)
-    return f"CASE {whens} ELSE '{NIGHT}' END"
-
-
-def statements(gold: str) -> dict[str, str]:
-    """Report SQL over the gold database ``gold``."""
-    part = _day_part_sql()
-    return {
-        "report_genre_trends": f"SELECT month, genre, total_plays, avg_popularity FROM {gold}.gold_genre_trends",
-        "report_top_artists": (
-            f"SELECT artist_name, total_minutes, total_plays, unique_tracks FROM {gold}.gold_top_artists "
-            "ORDER BY total_minutes DESC, artist_name ASC NULLS LAST, total_plays DESC, unique_tracks DESC "
-            f"LIMIT {TOP_ARTISTS_ROWS}"),
-        "report_top_tracks": (
-            f"SELECT track_name, artist_name, play_count, popularity FROM {gold}.gold_top_tracks "
-            "ORDER BY play_count DESC, track_name ASC NULLS LAST, artist_name ASC NULLS LAST, "
-            f"popularity DESC NULLS LAST LIMIT {TOP_TRACKS_ROWS}"),
-        "report_day_parts": (
-            f"SELECT weekday_name, {part} AS time_period, SUM(total_minutes) AS total_minutes "
-            f"FROM {gold}.gold_listening_patterns GROUP BY weekday_name, {part} "
-            "ORDER BY weekday_name, time_period"),
-        "report_kpis": (
-            "SELECT total_tracks, unique_artists, total_minutes, favorite_artist, top_track "
-            f"FROM {gold}.gold_user_listening_summary"),
-        "report_top_genres": (
-            f"SELECT genre, SUM(total_plays) AS total_plays FROM {gold}.gold_genre_trends GROUP BY genre "
-            f"ORDER BY total_plays DESC, genre ASC NULLS LAST LIMIT {TOP_GENRES_ROWS}"),
-    }
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession
 
-def tile_statements(gold: str) -> dict[str, str]:
-    """The report tiles as SQL over the report statements (TIL-1 … TIL-7)."""
-    r = statements(gold)
-    return {
-        "tile_genre_plays": f"SELECT genre, month, total_plays FROM ({r['report_genre_trends']})",
-        "tile_artist_minutes": (f"SELECT total_minutes, artist_name FROM ({r['report_top_artists']}) "
-                                "ORDER BY total_minutes DESC"),
-        "tile_track_plays": f"SELECT track_name, play_count FROM ({r['report_top_tracks']})",
-        "tile_heatmap": (f"SELECT weekday_name, time_period, SUM(total_minutes) AS sum_total_minutes "
-                         f"FROM ({r['report_day_parts']}) GROUP BY weekday_name, time_period"),
-        "tile_favourites": f"SELECT top_track, favorite_artist FROM ({r['report_kpis']})",
-        "tile_total_tracks": f"SELECT SUM(total_tracks) AS sum_total_tracks FROM ({r['report_kpis']})",
-        "tile_total_minutes": f"SELECT SUM(total_minutes) AS sum_total_minutes FROM ({r['report_kpis']})",
-    }
+from tunestats.plans import reports
+
+#: report → gold table; tile → report.
+REPORTS: dict[str, str] = {
+    "report_genre_trends": "gold_genre_trends",
+    "report_top_artists": "gold_top_artists",
+    "report_top_tracks": "gold_top_tracks",
+    "report_day_parts": "gold_listening_patterns",
+    "report_kpis": "gold_user_listening_summary",
+    "report_top_genres": "gold_genre_trends",
+}
+TILES: dict[str, str] = {
+    "tile_genre_plays": "report_genre_trends",
+    "tile_artist_minutes": "report_top_artists",
+    "tile_track_plays": "report_top_tracks",
+    "tile_heatmap": "report_day_parts",
+    "tile_favourites": "report_kpis",
+    "tile_total_tracks": "report_kpis",
+    "tile_total_minutes": "report_kpis",
+}
+
+
+def frame(spark: SparkSession, name: str, gold: str) -> DataFrame:
+    """A report or tile over the gold database ``gold``."""
+    build: Callable[[DataFrame], DataFrame] = getattr(reports, name)
+    if name in TILES:
+        return build(frame(spark, TILES[name], gold))
+    return build(spark.table(f"{gold}.{REPORTS[name]}"))
+
+
+def register(spark: SparkSession, gold: str) -> list[str]:
+    """Make every report and tile a view of the session; returns their names."""
+    for name in (*REPORTS, *TILES):
+        frame(spark, name, gold).createOrReplaceTempView(name)
+    return [*REPORTS, *TILES]
 
 
 def run_report(spark: SparkSession, name: str, gold: str) -> DataFrame:
-    """Run a report or tile statement by name."""
-    return spark.sql({**statements(gold), **tile_statements(gold)}[name])
+    """A report or tile by name, through its view."""
+    frame(spark, name, gold).createOrReplaceTempView(name)
+    return spark.sql(f"SELECT * FROM {name}")
