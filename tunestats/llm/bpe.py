@@ -185,6 +185,19 @@ class Merges:
                     node = up
 
 
+class _Entries(dict):
+    """Numbers of pieces; asking for an unmet one enters it."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        k = self[piece] = len(self)
+        self.new.append(piece)
+        return k
+
+
 class WordBpe:
     """A tokenizer read from its JSON file (normaliser NFC, white space,
     lower case; words by the file's own pattern; byte-level; word-end BPE)."""
@@ -260,41 +273,50 @@ class WordBpe:
     def _clear(self) -> None:
         """Tables of what has been met: the ids of entry k are
         ``ids[start[k]:start[k] + count[k]]``."""
-        self.index: dict[str, int] = {}
+        self.index = _Entries()
         self.ids = np.empty(1 << 16, np.int32)
         self.start, self.count = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
         self.used = 0
 
-    def _keep(self, names: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
-        first, more = len(self.index), len(names)
-        while first + more > len(self.start):
-            self.start, self.count = np.resize(self.start, 2 * len(self.start)), np.resize(self.count, 2 * len(self.count))
+    def _keep(self, entries: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
         while self.used + len(ids) > len(self.ids):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
-        self.index.update(zip(names, range(first, first + more)))
-        self.start[first:first + more] = self.used + np.cumsum(counts) - counts
-        self.count[first:first + more] = counts
+        self.start[entries] = self.used + np.cumsum(counts) - counts
+        self.count[entries] = counts
         self.ids[self.used:self.used + len(ids)] = ids
         self.used += len(ids)
 
-    def _gather(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the entries, one after the other, and their counts."""
-        counts = self.count[entries]
-        return self.ids[spans(self.start[entries], counts)], counts
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Put unmet pieces (runs without white space) and their words into
-        the tables."""
-        mixed = [p for p in pieces if not p.isalpha()]
-        cuts = [self.words_of(p) for p in mixed]
-        words = list(({p for p in pieces if p.isalpha()} | set(chain.from_iterable(cuts))) - self.index.keys())
-        self._keep(words, *self.encode_words(words))
-        joint = [(p, ws) for p, ws in zip(mixed, cuts) if p not in self.index]
+    def _gather(self, entries: np.ndarray) -> np.ndarray:
+        """The ids of the entries, one after the other."""
+        return self.ids[spans(self.start[entries], self.count[entries])]
+
+    def _learn(self) -> None:
+        """Fill the entries that were met for the first time: words by their
+        merges, other pieces (runs without white space) by their words."""
+        new, self.index.new = self.index.new, []
+        if not new:
+            return
+        first, find = len(self.index) - len(new), self.index.__getitem__
+        joint, parts, lengths, words = [], [], [], []
+        for k, piece in enumerate(new):
+            cut = None if piece.isalpha() else self.words_of(piece)
+            if cut is None or len(cut) == 1 and cut[0] == piece:
+                words.append(k)
+            else:
+                joint.append(k)
+                lengths.append(len(cut))
+                parts += map(find, cut)
+        whole = np.concatenate((np.array(words, np.int64), np.arange(len(new), len(new) + len(self.index.new)))) + first
+        names = [new[k] for k in words] + self.index.new
+        self.index.new = []
+        while len(self.index) > len(self.start):
+            self.start, self.count = np.resize(self.start, 2 * len(self.start)), np.resize(self.count, 2 * len(self.count))
+        self._keep(whole, *self.encode_words(names))
         if joint:
-            parts = np.fromiter(map(self.index.__getitem__, chain.from_iterable(ws for _, ws in joint)), np.int64)
-            ids, counts = self._gather(parts)
-            owner = np.repeat(np.arange(len(joint)), [len(ws) for _, ws in joint])
-            self._keep([p for p, _ in joint], ids, np.bincount(owner, counts, len(joint)).astype(np.int64))
+            entries = np.array(parts, np.int64)
+            owner = np.repeat(np.arange(len(joint)), lengths)
+            counts = np.bincount(owner, self.count[entries], len(joint)).astype(np.int64)
+            self._keep(np.array(joint) + first, self._gather(entries), counts)
 
     def _cut(self, text: str) -> list[str]:
         """Pieces of a text: no word of the pattern crosses white space."""
@@ -324,14 +346,14 @@ class WordBpe:
                 cut.append([self._cut(text)])
             else:
                 cut.append([self.special[p] if p in self.special else self._cut(p) for p in self.cuts(text)])
-        met = set().union(*(p for parts in cut for p in parts if isinstance(p, list)))
         if len(self.index) > MAX_CACHED:
             self._clear()
-        self._learn(met - self.index.keys())
-        out, find = [], self.index.__getitem__
-        for parts in cut:
-            got = [self._gather(np.fromiter(map(find, p), np.int64, len(p)))[0] if isinstance(p, list) else np.array([p], np.int32)
-                   for p in parts]
+        find = self.index.__getitem__                      # new pieces get an entry, to be filled below
+        entries = [[np.fromiter(map(find, p), np.int64, len(p)) if isinstance(p, list) else p for p in parts] for parts in cut]
+        self._learn()
+        out = []
+        for parts in entries:
+            got = [self._gather(p) if isinstance(p, np.ndarray) else np.array([p], np.int32) for p in parts]
             out.append(got[0] if len(got) == 1 else np.concatenate(got) if got else np.empty(0, np.int32))
         return out
 
