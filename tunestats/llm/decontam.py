@@ -48,6 +48,7 @@ SHIFT = 2
 LONGEST_STEP = 16
 RATIO = 1.2                # longest to shortest item of a class
 PART_WORDS = 1 << 16       # words whose bit counts are held at a time, about
+RUN = 256                  # words whose counts are added up in a row
 HITS = "array<struct<item_id:long,similarity:double,start_word:int,n_words:int>>"
 
 _SPACED = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -70,10 +71,14 @@ def _joined(h: np.ndarray, n: int) -> np.ndarray:
 
 def bit_counts(pairs: np.ndarray) -> np.ndarray:
     """Running counts of each bit (modulo 2**16, as differences are small)."""
-    out = np.zeros((len(pairs) + 1, 64), np.int16)
+    runs = -(-(len(pairs) + 1) // RUN)
+    out = np.zeros((runs, RUN, 64), np.int16)
     bits = np.unpackbits(np.ascontiguousarray(pairs).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    np.cumsum(bits, axis=0, dtype=np.int16, out=out[1:])
-    return out
+    out.reshape(-1, 64)[1:len(pairs) + 1] = bits
+    for j in range(1, RUN):                                # all runs side by side
+        out[:, j] += out[:, j - 1]
+    out[1:] += np.cumsum(out[:-1, -1], axis=0, dtype=np.int16)[:, None]
+    return out.reshape(-1, 64)[:len(pairs) + 1]
 
 
 def fingerprints(counts: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
@@ -140,6 +145,7 @@ def _parts(ends: np.ndarray, size: int):
 class _Class:
     size: int                  # words in a window
     step: int
+    span: int                  # words in the longest item
     index: MultiIndex
     item: np.ndarray           # of each fingerprint: item, and its window's place in it
     phase: np.ndarray
@@ -161,6 +167,7 @@ class Benchmark:
         self.ids, self.words = [i for i, _ in found], [h for _, h in found]
         self.shingles = [Counter(_joined(h, SHINGLE).tolist()) for h in self.words]
         self.having = Counter(s for c in self.shingles for s in c)
+        self.all_shingles = np.array(sorted(self.having), np.uint64)
         self.classes = []
         a = 0
         while a < len(found):
@@ -174,7 +181,7 @@ class Benchmark:
                 prints.append(fingerprints(counts, np.arange(step), size))
                 item += [k] * step
                 phase += range(step)
-            self.classes.append(_Class(size, step, MultiIndex(np.concatenate(prints)), np.array(item), np.array(phase)))
+            self.classes.append(_Class(size, step, len(self.words[b - 1]), MultiIndex(np.concatenate(prints)), np.array(item), np.array(phase)))
             a = b
 
     def weight(self, shingle: int) -> float:
@@ -214,6 +221,12 @@ class Benchmark:
         if len(whole) < 2 or not self.classes:
             return
         counts = bit_counts(_joined(whole, 2))
+        # places whose shingle some item has: without one among its shingles a
+        # window's similarity is 0, whatever its fingerprint
+        shingles = _joined(whole, SHINGLE)
+        at = np.minimum(np.searchsorted(self.all_shingles, shingles), len(self.all_shingles) - 1)
+        known = np.concatenate(([0], np.cumsum(self.all_shingles[at] == shingles), np.zeros(SHINGLE - 1, np.int64)))
+        known[len(shingles) + 1:] = known[len(shingles)]
         best: dict[tuple[int, int], tuple] = {}
         tried: set[tuple[int, int]] = set()
         for c in self.classes:
@@ -224,6 +237,9 @@ class Benchmark:
             number = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
             starts = begins[owner] + number * c.step
             q, p = c.index.within(fingerprints(counts, starts, c.size))
+            first = starts[q] - c.phase[p]
+            some = known[np.minimum(first + c.span + SHIFT, len(whole))] > known[np.maximum(first - SHIFT, 0)]
+            q, p = q[some], p[some]
             for text, at, item in zip(owner[q].tolist(), (number[q] * c.step - c.phase[p]).tolist(), c.item[p].tolist()):
                 h, n = hashed[text], len(self.words[item])
                 for shift in sorted(range(-SHIFT, SHIFT + 1), key=abs):
