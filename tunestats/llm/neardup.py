@@ -15,13 +15,14 @@
 4. Each list's most typical class is its hub; every member is compared with
    the hub (collisions counted on the full signatures, then the exact sets).
    Lists whose members are all connected by that are skipped; in the others
-   members of different components are compared with one another, in blocks.
+   members of different components are compared with one another, block by
+   block, and only links come out of that.
    Every retained pair is thus verified or already connected, while a group of
    near copies costs comparisons in proportion to its size.
 5. Verified links are joined into components by large-star/small-star rounds.
 
-Steps are cut by tables in the shared folder; nothing but row counts and one
-checksum a round comes to the driver. Hot keys (a copy's class, a hub, a
+Steps are cut by tables in the shared folder; nothing but counts comes to the
+driver. Hot keys (a copy's class, a hub, a
 common value) meet either partial aggregation or sort-merge joins, whose
 skewed partitions adaptive execution splits.
 
@@ -47,7 +48,8 @@ from pyspark.sql import functions as F
 from tunestats.llm.shared import shared_root
 
 COORDS, MATCHES = 40, 20
-BLOCK = 64                # members of a list compared with one another at a time
+BLOCK = 512               # members of a list in a block; blocks are compared pair by pair
+FEW = 100_000             # classes to verify, up to which their ids are broadcast (16 bytes and an id each)
 SPAN = 1 << 13            # shingles hashed at a time
 _RNG = np.random.default_rng(20240101)
 _MUL = _RNG.integers(1, 1 << 63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -132,8 +134,9 @@ class _Tables:
 
 
 def postings(classes: DataFrame) -> DataFrame:
-    """(coord, key, weight): the prefix of each class, rarest pairs first;
-    weight is high for classes made of common pairs."""
+    """(coord, key, weight, posted): the prefix of each class, rarest pairs
+    first; weight is high for classes made of common pairs, and ``posted`` are
+    all coords of the class's prefix in order."""
     every = classes.select("key", F.posexplode("sig").alias("at", "value")).select("key", F.xxhash64("at", "value").alias("coord"))
     shared = every.groupBy("coord").agg(F.count("*").alias("n")).where("n > 1")
     # COORDS rows of a class at most come together
@@ -141,43 +144,61 @@ def postings(classes: DataFrame) -> DataFrame:
     alone = COORDS - F.size("pairs")
     posted = F.slice("pairs", 1, F.greatest(F.lit(COORDS - MATCHES + 1) - alone, F.lit(0)))
     weight = F.aggregate("pairs", F.lit(0.0), lambda a, p: a + F.log(p["n"].cast("double")))
-    return own.select("key", weight.alias("weight"), F.explode(posted).alias("p")).select("p.coord", "key", "weight")
+    prefix = own.select("key", weight.alias("weight"), posted.alias("p")).select("key", "weight", F.col("p.coord").alias("posted"))
+    return prefix.select(F.explode("posted").alias("coord"), "key", "weight", "posted")
+
+
+def _alike(sig_a: str, sig_b: str, n_a: str, n_b: str) -> Column:
+    """Can the sizes have the similarity, and do the signatures agree in
+    ``MATCHES`` coordinates?"""
+    same = F.aggregate(F.zip_with(sig_a, sig_b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda t, x: t + x)
+    return (100 * F.least(n_a, n_b) >= 80 * F.greatest(n_a, n_b)) & (same >= MATCHES)
 
 
 def agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Of the pairs (a, b) those whose signatures agree in ``MATCHES``
-    coordinates and whose sizes allow the similarity."""
+    """Of the pairs (a, b) those that are retained for verification."""
     side = lambda c: classes.select(F.col("key").alias(c), F.col("sig").alias(f"sig_{c}"), F.col("n").alias(f"n_{c}"))
-    both = pairs.join(side("a"), "a").where(F.size("sig_a") > 0).join(side("b"), "b")
-    same = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda t, x: t + x)
-    return both.where((same >= MATCHES) & (100 * F.least("n_a", "n_b") >= 80 * F.greatest("n_a", "n_b"))).select("a", "b")
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.where(_alike("sig_a", "sig_b", "n_a", "n_b")).select("a", "b")
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, tables: _Tables) -> DataFrame:
-    """The pairs whose full sets are at least 0.8 similar."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+def _similar(set_a: str, set_b: str) -> Column:
+    common = F.size(F.array_intersect(set_a, set_b))
+    return 100 * common >= 80 * (F.size(set_a) + F.size(set_b) - common)
+
+
+def full_sets(keys: DataFrame, classes: DataFrame, docs: DataFrame, size: int, tables: _Tables) -> DataFrame:
+    """(key, shingles) of the classes named by ``keys``, from their texts."""
     # a class's text is that of its first document; an id that has several
     # texts brings them all, and the key tells which is meant
-    ids = classes.join(wanted, "key", "left_semi").select("id", F.col("key").alias("meant"))
-    full = docs.join(ids, docs["id"].eqNullSafe(ids["id"]), "inner").select("meant", sets(F.col("text"), size).alias("s"))
-    full = full.where(F.col("s.key") == F.col("meant")).select(F.col("meant").alias("key"), "s.shingles")
-    full = tables.cut(full.dropDuplicates(["key"]), "sets")
+    ids = tables.cut(classes.join(keys.distinct(), "key", "left_semi").select("id", F.col("key").alias("meant")), "wanted")
+    few = ids.count() <= FEW
+    full = docs.join(F.broadcast(ids) if few else ids, docs["id"].eqNullSafe(ids["id"]), "inner")
+    # written before the keys are compared, or the comparison would move below
+    # the join and every document's set would be made
+    full = tables.cut(full.select("meant", sets(F.col("text"), size).alias("s")), "sets")
+    return full.where(F.col("s.key") == F.col("meant")).select(F.col("meant").alias("key"), "s.shingles").dropDuplicates(["key"])
+
+
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, tables: _Tables) -> DataFrame:
+    """The pairs whose full sets are at least 0.8 similar."""
+    full = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("key")), classes, docs, size, tables)
     side = lambda c: full.select(F.col("key").alias(c), F.col("shingles").alias(f"set_{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    return both.where(100 * common >= 80 * (F.size("set_a") + F.size("set_b") - common)).select("a", "b")
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(_similar("set_a", "set_b")).select("a", "b")
 
 
-def components(edges: DataFrame, tables: _Tables) -> DataFrame:
-    """(key, root) of every key in ``edges`` (a, b) that is not its
-    component's least: large-star and small-star rounds until nothing changes."""
+def star_edges(edges: DataFrame, tables: _Tables) -> DataFrame:
+    """Edges (u, v), v smaller, with the components of ``edges`` (a, b): rounds
+    of large-star and small-star until every component is one star around its
+    least key (or only so many rounds, which keep the components too)."""
     edges = tables.cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "edges")
-    seen = None
     while True:
-        state = tuple(edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first())
-        if state == seen or not state[0]:
-            return edges.select(F.col("u").alias("key"), F.col("v").alias("root"))
-        seen = state
+        # a star forest: no key has two smaller neighbours, or a smaller and a larger one
+        ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            edges.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        seen = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if not seen.agg(F.count_if(F.expr("up > 1 or (up > 0 and down > 0)")).alias("n")).first()["n"]:
+            return edges
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).where("u != v").distinct()
@@ -187,19 +208,56 @@ def components(edges: DataFrame, tables: _Tables) -> DataFrame:
         edges = tables.cut(small.where("u != v").distinct(), "small")
 
 
-def rest_pairs(posted: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of different components in one list, for lists that the hubs left
-    in several; a list is compared in pairs of blocks."""
-    named = posted.join(roots, "key", "left").select("coord", "key", F.coalesce("root", "key").alias("root"))
+def roots_of(edges: DataFrame) -> DataFrame:
+    """(key, root): the smallest neighbour of every key that has a smaller one."""
+    return edges.groupBy(F.col("u").alias("key")).agg(F.min("v").alias("root"))
+
+
+def compare_cell(cell: pa.Table) -> pa.Table:
+    """The links between members of different components in a pair of blocks.
+    A pair that shares several lists is compared in full only in the first of
+    them, by the order in which both are posted."""
+    key, root = cell["key"].to_pylist(), np.unique(cell["root"].to_pylist(), return_inverse=True)[1]
+    own, n, coord = cell["own"].to_numpy(), cell["n"].to_numpy(), cell["coord"][0].as_py()
+    one_block = cell["x"][0].as_py() == cell["y"][0].as_py()
+    sig = cell["sig"].combine_chunks().flatten().to_numpy().reshape(len(key), COORDS)
+    shingles, posted = cell["shingles"], cell["posted"].to_pylist()
+    found = []
+    for i in range(len(key) - 1):
+        fit = (root[i + 1:] != root[i]) & (100 * np.minimum(n[i + 1:], n[i]) >= 80 * np.maximum(n[i + 1:], n[i]))
+        if not one_block:
+            fit &= own[i + 1:] != own[i]
+        near = np.flatnonzero(fit) + i + 1
+        near = near[(sig[near] == sig[i]).sum(1) >= MATCHES]
+        if not len(near):
+            continue
+        mine = shingles[i].values.to_numpy()
+        for j in near.tolist():
+            others = set(posted[j])
+            if next(c for c in posted[i] if c in others) != coord:
+                continue
+            common = len(np.intersect1d(mine, shingles[j].values.to_numpy(), assume_unique=True))
+            if 100 * common >= 80 * (n[i] + n[j] - common):
+                found.append((key[i], key[j]))
+    return pa.table({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary())})
+
+
+def rest_links(posted: DataFrame, roots: DataFrame, classes: DataFrame, docs: DataFrame, size: int, tables: _Tables) -> DataFrame:
+    """Links between different components in one list, for lists that the
+    hubs left in several (a list of two was settled by its hub). A list is
+    compared in pairs of blocks of bounded size; signatures and full sets are
+    compared where the blocks meet, so of a list whose members are alike but
+    not similar no pairs come out."""
+    named = posted.join(roots, "key", "left").select("coord", "key", "posted", F.coalesce("root", "key").alias("root"))
     split = named.groupBy("coord").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
-    split = split.where("low != high").select("coord", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    members = named.join(split, "coord").select(
-        "coord", "key", "root", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("own"),
+    split = split.where("low != high and n > 2").select("coord", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    members = tables.cut(named.join(split, "coord"), "members")
+    full = full_sets(members.select("key"), classes, docs, size, tables)
+    rows = members.join(classes.select("key", "n", "sig").join(full, "key"), "key").select(
+        "coord", "key", "root", "n", "sig", "shingles", "posted", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("own"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    cells = members.select("coord", "key", "root", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
-    a, b = (cells.select("coord", "x", "y", F.col("key").alias(k), F.col("root").alias(f"root_{k}"), F.col("own").alias(f"own_{k}")) for k in "ab")
-    met = a.join(b, ["coord", "x", "y"]).where("a < b and root_a != root_b and (own_a != own_b or x = y)")
-    return met.select("a", "b").distinct()
+    cells = rows.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")}).drop("other")
+    return cells.groupBy("coord", "x", "y").applyInArrow(compare_cell, "a binary, b binary")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5) -> DataFrame:
@@ -212,15 +270,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     signed = tables.cut(docs.select("id", signatures(F.col("text"), size).alias("s")).select("id", "s.*"), "signatures")
     classes = tables.cut(signed.where("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig")), "classes")
     posted = tables.cut(postings(classes), "postings")
-    hubs = posted.groupBy("coord").agg(F.max(F.struct("weight", "key")).alias("hub"))
-    stars = posted.join(hubs, "coord").select(F.col("key").alias("a"), F.col("hub.key").alias("b")).where("a != b").distinct()
+    hubs = posted.select("coord", "weight", "key").groupBy("coord").agg(F.max(F.struct("weight", "key")).alias("hub"))
+    stars = posted.select("coord", "key").join(hubs, "coord").select(F.col("key").alias("a"), F.col("hub.key").alias("b")).where("a != b").distinct()
     stars = tables.cut(agreeing(stars, classes), "stars")
     links = tables.cut(verified(stars, classes, docs, size, tables), "links")
-    roots = components(links, tables)
-    rest = tables.cut(agreeing(rest_pairs(posted, roots), classes), "rest")
-    if rest.limit(1).count():
-        links = links.unionByName(verified(rest, classes, docs, size, tables))
-        roots = components(links, tables)
+    edges = star_edges(links, tables)
+    roots = tables.cut(roots_of(edges), "roots")
+    rest = tables.cut(rest_links(posted, roots, classes, docs, size, tables), "rest")
+    known = edges.select(F.col("u").alias("a"), F.col("v").alias("b"))
+    roots = roots_of(star_edges(rest.unionByName(known), tables))
     member = classes.select("key", "id").join(roots, "key", "left").select("key", "id", F.coalesce("root", "key").alias("root"))
     named = member.groupBy("root").agg(F.min("id").alias("component_id"))
     named = tables.cut(member.join(named, "root").select("key", "component_id"), "named")
