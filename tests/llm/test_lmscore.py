@@ -2,9 +2,11 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tunestats.llm import lmscore as lm
@@ -72,3 +74,32 @@ def test_edges(spark):
     assert np.abs(lm.train(none, empty) - lm.start()).max() < 1e-5 and lm.score(none, empty, lm.start()).count() == 0
     with pytest.raises(ValueError):
         lm.score(df, vocab, lm.start(), out_col="TEXT")
+
+
+def test_every_word_has_its_own_probability(spark):
+    rng = random.Random(5)
+    frequent, rare = [f"f{i}" for i in range(lm.TOP)], [f"r{i}" for i in range(3000)]
+    texts = [" ".join(frequent) for _ in range(6)] + [" ".join(rng.choice(rare[:50] if rng.random() < 0.5 else rare) for _ in range(200)) for _ in range(30)]
+    given = texts + [texts[10], texts[10], None, "", "f1 f2", "R1 unseen r1"]
+    df = spark.createDataFrame([(None if i % 5 == 0 else i % 7, t, i) for i, t in enumerate(given)], "doc_id long, text string, n int")
+    corpus = df.where(df["n"] < len(given) - 1)
+    counts = lm.stored(lm.word_counts(corpus))
+    vocab = lm.most_frequent(counts)
+    flat = lm.start()
+    every = Counter(w for t in given[:-1] for w in (t or "").lower().split())
+    totals = Counter()
+    for w, n in every.items():
+        totals[int(vocab.encode(w)[0])] += n
+    assert len(every) > 2 * lm.IDS
+    rows = {r.n: r for r in lm.score(df, vocab, flat, counts=counts).collect()}
+    assert len(rows) == len(given)
+    for n, t in enumerate(given):
+        ids, words = vocab.encode(t).tolist(), (t or "").lower().split()
+        own = sum(math.log(max(1, every[w]) / (totals[i] + 1)) for w, i in zip(words, ids) if i > lm.TOP)
+        assert rows[n].text == t and abs(rows[n].lm.log_prob - plain_score(lm.views(flat), ids) - own) < 1e-3 * (1 + len(ids))
+    # words of one class are told apart
+    other = [w for w in every if vocab.encode(w)[0] > lm.TOP]
+    a, b = next((a, b) for a in other for b in other if vocab.encode(a) == vocab.encode(b) and every[a] >= 3 * every[b])
+    two = {r.text: r.lm.log_prob for r in lm.score(spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string"), vocab, flat, counts=counts).collect()}
+    assert two[a] > two[b] + 1
+    assert registry.op10_lmscore(spark, SF_SMALL).agg(F.max("mean_log_prob")).first()[0] < 0

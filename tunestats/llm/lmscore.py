@@ -7,32 +7,41 @@ the hidden layer, the second from the hidden layer and the first digit. The
 sum of log P(token | both sides) over a text is its pseudo log-likelihood.
 
 Tokens are lower-case words: the ``TOP`` most frequent words of the corpus,
-counted over all documents, have ids of their own, others share hashed ids.
+counted over all documents, are classes of their own, the others share hashed
+classes, and the network predicts the class. Within a class a word has its
+share of the class's count in the whole corpus: log P(token | both sides) is
+log P(class | both sides) + log P(word | class). All words' counts are a
+written table, joined to the words of the texts; a word that the table does
+not have counts as one, for which every hashed class keeps a place. (How
+likely a rare word is within its class does not depend on the words around.)
 Training covers all documents: every partition makes one pass of minibatch
 gradient steps (Adagrad, numpy) from the same start, and Spark averages the
-parameters, weighted by tokens, in a map-side combined aggregate. What is
-counted and gathered so grows with the corpus; what reaches the driver (the
-vocabulary and one set of parameters) is of fixed size.
+parameters, weighted by tokens, in a map-side combined aggregate. The table of
+words grows with the corpus and stays in Spark; what reaches the driver (the
+most frequent words, the classes' counts and one set of parameters) is of
+fixed size.
 
 Defined results: null and empty texts and white space have no tokens, a score
 of 0 and no mean; ties in the vocabulary go to the smaller word; a corpus
 without a token leaves the untrained start; repeated rows get equal scores;
 other columns are kept, and a clashing output name is refused with
-``ValueError``. Parameters are rounded before use, so that the order of the
-sums does not show.
+``ValueError``. Parameters, and log P(word | class), are rounded before use, so
+that the order of the sums does not show.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunestats.llm.rules import SPACES
+from tunestats.llm.shared import shared_root
 
 DIGIT = 32                       # ids are two digits to this base
 IDS = DIGIT * DIGIT              # 0 stands for what is beyond the text
@@ -41,6 +50,7 @@ WINDOW = 2
 WIDTH = 16
 BATCH = 4096                     # tokens in a gradient step
 RATE = 0.15
+MICRO = 1_000_000                # logs within a class are whole millionths, whose sums are exact
 RESULT = "n_tokens long, log_prob double"
 _SHAPES = {"E": (2 * WINDOW, IDS, WIDTH), "b": (WIDTH,), "W1": (WIDTH, DIGIT), "b1": (DIGIT,), "W2": (WIDTH, DIGIT), "B2": (DIGIT, DIGIT)}
 SIZE = sum(int(np.prod(s)) for s in _SHAPES.values())
@@ -63,6 +73,11 @@ def start(seed: int = 11) -> np.ndarray:
     return flat
 
 
+def word_hashes(text: str | None) -> np.ndarray:
+    words = (text or "").lower().encode("utf-8").split()
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
 class Vocabulary:
     """Ids of words: 1 to TOP by frequency, above that by hash."""
 
@@ -72,12 +87,16 @@ class Vocabulary:
         self.hashes, self.ids = np.append(hashes[order], np.uint64(0)), np.append(order + 1, 0).astype(np.int32)
 
     def encode(self, text: str | None) -> np.ndarray:
-        words = (text or "").lower().encode("utf-8").split()
-        h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        h = word_hashes(text)
         at = np.searchsorted(self.hashes[:-1], h)
         other = (h % np.uint64(IDS - 1 - TOP)).astype(np.int32) + TOP + 1
         return np.where(self.hashes[at] == h, self.ids[at], other)
 
+    def others(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The text's distinct words in hashed classes, and how often each is there."""
+        h = word_hashes(text)
+        return np.unique(h[self.hashes[np.searchsorted(self.hashes[:-1], h)] != h], return_counts=True)
+
 
 def contexts(ids: np.ndarray) -> np.ndarray:
     """The tokens at each place of the window around every token."""
@@ -161,13 +180,28 @@ class Trainer:
         self.held, self.waiting = [], 0
 
 
-def vocabulary(df: DataFrame, text_col: str = "text") -> Vocabulary:
-    """The TOP words of all texts; the counts are combined before the shuffle."""
+def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """(word, count) of all words of all texts, combined before the shuffle."""
     words = F.explode(F.array_remove(F.split(F.lower(df[text_col]), SPACES), ""))
-    counts = df.select(words.alias("word")).groupBy("word").count()
+    return df.select(words.alias("word")).groupBy("word").count()
+
+
+def stored(counts: DataFrame) -> DataFrame:
+    """The counts as a table in the shared folder, for the vocabulary and the scores."""
+    path = f"{shared_root(counts.sparkSession)}/lmscore-{uuid.uuid4().hex}"
+    counts.write.parquet(path)
+    return counts.sparkSession.read.parquet(path)
+
+
+def most_frequent(counts: DataFrame) -> Vocabulary:
     return Vocabulary([r["word"] for r in counts.orderBy(F.desc("count"), "word").limit(TOP).collect()])
 
 
+def vocabulary(df: DataFrame, text_col: str = "text") -> Vocabulary:
+    """The TOP words of all texts."""
+    return most_frequent(word_counts(df, text_col))
+
+
 def train(df: DataFrame, vocab: Vocabulary, text_col: str = "text") -> np.ndarray:
     """Parameters averaged over the partitions' passes."""
     begin = start()
@@ -191,8 +225,50 @@ def train(df: DataFrame, vocab: Vocabulary, text_col: str = "text") -> np.ndarra
     return np.round(flat, 5).astype(np.float32)
 
 
-def score(df: DataFrame, vocab: Vocabulary, flat: np.ndarray, text_col: str = "text", out_col: str = "lm") -> DataFrame:
-    """``df`` with a struct of tokens and summed log-probabilities."""
+def _hashed_class(h: Column) -> Column:
+    """The hashed class, from 0, of a word's hash (unsigned, in a long)."""
+    m = IDS - 1 - TOP
+    return F.pmod(F.pmod(h, F.lit(m)) + F.when(h < 0, 2 ** 64 % m).otherwise(0), F.lit(m)).cast("int")
+
+
+def within_classes(df: DataFrame, vocab: Vocabulary, counts: DataFrame, text_col: str = "text") -> DataFrame:
+    """(text_key, millionths): the sum of log P(word | class) over each distinct
+    text that has words in hashed classes, in whole millionths."""
+
+    @F.arrow_udf("long")
+    def hashed(words: pa.Array) -> pa.Array:
+        h = np.fromiter((xxhash.xxh3_64_intdigest(w.as_py().encode("utf-8")) for w in words), np.uint64, len(words))
+        top = vocab.hashes[np.searchsorted(vocab.hashes[:-1], h)] == h
+        return pa.array(h.view(np.int64), mask=top)
+
+    @F.arrow_udf("array<struct<h:long,n:int>>")
+    def others(texts: pa.Array) -> pa.Array:
+        found = [vocab.others(t.as_py()) for t in texts]
+        h, n = (np.concatenate([np.empty(0, k), *x]).astype(k) for k, x in zip((np.uint64, np.int32), zip(*found))) if found else ((), ())
+        flat = pa.StructArray.from_arrays([pa.array(np.asarray(h, np.uint64).view(np.int64)), pa.array(n, pa.int32())], names=["h", "n"])
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(x) for x, _ in found]))).astype(np.int32)), flat)
+
+    table = counts.select(hashed("word").alias("h"), "count").where("h is not null").groupBy("h").agg(F.sum("count").alias("count"))
+    totals = [1] * (IDS - 1 - TOP)                          # one place for words that the table does not have
+    for r in table.groupBy(_hashed_class(F.col("h")).alias("c")).agg(F.sum("count").alias("n")).collect():
+        totals[r["c"]] += r["n"]
+    # copies of a text come together; their sum is that of one copy times their number
+    text = F.lower(df[text_col])
+    uses = df.select(_text_key(df[text_col]).alias("text_key"), others(text).alias("o")).select("text_key", F.posexplode("o").alias("at", "o"))
+    uses = uses.select("text_key", "o.h", "o.n", (F.col("at") == 0).cast("int").alias("copies")).join(table, "h", "left")
+    log = F.log(F.coalesce("count", F.lit(1)).cast("double")) - F.log(F.get(F.array(*map(F.lit, map(float, totals))), _hashed_class(F.col("h"))))
+    summed = uses.groupBy("text_key").agg(F.sum(F.col("n") * F.round(log * MICRO).cast("long")).alias("sum"), F.sum("copies").alias("copies"))
+    return summed.select("text_key", F.expr("sum div copies").alias("millionths"))
+
+
+def _text_key(text: Column) -> Column:
+    return F.unhex(F.md5(text))
+
+
+def score(df: DataFrame, vocab: Vocabulary, flat: np.ndarray, text_col: str = "text", out_col: str = "lm",
+          counts: DataFrame | None = None) -> DataFrame:
+    """``df`` with a struct of tokens and summed log-probabilities: of the
+    words, where the corpus's ``counts`` are given, else of their classes."""
     if out_col.lower() in {c.lower() for c in df.columns}:
         raise ValueError(f"the input already has a column {out_col}")
 
@@ -208,4 +284,12 @@ def score(df: DataFrame, vocab: Vocabulary, flat: np.ndarray, text_col: str = "t
             total += [float(p[a:b].sum()) for a, b in zip(ends, ends[1:])]
         return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(total, pa.float64())], names=["n_tokens", "log_prob"])
 
-    return df.withColumn(out_col, scored(df[text_col]))
+    if counts is None:
+        return df.withColumn(out_col, scored(df[text_col]))
+    if key := {c.lower() for c in df.columns} & {"text_key", "millionths"}:
+        raise ValueError(f"the input already has the columns {sorted(key)}")
+    # a text without words in hashed classes has no row there
+    within = within_classes(df, vocab, counts, text_col)
+    both = df.select("*", scored(F.lower(df[text_col])).alias(out_col), _text_key(df[text_col]).alias("text_key")).join(within, "text_key", "left")
+    total = F.col(out_col)["log_prob"] + F.coalesce("millionths", F.lit(0)) / MICRO
+    return both.select(*df.columns, F.struct(F.col(out_col)["n_tokens"].alias("n_tokens"), total.alias("log_prob")).alias(out_col))

@@ -101,8 +101,9 @@ def op10_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pseudo log-likelihood of every document under a network trained on
     all of them."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    vocab = lmscore.vocabulary(docs)
-    scored = lmscore.score(docs, vocab, lmscore.train(docs, vocab)).select("doc_id", "lm.n_tokens", "lm.log_prob")
+    counts = lmscore.stored(lmscore.word_counts(docs))
+    vocab = lmscore.most_frequent(counts)
+    scored = lmscore.score(docs, vocab, lmscore.train(docs, vocab), counts=counts).select("doc_id", "lm.n_tokens", "lm.log_prob")
     return scored.withColumn("mean_log_prob", F.try_divide("log_prob", "n_tokens"))
 
 
