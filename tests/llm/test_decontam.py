@@ -70,6 +70,39 @@ def test_blocks_empty_tables_and_names(spark, monkeypatch):
         decontam.matches(docs, bench, out_col="Text")
 
 
+def brute_force(index, item, text):
+    """The greatest similarity of an item and any words in a row of a text."""
+    h, n = decontam.words(text), len(index.words[item])
+    return max((index.similarity(item, h[a:b]) for a in range(len(h)) for b in range(a + n // 2, min(len(h), a + 2 * n) + 1)), default=0.0)
+
+
+def test_words_left_out_and_cut_texts():
+    rng = random.Random(8)
+    vocab = [f"v{i}" for i in range(2000)]
+    say = lambda n: [rng.choice(vocab) for _ in range(n)]
+    items = [say(n) for n in (12, 23, 59, 60, 61, 64, 110, 125)] + [["so", "on"] * 20]
+    index = decontam.Benchmark(list(range(len(items))), [" ".join(i) for i in items])
+    texts = []
+    for i, w in enumerate(items[:8]):
+        k = rng.randrange(8, len(w) - 8) if len(w) > 20 else 6
+        left_out = w[:k] + w[k + 3:]
+        texts += [(i, w[:-1]), (i, w[1:]), (i, w[:-len(w) // 9]), (i, w[len(w) // 9:]), (i, w[1:-1]), (i, left_out),
+                  (i, say(30) + left_out + say(25)), (i, say(17) + w[:-2]), (i, w[2:] + say(19)), (i, say(9) + w[:k] + ["and"] + w[k:])]
+    texts += [(8, ["so", "on"] * 18), (8, say(9) + ["so", "on"] * 25 + say(9)), (8, [])]
+    missed = 0
+    for (i, w), found in zip(texts, index.search([" ".join(w) for _, w in texts])):
+        at, got = index.ids.index(i), {m[0]: m for m in found}
+        want = brute_force(index, at, " ".join(w))
+        if i in got:
+            _, sim, a, n = got[i]
+            assert sim >= 0.8 and abs(sim - want) < 1e-9 and abs(index.similarity(at, decontam.words(" ".join(w))[a:a + n]) - sim) < 1e-9
+        assert got.keys() <= {i}
+        if want < 0.8:
+            assert not got
+        missed += want >= 0.8 and not got
+    assert missed <= 3                                     # fingerprints beyond the radius
+
+
 def test_query_whole_table(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()
     items = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()

@@ -8,11 +8,14 @@ fingerprint is the 64-bit SimHash of its word pairs, from running bit counts,
 so every window of a text costs the same. Fingerprints are found by a
 multi-index: four blocks of 16 bits; two fingerprints within ``RADIUS`` = 15
 differ in at most 3 bits of some block, and all such neighbours of an item's
-block are in that block's table, so no pair within the radius is missed.
-Candidates within the radius are verified at their place in the text: the
-weighted similarity of five-word shingles of the item and of as many words of
-the text must be at least 0.8 at some shift of up to ``SHIFT`` words (a
-shingle weighs the more, the fewer items have it).
+block are in that block's table, so no pair within the radius is missed. A
+text's last window ends with it, and a text shorter than a window is one.
+Candidates within the radius are verified around their place in the text: the
+weighted similarity of five-word shingles of the item and of some words in a
+row must be at least 0.8 (a shingle weighs the more, the fewer items have it).
+All beginnings up to a quarter of the item and ``SHIFT`` words away are tried,
+and from each all lengths whose weight can have that similarity, so words
+may be missing or added, also at the ends of the text.
 
 Words are runs of letters, digits and other non-ASCII characters in lower
 case. Items are taken ``ITEM_BLOCK`` or so at a time, a bounded index for
@@ -20,7 +23,8 @@ each, against all rows; so any number of items works in bounded memory.
 
 Defined results: null and empty texts and items match nothing, nor do items of
 fewer than five words, which have no shingle; an item is told once for each
-text, at its most similar place (the first of equal ones); repeated items with
+text, at its most similar place (the first, then the shortest, of equal
+ones); repeated items with
 one id are told once, the most similar; rows of items with a null id are not
 searched; repeated rows get equal results; the input's columns are kept and a
 clashing output name is refused with ``ValueError``.
@@ -49,6 +53,7 @@ LONGEST_STEP = 16
 RATIO = 1.2                # longest to shortest item of a class
 PART_WORDS = 1 << 16       # words whose bit counts are held at a time, about
 RUN = 256                  # words whose counts are added up in a row
+CELLS = 1 << 18            # places of a text that are weighed at a time
 HITS = "array<struct<item_id:long,similarity:double,start_word:int,n_words:int>>"
 
 _SPACED = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -81,13 +86,13 @@ def bit_counts(pairs: np.ndarray) -> np.ndarray:
     return out.reshape(-1, 64)[:len(pairs) + 1]
 
 
-def fingerprints(counts: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """SimHashes of the windows of ``size`` words (size - 1 pairs)."""
+def fingerprints(counts: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """SimHashes of the windows of ``sizes`` words (one pair less)."""
     out = np.empty(len(starts), np.uint64)
     for i in range(0, len(starts), 1 << 13):
-        s = starts[i:i + (1 << 13)]
-        ones = counts[s + (size - 1)] - counts[s]
-        out[i:i + len(s)] = np.packbits(ones > (size - 1) // 2, axis=1, bitorder="little").view(np.uint64).ravel()
+        s, pairs = starts[i:i + (1 << 13)], sizes[i:i + (1 << 13)] - 1
+        ones = counts[s + pairs] - counts[s]
+        out[i:i + len(s)] = np.packbits(ones > (pairs // 2)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
     return out
 
 
@@ -168,6 +173,9 @@ class Benchmark:
         self.shingles = [Counter(_joined(h, SHINGLE).tolist()) for h in self.words]
         self.having = Counter(s for c in self.shingles for s in c)
         self.all_shingles = np.array(sorted(self.having), np.uint64)
+        self.weights = np.array([self.weight(s) for s in self.all_shingles.tolist()])
+        self.keys = [np.array(sorted(c), np.uint64) for c in self.shingles]
+        self.totals = [sum(self.weight(s) * x for s, x in c.items()) for c in self.shingles]
         self.classes = []
         a = 0
         while a < len(found):
@@ -178,7 +186,7 @@ class Benchmark:
             prints, item, phase = [], [], []
             for k in range(a, b):
                 counts = bit_counts(_joined(self.words[k], 2))
-                prints.append(fingerprints(counts, np.arange(step), size))
+                prints.append(fingerprints(counts, np.arange(step), np.full(step, size)))
                 item += [k] * step
                 phase += range(step)
             self.classes.append(_Class(size, step, len(self.words[b - 1]), MultiIndex(np.concatenate(prints)), np.array(item), np.array(phase)))
@@ -198,6 +206,50 @@ class Benchmark:
             total += w * max(x, y)
         return common / total if total else 0.0
 
+    def best_place(self, item: int, shingles: np.ndarray, weights: np.ndarray, low: int, high: int) -> tuple[float, int, int] | None:
+        """(similarity, first shingle, shingles) of the most similar place that
+        begins from ``low`` to ``high``, if it is similar enough. ``weights``
+        are those of the text's shingles."""
+        total, last = self.totals[item], len(shingles)
+        run = np.concatenate(([0.0], np.cumsum(weights[low:])[:]))
+        # no place is heavier than this
+        last = low + int(np.searchsorted(run, run[min(high, last) - low] + total / SIMILAR + 1e-6))
+        shingles, weights, run = shingles[low:last], weights[low:last], run[:last - low + 1]
+        keys = self.keys[item]
+        mine = keys[np.minimum(np.searchsorted(keys, shingles), len(keys) - 1)] == shingles
+        # the most similar place begins and ends with a shingle of the item
+        begins, ends = np.flatnonzero(mine[:high - low + 1]), np.flatnonzero(mine) + 1
+        if run[-1] < SIMILAR * total - 1e-6 or not len(begins):
+            return None
+        common = np.concatenate(([0.0], np.cumsum(weights * mine)))
+        if common[-1] < SIMILAR * total - 1e-6:
+            return None
+        found, times = np.unique(shingles[mine], return_counts=True)
+        exact = all(t <= self.shingles[item][f] for f, t in zip(found.tolist(), times.tolist()))
+        best = (SIMILAR - 1e-9, 0, 0)
+        rows = max(1, CELLS // len(ends)) if exact else 1
+        for i in range(0, len(begins), rows):
+            b = begins[i:i + rows]
+            e = ends[np.searchsorted(run[ends], run[b[0]] + SIMILAR * total - 1e-6):np.searchsorted(run[ends], run[b[-1]] + total / SIMILAR + 1e-6, "right")]
+            if not len(e):
+                continue
+            if exact:
+                both = common[e] - common[b][:, None]
+            else:                                          # shingles that the place has more often than the item count as often as there
+                left, sums, at = dict(self.shingles[item]), [0.0], int(b[0])
+                for s, w in zip(shingles[at:e[-1]].tolist(), weights[at:e[-1]].tolist()):
+                    has = left.get(s, 0) > 0
+                    sums.append(sums[-1] + w * has)
+                    if has:
+                        left[s] -= 1
+                both = np.array(sums)[np.maximum(e - at, 0)][None]
+            like = np.where(e > b[:, None], both / np.maximum(total + run[e] - run[b][:, None] - both, 1e-9), 0.0)
+            k = int(np.argmax(like > like.max() - 1e-9))
+            r, c = divmod(k, len(e))
+            if like[r, c] > best[0] + 1e-9 * (best[2] > 0):
+                best = (float(like[r, c]), int(b[r]), int(e[c] - b[r]))
+        return (best[0], low + best[1], best[2]) if best[2] else None
+
     def search(self, texts: list[str | None]) -> list[list[tuple[int, float, int, int]]]:
         """Hits (item id, similarity, first word, words) of each text."""
         if not hasattr(self, "classes"):
@@ -225,29 +277,42 @@ class Benchmark:
         # window's similarity is 0, whatever its fingerprint
         shingles = _joined(whole, SHINGLE)
         at = np.minimum(np.searchsorted(self.all_shingles, shingles), len(self.all_shingles) - 1)
-        known = np.concatenate(([0], np.cumsum(self.all_shingles[at] == shingles), np.zeros(SHINGLE - 1, np.int64)))
+        theirs = self.all_shingles[at] == shingles
+        weights = np.where(theirs, self.weights[at], math.log(1 + len(self.ids)))
+        known = np.concatenate(([0], np.cumsum(theirs), np.zeros(SHINGLE - 1, np.int64)))
         known[len(shingles) + 1:] = known[len(shingles)]
         best: dict[tuple[int, int], tuple] = {}
-        tried: set[tuple[int, int]] = set()
         for c in self.classes:
-            windows = np.maximum(0, (lengths - c.size) // c.step + 1)
+            windows = np.where(lengths >= c.size, np.maximum(0, -(-(lengths - c.size) // c.step)) + 1, lengths >= SHINGLE)
             if not windows.sum():
                 continue
             owner = np.repeat(np.arange(len(hashed)), windows)
             number = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-            starts = begins[owner] + number * c.step
-            q, p = c.index.within(fingerprints(counts, starts, c.size))
-            first = starts[q] - c.phase[p]
-            some = known[np.minimum(first + c.span + SHIFT, len(whole))] > known[np.maximum(first - SHIFT, 0)]
+            sizes = np.minimum(c.size, lengths[owner])
+            place = np.minimum(number * c.step, lengths[owner] - sizes)
+            starts = begins[owner] + place
+            q, p = c.index.within(fingerprints(counts, starts, sizes))
+            first, away = starts[q] - c.phase[p], SHIFT + c.span // 4
+            some = known[np.clip(first + 2 * away + c.span * 5 // 4, 0, len(whole))] > known[np.clip(first - away, 0, len(whole))]
             q, p = q[some], p[some]
-            for text, at, item in zip(owner[q].tolist(), (number[q] * c.step - c.phase[p]).tolist(), c.item[p].tolist()):
-                h, n = hashed[text], len(self.words[item])
-                for shift in sorted(range(-SHIFT, SHIFT + 1), key=abs):
-                    low = at + shift
-                    if low < 0 or low + n > len(h) or (text, item, low) in tried:
+            ranges: dict[tuple[int, int], list] = {}
+            for text, at, item in sorted(set(zip(owner[q].tolist(), (place[q] - c.phase[p]).tolist(), c.item[p].tolist()))):
+                away = SHIFT + len(self.words[item]) // 4
+                low, high = max(0, at - away), min(at + away, int(lengths[text]) - SHINGLE)
+                mine = ranges.setdefault((text, item), [])
+                if mine and low <= mine[-1][1] + 1:        # near the place before
+                    mine[-1][1] = max(high, mine[-1][1])
+                elif low <= high:
+                    mine.append([low, high])
+            for (text, item), places in ranges.items():
+                own = slice(begins[text], begins[text] + max(0, lengths[text] - SHINGLE + 1))
+                for low, high in places:
+                    got = self.best_place(item, shingles[own], weights[own], low, high)
+                    if not got:
                         continue
-                    tried.add((text, item, low))
-                    sim = self.similarity(item, h[low:low + n])
+                    _, low, n = got
+                    n += SHINGLE - 1
+                    sim = self.similarity(item, hashed[text][low:low + n])
                     if sim >= SIMILAR and (-sim, low) < best.get((text, self.ids[item]), (1.0,))[:2]:
                         best[text, self.ids[item]] = (-sim, low, n)
         for (text, item), (sim, low, n) in sorted(best.items()):
