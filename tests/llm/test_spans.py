@@ -79,6 +79,25 @@ def test_battery_tells_random_from_text(spark):
     assert len(found & set(range(20))) >= 18 and not found - set(range(20))
 
 
+def test_long_and_glued_secrets(spark):
+    rng = random.Random(6)
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    say = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    make = {
+        "standard": lambda: ("", say(alnum + "+/", 2500)), "url": lambda: ("", say(alnum + "-_", 2500)),
+        "sid": lambda: ("sid=", say("0123456789ABCDEF", 32)), "key": lambda: ("key_", say("0123456789ABCDEF", 40)),
+        "id": lambda: ("id-", say("0123456789abcdef", 30)), "path": lambda: ("srv/data/users/home/export/files/", say(alnum + "+", 40))}
+    planted = [(kind, f"see {(g := f())[0]}", g[1]) for kind, f in make.items() for _ in range(20)]
+    plain = ["see configuration/settings/default/values and some_long_variable_name_here or well-known-international-words"] * 30
+    df = spark.createDataFrame([(i, a + b + " now", None) for i, (_, a, b) in enumerate(planted)] + [(-1 - i, t, None) for i, t in enumerate(plain)], SCHEMA)
+    rows = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "random"] for r in secrets.scan(df).collect()}
+    assert not any(rows[-1 - i] for i in range(30))
+    hit = Counter(kind for i, (kind, a, b) in enumerate(planted) if any(s <= len(a) and e >= len(a) + len(b) for s, e in rows[i]))
+    assert all(hit[kind] >= 18 for kind in make), hit
+    for spans in rows.values():
+        assert not any(a != b and a[0] <= b[0] and b[1] <= a[1] for a in spans for b in spans)
+
+
 def test_pii_model_and_redaction(spark):
     rng = random.Random(2)
     rows = []

@@ -1,9 +1,11 @@
 """Secret scanning: fixed patterns, and a battery of randomness tests.
 
 Besides the patterns ``BASE``, every run of at least ``SHORTEST`` characters
-that encodings of random bytes use is a candidate. Its encoding is inferred
-(hex, base32, letters and digits, base64; a run of digits alone is a number,
-not a candidate). Three tests ask whether it
+that encodings of random bytes use is a candidate, and so are its parts of
+that length between the signs that standard or URL-safe base64 or both do not
+use, as a name or path may stand before a value. The encoding of each is
+inferred (hex, base32, letters and digits, the two kinds of base64, or a
+mixture; a run of digits alone is a number, not a candidate). Three tests ask whether it
 looks like uniform random symbols of that alphabet: chi-squared uniformity,
 the number of runs above and below the alphabet's middle, and the serial
 correlation of neighbours. Three figures say how unlikely it is for ordinary
@@ -19,7 +21,7 @@ marks the spans. Rows are never joined, so null and repeated ids do no harm.
 
 Defined results: a null or empty text has no spans; spans of the battery may
 overlap those of the patterns, which all stay; equal spans of two kinds are
-both told; the input's columns are kept and clashing output names refused with
+both told; a finding of the battery inside another is not told again; the input's columns are kept and clashing output names refused with
 ``ValueError``; without candidates no threshold is set.
 """
 
@@ -41,15 +43,19 @@ BASE = (
 )
 SHORTEST = 16
 CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}+"
+#: Parts of a run: standard base64, URL-safe base64, and what both share or '+'.
+PARTS = tuple(rf"[A-Za-z0-9{signs}]{{{SHORTEST},}}+={{0,2}}+" for signs in ("+/", "_-", "+"))
 ALPHABETS = {
     "hex": "0123456789abcdef",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "alnum": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
-    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_",
+    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
+    "mixed": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_",
 }
 #: The model of ordinary text: share of characters in each alphabet, chance
 #: that two characters agree, and chance that the kind of character changes.
-TEXT_SHARE = {"hex": 0.4, "base32": 0.1, "alnum": 0.98, "base64": 1.0}
+TEXT_SHARE = {"hex": 0.4, "base32": 0.1, "alnum": 0.98, "base64": 1.0, "base64url": 1.0, "mixed": 1.0}
 TEXT_AGREE, TEXT_CUBES, TEXT_CHANGE = 0.065, 0.006, 0.06
 STRATA = (24, 32, 48, 96)       # bounds between the ranges of lengths
 RATE = 0.01                     # rate of false discoveries
@@ -66,7 +72,8 @@ def log_tail(z: Column) -> Column:
 
 def encoding(token: Column) -> Column:
     return (F.when(token.rlike("^([0-9a-f]+|[0-9A-F]+)$"), "hex")
-            .when(token.rlike("^[A-Z2-7]+$"), "base32").when(token.rlike("^[A-Za-z0-9]+$"), "alnum").otherwise("base64"))
+            .when(token.rlike("^[A-Z2-7]+$"), "base32").when(token.rlike("^[A-Za-z0-9]+$"), "alnum")
+            .when(token.rlike("^[A-Za-z0-9+/]+$"), "base64").when(token.rlike("^[A-Za-z0-9_-]+$"), "base64url").otherwise("mixed"))
 
 
 def _by_encoding(enc: Column, values: dict) -> Column:
@@ -149,9 +156,27 @@ def stratum(length: Column) -> Column:
 
 
 def candidates(text: Column) -> Column:
-    """array of (start, end, match) of runs that an encoding could have made
-    (with a letter, and at least two characters besides '=')."""
-    return F.filter(find(text, CANDIDATE), lambda s: s["match"].rlike("[A-Za-z]") & (F.length(F.regexp_replace(s["match"], "=+$", "")) >= 2))
+    """array of (start, end, match) of runs that an encoding could have made,
+    and of their parts (with a letter, and at least two characters besides
+    '=')."""
+
+    def with_parts(s: Column) -> Column:
+        glued = s["match"].rlike("[=/_-]")
+        parts = F.concat(*(find(s["match"], pattern, glued) for pattern in PARTS))
+        moved = F.transform(parts, lambda p: F.struct((s["start"] + p["start"]).alias("start"), (s["start"] + p["end"]).alias("end"), p["match"].alias("match")))
+        return F.concat(F.array(s), moved)
+
+    every = F.array_distinct(F.flatten(F.transform(find(text, CANDIDATE), with_parts)))
+    return F.filter(every, lambda s: s["match"].rlike("[A-Za-z]") & (F.length(F.regexp_replace(s["match"], "=+$", "")) >= 2))
+
+
+def outermost(spans: Column) -> Column:
+    """The spans that are not inside another, by start."""
+    ordered = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"))))
+    state = F.struct(F.lit(-1).alias("reach"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
+    return F.aggregate(ordered, state, lambda acc, s: F.when(-s["back"] <= acc["reach"], acc).otherwise(F.struct(
+        (-s["back"]).alias("reach"), F.concat(acc["out"], F.array(F.struct(s["start"].alias("start"), (-s["back"]).alias("end")))).alias("out"))),
+        lambda acc: acc["out"])
 
 
 def thresholds(df: DataFrame, text_col: str = "text", rate: float = RATE) -> dict[int, float]:
@@ -196,6 +221,6 @@ def scan(df: DataFrame, text_col: str = "text", rate: float = RATE) -> DataFrame
             return ok & (b["log_random"] >= math.log(RANDOM_LEVEL))
         return let(battery(s["match"]), passes)
 
-    random = F.filter(candidates(text), found) if limit else F.filter(find(text, CANDIDATE), lambda s: F.lit(False))
+    random = outermost(F.filter(candidates(text), found)) if limit else F.filter(find(text, CANDIDATE), lambda s: F.lit(False))
     marked = df.select("*", F.sort_array(base_spans(text)).alias("base_spans"), named("random", len(BASE), random).alias("_found"))
     return marked.select("*", F.sort_array(F.concat("base_spans", "_found")).alias("spans")).drop("_found")
