@@ -129,6 +129,38 @@ def test_queries_whole_tables(spark):
             assert set(spans) <= set(got[i].spans.split(",")) or not spans
 
 
+def iban(rng):
+    body = "".join(rng.choice("0123456789") for _ in range(18))
+    check = 98 - int(body + "131400") % 97                 # D is 13, E 14
+    return " ".join(re.findall(".{1,4}", f"DE{check:02d}{body}"))
+
+
+def test_every_generator_reaches_a_threshold(spark):
+    rng = random.Random(9)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+
+    def card():
+        body = "4" + digits(14)
+        return next(body + c for c in "0123456789" if luhn(body + c))
+
+    make = {
+        "contact": lambda: ("write to ", f"{rng.choice(('ann', 'bob', 'eve'))}{digits(3)} (at) {rng.choice(('mail', 'web'))} (dot) com"),
+        "number": lambda: ("tel. ", f"0{digits(2)} {digits(3)} {digits(4)}"), "digits": lambda: ("card ", card()),
+        "dotted": lambda: ("server ", ".".join(str(rng.randint(0, 255)) for _ in range(4))), "code": lambda: ("iban ", iban(rng))}
+    fills = [lambda: f"meet (at) noon{digits(2)}", lambda: f"case {digits(9)}", lambda: f"part {digits(3)}.{digits(4)}.{digits(4)}.{digits(4)}"]
+    rows = [(i, (g := f())[0] + g[1] + ", see " + rng.choice(fills)() + " x", None) for i in range(150) for f in make.values()]
+    model = pii.fit(spark.createDataFrame(rows, SCHEMA))
+    assert model.limits.keys() == set(range(len(pii.GENERATORS)))
+    many = rows + [(i, f"case {digits(9)} x", None) for i in range(6000)]
+    assert pii.fit(spark.createDataFrame(many, SCHEMA), fit_rows=1500).limits.keys() >= {0, 3, 4}
+    planted = [("contact", "write to ", "zoe77 (at) mail (dot) com"), ("number", "tel. ", "030 555 0199"), ("code", "iban ", "DE89 3704 0044 0532 0130 00"),
+               ("digits", "card ", "4242424242424242"), ("dotted", "server ", "10.20.30.40")]
+    df = spark.createDataFrame([(i, a + b + ", see", None) for i, (_, a, b) in enumerate(planted)], SCHEMA)
+    for r in pii.scan(df, model).collect():
+        kind, a, b = planted[r.doc_id]
+        assert any(s.start == len(a) and s.end == len(a) + len(b) and s.kind in (kind, "card", "ip") for s in r.spans), (kind, r.spans)
+
+
 def plain_counts(t):
     t = t or ""
     w = [x for x in re.split(r"[\x20\x09-\x0D]+", t) if x]
