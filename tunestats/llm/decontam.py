@@ -18,8 +18,9 @@ and from each all lengths whose weight can have that similarity, so words
 may be missing or added, also at the ends of the text.
 
 Words are runs of letters, digits and other non-ASCII characters in lower
-case. Items are taken ``ITEM_BLOCK`` or so at a time, a bounded index for
-each, against all rows; so any number of items works in bounded memory.
+case. Items are indexed ``ITEM_BLOCK`` or so at a time, each block against all
+rows. The driver, the plan and every worker hold all blocks, so their memory
+grows with the number of items; shingles are weighed within a block.
 
 Defined results: null and empty texts and items match nothing, nor do items of
 fewer than five words, which have no shingle; an item is told once for each
@@ -328,7 +329,7 @@ def matches(df: DataFrame, items: DataFrame, text_col: str = "text", item_id: st
     blocks = max(1, -(-items.count() // ITEM_BLOCK))
     column = F.lit(None).cast(HITS)
     for k in range(blocks):
-        # about ITEM_BLOCK items, all that the driver or a worker holds at a time
+        # about ITEM_BLOCK items
         part = items.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == k).collect()
         found = _search_column(Benchmark([r["id"] for r in part], [r["text"] for r in part]))(df[text_col])
         column = found if k == 0 else F.concat(column, found)
