@@ -16,3 +16,4 @@ from tunestats.operators.core import (  # noqa: F401
     top1_by_count,
     top_n,
 )
+from tunestats.operators.numbering import numbered  # noqa: F401
