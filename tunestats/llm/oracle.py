@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tunestats.llm import rules
+from tunestats.llm import mixing, rules
 
 SPLIT = r"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -56,4 +56,22 @@ judged AS (
   FROM counts)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR rejected) AS kept FROM judged"""
 
-STATEMENTS = {"op5_warc": WARC, "op7_minhash": MINHASH, "op8_rules": RULES}
+MIXING = rf"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len({SPLIT.format(text="coalesce(text, '')")}) AS BIGINT) AS size,
+         md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS key FROM documents),
+sources AS (SELECT source, CAST(SUM(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+weighed AS (SELECT *, [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w, 2 * source_size AS cap FROM sources),
+filled AS (
+  SELECT *, row_number() OVER o AS k, (CAST(1.5 AS DOUBLE) * SUM(source_size) OVER () - SUM(cap) OVER o + cap) / (SUM(w) OVER () - SUM(w) OVER o + w) AS level
+  FROM weighed WINDOW o AS (ORDER BY cap / w, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+targets AS (
+  SELECT source, source_size, least(CAST(cap AS DOUBLE), w * (SELECT arg_min(level, k) FROM filled WHERE level * w <= cap)) AS target FROM weighed),
+goals AS (SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS goal FROM targets),
+placed AS (
+  SELECT *, CAST(coalesce(SUM(size) OVER (PARTITION BY source ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before FROM sized)
+SELECT doc_id, size, source_size, target, CASE WHEN source_size = 0 THEN 0 ELSE
+       goal // source_size * size + greatest(0, least(size, goal % source_size - before)) END AS taken
+FROM placed p JOIN goals g ON p.source IS NOT DISTINCT FROM g.source"""
+
+STATEMENTS = {"op5_warc": WARC, "op7_minhash": MINHASH, "op8_rules": RULES, "op13_mixing": MIXING}

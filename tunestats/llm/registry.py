@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunestats.llm import bpe, decontam, langid, lmscore, neardup, oracle, pii, quality, rules, secrets, warc
+from tunestats.llm import bpe, decontam, langid, lmscore, mixing, neardup, oracle, pii, quality, rules, secrets, warc
 from tunestats.llm.sampling import fold
 from tunestats.llm.shared import shared_root
 from tunestats.llm.spans import told
@@ -107,6 +107,11 @@ def op10_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("mean_log_prob", F.try_divide("log_prob", "n_tokens"))
 
 
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of the sources takes of every document."""
+    return mixing.mix(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
@@ -118,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rules": op8_rules,
     "op9_langid": op9_langid,
     "op10_lmscore": op10_lmscore,
+    "op13_mixing": op13_mixing,
 }
 
 SQL: dict[str, str] = dict(oracle.STATEMENTS)

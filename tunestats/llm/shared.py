@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -22,3 +23,11 @@ def shared_root(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="tunestats-shared-"))
     return context._jsc.sc().getCheckpointDir().get()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: its lineage ends
+    there, and its size is that of its files."""
+    path = f"{shared_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
