@@ -1,0 +1,112 @@
+"""Hard negatives against brute force, and odd inputs."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tunestats.llm import negatives
+
+SCHEMA = "vec_id long, embedding array<float>, label int, score string, block int"
+
+
+def plain(rows, anchor, positives=5, k=10, low=30, high=90):
+    """All scores of every anchor, sorted."""
+    kept = []
+    for vec_id, x, label, *_ in rows:
+        if vec_id is None or label is None or not x or any(c is None or not math.isfinite(c) for c in x):
+            continue
+        v = [math.floor(256 * float(np.float32(c))) for c in x]
+        if sum(c * c for c in v) < 2**62:
+            kept.append((vec_id, v, label))
+    out = []
+    for i, (a, v, label) in enumerate(kept):
+        if not anchor(a):
+            continue
+        scores = [(-sum(p * q for p, q in zip(v, w)), b, l) for j, (b, w, l) in enumerate(kept) if j != i and len(w) == len(v)]
+        for p, b, _ in sorted(s for s in scores if s[2] == label)[:positives]:
+            far = sorted(s for s in scores if s[2] != label and low * -p <= 100 * -s[0] <= high * -p)[:k]
+            out += [(a, b, r, n, -p, -s) for r, (s, n, _) in enumerate(far, 1)]
+    return sorted(out)
+
+
+def found(spark, rows, anchor, **kw):
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = negatives.mine(negatives.prepared(df), anchor, **kw)
+    assert got.dtypes == [("anchor_id", "bigint"), ("positive_id", "bigint"), ("rank", "int"), ("negative_id", "bigint"),
+                          ("positive_score", "bigint"), ("negative_score", "bigint")]
+    return sorted(tuple(r) for r in got.collect())
+
+
+def made(n, dim, seed, spread=1.0):
+    draw = random.Random(seed)
+    centres = [[draw.gauss(0, 1) for _ in range(dim)] for _ in range(4)]
+    rows = []
+    for i in range(n):
+        label = min(draw.randrange(6), 3)
+        size = draw.choice((0.2, 1.0, 3.0))
+        rows.append((i, [size * (c + spread * draw.gauss(0, 1)) for c in centres[label if draw.random() < 0.7 else draw.randrange(4)]], label, None, None))
+    return rows
+
+
+@pytest.mark.parametrize("block_values", [1 << 20, 8 * 60])
+def test_against_brute_force(spark, block_values):
+    rows = made(900, 8, 5)
+    got = found(spark, rows, F.col("vec_id") % 20 == 0, block_values=block_values)
+    assert got and got == plain(rows, lambda a: a % 20 == 0)
+
+
+def test_rows_that_take_no_part_ties_and_lengths(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.5], 1, None, None), (1, [1.0, 0.5], 1, None, None), (2, [0.6, 0.3], 2, None, None), (3, [0.6, 0.3], 2, None, None),
+            (3, [0.6, 0.3], 2, None, None), (4, [nan, 1.0], 2, None, None), (5, [inf, 1.0], 2, None, None), (6, None, 2, None, None),
+            (7, [0.6, 0.3], None, None, None), (None, [0.6, 0.3], 2, None, None), (8, [None, 0.3], 2, None, None), (9, [], 2, None, None),
+            (10, [0.6, 0.3, 0.1], 2, None, None), (11, [0.0, 0.0], 2, None, None), (12, [3e38, 1.0], 2, None, None), (13, [-1.0, -0.5], 1, None, None),
+            (20, [0.0, 0.0], 5, None, None), (21, [0.0, 0.0], 5, None, None), (30, [9.0], 7, None, None)]
+    got = found(spark, rows, F.col("vec_id") % 10 == 0)
+    assert got == plain(rows, lambda a: a % 10 == 0)
+    assert [r[3] for r in got if r[0] == 0 and r[1] == 1] == [2, 3, 3]
+    assert any(r[0] == 20 and r[4] == r[5] == 0 for r in got)
+
+
+def test_products_beyond_doubles(spark):
+    rows = [(i, [float(2**20 + 37 * i), float(1 - i), 1e5 * (i % 3)], i % 2, None, None) for i in range(40)]
+    assert found(spark, rows, F.col("vec_id") % 4 == 0, low=0, high=100) == plain(rows, lambda a: a % 4 == 0, low=0, high=100)
+
+
+def test_a_third_of_all_rows_alike(spark):
+    rows = made(300, 6, 9)
+    rows += [(1000 + i, [0.5] * 6, 1, None, None) for i in range(150)]
+    assert found(spark, rows, F.col("vec_id") % 50 == 0, block_values=6 * 40) == plain(rows, lambda a: a % 50 == 0)
+
+
+def test_pruning_loses_nothing_and_excludes_much():
+    draw = np.random.default_rng(3)
+    v = draw.normal(size=(5000, 16)) * draw.choice((20, 60, 200), 5000)[:, None] * np.linspace(4, 0.2, 16)
+    v = np.floor(v).astype(np.int64)
+    length = np.sqrt((v.astype(float) ** 2).sum(1))
+    ids = np.arange(5000)
+    buckets = negatives.bucketed(v, length, ids, ids, np.zeros(5000, np.int64))
+    assert sum(len(b.ids) for b in buckets) == 5000 and len(buckets) > 2
+    for a in range(0, 5000, 500):
+        scores = v @ v[a]
+        limit = np.sort(scores)[-20]
+        direction, kept = v[a] / length[a], 0
+        focus = np.argsort(-np.abs(direction))[:negatives.FOCUS]
+        for b in buckets:
+            reach = length[a] * b.greatest
+            if reach < limit:
+                assert (scores[b.ids] < limit).all()
+                continue
+            picked = b.candidates(direction, focus, limit / reach)
+            kept += len(b.ids if picked is None else picked)
+            lost = np.setdiff1d(b.ids, b.ids if picked is None else b.ids[picked])
+            assert (scores[lost] < limit).all()
+        assert kept < 2500
+
+
+def test_empty_table_and_no_anchor(spark):
+    assert found(spark, [], F.col("vec_id") >= 0) == []
+    assert found(spark, made(20, 3, 1), F.col("vec_id") < 0) == []
