@@ -74,4 +74,47 @@ SELECT doc_id, size, source_size, target, CASE WHEN source_size = 0 THEN 0 ELSE
        goal // source_size * size + greatest(0, least(size, goal % source_size - before)) END AS taken
 FROM placed p JOIN goals g ON p.source IS NOT DISTINCT FROM g.source"""
 
-STATEMENTS = {"op5_warc": WARC, "op7_minhash": MINHASH, "op8_rules": RULES, "op13_mixing": MIXING}
+NEGATIVES = """
+WITH given AS (
+  SELECT row_number() OVER () AS k, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scores AS (
+  SELECT a.k, a.vec_id AS anchor_id, a.label AS own, r.k AS other, r.vec_id, r.label, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM given a JOIN given r ON a.k <> r.k AND len(a.v) = len(r.v) WHERE a.vec_id % 100 = 0),
+near AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, vec_id, other) AS r FROM scores WHERE own = label),
+far AS (
+  SELECT n.k, n.anchor_id, n.other, n.vec_id AS positive_id, s.vec_id AS negative_id, n.score AS positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY n.k, n.other ORDER BY s.score DESC, s.vec_id, s.other) AS r
+  FROM near n JOIN scores s ON s.k = n.k AND s.label <> n.own AND 30 * n.score <= 100 * s.score AND 100 * s.score <= 90 * n.score WHERE n.r <= 5)
+SELECT anchor_id, positive_id, CAST(r AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM far WHERE r <= 10"""
+
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+DIVERGENCE = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}), '[a-z\x{{80}}-\x{{10FFFF}}]+') AS ws FROM documents),
+seen AS (SELECT k, lang, source, unnest(ws) AS term FROM docs),
+kept AS (SELECT lang, term, COUNT(*) AS c FROM seen GROUP BY lang, term HAVING COUNT(DISTINCT k) >= 10),
+langs AS (SELECT lang, COUNT(*) AS v, SUM(c) AS n FROM kept GROUP BY lang),
+held AS (SELECT lang, source, term, COUNT(*) AS c FROM seen JOIN kept USING (lang, term) GROUP BY lang, source, term),
+known AS (SELECT DISTINCT lang, source FROM docs),
+sums AS (SELECT lang, source, SUM(c) AS n FROM held GROUP BY lang, source),
+smooth AS (
+  SELECT k.lang, k.source, t.term, coalesce(h.c, 0) AS c, 1 + (CAST(1000000000 AS HUGEINT) * (coalesce(h.c, 0) + 2)) // (coalesce(s.n, 0) + 2 * l.v) AS p,
+         1 + (CAST(1000000000 AS HUGEINT) * (t.c + 2)) // (l.n + 2 * l.v) AS q
+  FROM known k JOIN kept t USING (lang) JOIN langs l USING (lang) LEFT JOIN sums s ON s.lang = k.lang AND s.source = k.source
+  LEFT JOIN held h ON h.lang = k.lang AND h.source = k.source AND h.term = t.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, SUM((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM smooth a JOIN smooth b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM known a JOIN known b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM smooth WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM found)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR r <= 10"""
+
+STATEMENTS = {"op5_warc": WARC, "op7_minhash": MINHASH, "op8_rules": RULES, "op11_negatives": NEGATIVES, "op12_divergence": DIVERGENCE, "op13_mixing": MIXING}

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunestats.llm import bpe, decontam, langid, lmscore, mixing, neardup, oracle, pii, quality, rules, secrets, warc
+from tunestats.llm import bpe, decontam, divergence, langid, lmscore, mixing, neardup, negatives, oracle, pii, quality, rules, secrets, warc
 from tunestats.llm.sampling import fold
 from tunestats.llm.shared import shared_root
 from tunestats.llm.spans import told
@@ -107,6 +107,18 @@ def op10_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("mean_log_prob", F.try_divide("log_prob", "n_tokens"))
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard negatives of every hundredth vector and its positives."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.prepared(_table(spark, sf_dir, "embeddings"), label=moved)
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far apart the sources of a language are, and by which terms."""
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of the sources takes of every document."""
     return mixing.mix(_table(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -123,6 +135,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rules": op8_rules,
     "op9_langid": op9_langid,
     "op10_lmscore": op10_lmscore,
+    "op11_negatives": op11_negatives,
+    "op12_divergence": op12_divergence,
     "op13_mixing": op13_mixing,
 }
 
