@@ -31,7 +31,16 @@ from tunestats import oracle, schemas  # noqa: E402
 from tunestats.plans import marts, model, pipeline, reports  # noqa: E402
 from tunestats.session import apply_scale_conf, shared_dir  # noqa: E402
 from tunestats.sinks import ensure_schema, load_all, publish, write_with_schema  # noqa: E402
-from tunestats.sources import enrich, harvest_keys, recent  # noqa: E402
+from tunestats.sources import (  # noqa: E402
+    enrich,
+    field_counts,
+    harvest_keys,
+    missing_requests,
+    page_chains,
+    parse_links,
+    recent,
+    rest_of_pages,
+)
 
 try:  # the training-data queries: only where their subpackage is there
     import corpus_pipeline
@@ -171,6 +180,11 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "harvest_artist_keys": lambda s, d: _harvest(s, d)[1],
         "enrich_tracks": lambda s, d: enrich(fx.tracks_raw(s, d), _harvest(s, d)[0], "track_id"),
         "enrich_artists": lambda s, d: enrich(fx.artists_raw(s, d), _harvest(s, d)[1], "artist_id"),
+        "page_chains": lambda s, d: page_chains(parse_links(fx.linked_pages(s, d), "value"), shared_dir(s)),
+        "missing_track_requests": lambda s, d: missing_requests(_harvest(s, d)[0], fx.tracks_raw(s, d), "track_id", shared_dir(s)),
+        "missing_artist_requests": lambda s, d: missing_requests(_harvest(s, d)[1], fx.artists_raw(s, d), "artist_id", shared_dir(s)),
+        "unknown_page_fields": lambda s, d: field_counts(
+            rest_of_pages(fx.grown_track_pages(s, d), "value", schemas.TRACK_PAGE, ["kind"])),
         # model
         "dim_time": lambda s, d: model.dim_time(fx.plays_li(s, d)),
         "dim_tracks": lambda s, d: model.dim_tracks(_relanded(fx.tracks_raw(s, d).drop("preview_url"), "track_id", "track_name")),

@@ -1,11 +1,12 @@
 """Command line: run one or more layers.
 
     python -m tunestats --landing /data/landing --root /shared/tunestats \\
-        [--database tunestats] [--layers bronze,silver,gold] [--run-ts 2024-01-16T00:00:00Z]
+        [--database tunestats] [--layers bronze,check,silver,gold] [--run-ts 2024-01-16T00:00:00Z]
         [--cluster-profile]
 
 ``--landing`` holds one folder per kind of page: plays, playlists,
-playlist_tracks, tracks, artists. The session comes from the environment
+playlist_tracks, tracks, artists. The layer ``check`` (not run by default)
+tells what the landing lacks. The session comes from the environment
 (``spark-submit`` settings); nothing is set beyond ``session.SCALE_CONF``
 unless ``--cluster-profile`` is given.
 """
@@ -41,11 +42,13 @@ def main(argv: list[str] | None = None) -> dict:
         apply_cluster_profile(spark)
     layers = [x.strip() for x in a.layers.split(",") if x.strip()]
     out: dict = {}
+    if {"bronze", "check"} & set(layers) and not a.landing:
+        ap.error("--landing is needed for the bronze layer and its check")
+    landing = {k: f"{a.landing}/{k}" for k in pipeline.LANDING_KEYS}
     if "bronze" in layers:
-        if not a.landing:
-            ap.error("--landing is needed for the bronze layer")
-        landing = {k: f"{a.landing}/{k}" for k in pipeline.LANDING_KEYS}
         out["bronze"] = pipeline.run_bronze(spark, landing, a.database, a.root, a.run_ts, a.window_hours, a.format, a.mode, a.multi_line)
+    if "check" in layers:
+        out["check"] = pipeline.run_check(spark, landing, a.database, a.root, a.format, a.mode, a.multi_line)
     if "silver" in layers:
         out["silver"] = pipeline.run_silver(spark, a.database, a.root, a.format)
     if "gold" in layers:

@@ -21,7 +21,7 @@ the fixture's meaning, not a way to make any check cheaper.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tunestats import schemas
@@ -42,6 +42,8 @@ ARTIST_HOLE = (7, 5)           # supplier key % 7 = 5: artist page answers null
 LI_NULL_TIME = 991             # order key % 991 = 0: played_at missing
 LI_BAD_TIME = 997              # order key % 997 = 0: played_at malformed
 LI_MS_PER_QTY = 10007          # li duration_ms = quantity * 10007
+# linked pages: which are lost, landed twice, landed once more as a last page, or without address; whose last leads to the first
+LOST, TWICE, CUT_SHORT, NO_HREF, CIRCLE, LONG_LOST = 41, 43, 53, 59, 47, (997, 5)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -309,6 +311,48 @@ def play_pages_li(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pack(li, F.floor(F.monotonically_increasing_id() / PAGE_SIZE), item, F.lit(False), "items")
 
 
+def grown_track_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(kind, value): track catalogue pages, one item each, of an API that has
+    grown: new fields on three levels, and two fields of another type."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    album = F.struct(_str(k % 100).alias("id"), F.col("p_brand").alias("name"), F.when(k % 4 == 0, F.array(F.struct(
+        F.col("p_size").alias("height"), F.lit("cover").alias("url")))).alias("images"))
+    item = F.struct(
+        _str("p_partkey").alias("id"), F.col("p_name").alias("name"), (F.col("p_size").cast("bigint") * 7919).alias("duration_ms"),
+        F.when(k % 3 == 0, k % 2 == 0).alias("is_local"), F.when(k % 11 == 0, _str(k)).alias("popularity"),
+        F.array(F.struct(_str(k % 7).alias("id"), F.when(k % 5 == 0, F.lit("artist")).alias("type"))).alias("artists"),
+        F.when(k % 13 != 0, album).alias("album"), F.when(k % 17 == 0, F.lit(1.5)).alias("explicit"))
+    page = F.struct(F.array(F.when(k % TRACK_HOLE[0] != TRACK_HOLE[1], item)).alias("tracks"), F.when(k % 19 == 0, k).alias("total"))
+    return p.select(F.lit("bronze_tracks").alias("kind"), F.to_json(page).alias("value"))
+
+
+def linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(kind, value): landed pages of listings that lead from one to the next.
+    ``playlists``: one listing for each customer, a page for each order;
+    ``playlist_tracks``: one long listing, a page for 50 order keys."""
+    o = table(spark, sf_dir, "orders")
+    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    address = F.concat(F.lit("playlists/"), _str("o_custkey"), F.lit("?at="), _str("o_orderkey"))
+    k = F.col("o_orderkey")
+    short = o.select(
+        F.lit("playlists").alias("kind"), "o_orderkey", F.when(k % NO_HREF != 0, address).alias("href"),
+        F.coalesce(F.lead(address).over(w), F.when(F.col("o_custkey") % CIRCLE == 0, F.first(address).over(w))).alias("next"),
+        F.lag(address).over(w).alias("previous"), F.array(F.struct(_str("o_orderkey").alias("id"))).alias("items")).where(k % LOST != 0)
+    again = short.where(k % TWICE == 0).unionByName(short.where(k % CUT_SHORT == 0).withColumn("next", F.lit(None).cast("string")))
+    short = short.unionByName(again).drop("o_orderkey")
+    li = table(spark, sf_dir, "lineitem")
+    at = F.floor(F.col("l_orderkey") / PAGE_SIZE)
+    last = li.agg(F.max(at)).first()[0]
+    place, n = (lambda i: F.concat(F.lit("items?page="), _str(i))), F.col("at")
+    long = li.groupBy(at.alias("at")).agg(F.collect_list(F.struct(F.struct(_str("l_partkey").alias("id")).alias("track"))).alias("items"))
+    long = long.where(n % LONG_LOST[0] != LONG_LOST[1]).select(
+        F.lit("playlist_tracks").alias("kind"), place(n).alias("href"), F.when(n < last, place(n + 1)).alias("next"),
+        F.when(n > 0, place(n - 1)).alias("previous"), "items")
+    body = F.to_json(F.struct("href", "next", "previous", "items")).alias("value")
+    return short.select("kind", body).unionByName(long.select("kind", body))
+
+
 def land(spark: SparkSession, sf_dir: str, root: str, plays: str = "li") -> dict[str, str]:
     """Write every kind of landed page under ``root`` as JSON Lines text and
     return the landing map ``pipeline.run`` takes."""

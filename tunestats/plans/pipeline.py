@@ -22,9 +22,21 @@ from pyspark.sql import functions as F
 from tunestats import schemas
 from tunestats.functions import DEFAULT_USER
 from tunestats.plans import marts, model
-from tunestats.session import apply_scale_conf
+from tunestats.session import apply_scale_conf, shared_dir
 from tunestats.sinks import ensure_schema, load_all
-from tunestats.sources import corrupt_pages, enrich, harvest_keys, read_raw, recent, window_start
+from tunestats.sources import (
+    corrupt_pages,
+    enrich,
+    field_counts,
+    harvest_keys,
+    missing_requests,
+    page_chains,
+    read_links,
+    read_raw,
+    read_rest,
+    recent,
+    window_start,
+)
 
 RAW = ("bronze_play_history", "bronze_playlists", "bronze_playlist_tracks", "bronze_tracks", "bronze_artists")
 SILVER = ("dim_time", "dim_tracks", "dim_artists", "dim_playlists", "fct_plays")
@@ -173,6 +185,33 @@ def run_bronze(spark: SparkSession, landing: Mapping[str, str | list[str]], data
     return written
 
 
+def run_check(spark: SparkSession, landing: Mapping[str, str | list[str]], database: str = "tunestats",
+              root: str | None = None, fmt: str = "parquet", mode: str = "FAILFAST", multi_line: bool = False) -> dict[str, int | None]:
+    """What layer 1 lacks, as tables beside it: ``bronze_page_chains`` (how
+    every chain of landed listing pages stands), ``bronze_track_requests`` and
+    ``bronze_artist_requests`` (harvested ids without a catalogue row, fifty to
+    a request), ``bronze_rest_fields`` (what landed pages hold beside their
+    schemas) and ``bronze_rest_counts``. Runs after ``run_bronze``, whose
+    tables it reads. Returns the rows of each, and ``broken_chains``."""
+    dbs = _prepare(spark, database, root)
+    folder = shared_dir(spark, root)
+    stored = _read(spark, dbs["bronze"], RAW)
+    tracks, artists = harvest_keys(stored["bronze_play_history"], stored["bronze_playlist_tracks"])
+    links = reduce(DataFrame.unionByName, [read_links(spark, LANDING_KEYS[k], landing[k], mode, multi_line)
+                                           for k in ("plays", "playlists", "playlist_tracks")])
+    rest = reduce(DataFrame.unionByName, [read_rest(spark, LANDING_KEYS[k], path, multi_line) for k, path in landing.items()])
+    written = load_all({
+        "bronze_page_chains": page_chains(links, folder),
+        "bronze_track_requests": missing_requests(tracks, stored["bronze_tracks"], "track_id", folder),
+        "bronze_artist_requests": missing_requests(artists, stored["bronze_artists"], "artist_id", folder),
+        "bronze_rest_fields": rest,
+    }, dbs["bronze"], fmt, _loc(root, "bronze"))
+    written |= load_all({"bronze_rest_counts": field_counts(spark.table(f"{dbs['bronze']}.bronze_rest_fields"))}, dbs["bronze"], fmt,
+                        _loc(root, "bronze"))
+    broken = spark.table(f"{dbs['bronze']}.bronze_page_chains").where("status <> 'complete'").count()
+    return written | {"broken_chains": broken}
+
+
 def run_silver(spark: SparkSession, database: str = "tunestats", root: str | None = None,
                fmt: str = "parquet") -> dict[str, int | None]:
     """Layer 2: stored raw tables → the star schema."""

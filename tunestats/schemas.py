@@ -82,6 +82,9 @@ ARTIST_PAGE = _s(
     ))),
 )
 
+# What any page of a listing says of its place in it.
+PAGE_LINK = _s(("href", S), ("next", S), ("previous", S))
+
 # --------------------------------------------------------------------------
 # Raw (bronze) tables.
 # --------------------------------------------------------------------------

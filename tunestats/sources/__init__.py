@@ -1,5 +1,6 @@
 """Sources: landed pages → raw tables, ingestion window, key harvest."""
 
+from tunestats.sources.chains import page_chains, parse_links, read_links  # noqa: F401
 from tunestats.sources.ingest import enrich, harvest_keys, read_table, recent, window_start  # noqa: F401
 from tunestats.sources.pages import (  # noqa: F401
     PAGE_KINDS,
@@ -18,3 +19,5 @@ from tunestats.sources.pages import (  # noqa: F401
     read_raw,
     read_tracks,
 )
+from tunestats.sources.requests import missing_keys, missing_requests  # noqa: F401
+from tunestats.sources.rest import field_counts, read_rest, rest_of_pages  # noqa: F401
