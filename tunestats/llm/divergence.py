@@ -35,12 +35,13 @@ import marshal
 import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
-from itertools import groupby
+from itertools import chain, groupby
 from operator import itemgetter
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,8 +51,8 @@ MIN_DOCS = 10             # documents of a language that a kept term is in
 TOP_TERMS = 10            # terms reported for a group
 SCALE = 1_000_000_000     # fixed value: of the smoothed frequencies
 ADDED = 2                 # fixed value: added to every count
-RUN_BYTES = 64 << 20      # estimated memory of a block before it is spilled
-TERM_BYTES = 240          # memory of a term in a block besides its letters: two table entries, a bytes object
+RUN_BYTES = 128 << 20     # estimated memory of a block before it is spilled
+TERM_BYTES = 200          # memory of a term in a block besides its letters: table entries and a bytes object
 PIECE = 4096              # postings of a run in one row
 SHARD_DOCS = 2048         # documents for each hash shard
 CUT = 1 << 20             # bytes of a text that are split into words at a time
@@ -78,37 +79,52 @@ def words(text: bytes) -> Iterator[list[bytes]]:
 
 
 class Block:
-    """Postings in memory: for each (lang, source) counts and document counts by term."""
+    """Postings in memory: for each (lang, source) the documents of each term,
+    and its occurrences beyond the first in a document."""
 
     def __init__(self):
-        self.counts: dict[tuple[str, str], Counter] = defaultdict(Counter)
         self.docs: dict[tuple[str, str], Counter] = defaultdict(Counter)
+        self.more: dict[tuple[str, str], dict[bytes, int]] = defaultdict(dict)
         self.bytes = 0
 
     def add(self, lang: str, source: str, text: bytes) -> None:
-        counts, met = self.counts[lang, source], set()
-        known = len(counts)
+        docs, more, own = self.docs[lang, source], self.more[lang, source], Counter()
         for part in words(text):
-            counts.update(part)
-            met.update(part)
-        self.docs[lang, source].update(met)
-        if met:     # terms new to the block, at the mean length of the text's terms
-            self.bytes += (len(counts) - known) * (TERM_BYTES + sum(map(len, met)) // len(met))
+            own.update(part)
+        known = len(docs)
+        docs.update(own.keys())
+        for term, n in own.items():
+            if n > 1:
+                more[term] = more.get(term, 0) + n - 1
+        if own:     # terms new to the block, at the mean length of the text's terms
+            self.bytes += (len(docs) - known) * (TERM_BYTES + sum(map(len, own)) // len(own))
 
     def spill(self, shards: int) -> Iterator[dict]:
-        """The block as rows of a run: for each shard and language, terms in
-        order with their (source, count, documents)."""
-        cells: dict[tuple[int, str], dict[bytes, list]] = defaultdict(lambda: defaultdict(list))
-        for (lang, source), counts in self.counts.items():
-            seed, docs = crc32(lang.encode()), self.docs[lang, source]
-            for term, n in counts.items():
-                cells[crc32(term, seed) % shards, lang][term].append((source, n, docs[term]))
+        """The block as rows of a run: for each language and shard the columns
+        (terms, sources, counts, documents) of its postings, by term."""
+        by_lang: dict[str, list[str]] = defaultdict(list)
+        for lang, source in self.docs:
+            by_lang[lang].append(source)
         run = uuid.uuid4().hex
-        for (shard, lang), terms in cells.items():
-            entries = sorted(terms.items())
-            for part, i in enumerate(range(0, len(entries), PIECE)):
-                piece = entries[i:i + PIECE]
-                yield {"shard": shard, "lang": lang, "run": run, "part": part, "terms": len(piece), "postings": marshal.dumps(piece)}
+        for lang, own in by_lang.items():
+            seed, terms, sources, counts, docs = crc32(lang.encode()), [], [], [], []
+            for source in own:
+                held, more = self.docs[lang, source], self.more[lang, source]
+                terms += held
+                sources += [source] * len(held)
+                docs += held.values()
+                counts += [n + more.get(t, 0) for t, n in held.items()]
+            cells = np.fromiter((crc32(t, seed) for t in terms), np.int64, len(terms)) % shards
+            order = pc.sort_indices(pa.table({"shard": cells, "term": pa.array(terms, pa.binary())}),
+                                    sort_keys=[("shard", "ascending"), ("term", "ascending")]).to_numpy()
+            shard, at = np.unique(cells[order], return_index=True)
+            order = order.tolist()
+            columns = [[column[i] for i in order] for column in (terms, sources, counts, docs)]
+            for cell, start, end in zip(shard.tolist(), at.tolist(), [*at.tolist()[1:], len(order)]):
+                for part, i in enumerate(range(start, end, PIECE)):
+                    cut = slice(i, min(i + PIECE, end))
+                    yield {"shard": cell, "lang": lang, "run": run, "part": part, "terms": cut.stop - i,
+                           "postings": marshal.dumps([column[cut] for column in columns])}
 
 
 def runs(docs: DataFrame, shards: int, run_bytes: int = RUN_BYTES) -> DataFrame:
@@ -142,20 +158,13 @@ def runs(docs: DataFrame, shards: int, run_bytes: int = RUN_BYTES) -> DataFrame:
 def merge(pieces: dict[str, list[bytes]]) -> Iterator[tuple[bytes, int, int, dict[str, int]]]:
     """Heap-merge of a shard's runs: every term with its occurrences, its
     documents and its count by source."""
-
-    def entries(k: int, parts: list[bytes]) -> Iterator[tuple[bytes, int, list]]:
-        for part in parts:
-            for term, own in marshal.loads(part):
-                yield term, k, own
-
-    merged = heapq.merge(*(entries(k, parts) for k, parts in enumerate(pieces.values())))
+    merged = heapq.merge(*(chain.from_iterable(zip(*marshal.loads(p)) for p in parts) for parts in pieces.values()))
     for term, same in groupby(merged, itemgetter(0)):
-        total, docs, by_source = 0, 0, defaultdict(int)
-        for _, _, own in same:
-            for source, n, d in own:
-                by_source[source] += n
-                total += n
-                docs += d
+        total, docs, by_source = 0, 0, {}
+        for _, source, n, d in same:
+            by_source[source] = by_source.get(source, 0) + n
+            total += n
+            docs += d
         yield term, total, docs, by_source
 
 
