@@ -22,15 +22,16 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql.types import ArrayType, DecimalType, TimestampNTZType, TimestampType  # noqa: E402
 
 from tunestats import fixtures as fx  # noqa: E402
 from tunestats import oracle, schemas  # noqa: E402
+from tunestats.operators import in_order  # noqa: E402
 from tunestats.plans import marts, model, pipeline, reports  # noqa: E402
 from tunestats.session import apply_scale_conf, shared_dir  # noqa: E402
-from tunestats.sinks import ensure_schema, load_all, publish, write_with_schema  # noqa: E402
+from tunestats.sinks import ensure_schema, in_file_order, load_all, publish, write_with_schema  # noqa: E402
 from tunestats.sources import (  # noqa: E402
     enrich,
     field_counts,
@@ -50,6 +51,7 @@ except ModuleNotFoundError as missing:
         raise
     llm = corpus_pipeline = None
 
+TIME_BUCKETS = 8                  # of the stored plays and dim_time
 RUN_TS = "2024-01-16T00:00:00Z"   # fixed ingestion instant for recent_plays
 
 
@@ -87,7 +89,8 @@ def _stored(spark: SparkSession, d: str) -> str:
     if key not in _STORED:
         run = uuid.uuid4().hex
         root = f"{shared_dir(spark)}/stored-{run}"
-        pipeline.run(spark, fx.land(spark, d, f"{root}/landing"), f"tunestats_{run}", f"{root}/tables")
+        pipeline.run(spark, fx.land(spark, d, f"{root}/landing"), f"tunestats_{run}", f"{root}/tables", time_buckets=TIME_BUCKETS,
+                     ordered=True)
         _STORED[key] = f"tunestats_{run}"
     return _STORED[key]
 
@@ -113,9 +116,14 @@ def _time_join(spark: SparkSession, d: str) -> DataFrame:
     return marts.base_analytics(*(_silver(spark, d, t) for t in ("fct_plays", "dim_tracks", "dim_artists", "dim_time")))
 
 
-def _positioned(df: DataFrame, *order: Column) -> DataFrame:
-    """The place of every row of a small result in a stated order."""
-    return df.withColumn("position", F.row_number().over(Window.orderBy(*order)))
+def _positioned(df: DataFrame) -> DataFrame:
+    """The place of every row in the order that the frame itself has."""
+    return in_order(df, shared_dir(df.sparkSession)).withColumn("position", F.col("position").cast("int"))
+
+
+def _in_files(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """A stored gold table with the place of every row in its files."""
+    return in_file_order(spark, f"{_stored(spark, d)}_gold.{name}").withColumn("position", F.col("position").cast("int"))
 
 
 def _relanded(df: DataFrame, key: str, name: str) -> DataFrame:
@@ -193,6 +201,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _relanded(fx.playlists_raw(s, d).drop("followers"), "playlist_id", "playlist_name")),
         "fct_plays_ev": lambda s, d: model.fct_plays(fx.plays_ev(s, d)),
         "fct_plays_li": lambda s, d: model.fct_plays(fx.plays_li(s, d)),
+        "fct_plays_repeats": lambda s, d: model.fct_plays(fx.plays_li(s, d), shared_dir(s)),
         # marts
         "base_analytics": lambda s, d: _lazy_base(s, d),
         "base_analytics_time_join": _time_join,
@@ -213,12 +222,15 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pipeline_genre_trends": lambda s, d: _gold(s, d, "gold_genre_trends"),
         "pipeline_listening_patterns": lambda s, d: _gold(s, d, "gold_listening_patterns"),
         # their orders, as a column
-        "top_tracks_ordered": lambda s, d: _positioned(reports.report_top_tracks(_gold(s, d, "gold_top_tracks")), F.desc("play_count"), *map(
-            F.asc_nulls_last, ("track_name", "artist_name")), F.desc("popularity")),
-        "genre_trends_ordered": lambda s, d: _positioned(
-            marts.genre_trends(_base(s, d), ordered=True), F.asc("month"), F.desc("total_plays"), F.asc("genre")),
-        "listening_patterns_ordered": lambda s, d: _positioned(
-            marts.listening_patterns(_base(s, d), ordered=True), F.asc_nulls_first("hour_of_day"), F.asc_nulls_first("weekday_name")),
+        "top_tracks_ordered": lambda s, d: _positioned(reports.report_top_tracks(_gold(s, d, "gold_top_tracks"))),
+        "top_artists_ordered": lambda s, d: _positioned(marts.top_artists(_base(s, d), ordered=True)),
+        "genre_trends_ordered": lambda s, d: _positioned(marts.genre_trends(_base(s, d), ordered=True)),
+        "listening_patterns_ordered": lambda s, d: _positioned(marts.listening_patterns(_base(s, d), ordered=True)),
+        "tile_artist_minutes_ordered": lambda s, d: _positioned(
+            reports.tile_artist_minutes(reports.report_top_artists(_gold(s, d, "gold_top_artists")))),
+        "stored_top_tracks_order": lambda s, d: _in_files(s, d, "gold_top_tracks"),
+        "stored_top_artists_order": lambda s, d: _in_files(s, d, "gold_top_artists"),
+        "stored_genre_trends_order": lambda s, d: _in_files(s, d, "gold_genre_trends"),
         # reports
         "report_genre_trends": lambda s, d: reports.report_genre_trends(_gold(s, d, "gold_genre_trends")),
         "report_top_artists": lambda s, d: reports.report_top_artists(_gold(s, d, "gold_top_artists")),

@@ -16,4 +16,5 @@ from tunestats.operators.core import (  # noqa: F401
     top1_by_count,
     top_n,
 )
-from tunestats.operators.numbering import numbered  # noqa: F401
+from tunestats.operators.numbering import in_order, numbered  # noqa: F401
+from tunestats.operators.repeats import dedupe_repeats, split_repeats  # noqa: F401

@@ -329,6 +329,7 @@ FROM (SELECT DISTINCT TRY_CAST(played_at AS TIMESTAMP) AS play_timestamp FROM pl
                 "duration_ms, context_type FROM ")
     q["fct_plays_ev"] = with_(PLAYS_EV, fct("plays_ev", "fct_ev")) + fct_cols + "fct_ev"
     q["fct_plays_li"] = with_(PLAYS_LI, fct("plays_li", "fct_li")) + fct_cols + "fct_li"
+    q["fct_plays_repeats"] = q["fct_plays_li"]
 
     # ---- marts ------------------------------------------------------
     q["base_analytics"] = B + f"""
@@ -401,4 +402,11 @@ ORDER BY total_plays DESC, genre ASC NULLS LAST LIMIT 10"""
     q["genre_trends_ordered"] = "SELECT *, " + place.format("month ASC NULLS FIRST, total_plays DESC, genre ASC") + f" FROM ({q['genre_trends']})"
     q["listening_patterns_ordered"] = "SELECT *, " + place.format("hour_of_day ASC NULLS FIRST, weekday_name ASC NULLS FIRST") + (
         f" FROM ({q['listening_patterns']})")
+    q["top_artists_ordered"] = "SELECT *, " + place.format("total_plays DESC, artist_id") + f" FROM ({q['top_artists']})"
+    q["tile_artist_minutes_ordered"] = "SELECT *, " + place.format("total_minutes DESC, artist_name ASC NULLS LAST") + (
+        f" FROM ({q['tile_artist_minutes']})")
+    q["stored_top_tracks_order"] = "SELECT *, " + place.format(
+        "play_count DESC, track_id, track_name ASC NULLS FIRST, artist_name ASC NULLS FIRST") + f" FROM ({q['top_tracks']})"
+    q["stored_top_artists_order"] = q["top_artists_ordered"]
+    q["stored_genre_trends_order"] = q["genre_trends_ordered"]
     return q

@@ -3,8 +3,9 @@
 Each aggregate is one grouped aggregate over ``base_analytics`` with
 map-side partial aggregation, so hot groups (one artist, one genre, the
 NULL artist of unmatched plays) are combined before the shuffle. Tables are
-not sorted before they are written (ordering binds no reader); pass
-``ordered=True`` to get the reference's row order, e.g. for display.
+not sorted before they are written unless asked for; pass ``ordered=True`` to
+get the reference's row order, with ties decided by the other columns. Stored
+that way, ``sinks.in_file_order`` reads it back.
 """
 
 from __future__ import annotations
@@ -36,7 +37,10 @@ def base_analytics(fct: DataFrame, tracks: DataFrame, artists: DataFrame, time:
     ``play_timestamp``; by default they are derived in place, which equals
     the left join to ``dim_time`` (one row per timestamp, NULL never
     matches) without shuffling the fact against a fact-sized dimension.
-    Pass ``time`` to take them from a ``dim_time`` table instead (JN-3).
+    Pass ``time`` to take them from a ``dim_time`` table instead (JN-3): where
+    both tables are stored in buckets of ``play_timestamp``
+    (``pipeline.run_silver(time_buckets=...)``), neither side is shuffled. Plays
+    without a timestamp match nothing and take no part in that join.
 
     ``broadcast_max_bytes`` defaults to the session's bound
     (``operators.broadcast_bound``); see ``operators.left_join_dim``.
@@ -46,6 +50,12 @@ def base_analytics(fct: DataFrame, tracks: DataFrame, artists: DataFrame, time:
     f = fct.select("play_id", "play_timestamp", "duration_ms", "context_type", "track_id", "artist_id")
     t = tracks.select("track_id", "track_name", "popularity")
     a = artists.select("artist_id", "artist_name", "genres")
+    if time is not None:
+        # first, while the fact still lies in the buckets that it is stored in
+        tm = time.select("play_timestamp", "hour_of_day", "weekday_name").where(F.col("play_timestamp").isNotNull())
+        unknown = {c: F.lit(None).cast(time.schema[c].dataType) for c in ("hour_of_day", "weekday_name")}
+        f = (f.where(F.col("play_timestamp").isNotNull()).join(tm, on="play_timestamp", how="left")
+             .unionByName(f.where(F.col("play_timestamp").isNull()).withColumns(unknown)))
     j = left_join_dim(f, t, "track_id", broadcast_max_bytes)
     j = left_join_dim(j, a, "artist_id", broadcast_max_bytes)
     if time is None:
@@ -53,9 +63,6 @@ def base_analytics(fct: DataFrame, tracks: DataFrame, artists: DataFrame, time:
             "hour_of_day": hour_of_day("play_timestamp"),
             "weekday_name": weekday_name("play_timestamp"),
         })
-    else:
-        tm = time.select("play_timestamp", "hour_of_day", "weekday_name")
-        j = j.join(tm, on="play_timestamp", how="left")
     return conform(j.withColumn("month", month_bucket("play_timestamp")), schemas.BASE_ANALYTICS)
 
 
@@ -86,7 +93,7 @@ def top_tracks(base: DataFrame, ordered: bool = False) -> DataFrame:
                 _minutes_sum().alias("total_minutes"),
                 F.max("popularity").alias("popularity")))
     out = conform(out, schemas.GOLD_TOP_TRACKS)
-    return out.orderBy(F.desc("play_count")) if ordered else out
+    return out.orderBy(F.desc("play_count"), "track_id", "track_name", "artist_name") if ordered else out
 
 
 def top_artists(base: DataFrame, ordered: bool = False, artists: DataFrame | None = None) -> DataFrame:
@@ -109,7 +116,7 @@ def top_artists(base: DataFrame, ordered: bool = False, artists: DataFrame | Non
     if artists is not None:
         out = out.join(artists.select("artist_id", "artist_name", "genres"), "artist_id")
     out = conform(out, schemas.GOLD_TOP_ARTISTS)
-    return out.orderBy(F.desc("total_plays")) if ordered else out
+    return out.orderBy(F.desc("total_plays"), "artist_id", "artist_name") if ordered else out
 
 
 def genre_trends(base: DataFrame, user_id: str = DEFAULT_USER, ordered: bool = False) -> DataFrame:
@@ -121,7 +128,7 @@ def genre_trends(base: DataFrame, user_id: str = DEFAULT_USER, ordered: bool = F
                 F.avg("popularity").alias("avg_popularity"),
                 F.count_distinct(F.lit(user_id)).alias("unique_users")))
     out = conform(out, schemas.GOLD_GENRE_TRENDS)
-    return out.orderBy("month", F.desc("total_plays")) if ordered else out
+    return out.orderBy("month", F.desc("total_plays"), "genre") if ordered else out
 
 
 def listening_patterns(base: DataFrame, user_id: str = DEFAULT_USER, ordered: bool = False) -> DataFrame:

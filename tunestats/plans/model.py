@@ -20,7 +20,7 @@ from tunestats.functions import (
     weekday_name,
     year,
 )
-from tunestats.operators import add_missing, conform, dedupe, distinct_rows
+from tunestats.operators import add_missing, conform, dedupe, dedupe_repeats, distinct_rows
 
 
 def dim_time(plays_raw: DataFrame) -> DataFrame:
@@ -63,9 +63,13 @@ def dim_playlists(playlists_raw: DataFrame) -> DataFrame:
     return dedupe(conform(df, schemas.DIM_PLAYLISTS), ["playlist_id"])
 
 
-def fct_plays(plays_raw: DataFrame) -> DataFrame:
+def fct_plays(plays_raw: DataFrame, root: str | None = None) -> DataFrame:
     """TBL-5: one row per play key ``sha2(played_at || track_id)``.
 
+    With ``root`` (a shared folder, for plays that are stored and can be read
+    again) only plays whose key occurs again are sorted and compared
+    (``operators.dedupe_repeats``); the rows are the same.
+
     A play with a NULL ``played_at`` or ``track_id`` has a NULL key; all of
     them collapse into one row (as the key is NULL, not as the plays are
     equal)."""
@@ -78,4 +82,5 @@ def fct_plays(plays_raw: DataFrame) -> DataFrame:
     )
     types = schemas.FCT_PLAYS
     df = df.select("_key", *[F.col(f.name).cast(f.dataType) for f in types if f.name != "play_id"])
-    return conform(dedupe(df, ["_key"]).withColumn("play_id", hashed_key("_key")), types)
+    rows = dedupe_repeats(df, ["_key"], root) if root else dedupe(df, ["_key"])
+    return conform(rows.withColumn("play_id", hashed_key("_key")), types)

@@ -110,26 +110,27 @@ def bronze_corrupt(spark: SparkSession, landing: Mapping[str, str | list[str]],
     return reduce(DataFrame.unionByName, parts)
 
 
-def silver_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Star schema from the raw tables."""
+def silver_tables(raw: Mapping[str, DataFrame], root: str | None = None) -> dict[str, DataFrame]:
+    """Star schema from the raw tables (``root``: see ``model.fct_plays``)."""
     return {
         "dim_time": model.dim_time(raw["bronze_play_history"]),
         "dim_tracks": model.dim_tracks(raw["bronze_tracks"]),
         "dim_artists": model.dim_artists(raw["bronze_artists"]),
         "dim_playlists": model.dim_playlists(raw["bronze_playlists"]),
-        "fct_plays": model.fct_plays(raw["bronze_play_history"]),
+        "fct_plays": model.fct_plays(raw["bronze_play_history"], root),
     }
 
 
-def gold_tables(base: DataFrame, user_id: str = DEFAULT_USER, artists: DataFrame | None = None) -> dict[str, DataFrame]:
+def gold_tables(base: DataFrame, user_id: str = DEFAULT_USER, artists: DataFrame | None = None,
+                ordered: bool = False) -> dict[str, DataFrame]:
     """Aggregate tables from the wide play table (and ``dim_artists``, see
-    ``marts.top_artists``)."""
+    ``marts.top_artists``); ``ordered``: in the reference's row order."""
     return {
         "gold_user_listening_summary": marts.user_summary(base, user_id),
-        "gold_top_tracks": marts.top_tracks(base),
-        "gold_top_artists": marts.top_artists(base, artists=artists),
-        "gold_genre_trends": marts.genre_trends(base, user_id),
-        "gold_listening_patterns": marts.listening_patterns(base, user_id),
+        "gold_top_tracks": marts.top_tracks(base, ordered),
+        "gold_top_artists": marts.top_artists(base, ordered, artists),
+        "gold_genre_trends": marts.genre_trends(base, user_id, ordered),
+        "gold_listening_patterns": marts.listening_patterns(base, user_id, ordered),
     }
 
 
@@ -213,29 +214,34 @@ def run_check(spark: SparkSession, landing: Mapping[str, str | list[str]], datab
 
 
 def run_silver(spark: SparkSession, database: str = "tunestats", root: str | None = None,
-               fmt: str = "parquet") -> dict[str, int | None]:
-    """Layer 2: stored raw tables → the star schema."""
+               fmt: str = "parquet", time_buckets: int | None = None) -> dict[str, int | None]:
+    """Layer 2: stored raw tables → the star schema. With ``time_buckets`` the
+    plays and ``dim_time`` are stored in that many buckets of their timestamp,
+    so that they join without a shuffle."""
     dbs = _prepare(spark, database, root)
     raw = _read(spark, dbs["bronze"], RAW)
-    return load_all(silver_tables(raw), dbs["silver"], fmt, _loc(root, "silver"))
+    buckets = {name: ("play_timestamp", time_buckets) for name in ("fct_plays", "dim_time")} if time_buckets else None
+    folder = root or spark.conf.get("spark.checkpoint.dir", None)
+    return load_all(silver_tables(raw, folder), dbs["silver"], fmt, _loc(root, "silver"), buckets=buckets)
 
 
 def run_gold(spark: SparkSession, database: str = "tunestats", root: str | None = None, fmt: str = "parquet",
-             user_id: str = DEFAULT_USER) -> dict[str, int | None]:
-    """Layer 3: stored star schema → wide play table → aggregate tables."""
+             user_id: str = DEFAULT_USER, ordered: bool = False) -> dict[str, int | None]:
+    """Layer 3: stored star schema → wide play table → aggregate tables
+    (``ordered``: their files in the reference's row order)."""
     dbs = _prepare(spark, database, root)
     silver = _read(spark, dbs["silver"], SILVER)
     base = marts.base_analytics(silver["fct_plays"], silver["dim_tracks"], silver["dim_artists"])
     written = load_all({"base_analytics": base}, dbs["gold"], fmt, _loc(root, "gold"))
     base = spark.table(f"{dbs['gold']}.base_analytics")
-    written.update(load_all(gold_tables(base, user_id, silver["dim_artists"]), dbs["gold"], fmt, _loc(root, "gold")))
+    written.update(load_all(gold_tables(base, user_id, silver["dim_artists"], ordered), dbs["gold"], fmt, _loc(root, "gold")))
     return written
 
 
 def run(spark: SparkSession, landing: Mapping[str, str | list[str]], database: str = "tunestats",
         root: str | None = None, run_ts: str | datetime | None = None, window_hours: int = 24,
         fmt: str = "parquet", user_id: str = DEFAULT_USER,
-        mode: str = "FAILFAST", multi_line: bool = False) -> dict[str, dict[str, int | None]]:
+        mode: str = "FAILFAST", multi_line: bool = False, time_buckets: int | None = None, ordered: bool = False) -> dict[str, dict[str, int | None]]:
     """Run all layers; returns rows written per table per layer.
 
     Tables go to the databases ``{database}_bronze`` / ``_silver`` /
@@ -244,9 +250,9 @@ def run(spark: SparkSession, landing: Mapping[str, str | list[str]], database: s
     of the layer before it, so the three can also run as separate jobs."""
     written = {
         "bronze": run_bronze(spark, landing, database, root, run_ts, window_hours, fmt, mode, multi_line),
-        "silver": run_silver(spark, database, root, fmt),
+        "silver": run_silver(spark, database, root, fmt, time_buckets),
     }
-    gold = run_gold(spark, database, root, fmt, user_id)
+    gold = run_gold(spark, database, root, fmt, user_id, ordered)
     written["base"] = {"base_analytics": gold.pop("base_analytics")}
     written["gold"] = gold
     return written

@@ -61,7 +61,7 @@ def tile_genre_plays(rpt: DataFrame) -> DataFrame:
 
 def tile_artist_minutes(rpt: DataFrame) -> DataFrame:
     """TIL-2 / SRT-4: minutes per artist, largest first."""
-    return rpt.select("total_minutes", "artist_name").orderBy(F.desc("total_minutes"))
+    return rpt.select("total_minutes", "artist_name").orderBy(F.desc("total_minutes"), F.asc_nulls_last("artist_name"))
 
 
 def tile_track_plays(rpt: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from tunestats.sinks.tables import (  # noqa: F401
     clean_versions,
     current_version,
     ensure_schema,
+    in_file_order,
     load_all,
     publish,
     switch,

@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -58,25 +58,64 @@ def current_version(spark: SparkSession, full_name: str) -> str | None:
     return held["value"] if held else None
 
 
+def _version_table(full_name: str, version: str) -> str:
+    """The catalog entry that holds the bucketing of a version."""
+    return f"{full_name}__{version.rstrip('/').rpartition('/')[2].replace('-', '_')}"
+
+
 def write_version(spark: SparkSession, df: DataFrame, full_name: str, fmt: str = "parquet",
-                  root: str | None = None) -> tuple[str, int]:
+                  root: str | None = None, buckets: tuple[str, int] | None = None) -> tuple[str, int]:
     """Write ``df`` once into a new version folder; readers see nothing of it
     yet. The rows are counted by an ``Observation`` of that write. Returns
-    the folder and the rows."""
+    the folder and the rows.
+
+    With ``buckets`` (column, number) the version is bucketed and sorted by
+    that column, so that joins of two tables in the same buckets need no
+    shuffle. Rows without a value there match nothing; they are written by the
+    tasks that hold them, however many they are, and not dealt out."""
     version = f"{_table_root(spark, full_name, root)}/v-{uuid.uuid4().hex}"
+    if buckets:
+        return version, _write_buckets(df, full_name, fmt, version, *buckets)
     obs = Observation(f"rows_{full_name}")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("errorifexists").save(version)
     return version, int(obs.get["rows"])
 
 
+def _write_buckets(df: DataFrame, full_name: str, fmt: str, version: str, column: str, n: int) -> int:
+    known, rows = F.col(column).isNotNull(), 0
+    # dealt out as the buckets are: each task writes one file
+    for part, mode in ((df.where(known).repartition(n, column), "errorifexists"), (df.where(~known), "append")):
+        obs = Observation(f"rows_{full_name}_{mode}")
+        (part.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode(mode).option("path", version)
+         .bucketBy(n, column).sortBy(column).saveAsTable(_version_table(full_name, version)))
+        rows += int(obs.get["rows"])
+    return rows
+
+
 def switch(spark: SparkSession, full_name: str, version: str, fmt: str = "parquet") -> None:
     """Make ``version`` what the name reads: one catalog operation, whether
     or not the schema has changed, so there is no moment without the name.
     (A plain table of that name, from another writer, is dropped first.)"""
     if spark.catalog.tableExists(full_name) and spark.catalog.getTable(full_name).tableType != "VIEW":
         spark.sql(f"DROP TABLE {full_name}")
-    spark.sql(f"CREATE OR REPLACE VIEW {full_name} TBLPROPERTIES ('{VERSION}' = '{version}') "
-              f"AS SELECT * FROM {fmt}.`{version}`")
+    bucketed = _version_table(full_name, version)
+    source = bucketed if spark.catalog.tableExists(bucketed) else f"{fmt}.`{version}`"
+    spark.sql(f"CREATE OR REPLACE VIEW {full_name} TBLPROPERTIES ('{VERSION}' = '{version}') AS SELECT * FROM {source}")
+
+
+def in_file_order(spark: SparkSession, full_name: str, name: str = "position", fmt: str = "parquet") -> DataFrame:
+    """A published table with the place of each row, from 1, in its files:
+    by the number of the task that wrote the file, then by row. A table that
+    was written in an order is so read back in it; nothing is sorted but the
+    files' row counts."""
+    stored = spark.read.format(fmt).load(current_version(spark, full_name))
+    file = F.col("_metadata.file_name")
+    rows = stored.select("*", F.regexp_extract(file, r"^part-(\d+)", 1).cast("int").alias("_task"), file.alias("_file"),
+                         F.col("_metadata.row_index").alias("_row"))
+    before = Window.orderBy("_task", "_file").rowsBetween(Window.unboundedPreceding, -1)
+    # one row for each file
+    starts = rows.groupBy("_task", "_file").count().select("_file", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    return rows.join(F.broadcast(starts), "_file").select(*stored.columns, (F.col("_before") + F.col("_row") + 1).alias(name))
 
 
 def publish(spark: SparkSession, df: DataFrame, full_name: str, fmt: str = "parquet",
@@ -93,10 +132,12 @@ def publish(spark: SparkSession, df: DataFrame, full_name: str, fmt: str = "parq
 
 
 def load_all(tables: Mapping[str, DataFrame], database: str | None = None, fmt: str = "parquet",
-             root: str | None = None, concurrency: int = 4, skip_empty: bool = False) -> dict[str, int | None]:
+             root: str | None = None, concurrency: int = 4, skip_empty: bool = False,
+             buckets: Mapping[str, tuple[str, int]] | None = None) -> dict[str, int | None]:
     """SNK-2: publish each DataFrame as a table. With ``skip_empty`` (the raw
     loader's way) a DataFrame with no rows is skipped and its table keeps its
-    previous contents.
+    previous contents. ``buckets`` names the (column, number) of tables that are
+    stored in buckets.
 
     First all versions are written, up to ``concurrency`` of them as
     concurrent Spark jobs (the tables of one call are independent); only when
@@ -110,7 +151,7 @@ def load_all(tables: Mapping[str, DataFrame], database: str | None = None, fmt:
     full = {name: f"{database}.{name}" if database else name for name in tables}
 
     def one(name: str) -> tuple[str, int]:
-        return write_version(spark, tables[name], full[name], fmt, root)
+        return write_version(spark, tables[name], full[name], fmt, root, (buckets or {}).get(name))
 
     if concurrency <= 1 or len(tables) == 1:
         written = {name: one(name) for name in tables}
@@ -144,6 +185,7 @@ def clean_versions(spark: SparkSession, full_name: str, root: str | None = None,
         if at < limit and path.getName() != current:
             if not disk.delete(path, True):
                 raise OSError(f"cannot remove {path}")
+            spark.sql(f"DROP TABLE IF EXISTS {_version_table(full_name, path.getName())}")
             gone.append(path.toString())
     return gone
 
