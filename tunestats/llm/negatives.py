@@ -1,8 +1,8 @@
 """Hard negatives by length buckets and coordinate pruning (after LEMP).
 
 Vectors become integers (``floor(scale * x)``), so every score is an exact inner
-product. The rows are dealt out by label and length to blocks of about equal
-size, written once to the shared folder; the anchors go to the blocks that can
+product. The rows are put in order of label and length once, and cut into
+blocks of equal size; the anchors go to the blocks that can
 hold something for them: positives are searched in blocks of the anchor's label,
 negatives in blocks with another label whose longest row is long enough for the
 least score wanted (Cauchy-Schwarz). Anchors are cut into parts, so a task
@@ -37,7 +37,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunestats.llm.shared import stored
+from tunestats.llm.shared import shared_root, stored
+from tunestats.operators import numbered
 
 POSITIVES = 5             # positives of an anchor
 NEGATIVES = 10            # negatives of an anchor and a positive
@@ -73,14 +74,15 @@ def prepared(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding
 
 
 def blocks(rows: DataFrame, block_values: int = BLOCK_VALUES) -> DataFrame:
-    """``rows`` with ``row`` (a number of its own) and ``block``, in the shared
-    folder: ranges of (dim, label, length)."""
+    """``rows`` with ``row``, their place by (dim, label, length), and ``block``:
+    a range of places. The places are written to the shared folder once."""
     total = rows.agg(F.sum("dim").alias("values"), F.count("*").alias("rows")).first()
     cores = rows.sparkSession.sparkContext.defaultParallelism
     n = max(-(-(total["values"] or 0) // block_values), min(4 * cores, total["rows"] // 1024), 1)
-    numbered = rows.withColumn("row", F.monotonically_increasing_id())
-    dealt = numbered.repartitionByRange(min(n, MAX_BLOCKS), "dim", "label", F.desc("square"), "row")
-    return stored(dealt.withColumn("block", F.spark_partition_id()), "negatives-blocks")
+    order = [F.asc("dim"), F.asc("label"), F.desc("square"), F.asc("_tie")]
+    placed = numbered(rows.withColumn("_tie", F.monotonically_increasing_id()), order, shared_root(rows.sparkSession), "row")
+    size = max(-(-total["rows"] // min(n, MAX_BLOCKS)), 1)
+    return placed.drop("_tie").withColumn("block", F.floor((F.col("row") - 1) / size).cast("int"))
 
 
 class Bucket:
