@@ -29,9 +29,9 @@ from pyspark.sql.types import ArrayType, DecimalType, TimestampNTZType, Timestam
 from tunestats import fixtures as fx  # noqa: E402
 from tunestats import oracle, schemas  # noqa: E402
 from tunestats.operators import in_order  # noqa: E402
-from tunestats.plans import marts, model, pipeline, reports  # noqa: E402
+from tunestats.plans import marts, model, pipeline, refresh, reports  # noqa: E402
 from tunestats.session import apply_scale_conf, shared_dir  # noqa: E402
-from tunestats.sinks import ensure_schema, in_file_order, load_all, publish, write_with_schema  # noqa: E402
+from tunestats.sinks import Layer, ensure_schema, in_file_order, load_all, open_layer, publish, write_with_schema  # noqa: E402
 from tunestats.sources import (  # noqa: E402
     enrich,
     field_counts,
@@ -42,6 +42,7 @@ from tunestats.sources import (  # noqa: E402
     recent,
     rest_of_pages,
 )
+from tunestats.streaming import keep_up  # noqa: E402
 
 try:  # the training-data queries: only where their subpackage is there
     import corpus_pipeline
@@ -52,6 +53,7 @@ except ModuleNotFoundError as missing:
     llm = corpus_pipeline = None
 
 TIME_BUCKETS = 8                  # of the stored plays and dim_time
+LIVE_FILES, LIVE_BATCHES = 6, 3   # landed files and micro-batches of the stream's stand-in
 RUN_TS = "2024-01-16T00:00:00Z"   # fixed ingestion instant for recent_plays
 
 
@@ -95,6 +97,23 @@ def _stored(spark: SparkSession, d: str) -> str:
     return _STORED[key]
 
 
+_LIVE: dict[tuple[str, str], Layer] = {}
+
+
+def _live(spark: SparkSession, d: str) -> Layer:
+    """Fact and aggregates as a stream keeps them up: the play pages of the
+    stand-in land as files and arrive in several micro-batches."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _LIVE:
+        run = uuid.uuid4().hex
+        root, db = f"{shared_dir(spark)}/live-{run}", f"tunestats_live_{run}"
+        fx.play_pages_li(spark, d).select("value").repartition(LIVE_FILES).write.text(f"{root}/landing")
+        keep_up(spark, f"{root}/landing", _silver(spark, d, "dim_tracks"), _silver(spark, d, "dim_artists"), db, f"{root}/tables",
+                f"{root}/checkpoint", max_files_per_trigger=-(-LIVE_FILES // LIVE_BATCHES)).awaitTermination()
+        _LIVE[key] = open_layer(spark, db, f"{root}/tables")
+    return _LIVE[key]
+
+
 def _bronze(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.table(f"{_stored(spark, d)}_bronze.{name}")
 
@@ -221,6 +240,10 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pipeline_top_artists": lambda s, d: _gold(s, d, "gold_top_artists"),
         "pipeline_genre_trends": lambda s, d: _gold(s, d, "gold_genre_trends"),
         "pipeline_listening_patterns": lambda s, d: _gold(s, d, "gold_listening_patterns"),
+        # kept up by a stream of landed pages
+        "live_fct_plays": lambda s, d: refresh.fct_plays(_live(s, d)),
+        "live_genre_trends": lambda s, d: refresh.genre_trends(_live(s, d)),
+        "live_listening_patterns": lambda s, d: refresh.listening_patterns(_live(s, d)),
         # their orders, as a column
         "top_tracks_ordered": lambda s, d: _positioned(reports.report_top_tracks(_gold(s, d, "gold_top_tracks"))),
         "top_artists_ordered": lambda s, d: _positioned(marts.top_artists(_base(s, d), ordered=True)),

@@ -394,6 +394,8 @@ ORDER BY total_plays DESC, genre ASC NULLS LAST LIMIT 10"""
     for name, same in (("base", "base_analytics"), ("summary", "user_summary"), ("top_tracks", "top_tracks"),
                        ("top_artists", "top_artists"), ("genre_trends", "genre_trends"), ("listening_patterns", "listening_patterns")):
         q[f"pipeline_{name}"] = q[same]
+    q["live_fct_plays"] = q["fct_plays_li"]
+    q["live_genre_trends"], q["live_listening_patterns"] = q["genre_trends"], q["listening_patterns"]
     q["base_analytics_time_join"] = q["base_analytics"]
     place = "CAST(row_number() OVER (ORDER BY {}) AS INTEGER) AS position"
     q["top_tracks_ordered"] = "SELECT *, " + place.format(

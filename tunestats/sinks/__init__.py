@@ -1,5 +1,6 @@
 """Sinks: full-refresh table writes, loader, schema-enforced write."""
 
+from tunestats.sinks.layers import Layer, clean_layer, open_layer, publish_layer  # noqa: F401
 from tunestats.sinks.tables import (  # noqa: F401
     clean_versions,
     current_version,
