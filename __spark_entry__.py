@@ -29,7 +29,7 @@ from pyspark.sql.types import ArrayType, DecimalType, TimestampNTZType, Timestam
 from tunestats import fixtures as fx  # noqa: E402
 from tunestats import oracle, schemas  # noqa: E402
 from tunestats.operators import in_order  # noqa: E402
-from tunestats.plans import marts, model, pipeline, refresh, reports  # noqa: E402
+from tunestats.plans import distincts, marts, model, pipeline, refresh, reports  # noqa: E402
 from tunestats.session import apply_scale_conf, shared_dir  # noqa: E402
 from tunestats.sinks import Layer, ensure_schema, in_file_order, load_all, open_layer, publish, write_with_schema  # noqa: E402
 from tunestats.sources import (  # noqa: E402
@@ -164,6 +164,28 @@ def _overwrite_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return spark.table(name)
 
 
+def _skip_empty_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """A raw table is loaded, then loaded again with nothing landed: it stays."""
+    run = uuid.uuid4().hex
+    root, name = f"{shared_dir(spark)}/skip-{run}", f"kept_{run}"
+    ensure_schema(spark, "tunestats_roundtrip", location=f"{root}/db")
+    raw = fx.playlists_raw(spark, d)
+    for df in (raw, raw.limit(0)):
+        load_all({name: df}, "tunestats_roundtrip", root=root, skip_empty=True)
+    return spark.table(f"tunestats_roundtrip.{name}")
+
+
+def _unique_tracks(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct tracks of each artist by month and in all, from the union of stored day bitmaps."""
+    root, base = f"{shared_dir(spark)}/bitmaps-{uuid.uuid4().hex}", _base(spark, d)
+    distincts.day_bitmaps(base, distincts.track_numbers(base, root)).write.parquet(f"{root}/days")
+    days = spark.read.parquet(f"{root}/days")
+    month = F.date_format("day", "yyyy-MM")
+    by_month = distincts.unique_tracks(days, month).select("artist_id", F.lit("month").alias("span"), F.col("_by0").alias("month"), "unique_tracks")
+    return by_month.unionByName(distincts.unique_tracks(days).select(
+        "artist_id", F.lit("all").alias("span"), F.lit(None).cast("string").alias("month"), "unique_tracks"))
+
+
 def _kpis(spark: SparkSession, d: str) -> DataFrame:
     return reports.report_kpis(_gold(spark, d, "gold_user_listening_summary"))
 
@@ -228,6 +250,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "user_summary_full_dims": lambda s, d: marts.user_summary(_lazy_base(s, d, holes=False)),
         "top_tracks": lambda s, d: marts.top_tracks(_base(s, d)),
         "top_artists": lambda s, d: marts.top_artists(_base(s, d), artists=_silver(s, d, "dim_artists")),
+        "artist_unique_tracks": _unique_tracks,
         "genre_trends": lambda s, d: marts.genre_trends(_base(s, d)),
         "listening_patterns": lambda s, d: marts.listening_patterns(_base(s, d)),
         # the layers' stored tables
@@ -273,6 +296,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "write_read_roundtrip": _write_read_roundtrip,
         "write_with_schema_roundtrip": _write_with_schema_roundtrip,
         "overwrite_roundtrip": _overwrite_roundtrip,
+        "skip_empty_roundtrip": _skip_empty_roundtrip,
     }
     return q
 

@@ -387,6 +387,11 @@ ORDER BY total_plays DESC, genre ASC NULLS LAST LIMIT 10"""
     q["write_with_schema_roundtrip"] = with_(tracks_raw()) + "SELECT * REPLACE (CAST(NULL AS VARCHAR) AS preview_url) FROM tracks_raw"
     q["overwrite_roundtrip"] = with_(PLAYLISTS_RAW) + "SELECT playlist_id, total_tracks FROM playlists_raw"
 
+    q["skip_empty_roundtrip"] = q["flatten_playlist_pages"]
+    q["artist_unique_tracks"] = B + """
+SELECT artist_id, CASE WHEN GROUPING(month) = 0 THEN 'month' ELSE 'all' END AS span, month, COUNT(DISTINCT track_id) AS unique_tracks
+FROM base WHERE artist_id IS NOT NULL AND track_id IS NOT NULL GROUP BY GROUPING SETS ((artist_id, month), (artist_id))"""
+
     # ---- the layers' stored tables, and orders ------------------------
     q["pipeline_bronze_plays"] = with_(PLAYS_LI) + "SELECT * FROM plays_li"
     q["pipeline_bronze_playlists"] = q["flatten_playlist_pages"]
