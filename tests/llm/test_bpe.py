@@ -99,3 +99,21 @@ def test_decode_leaves_unknown_ids_out(spark):
     df = spark.createDataFrame([(1, [320, -5, 10 ** 6, None, 320]), (2, None), (3, [])], "k int, ids array<int>")
     a = LIB.decode([320, 320], skip_special_tokens=False)
     assert [r.decoded for r in bpe.decode(df, PATH).orderBy("k").collect()] == [a, "", ""]
+
+
+def test_tables_that_turn_over_change_no_ids(monkeypatch):
+    import random
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    draw = random.Random(5)
+    texts = [" ".join(draw.choice(["the", "don't", "naïve", "x" * draw.randrange(1, 90), f"w{draw.randrange(300)}", "日本語", "a.b,c"])
+                      for _ in range(draw.randrange(60))) for _ in range(200)]
+    whole = [x.tolist() for x in bpe.WordBpe(path).encode_many(texts)]
+    for cached, letters, symbols, part in ((3, 1 << 20, 1, 64), (40, 1 << 20, 64, 500), (1 << 20, 50, 1 << 17, 300)):
+        monkeypatch.setattr(bpe, "MAX_CACHED", cached)
+        monkeypatch.setattr(bpe, "MAX_LETTERS", letters)
+        monkeypatch.setattr(bpe, "ROWS_SYMBOLS", symbols)
+        monkeypatch.setattr(bpe, "PART_CHARS", part)
+        small = bpe.WordBpe(path)
+        assert [x.tolist() for x in small.encode_many(texts)] == whole
+        assert small.older[0]

@@ -6,8 +6,10 @@ lowest-ranked merge. A merge changes at most three leaves (the merged pair and
 its two neighbours), each in O(log n), until the root says that no pair is
 mergeable. The trees of many words of like length are rows of one array, and
 every step merges once in each of them; a word too long for that has a tree of
-its own. A worker keeps the words that it has met in tables of bounded size;
-texts of any length are handled whole, some thousands of words at a time.
+its own. A worker keeps the words that it has met in two tables of bounded
+size: when the newer is full it becomes the older, from which words that are met
+again move to the new one, so frequent words are merged once. Texts of any
+length are handled whole, a part of some thousand words at a time.
 
 Defined results: a null text encodes as the empty text (no ids) and decodes to
 the empty string; ties of rank merge the leftmost pair first; repeated rows
@@ -29,10 +31,12 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_CACHED = 600_000      # words, and pieces between spaces, that a worker keeps before it starts afresh
+MAX_CACHED = 100_000      # words, and pieces between spaces, in either of a worker's two tables
+MAX_LETTERS = 8 << 20     # characters of them
 ROW_SYMBOLS = 65          # longest word, in symbols, whose tree is a row of an array
-PART_CHARS = 1 << 20      # characters of text that are cut into pieces at a time
-PART_ROWS = 1000          # texts taken from an Arrow batch at a time
+ROWS_SYMBOLS = 1 << 17    # symbols, padding included, of the rows that are merged together
+PART_CHARS = 1 << 19      # characters of text that are cut into pieces at a time
+PART_ROWS = 500           # texts taken from an Arrow batch at a time
 NONE = 1 << 62            # a leaf or root without a mergeable pair
 SEPARATORS = "\x1c\x1d\x1e\x1f"   # white space to str.split, but not to the word pattern
 
@@ -229,6 +233,7 @@ class WordBpe:
         self.words_of = regex.compile(split["pattern"]["Regex"]).findall
         self.cuts = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split if self.special else lambda t: [t]
         self._clear()
+        self.older: tuple = ({}, None, None, None)
 
     @staticmethod
     def _require(spec: dict) -> None:
@@ -260,11 +265,13 @@ class WordBpe:
                     got.append((members[members == m], np.array(ids)))
                 continue
             place = np.arange((1 << size) + 1)
-            inside = place < lengths[members, None]
-            at = np.minimum(starts[members, None] + place, len(symbols) - 1)
-            merged = self.merges.rows(np.where(inside, symbols[at], -1))
-            counts[members] = (merged >= 0).sum(1)
-            got.append((members, merged[merged >= 0]))
+            step = max(1, ROWS_SYMBOLS // len(place))
+            for own in (members[i:i + step] for i in range(0, len(members), step)):
+                inside = place < lengths[own, None]
+                at = np.minimum(starts[own, None] + place, len(symbols) - 1)
+                merged = self.merges.rows(np.where(inside, symbols[at], -1))
+                counts[own] = (merged >= 0).sum(1)
+                got.append((own, merged[merged >= 0]))
         out, starts = np.empty(counts.sum(), np.int32), np.cumsum(counts) - counts
         for members, ids in got:
             out[spans(starts[members], counts[members])] = ids
@@ -273,11 +280,16 @@ class WordBpe:
     def _clear(self) -> None:
         """Tables of what has been met: the ids of entry k are
         ``ids[start[k]:start[k] + count[k]]``."""
-        self.index = _Entries()
+        self.index, self.letters = _Entries(), 0
         self.ids = np.empty(1 << 16, np.int32)
         self.start, self.count = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
         self.used = 0
 
+    def _turn(self) -> None:
+        """The table becomes the older one; what was in that is forgotten."""
+        self.older = self.index, self.ids[:self.used].copy(), self.start[:len(self.index)].copy(), self.count[:len(self.index)].copy()
+        self._clear()
+
     def _keep(self, entries: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
         while self.used + len(ids) > len(self.ids):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
@@ -290,6 +302,23 @@ class WordBpe:
         """The ids of the entries, one after the other."""
         return self.ids[spans(self.start[entries], self.count[entries])]
 
+    def _room(self) -> None:
+        while len(self.index) > len(self.start):
+            self.start, self.count = np.resize(self.start, 2 * len(self.start)), np.resize(self.count, 2 * len(self.count))
+
+    def _move(self, pieces: list[str], first: int) -> list[int]:
+        """Take over the ids of new entries that the older table has; returns
+        the places in ``pieces`` of the others. Entry ``first`` is the first piece's."""
+        self.letters += sum(map(len, pieces))
+        index, ids, start, count = self.older
+        if not index:
+            return list(range(len(pieces)))
+        at = np.fromiter((index.get(p, -1) for p in pieces), np.int64, len(pieces))
+        held = np.flatnonzero(at >= 0)
+        if len(held):
+            self._keep(held + first, ids[spans(start[at[held]], count[at[held]])], count[at[held]])
+        return np.flatnonzero(at < 0).tolist()
+
     def _learn(self) -> None:
         """Fill the entries that were met for the first time: words by their
         merges, other pieces (runs without white space) by their words."""
@@ -297,8 +326,10 @@ class WordBpe:
         if not new:
             return
         first, find = len(self.index) - len(new), self.index.__getitem__
+        self._room()
         joint, parts, lengths, words = [], [], [], []
-        for k, piece in enumerate(new):
+        for k in self._move(new, first):
+            piece = new[k]
             cut = None if piece.isalpha() else self.words_of(piece)
             if cut is None or len(cut) == 1 and cut[0] == piece:
                 words.append(k)
@@ -306,12 +337,11 @@ class WordBpe:
                 joint.append(k)
                 lengths.append(len(cut))
                 parts += map(find, cut)
-        whole = np.concatenate((np.array(words, np.int64), np.arange(len(new), len(new) + len(self.index.new)))) + first
-        names = [new[k] for k in words] + self.index.new
-        self.index.new = []
-        while len(self.index) > len(self.start):
-            self.start, self.count = np.resize(self.start, 2 * len(self.start)), np.resize(self.count, 2 * len(self.count))
-        self._keep(whole, *self.encode_words(names))
+        inner, self.index.new = self.index.new, []
+        self._room()
+        inner_words = self._move(inner, first + len(new))
+        whole = np.array(words + [len(new) + k for k in inner_words], np.int64) + first
+        self._keep(whole, *self.encode_words([new[k] for k in words] + [inner[k] for k in inner_words]))
         if joint:
             entries = np.array(parts, np.int64)
             owner = np.repeat(np.arange(len(joint)), lengths)
@@ -346,8 +376,8 @@ class WordBpe:
                 cut.append([self._cut(text)])
             else:
                 cut.append([self.special[p] if p in self.special else self._cut(p) for p in self.cuts(text)])
-        if len(self.index) > MAX_CACHED:
-            self._clear()
+        if len(self.index) > MAX_CACHED or self.letters > MAX_LETTERS:
+            self._turn()
         find = self.index.__getitem__                      # new pieces get an entry, to be filled below
         entries = [[np.fromiter(map(find, p), np.int64, len(p)) if isinstance(p, list) else p for p in parts] for parts in cut]
         self._learn()
@@ -399,11 +429,13 @@ def encode_column(text: Column, path: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        bpe, ids = load(path), []
+        bpe, lists = load(path), []
         for i in range(0, len(texts), PART_ROWS):
-            ids += bpe.encode_many(texts.slice(i, PART_ROWS).to_pylist())
-        offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32)))
+            ids = bpe.encode_many(texts.slice(i, PART_ROWS).to_pylist())
+            offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+            lists.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids))))
+        pa.default_memory_pool().release_unused()
+        return pa.concat_arrays(lists) if lists else pa.array([], pa.list_(pa.int32()))
 
     return encode(text)
 
