@@ -103,7 +103,8 @@ def op10_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     counts = lmscore.stored(lmscore.word_counts(docs))
     vocab = lmscore.most_frequent(counts)
-    scored = lmscore.score(docs, vocab, lmscore.train(docs, vocab), counts=counts).select("doc_id", "lm.n_tokens", "lm.log_prob")
+    flat = lmscore.train(docs, vocab, counts=counts)
+    scored = lmscore.score(docs, vocab, flat, counts=counts, keep=["doc_id"]).select("doc_id", "lm.n_tokens", "lm.log_prob")
     return scored.withColumn("mean_log_prob", F.try_divide("log_prob", "n_tokens"))
 
 
