@@ -64,6 +64,8 @@ def test_blocks_empty_tables_and_names(spark, monkeypatch):
     monkeypatch.setattr(decontam, "ITEM_BLOCK", 1)
     got = {r.doc_id: sorted((m.item_id, m.similarity, m.start_word, m.n_words) for m in r.matches) for r in decontam.matches(docs, bench).collect()}
     assert got == {1: [(7, 1.0, 2, 5), (9, 1.0, 0, 5)], 2: [(8, 1.0, 2, 5)]}
+    monkeypatch.setattr(decontam, "SCAN_BLOCKS", 1)
+    assert got == {r.doc_id: sorted((m.item_id, m.similarity, m.start_word, m.n_words) for m in r.matches) for r in decontam.matches(docs, bench).collect()}
     assert [r.matches for r in decontam.matches(docs, bench.limit(0)).collect()] == [[], []]
     assert decontam.matches(docs.limit(0), bench).count() == 0
     with pytest.raises(ValueError):
@@ -111,3 +113,29 @@ def test_query_whole_table(spark):
     shingles = lambda t: {tuple(w[k:k + 5]) for w in [plain_words(t)] for k in range(len(w) - 4)}
     by_doc, by_item = {d.doc_id: shingles(d.text) for d in docs}, {i.item_id: shingles(i.text) for i in items}
     assert all(len(by_doc[d] & by_item[i]) >= 0.7 * len(by_item[i]) for d, i in got)
+
+
+def test_blocks_and_scans_do_not_show(spark, monkeypatch):
+    """Items that share passages, so that a shingle's weight depends on all of them."""
+    rng = random.Random(12)
+    vocab = [f"u{i}" for i in range(500)]
+    say = lambda n: [rng.choice(vocab) for _ in range(n)]
+    passage = say(20)
+    items = [(i, " ".join(say(rng.randint(6, 30)) + (passage if i % 3 else []) + say(9))) for i in range(60)] + [(5, "once more " + " ".join(passage))]
+    docs = []
+    for k in range(150):
+        w = items[k % 61][1].split()
+        for _ in range(rng.randint(0, 3)):
+            del w[rng.randrange(len(w))]
+        docs.append((k, " ".join(say(rng.randint(0, 30)) + w + say(10)), 1))
+    df, bench = spark.createDataFrame(docs + [(None, None, 1)], "doc_id long, text string, id int").repartition(3), spark.createDataFrame(items, "item_id long, text string")
+    runs = []
+    for block, scan in ((500, 4), (7, 100), (7, 2), (1, 9)):
+        monkeypatch.setattr(decontam, "ITEM_BLOCK", block)
+        monkeypatch.setattr(decontam, "SCAN_BLOCKS", scan)
+        rows = decontam.matches(df, bench).collect()
+        assert len(rows) == 151
+        runs.append(sorted((r.doc_id, m.item_id, m.similarity, m.start_word, m.n_words) for r in rows for m in r.matches))
+    assert runs[0] and len({r[2] for r in runs[0]}) > 5
+    for run in runs[1:]:
+        assert run == runs[0]

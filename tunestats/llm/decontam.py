@@ -1,7 +1,7 @@
 """Benchmark decontamination by SimHash windows.
 
-Items are put in classes of like length. In a class whose shortest item has m
-words, texts are cut into windows of m - s + 1 words every s words, so that a
+Items are put in classes of like length. In a class of items of m words and
+more, texts are cut into windows of m - s + 1 words every s words, so that a
 passage that repeats an item holds a window wherever it begins; the item is
 indexed with its s windows of that size, one for each phase. A window's
 fingerprint is the 64-bit SimHash of its word pairs, from running bit counts,
@@ -12,15 +12,18 @@ block are in that block's table, so no pair within the radius is missed. A
 text's last window ends with it, and a text shorter than a window is one.
 Candidates within the radius are verified around their place in the text: the
 weighted similarity of five-word shingles of the item and of some words in a
-row must be at least 0.8 (a shingle weighs the more, the fewer items have it).
+row must be at least 0.8 (a shingle of the item weighs the more, the fewer of all
+items have it; one that the item does not have weighs as if no item had it).
 All beginnings up to a quarter of the item and ``SHIFT`` words away are tried,
 and from each all lengths whose weight can have that similarity, so words
 may be missing or added, also at the ends of the text.
 
 Words are runs of letters, digits and other non-ASCII characters in lower
-case. Items are indexed ``ITEM_BLOCK`` or so at a time, each block against all
-rows. The driver, the plan and every worker hold all blocks, so their memory
-grows with the number of items; shingles are weighed within a block.
+case. Items are indexed ``ITEM_BLOCK`` or so at a time, ``SCAN_BLOCKS`` blocks in one
+scan of the texts. A scan's items are all that the driver, the plan and a worker
+hold; further items take further scans, whose hits are written to the shared
+folder. How many items have a shingle is counted by Spark over all items, so
+neither blocks nor scans show in the result.
 
 Defined results: null and empty texts and items match nothing, nor do items of
 fewer than five words, which have no shingle; an item is told once for each
@@ -41,17 +44,20 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ITEM_BLOCK = 500
+from tunestats.llm.shared import stored
+
+ITEM_BLOCK = 500           # items in an index, about
+SCAN_BLOCKS = 4            # indexes in one scan of the texts
 RADIUS = 15
 BLOCKS = 4                 # of 64 / BLOCKS bits each
 SHINGLE = 5
 SIMILAR = 0.8
 SHIFT = 2
 LONGEST_STEP = 16
-RATIO = 1.2                # longest to shortest item of a class
+RATIO = 1.2                # most to fewest words of a class, about
 PART_WORDS = 1 << 16       # words whose bit counts are held at a time, about
 RUN = 256                  # words whose counts are added up in a row
 CELLS = 1 << 18            # places of a text that are weighed at a time
@@ -147,6 +153,15 @@ def _parts(ends: np.ndarray, size: int):
         a = b
 
 
+def class_of(n: int) -> int:
+    """The fewest words of the class that items of ``n`` words are in. Classes
+    are the same whatever items there are."""
+    least = SHINGLE
+    while (following := int(least * RATIO) + 1) <= n:
+        least = following
+    return least
+
+
 @dataclass
 class _Class:
     size: int                  # words in a window
@@ -158,30 +173,35 @@ class _Class:
 
 
 class Benchmark:
-    """The index of one block of items; built once per worker."""
+    """The index of one block of items; built once per worker. ``items`` is the
+    number of all items, ``having`` tells of shingles how many of them have
+    it; without these the block is all there is."""
 
-    def __init__(self, ids: list[int], texts: list[str | None]):
-        self.given = (ids, texts)
+    def __init__(self, ids: list[int], texts: list[str | None], items: int | None = None, having: dict[int, int] | None = None):
+        self.given = (ids, texts, items, having)
 
     def __reduce__(self):
         return Benchmark, self.given
 
     def _build(self) -> None:
-        ids, texts = self.given
+        ids, texts, items, having = self.given
         found = [(i, h) for i, t in zip(ids, texts) if len(h := words(t)) >= SHINGLE]
         found.sort(key=lambda x: len(x[1]))
         self.ids, self.words = [i for i, _ in found], [h for _, h in found]
         self.shingles = [Counter(_joined(h, SHINGLE).tolist()) for h in self.words]
-        self.having = Counter(s for c in self.shingles for s in c)
-        self.all_shingles = np.array(sorted(self.having), np.uint64)
-        self.weights = np.array([self.weight(s) for s in self.all_shingles.tolist()])
+        own = Counter(s for c in self.shingles for s in c)
+        self.having = own if having is None else {s: having.get(s, 1) for s in own}
+        self.items = len(found) if items is None else items
+        self.all_shingles = np.array(sorted(own), np.uint64)
         self.keys = [np.array(sorted(c), np.uint64) for c in self.shingles]
+        self.weights = [np.array([self.weight(s) for s in k.tolist()]) for k in self.keys]
         self.totals = [sum(self.weight(s) * x for s, x in c.items()) for c in self.shingles]
+        self.foreign = math.log(1 + self.items)            # weight of a shingle that no item has
         self.classes = []
         a = 0
         while a < len(found):
-            shortest = len(self.words[a])
-            b = next((k for k in range(a, len(found)) if len(self.words[k]) > RATIO * shortest), len(found))
+            shortest = class_of(len(self.words[a]))
+            b = next((k for k in range(a, len(found)) if class_of(len(self.words[k])) > shortest), len(found))
             step = min(LONGEST_STEP, max(1, shortest // 5))
             size = shortest - step + 1
             prints, item, phase = [], [], []
@@ -194,30 +214,31 @@ class Benchmark:
             a = b
 
     def weight(self, shingle: int) -> float:
-        return math.log(1 + len(self.ids) / self.having.get(shingle, 1))
+        """Of a shingle of this block's items."""
+        return math.log(1 + self.items / self.having[shingle])
 
     def similarity(self, item: int, part: np.ndarray) -> float:
         """Weighted Jaccard similarity of an item's shingles and those of
         some words of a text."""
         mine, other = self.shingles[item], Counter(_joined(part, SHINGLE).tolist())
-        common = total = 0.0
-        for s in mine.keys() | other.keys():
-            w, x, y = self.weight(s), mine.get(s, 0), other.get(s, 0)
-            common += w * min(x, y)
-            total += w * max(x, y)
-        return common / total if total else 0.0
-
-    def best_place(self, item: int, shingles: np.ndarray, weights: np.ndarray, low: int, high: int) -> tuple[float, int, int] | None:
+        both = [(self.weight(s) if s in mine else self.foreign, mine.get(s, 0), other.get(s, 0)) for s in mine.keys() | other.keys()]
+        total = math.fsum(w * max(x, y) for w, x, y in both)
+        return math.fsum(w * min(x, y) for w, x, y in both) / total if total else 0.0
+
+    def best_place(self, item: int, shingles: np.ndarray, low: int, high: int) -> tuple[float, int, int] | None:
         """(similarity, first shingle, shingles) of the most similar place that
-        begins from ``low`` to ``high``, if it is similar enough. ``weights``
-        are those of the text's shingles."""
-        total, last = self.totals[item], len(shingles)
-        run = np.concatenate(([0.0], np.cumsum(weights[low:])[:]))
+        begins from ``low`` to ``high``, if it is similar enough."""
+        total, keys = self.totals[item], self.keys[item]
+        # no place has more shingles than this, each at its least weight
+        most = int(total / SIMILAR / min(self.foreign, float(self.weights[item].min()))) + 1
+        shingles = shingles[low:high + most + 1]
+        at = np.minimum(np.searchsorted(keys, shingles), len(keys) - 1)
+        mine = keys[at] == shingles
+        weights = np.where(mine, self.weights[item][at], self.foreign)
+        run = np.concatenate(([0.0], np.cumsum(weights)))
         # no place is heavier than this
-        last = low + int(np.searchsorted(run, run[min(high, last) - low] + total / SIMILAR + 1e-6))
-        shingles, weights, run = shingles[low:last], weights[low:last], run[:last - low + 1]
-        keys = self.keys[item]
-        mine = keys[np.minimum(np.searchsorted(keys, shingles), len(keys) - 1)] == shingles
+        last = int(np.searchsorted(run, run[min(high - low, len(shingles))] + total / SIMILAR + 1e-6))
+        shingles, mine, weights, run = shingles[:last], mine[:last], weights[:last], run[:last + 1]
         # the most similar place begins and ends with a shingle of the item
         begins, ends = np.flatnonzero(mine[:high - low + 1]), np.flatnonzero(mine) + 1
         if run[-1] < SIMILAR * total - 1e-6 or not len(begins):
@@ -279,7 +300,6 @@ class Benchmark:
         shingles = _joined(whole, SHINGLE)
         at = np.minimum(np.searchsorted(self.all_shingles, shingles), len(self.all_shingles) - 1)
         theirs = self.all_shingles[at] == shingles
-        weights = np.where(theirs, self.weights[at], math.log(1 + len(self.ids)))
         known = np.concatenate(([0], np.cumsum(theirs), np.zeros(SHINGLE - 1, np.int64)))
         known[len(shingles) + 1:] = known[len(shingles)]
         best: dict[tuple[int, int], tuple] = {}
@@ -308,7 +328,7 @@ class Benchmark:
             for (text, item), places in ranges.items():
                 own = slice(begins[text], begins[text] + max(0, lengths[text] - SHINGLE + 1))
                 for low, high in places:
-                    got = self.best_place(item, shingles[own], weights[own], low, high)
+                    got = self.best_place(item, shingles[own], low, high)
                     if not got:
                         continue
                     _, low, n = got
@@ -325,15 +345,56 @@ def matches(df: DataFrame, items: DataFrame, text_col: str = "text", item_id: st
     """``df`` with the items that each whole text holds (``HITS``)."""
     if out_col.lower() in {c.lower() for c in df.columns}:
         raise ValueError(f"the input already has a column {out_col}")
-    items = items.select(items[item_id].cast("long").alias("id"), items[item_text].alias("text")).where("id is not null and text is not null")
+    items = stored(items.select(items[item_id].cast("long").alias("id"), items[item_text].alias("text")).where("id is not null and text is not null"),
+                   "decontam-items")
+    total, shared = _shingle_counts(items)
     blocks = max(1, -(-items.count() // ITEM_BLOCK))
-    column = F.lit(None).cast(HITS)
-    for k in range(blocks):
-        # about ITEM_BLOCK items
-        part = items.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == k).collect()
-        found = _search_column(Benchmark([r["id"] for r in part], [r["text"] for r in part]))(df[text_col])
-        column = found if k == 0 else F.concat(column, found)
-    return df.withColumn(out_col, column)
+    if blocks <= SCAN_BLOCKS:
+        return df.withColumn(out_col, _search_blocks(items, shared, total, blocks, range(blocks))(df[text_col]))
+    if {c.lower() for c in df.columns} & {"_row", "_hits"}:
+        raise ValueError("the input already has a column _row or _hits")
+    # one scan after the other; the rows' numbers are written with them
+    rows = stored(df.withColumn("_row", F.monotonically_increasing_id()), "decontam-rows")
+    hits = None
+    for k in range(0, blocks, SCAN_BLOCKS):
+        search = _search_blocks(items, shared, total, blocks, range(k, min(k + SCAN_BLOCKS, blocks)))
+        found = stored(rows.select("_row", search(F.col(text_col)).alias("_hits")).where(F.size("_hits") > 0), "decontam-hits")
+        hits = found if hits is None else hits.unionByName(found)
+    # a row has one entry for each scan at most
+    of_row = hits.groupBy("_row").agg(F.flatten(F.collect_list("_hits")).alias("_hits"))
+    return rows.join(of_row, "_row", "left").select(*df.columns, F.coalesce("_hits", F.array().cast(HITS)).alias(out_col))
+
+
+def _shingle_counts(items: DataFrame) -> tuple[int, DataFrame]:
+    """(items that have a shingle; (id, s, n) of their shingles that several
+    items have, with the number of items)."""
+
+    @F.arrow_udf("array<long>")
+    def distinct(texts: pa.Array) -> pa.Array:
+        found = [np.unique(_joined(h, SHINGLE)) if len(h := words(t.as_py())) >= SHINGLE else np.empty(0, np.uint64) for t in texts]
+        places = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(places), pa.array(np.concatenate([np.empty(0, np.uint64), *found]).view(np.int64)))
+
+    every = stored(items.select("id", distinct("text").alias("s")), "decontam-shingles")
+    each = every.select("id", F.explode("s").alias("s"))
+    return every.where(F.size("s") > 0).count(), each.join(each.groupBy("s").agg(F.count("*").alias("n")).where("n > 1"), "s").distinct()
+
+
+def _search_blocks(items: DataFrame, shared: DataFrame, total: int, blocks: int, some: range):
+    """A function from a column of texts to their hits with the items of some blocks."""
+    indexes = []
+    for k in some:
+        # about ITEM_BLOCK items, and of their shingles those that other items have too
+        mine = F.pmod(F.xxhash64("id"), F.lit(blocks)) == k
+        part = items.where(mine).collect()
+        having = {r["s"] % (1 << 64): r["n"] for r in shared.where(mine).select("s", "n").distinct().collect()}
+        indexes.append(_search_column(Benchmark([r["id"] for r in part], [r["text"] for r in part], total, having)))
+
+    def hits(text: Column) -> Column:
+        found = [search(text) for search in indexes]
+        return found[0] if len(found) == 1 else F.concat(*found)
+
+    return hits
 
 
 def _search_column(index: Benchmark):
