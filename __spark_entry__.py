@@ -274,6 +274,9 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "listening_patterns_ordered": lambda s, d: _positioned(marts.listening_patterns(_base(s, d), ordered=True)),
         "tile_artist_minutes_ordered": lambda s, d: _positioned(
             reports.tile_artist_minutes(reports.report_top_artists(_gold(s, d, "gold_top_artists")))),
+        "report_top_artists_ordered": lambda s, d: _positioned(reports.report_top_artists(_gold(s, d, "gold_top_artists"))),
+        "report_day_parts_ordered": lambda s, d: _positioned(reports.report_day_parts(_gold(s, d, "gold_listening_patterns"))),
+        "report_top_genres_ordered": lambda s, d: _positioned(reports.report_top_genres(_gold(s, d, "gold_genre_trends"))),
         "stored_top_tracks_order": lambda s, d: _in_files(s, d, "gold_top_tracks"),
         "stored_top_artists_order": lambda s, d: _in_files(s, d, "gold_top_artists"),
         "stored_genre_trends_order": lambda s, d: _in_files(s, d, "gold_genre_trends"),

@@ -87,3 +87,13 @@ def test_shared_dir_needs_a_setting(spark):
     assert shared_dir(Plain(), "/some/where/") == "/some/where"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(Plain())
+
+
+def test_another_file_format_reaches_writer_and_reader(spark, scratch):
+    """What stands in for table formats that are not on the classpath here."""
+    ensure_schema(spark, "t_sinks8", location=f"{scratch}/db")
+    load_all({"o": spark.range(7)}, database="t_sinks8", fmt="orc", root=scratch)
+    assert spark.table("t_sinks8.o").count() == 7
+    assert spark.read.orc(current_version(spark, "t_sinks8.o")).count() == 7
+    with pytest.raises(Exception, match="delta"):
+        load_all({"d": spark.range(7)}, database="t_sinks8", fmt="delta", root=scratch)

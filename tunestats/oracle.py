@@ -412,6 +412,11 @@ FROM base WHERE artist_id IS NOT NULL AND track_id IS NOT NULL GROUP BY GROUPING
     q["top_artists_ordered"] = "SELECT *, " + place.format("total_plays DESC, artist_id") + f" FROM ({q['top_artists']})"
     q["tile_artist_minutes_ordered"] = "SELECT *, " + place.format("total_minutes DESC, artist_name ASC NULLS LAST") + (
         f" FROM ({q['tile_artist_minutes']})")
+    q["report_top_artists_ordered"] = "SELECT *, " + place.format(
+        "total_minutes DESC, artist_name ASC NULLS LAST, total_plays DESC, unique_tracks DESC") + f" FROM ({q['report_top_artists']})"
+    q["report_day_parts_ordered"] = "SELECT *, " + place.format("weekday_name ASC NULLS FIRST, time_period ASC NULLS FIRST") + (
+        f" FROM ({q['report_day_parts']})")
+    q["report_top_genres_ordered"] = "SELECT *, " + place.format("total_plays DESC, genre ASC NULLS LAST") + f" FROM ({q['report_top_genres']})"
     q["stored_top_tracks_order"] = "SELECT *, " + place.format(
         "play_count DESC, track_id, track_name ASC NULLS FIRST, artist_name ASC NULLS FIRST") + f" FROM ({q['top_tracks']})"
     q["stored_top_artists_order"] = q["top_artists_ordered"]

@@ -103,7 +103,8 @@ def bronze_tables(spark: SparkSession, landing: Mapping[str, str | list[str]],
 
 def bronze_corrupt(spark: SparkSession, landing: Mapping[str, str | list[str]], run_ts: str | datetime | None = None,
                    window_hours: int = 24, multi_line: bool = False) -> DataFrame:
-    """(kind, page): the landed pages that a permissive run passes over."""
+    """(kind, page, empty): the landed pages that a permissive run passes over
+    (see ``sources.corrupt_pages``)."""
     since = None if run_ts is None else F.to_date(window_start(run_ts, window_hours))
     parts = [corrupt_pages(spark, LANDING_KEYS[k], path, multi_line, since if k == "plays" else None)
              for k, path in landing.items()]

@@ -46,7 +46,9 @@ def read_pages(spark: SparkSession, path: str | list[str], schema: StructType,
 
 def corrupt_pages(spark: SparkSession, table: str, path: str | list[str], multi_line: bool = False,
                   since: Column | None = None) -> DataFrame:
-    """(kind, page): the text of every landed page that is not of its kind's form."""
+    """(kind, page, empty): the text of every landed page that is not of its
+    kind's form; ``empty`` if nothing of it could be read. This is a reading of
+    the landing by itself: the raw tables come from another."""
     schema, _ = PAGE_KINDS[table]
     marked = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     pages = read_pages(spark, path, marked, "PERMISSIVE", multi_line, since)
