@@ -83,6 +83,17 @@ def test_odd_partition_values_empty_tables_and_schemas(spark, scratch):
     assert spark.table("tly3.t").count() == 0 and spark.table("tly3.none").count() == 5
 
 
+def test_a_touched_partition_without_rows_goes(spark, scratch):
+    ensure_schema(spark, "tly4", location=f"{scratch}/db")
+    publish_layer(spark, "tly4", {"t": numbers(spark, 9, 1)}, scratch, {"t": "k"})
+    publish_layer(spark, "tly4", {"t": numbers(spark, 9, 2).where("k = '1'")}, scratch, {"t": "k"}, merge=True, touched=["p1", "p2"])
+    assert {(r.k, r.run) for r in spark.table("tly4.t").collect()} == {("0", 1), ("1", 2)}
+    publish_layer(spark, "tly4", {"t": numbers(spark, 0, 3)}, scratch, {"t": "k"}, merge=True, touched=["p0", "p1"])
+    assert spark.table("tly4.t").count() == 0 and open_layer(spark, "tly4", scratch).names() == ["t"]
+    publish_layer(spark, "tly4", {"t": numbers(spark, 2, 4)}, scratch, {"t": "k"}, merge=True)
+    assert spark.table("tly4.t").count() == 2
+
+
 @pytest.fixture(scope="module")
 def dims(spark):
     import tempfile
@@ -135,6 +146,19 @@ def test_plays_without_key_or_time_over_batches(spark, scratch, dims):
     assert open_layer(spark, "trf2", scratch).ledger("w") == 99
 
 
+def test_a_smaller_survivor_without_genres_takes_the_old_ones_away(spark, scratch, dims):
+    """Plays without a key are one row; its genres go when a smaller row has none."""
+    ensure_schema(spark, "trf3", location=f"{scratch}/db")
+    known = dims[1].where("genres IS NOT NULL AND size(genres) > 0").select("artist_id").first().artist_id
+    schema = "played_at string, track_id string, track_name string, artist_id string, artist_name string, album_id string, " \
+             "album_name string, context_type string, duration_ms long"
+    rows = [("2024-05-05T10:00:00Z", None, None, known, None, None, None, None, 5), (None, None, None, "no-such-artist", None, None, None, None, 5)]
+    for i, row in enumerate(rows):
+        refresh.refresh(spark, spark.createDataFrame([row], schema), *dims, "trf3", scratch, ("w", i))
+        check(spark, open_layer(spark, "trf3", scratch), spark.createDataFrame(rows[:i + 1], schema), dims)
+    assert refresh.genre_trends(open_layer(spark, "trf3", scratch)).count() == 0
+
+
 def test_a_stream_keeps_up_and_replays_change_nothing(spark, scratch, dims):
     ensure_schema(spark, "tlv", location=f"{scratch}/db")
     page = lambda i: {"items": [{"played_at": f"2024-0{1 + j % 3}-07T10:{i:02d}:00Z", "track": {
