@@ -5,7 +5,8 @@ import zlib
 import numpy as np
 import pytest
 
-from tunestats.llm import langid, quality, registry
+from conftest import SF_SMALL
+from tunestats.llm import langid, quality, registry, rules, sampling
 
 SF = "/root/testdata/sf0.01"
 
@@ -71,3 +72,83 @@ def test_subwords_do_not_depend_on_spans(monkeypatch):
     for span in (4, 5, 7, 16):
         monkeypatch.setattr(langid, "SPAN", span)
         assert (np.sort(np.concatenate(langid.subwords(text))) == whole).all()
+
+
+# ------------------------------------------------------------ whole queries --
+def spark_hash(i, seed=42):
+    import xxhash
+    return xxhash.xxh64_intdigest(i.to_bytes(8, "little", signed=True), seed)
+
+
+def signed(h):
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
+def chosen(ids, rows):
+    """The ids of the sample, in the order that the fit reads them."""
+    kept = [i for i in ids if len(ids) <= rows or signed(spark_hash(i)) % sampling.SPACE < int(sampling.SPACE * rows / len(ids))]
+    return sorted(kept, key=lambda i: signed(spark_hash(i)))
+
+
+def test_quality_equals_one_process(spark):
+    import zstandard
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF_SMALL}/labels.parquet").collect() if crc(r.doc_id, 3) != 1}
+    ids = chosen([i for i in labels if i in texts], quality.FIT_ROWS)
+    assert all(len(texts[i]) <= quality.FIT_CHARS for i in ids)
+    cut = len(ids) * 2 // 3
+    dicts = [zstandard.ZstdCompressionDict(quality._dictionary([texts[i].encode() for i in ids[:cut] if (labels[i] == 1) == good])) for good in (True, False)]
+
+    def features(text):
+        data = (text or "").encode()
+        sizes = [sum(len(zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=d, write_checksum=False, write_content_size=False, write_dict_id=False)
+                         .compress(data[i:i + quality.BLOCK])) for i in range(0, max(len(data), 1), quality.BLOCK)) for d in dicts]
+        n = max(len(data), 1)
+        diff, ratio = (sizes[1] - sizes[0]) / sum(sizes), min(sum(sizes) / (2 * n), 2.0)
+        return [diff, np.log(n), diff * np.log(n), ratio, ratio * ratio, 1.0]
+
+    w = quality.logistic(np.array([features(texts[i]) for i in ids[cut:]]), np.array([float(labels[i] == 1) for i in ids[cut:]]))
+    for r in registry.op2_quality(spark, SF_SMALL).collect():
+        assert abs(r.score - 1 / (1 + np.exp(-np.clip(np.dot(features(texts[r.doc_id]), w), -30, 30)))) < 1e-9
+
+
+def test_language_equals_one_process(spark):
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    ids = chosen([i for i, r in docs.items() if r.lang is not None and r.text is not None and crc(i, 4) != 2], langid.FIT_ROWS)
+    assert all(len(docs[i].text) <= langid.FIT_CHARS for i in ids)
+    model = langid.train([docs[i].text for i in ids], [docs[i].lang for i in ids])
+    for r in registry.op9_langid(spark, SF_SMALL).collect():
+        lang, score, rejected = model.predict(docs[r.doc_id].text)
+        assert (r.lang_pred, r.rejected) == (lang, rejected) and abs(r.score - score) < 1e-9
+
+
+@pytest.mark.parametrize("hot", [7, 8, 9, 10, 11, 12])
+def test_samples_are_bounded_under_one_id(spark, hot):
+    """Two thirds of the rows share one id, inside the sample or outside it."""
+    from pyspark.sql import functions as F
+    df = spark.range(0, 6000, numPartitions=6).select(
+        F.when(F.col("id") < 4000, hot).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("text "), (F.col("id") % 900).cast("string")).alias("text"))
+    rows = sampling.about(df, "doc_id", 400, "text").collect()
+    assert 300 <= len(rows) <= 500 and len({r.doc_id for r in rows}) == len(rows)
+    again = sampling.about(df.repartition(3), "doc_id", 400, "text").collect()
+    assert sorted(rows) == sorted(again)
+
+
+def test_sample_edges_and_long_texts(spark):
+    df = spark.createDataFrame([(None, "a"), (1, None), (1, "b"), (2, "x" * 50 + "y" * 50)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in sampling.about(df, "doc_id", 9, "text").collect()) == [1, 2]
+    from pyspark.sql import functions as F
+    got = [r.t for r in df.select(sampling.block_of(F.col("text"), 20).alias("t")).collect()]
+    assert got[:3] == ["a", None, "b"] and len(got[3]) == 20 and got[3] in "x" * 50 + "y" * 50
+    assert sampling.about(df.limit(0), "doc_id", 9, "text").count() == 0
+
+
+def test_order_of_rules_follows_their_cost(spark):
+    """Equal shares of rejections: the dear rule comes last, whatever its place."""
+    from pyspark.sql import functions as F
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *[F.md5(F.concat(F.col("id"), F.lit(f"x{i}"))) for i in range(40)]).alias("text"))
+    even = F.crc32("text") % 2 == 0
+    dear = F.size(F.array_distinct(F.split(F.regexp_replace("text", "([a-f]+)", "$1$1"), ""))) > 0
+    given = [rules.Rule("dear", dear & even), rules.Rule("cheap", even)]
+    assert [r.name for r in rules.order_rules(df, given)] == ["cheap", "dear"]
+    assert [r.name for r in rules.order_rules(df, given[::-1])] == ["cheap", "dear"]

@@ -8,8 +8,9 @@ training, calibrates the probabilities, and a threshold below which a
 prediction is marked as rejected is set there too, so that at most
 ``REJECTED`` of the right predictions fall under it.
 
-Training reads a bounded sample (about ``fit_rows`` labelled rows with texts
-of at most ``fit_chars`` characters); prediction reads every text whole.
+Training reads a bounded sample (one labelled text of each of about ``fit_rows``
+ids, of a long text ``fit_chars`` characters in a row); prediction reads every
+text whole.
 
 Defined results: a null text or one without a letter is ``und`` with score 0;
 without labelled rows everything is ``und``; with one language its score is 1;
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunestats.llm.sampling import about
+from tunestats.llm.sampling import about, block_of
 
 FIT_ROWS = 4000
 FIT_CHARS = 20_000
@@ -162,8 +163,8 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     """Train on a bounded sample of ``labelled`` (its caller leaves held out
     rows away); rows without text, language or id are not read."""
     rows = labelled.select(labelled[id_col].alias("id"), labelled[text_col].alias("text"), labelled[lang_col].alias("lang"))
-    rows = rows.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & (F.length("text") <= fit_chars))
-    sample = about(rows, "id", fit_rows).select(F.xxhash64("id").alias("at"), "lang", "text").toArrow().to_pylist()
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("text", block_of(F.col("text"), fit_chars))
+    sample = about(rows, "id", fit_rows, "lang", "text").select(F.xxhash64("id").alias("at"), "lang", "text").toArrow().to_pylist()
     sample.sort(key=lambda r: (r["at"], r["text"], r["lang"]))
     return train([r["text"] for r in sample], [r["lang"] for r in sample])
 

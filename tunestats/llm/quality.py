@@ -7,8 +7,9 @@ two sizes over their sum is calibrated by a logistic fit (with the text's
 length, on which the difference's spread depends, and the mean ratio of
 compression) on labelled rows that took no part in the dictionaries.
 
-The fit reads a bounded sample: about ``fit_rows`` labelled rows with texts of
-at most ``fit_chars`` characters, two thirds of them for the dictionaries.
+The fit reads a bounded sample: one text of each of about ``fit_rows`` labelled
+ids, of a long text ``fit_chars`` characters in a row; two thirds of them are for
+the dictionaries.
 Scoring reads every text whole, block by block, in bounded memory.
 
 Defined results: null and empty texts are scored as the empty text; rows with
@@ -28,10 +29,10 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunestats.llm.sampling import about
+from tunestats.llm.sampling import about, block_of
 
 FIT_ROWS = 6000          # labelled rows, about, that the fit reads
-FIT_CHARS = 20_000       # longest text that the fit reads
+FIT_CHARS = 20_000       # characters in a row that the fit reads of a text
 DICT_BYTES = 256 << 10   # size of either dictionary
 BLOCK = 1024             # bytes compressed at a time
 LEVEL = 3
@@ -113,11 +114,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     out rows away)."""
     marked = (labels.select(labels[id_col].alias("id"), labels[label_col].alias("label"))
               .where("id is not null and label is not null").groupBy("id").agg(F.min("label").alias("label")))
-    marked = about(marked, "id", fit_rows)
-    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).where(
-        F.col("text").isNotNull() & (F.length("text") <= fit_chars))
+    marked = about(marked, "id", fit_rows, "label")
+    texts = docs.select(docs[id_col].alias("id"), block_of(docs[text_col], fit_chars).alias("text")).where("text is not null")
     # the sample has about fit_rows rows of two numbers: a proven bound for the broadcast
-    rows = texts.join(F.broadcast(marked), "id").select(F.xxhash64("id").alias("at"), "label", "text").toArrow().to_pylist()
+    known = about(texts.join(F.broadcast(marked), "id"), "id", fit_rows, "label", "text")
+    rows = known.select(F.xxhash64("id").alias("at"), "label", "text").toArrow().to_pylist()
     rows.sort(key=lambda r: (r["at"], r["text"]))
     prior = sum(r["label"] == 1 for r in rows) / len(rows) if rows else 0.5
     cut = len(rows) * 2 // 3
