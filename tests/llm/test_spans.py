@@ -190,3 +190,52 @@ def test_cascade_order_changes_no_verdict(spark):
     assert docs.where(rules.cascade(given) != rules.cascade(ordered)).count() == 0
     assert docs.where(~rules.cascade(given)).count() > 0
     assert rules.order_rules(docs.limit(0), given) == given
+
+
+def plain_redact(t, spans):
+    out, at = [], 0
+    for s, o, e, k in sorted(spans):
+        if s >= at:
+            out += [t[at:s], f"[{k.upper()}]"]
+        at = max(at, e)
+    return "".join(out) + t[at:]
+
+
+def test_spans_of_many_matches_in_one_text(spark, monkeypatch):
+    """Matches, contexts, nesting and redaction over blocks of matches, against plain loops."""
+    from tunestats.llm import spans as sp
+    monkeypatch.setattr(sp, "BLOCK", 4)
+    monkeypatch.setattr(sp, "CHUNK", 16)
+    rng = random.Random(4)
+    given = ["".join(rng.choice(["12", "é", "😀 ", "345", " ", "x", "longer words here "]) for _ in range(rng.randint(0, 90))) for _ in range(60)] + ["", "7", " 7", "7" * 500]
+    rows = []
+    for t in given:
+        spans = [(rng.randrange(len(t) + 1), rng.randrange(3), 0, rng.choice(["a", "bc"])) for _ in range(rng.choice((0, 1, 7, 40)))] if t else []
+        rows.append((t, [(s, o, min(len(t), s + rng.randint(1, 30)), k) for s, o, _, k in spans if s < len(t)]))
+    df = spark.createDataFrame([*rows, (None, [])], "text string, spans array<struct<start:int,order:int,end:int,kind:string>>")
+    found = df.select("text", "spans", sp.find(F.col("text"), "[0-9]+", None, 5).alias("hits"), redact(F.col("text"), F.col("spans")).alias("clean"),
+                      sp.outermost(F.col("spans")).alias("outer"),
+                      sp.not_inside(F.filter("spans", lambda s: s["kind"] == "a"), F.filter("spans", lambda s: s["kind"] == "bc"),
+                                    "struct<start:int,order:int,end:int,kind:string>").alias("free")).collect()
+    for r in found:
+        if r.text is None:
+            assert (r.hits, r.clean) == ([], None)
+            continue
+        want = [(m.start(), m.end(), m[0], r.text[max(0, m.start() - 5):m.start()], r.text[m.end():m.end() + 1]) for m in re.finditer("[0-9]+", r.text)]
+        assert [tuple(h) for h in r.hits] == want
+        spans = [tuple(s) for s in r.spans]
+        assert r.clean == plain_redact(r.text, spans)
+        a, b = ([s for s in spans if s[3] == k] for k in ("a", "bc"))
+        assert sorted(map(tuple, r.free)) == sorted(s for s in a if not any(o[0] <= s[0] and o[2] >= s[2] for o in b))
+        ranges = {(s[0], s[2]) for s in spans}
+        assert [tuple(o) for o in r.outer] == sorted(s for s in ranges if not any(o != s and o[0] <= s[0] and s[1] <= o[1] for o in ranges))
+
+
+def test_twenty_thousand_matches_in_one_text(spark):
+    text = " ".join(f"+49 30 {i:07d}x" for i in range(20_000))
+    df = spark.createDataFrame([(1, text, None)], SCHEMA)
+    row = pii.scan(df, pii.PiiModel(None, {})).withColumn("clean", redact(F.col("text"), F.col("spans"))).first()
+    assert len(row.base_spans) == 20_000 and (row.base_spans[-1].start, row.base_spans[-1].end) == (len(text) - 15, len(text) - 1)
+    assert row.clean == " ".join(["[PHONE]x"] * 20_000)
+    secret = secrets.scan(df.withColumn("text", F.regexp_replace("text", r"\+49 30 ([0-9]+)x", "$1$1abcdefab"))).first()
+    assert len(secret.base_spans) == 0 and len(secret.spans) >= 0

@@ -32,7 +32,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunestats.llm.spans import find, let, named, that_hold
+from tunestats.llm.spans import find, let, named, outermost, that_hold
 
 #: Kind, pattern, and the condition on a match that counts.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -170,15 +170,6 @@ def candidates(text: Column) -> Column:
     return F.filter(every, lambda s: s["match"].rlike("[A-Za-z]") & (F.length(F.regexp_replace(s["match"], "=+$", "")) >= 2))
 
 
-def outermost(spans: Column) -> Column:
-    """The spans that are not inside another, by start."""
-    ordered = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"))))
-    state = F.struct(F.lit(-1).alias("reach"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
-    return F.aggregate(ordered, state, lambda acc, s: F.when(-s["back"] <= acc["reach"], acc).otherwise(F.struct(
-        (-s["back"]).alias("reach"), F.concat(acc["out"], F.array(F.struct(s["start"].alias("start"), (-s["back"]).alias("end")))).alias("out"))),
-        lambda acc: acc["out"])
-
-
 def thresholds(df: DataFrame, text_col: str = "text", rate: float = RATE) -> dict[int, float]:
     """log10 p-value below which a candidate is a discovery, by range of
     lengths, from the p-values of all candidates in ``df``."""
