@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunestats.llm import bpe, decontam, neardup, pii, quality
-from tunestats.llm.shared import shared_root
+from tunestats.llm.shared import shared_root, stored
 from tunestats.llm.spans import redact
 
 SHINGLE = 5     # words in a shingle of the near-duplicate stage
@@ -31,11 +31,15 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the smallest id.
-    Rows without an id, and rows that repeat a kept id, stay."""
-    found = neardup.near_duplicates(docs, size=SHINGLE)
-    others = found.where("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    """One row of each group of near copies: that with the smallest id (any of
+    those that share it; a row without an id only if none has one). Rows are
+    told apart by a number of their own, which is written with them, so rows
+    without an id and rows that repeat one are documents each."""
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
+    found = neardup.near_duplicates(rows.select("_row", "text"), id_col="_row", size=SHINGLE)
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    first = rows.select("_row", "doc_id").join(found, "_row").groupBy("component_id").agg(F.min(place).alias("first"))
+    return rows.join(first.select("first._row"), "_row", "left_semi").select(docs.columns)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
