@@ -91,3 +91,21 @@ def test_large_group_of_near_copies(spark):
 def test_query_whole_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in registry.op7_minhash(spark, SF_SMALL).collect()), key=str) == plain_components(rows, 4)
+
+
+def test_a_third_without_an_id_and_one_id_for_many_texts(spark):
+    """Documents that share an id, or have none, meet only texts of their own hash."""
+    rng = random.Random(3)
+    say = lambda n: [f"q{rng.randrange(5000)}" for _ in range(n)]
+    rows = []
+    for i in range(240):
+        words = say(60)
+        near = list(words)
+        near[rng.randrange(60)] = "changed"
+        own = None if i % 3 == 0 else 7 if i % 3 == 1 else 1000 + i
+        rows += [(own, " ".join(words)), (own, " ".join(near))] + ([(own, " ".join(words))] if i % 5 == 0 else [])
+    # the plain version names a component by its least id, so rows are numbered to be told apart
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "row long, doc_id long, text string").repartition(4)
+    got_rows = neardup.near_duplicates(df, id_col="row", size=4).collect()
+    assert sorted(((r.row, r.n_shingles, r.component_id) for r in got_rows), key=str) == plain_components([(i, t) for i, (_, t) in enumerate(rows)], 4)
+    assert len(got(df.select("doc_id", "text"), 4)) == len(rows)

@@ -86,3 +86,19 @@ def test_run_and_hard_rows(spark, kept):
 def docs_key():
     from pyspark.sql import functions as F
     return F.lit(7)
+
+
+def test_one_row_of_each_group_stays_whatever_the_ids(spark):
+    base = [" ".join(f"{w}{i}" for i in range(60)) for w in "abcde"]
+    near = [t.replace("30", "other", 1) for t in base]
+    rows = [(None, base[0]), (None, base[0]), (None, near[0]), (4, base[1]), (4, base[1]), (4, base[2]), (3, near[2]), (None, base[3]), (9, near[3]),
+            (5, base[4]), (5, "unlike all others " + "z " * 9), (None, None), (None, None), (6, ""), (6, "")]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = sorted((str(r.doc_id), r.text or "") for r in cp.keep_first(spark, docs, SF_SMALL).collect())
+    texts = [t for _, t in got]
+    assert sum(t in (base[0], near[0]) for t in texts) == 1 and ("None", base[0]) in got or ("None", near[0]) in got
+    assert [g for g in got if g[1] in (base[1],)] == [("4", base[1])]
+    assert [g for g in got if g[1] in (base[2], near[2])] == [("3", near[2])]
+    assert [g for g in got if g[1] in (base[3], near[3])] == [("9", near[3])]          # an id before none
+    assert ("5", base[4]) in got and any(t.startswith("unlike") for t in texts)
+    assert sum(t == "" for t in texts) == 4 and len(got) == 10

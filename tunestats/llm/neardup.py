@@ -23,8 +23,8 @@
 
 Steps are cut by tables in the shared folder; nothing but counts comes to the
 driver. Hot keys (a copy's class, a hub, a
-common value) meet either partial aggregation or sort-merge joins, whose
-skewed partitions adaptive execution splits.
+common value) meet either partial aggregation or sort-merge joins of written
+tables, whose skewed partitions adaptive execution splits.
 
 Defined results: a null text, an empty one and one without words have the
 empty set, are linked with nothing and are their own component; a text with
@@ -169,15 +169,16 @@ def _similar(set_a: str, set_b: str) -> Column:
 
 def full_sets(keys: DataFrame, classes: DataFrame, docs: DataFrame, size: int, tables: _Tables) -> DataFrame:
     """(key, shingles) of the classes named by ``keys``, from their texts."""
-    # a class's text is that of its first document; an id that has several
-    # texts brings them all, and the key tells which is meant
-    ids = tables.cut(classes.join(keys.distinct(), "key", "left_semi").select("id", F.col("key").alias("meant")), "wanted")
+    # a class's text is that of its first document, told by id and the text's hash
+    ids = tables.cut(classes.join(keys.distinct(), "key", "left_semi").select("id", "text_hash", F.col("key").alias("meant")), "wanted")
     few = ids.count() <= FEW
-    full = docs.join(F.broadcast(ids) if few else ids, docs["id"].eqNullSafe(ids["id"]), "inner")
+    own = docs.withColumn("text_hash", F.xxhash64("text"))
+    full = own.join(F.broadcast(ids) if few else ids, own["id"].eqNullSafe(ids["id"]) & (own["text_hash"] == ids["text_hash"]), "inner")
     # written before the keys are compared, or the comparison would move below
     # the join and every document's set would be made
     full = tables.cut(full.select("meant", sets(F.col("text"), size).alias("s")), "sets")
-    return full.where(F.col("s.key") == F.col("meant")).select(F.col("meant").alias("key"), "s.shingles").dropDuplicates(["key"])
+    # repeated rows bring a set several times; written again, so that joins with it can be split at a hot key
+    return tables.cut(full.where(F.col("s.key") == F.col("meant")).select(F.col("meant").alias("key"), "s.shingles").dropDuplicates(["key"]), "full")
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, tables: _Tables) -> DataFrame:
@@ -200,7 +201,8 @@ def star_edges(edges: DataFrame, tables: _Tables) -> DataFrame:
         if not seen.agg(F.count_if(F.expr("up > 1 or (up > 0 and down > 0)")).alias("n")).first()["n"]:
             return edges
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low"))
+        # written before they are joined, so that the join can be split at a hot centre
+        least = tables.cut(both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).where("u != v").distinct()
         large = tables.cut(large, "large")
         low = large.groupBy("u").agg(F.min("v").alias("low"))
@@ -267,8 +269,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spark = df.sparkSession
     tables = _Tables(spark)
     docs = df.select(df[id_col].alias("id"), df[text_col].alias("text"))
-    signed = tables.cut(docs.select("id", signatures(F.col("text"), size).alias("s")).select("id", "s.*"), "signatures")
-    classes = tables.cut(signed.where("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig")), "classes")
+    signed = tables.cut(docs.select("id", F.xxhash64("text").alias("text_hash"), signatures(F.col("text"), size).alias("s"))
+                        .select("id", "text_hash", "s.*"), "signatures")
+    first = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "text_hash"))).alias("first")
+    classes = signed.where("n > 0").groupBy("key").agg(first, F.min("text_hash").alias("any_text"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig"))
+    # of a class whose documents have no id, that with the least hash stands for all
+    classes = tables.cut(classes.select("key", F.col("first.id").alias("id"), F.coalesce("first.text_hash", "any_text").alias("text_hash"), "n", "sig"), "classes")
     posted = tables.cut(postings(classes), "postings")
     hubs = posted.select("coord", "weight", "key").groupBy("coord").agg(F.max(F.struct("weight", "key")).alias("hub"))
     stars = posted.select("coord", "key").join(hubs, "coord").select(F.col("key").alias("a"), F.col("hub.key").alias("b")).where("a != b").distinct()
