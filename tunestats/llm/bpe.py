@@ -31,10 +31,10 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_CACHED = 200_000      # words, and pieces between spaces, in either of a worker's two tables
-MAX_LETTERS = 16 << 20    # characters of them
+MAX_CACHED = 300_000      # words, and pieces between spaces, in either of a worker's two tables
+MAX_LETTERS = 24 << 20    # characters of them
 ROW_SYMBOLS = 65          # longest word, in symbols, whose tree is a row of an array
-ROWS_SYMBOLS = 1 << 18    # symbols, padding included, of the rows that are merged together
+ROWS_SYMBOLS = 1 << 20    # symbols, padding included, of the rows that are merged together
 PART_CHARS = 1 << 20      # characters of text that are cut into pieces at a time
 PART_ROWS = 1000          # texts taken from an Arrow batch at a time
 NONE = 1 << 62            # a leaf or root without a mergeable pair
