@@ -135,6 +135,17 @@ def iban(rng):
     return " ".join(re.findall(".{1,4}", f"DE{check:02d}{body}"))
 
 
+def test_trees_and_thresholds_come_from_all_proposals(spark, monkeypatch):
+    rng, seen = random.Random(4), []
+    make = pii.VectorAssembler.transform
+    monkeypatch.setattr(pii.VectorAssembler, "transform", lambda self, df: seen.append(df) or make(self, df))
+    texts = [f"tel. 0{rng.randint(10, 99)} {rng.randint(100, 999)} {rng.randint(1000, 9999)}, case {rng.randint(10 ** 8, 10 ** 9 - 1)} x"
+             for _ in range(300)] * 80
+    pii.fit(spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], SCHEMA))
+    rows = seen[0].agg(F.sum("weight").alias("n"), F.count("*").alias("rows")).first()
+    assert rows.n == 2 * len(texts) > 40_000 and rows.rows < 600
+
+
 def test_every_generator_reaches_a_threshold(spark):
     rng = random.Random(9)
     digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))

@@ -1,20 +1,22 @@
 """Personal data: fixed patterns, and boosted trees over wide proposals.
 
 Besides the validated patterns ``BASE``, high-recall generators propose spans
-that may overlap. Trees are boosted (``pyspark.ml``) on a bounded sample of
-proposals: a proposal is a positive if its own text passes a base pattern's
+that may overlap. Trees are boosted (``pyspark.ml``) on all proposals: a proposal is a positive if its own text passes a base pattern's
 check or that of its generator's other kinds (an address with (at) and (dot)
 put back, a national telephone number right after a word that announces one,
 an IBAN's remainder by 97), and the features are its format (length, digits,
 signs, groups) and its context (the characters around it, key words before
-it), never the check itself. On a third of the sample that the trees have not seen, each generator
+it), never the check itself. On a third of them that the trees have not seen, each generator
 gets the lowest threshold at which its selections are right often enough. The
 fitted trees become one expression, and everything that runs over all rows is
 DataFrame operations.
 
-Bounds: the fit reads about ``FIT_ROWS`` proposals, and as many more at most,
-so that each generator has its share of ``FIT_ROWS`` if there are so many; the thresholds are read
-from a table of at most 5 x 21 counts.
+Bounds: the fit counts all proposals by their features and label, and the trees
+are boosted on the counted rows with their counts as weights, so that equal
+proposals are one row of it; these rows stay on the executors. Only a caller
+who gives ``fit_rows`` gets a fit on about so many proposals, and as many more
+at most, so that each generator has its share. The thresholds are read from a
+table of at most 5 x 21 counts.
 
 Defined results: a null or empty text has no spans; base spans all stay, and
 proposals inside one of them are not told again; equal proposals of two
@@ -53,7 +55,6 @@ GENERATORS = {
 KEYWORDS = r"(?i)(mail|phone|tel|call|fax|mobil|card|visa|iban|account|ssn|passport|address|contact|server|host|login)"
 FEATURES = ("length", "digits", "letters", "signs", "plus", "brackets", "dots", "at", "before", "after", "keyword",
             "groups", "longest", "distinct", "domain", "lead", "generator")
-FIT_ROWS = 20_000
 CONTEXT = 24
 TREES, DEPTH = 10, 3
 PRECISION = 0.9
@@ -206,30 +207,37 @@ class PiiModel:
         return ok
 
 
-def fit(df: DataFrame, text_col: str = "text", fit_rows: int = FIT_ROWS) -> PiiModel:
-    """Boost trees on a bounded sample of the proposals in ``df``."""
-    text = F.coalesce(df[text_col], F.lit(""))
-    proposed = df.select(text.alias("t"), F.posexplode(proposals(text)).alias("k", "s"))
+def _share(proposed: DataFrame, fit_rows: int) -> DataFrame:
+    """Around ``fit_rows`` proposals by their hash, more of rare generators."""
     totals = {int(r["generator"]): r["count"] for r in proposed.groupBy(F.col("s.generator").alias("generator")).count().collect()}
-    if not totals:
-        return PiiModel(None, {})
     place, bound = F.pmod(F.xxhash64("t", "k"), F.lit(SPACE)), F.lit(0)
     for k, n in totals.items():
         rate = max(fit_rows / sum(totals.values()), fit_rows / len(GENERATORS) / n)
         bound = F.when(F.col("s.generator") == float(k), min(SPACE, int(SPACE * rate) + 1)).otherwise(bound)
-    sample = proposed.where(place < bound)
-    rows = sample.select(features(F.col("s")).alias("f"), F.pmod(F.xxhash64("s.match"), F.lit(3)).alias("part"),
-                         is_right(F.col("s")).cast("double").alias("label"))
-    rows = rows.select("f.*", "part", "label").drop("start", "end", "match")
-    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(rows).persist()
+    return proposed.where(place < bound)
+
+
+def fit(df: DataFrame, text_col: str = "text", fit_rows: int | None = None) -> PiiModel:
+    """Boost trees on all proposals in ``df`` (``fit_rows``: on about so many)."""
+    text = F.coalesce(df[text_col], F.lit(""))
+    proposed = df.select(text.alias("t"), F.posexplode(proposals(text)).alias("k", "s"))
+    if fit_rows is not None:
+        proposed = _share(proposed, fit_rows)
+    rows = proposed.select(features(F.col("s")).alias("f"), F.pmod(F.xxhash64("s.match"), F.lit(3)).alias("part"),
+                           is_right(F.col("s")).cast("double").alias("label"))
+    keys = [*FEATURES, "part", "label"]
+    rows = rows.select("f.*", "part", "label").groupBy(*keys).agg(F.count("*").cast("double").alias("weight"))
+    # in an order, as sums of doubles depend on it
+    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="x").transform(rows.sortWithinPartitions(*keys)).persist()
     try:
         kinds = {(r["part"] == 0, r["label"]) for r in rows.select("part", "label").distinct().collect()}
         if not {(False, 0.0), (False, 1.0)} <= kinds:
             return PiiModel(None, {})
-        trees = GBTClassifier(featuresCol="x", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=7, checkpointInterval=-1,
-                              subsamplingRate=1.0).fit(rows.where("part > 0"))
-        scored = rows.where("part = 0").select("generator", "label", F.floor(trees_column(trees, F.col) * BINS).cast("int").alias("bin"))
-        counts = scored.groupBy("generator", "bin").agg(F.sum("label").alias("right"), F.count("*").alias("n")).collect()
+        trees = GBTClassifier(featuresCol="x", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, seed=7,
+                              checkpointInterval=-1, subsamplingRate=1.0).fit(rows.where("part > 0"))
+        scored = rows.where("part = 0").select("generator", "label", "weight", F.floor(trees_column(trees, F.col) * BINS).cast("int").alias("bin"))
+        counts = scored.groupBy("generator", "bin").agg(
+            F.sum(F.col("label") * F.col("weight")).alias("right"), F.sum("weight").alias("n")).collect()
     finally:
         rows.unpersist()
     limits = {}
