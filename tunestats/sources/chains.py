@@ -82,7 +82,8 @@ def page_chains(links: DataFrame, root: str) -> DataFrame:
     # whether a next has landed, and whether a page is led to: both sides by one address
     here = nodes.select("kind", F.col("page").alias("next"), F.lit(True).alias("landed"))
     led_to = nodes.where(F.col("next").isNotNull()).groupBy("kind", F.col("next").alias("page")).agg(F.count("*").alias("leaders"))
-    known = stored(nodes.join(here, ["kind", "next"], "left").join(led_to, ["kind", "page"], "left").select(
+    # addresses compress well, so a small file is no small table: merged, not broadcast
+    known = stored(nodes.join(here.hint("merge"), ["kind", "next"], "left").join(led_to.hint("merge"), ["kind", "page"], "left").select(
         "kind", "page", "next", "copies", "conflict", "first", F.coalesce("landed", F.lit(False)).alias("landed"),
         F.coalesce("leaders", F.lit(0)).alias("leaders")), "known")
 
@@ -103,7 +104,7 @@ def page_chains(links: DataFrame, root: str) -> DataFrame:
     on_cycle = circling.select("kind", F.col("page").alias("to"), F.col("least").alias("chain"))
     found = ended.unionByName(circling.select("kind", "page", "to").join(on_cycle, ["kind", "to"]).select(
         "kind", "page", "chain", F.lit(True).alias("cyclic")))
-    return _told(found.join(known, ["kind", "page"])).unionByName(
+    return _told(found.join(known.hint("merge"), ["kind", "page"])).unionByName(
         links.where(F.col("page").isNull()).groupBy("kind").agg(F.count("*").alias("n_pages")).select(
             "kind", F.lit(None).cast("string").alias("chain"), F.lit(UNADDRESSED).alias("status"), "n_pages",
             *(F.lit(0).cast("long").alias(c) for c in ("n_repeats", "n_heads", "n_headless", "n_conflicts")),
@@ -114,7 +115,7 @@ def _doubled(going: DataFrame, state: DataFrame) -> DataFrame:
     """The pages ``going`` on, as far as the page they lead to has come."""
     beyond = state.select("kind", F.col("page").alias("to"), F.col("to").alias("to2"), F.col("last").alias("last2"),
                           F.col("least").alias("least2"))
-    return going.join(beyond, ["kind", "to"]).select(
+    return going.join(beyond.hint("merge"), ["kind", "to"]).select(
         "kind", "page", F.col("to2").alias("to"), F.col("last2").alias("last"), F.least("least", "least2").alias("least"))
 
 
