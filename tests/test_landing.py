@@ -12,7 +12,7 @@ import __spark_entry__ as entry
 from tunestats import fixtures as fx
 from tunestats import schemas
 from tunestats.plans import marts, model, refresh
-from tunestats.sources import flatten_play_history, flatten_playlist_tracks, parse_pages
+from tunestats.sources import flatten_play_history, flatten_playlist_tracks, flatten_playlists, parse_pages
 
 
 def same(a, b):
@@ -79,3 +79,10 @@ def test_linked_pages_sort_only_what_is_read(spark):
     plan = fx.linked_pages(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     dealt = plan.index("RepartitionByExpression")
     assert plan.index("collect_list") < dealt
+
+
+def test_every_kind_of_page_lands(spark, scratch):
+    landed = fx.land(spark, SF_SMALL, scratch)
+    assert landed.keys() == {"plays", "playlists", "playlist_tracks", "tracks", "artists"}
+    same(flatten_playlists(parse_pages(spark.read.text(landed["playlists"]), "value", schemas.PLAYLIST_PAGE)),
+         fx.playlists_raw(spark, SF_SMALL))
