@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from tunestats import fixtures as fx
 from tunestats import schemas
-from tunestats.plans import marts, model, refresh
+from tunestats.plans import marts, model, pipeline, refresh
+from tunestats.sinks import load_all, stored
 from tunestats.sources import flatten_play_history, flatten_playlist_tracks, flatten_playlists, parse_pages
 
 
@@ -86,3 +87,84 @@ def test_every_kind_of_page_lands(spark, scratch):
     assert landed.keys() == {"plays", "playlists", "playlist_tracks", "tracks", "artists"}
     same(flatten_playlists(parse_pages(spark.read.text(landed["playlists"]), "value", schemas.PLAYLIST_PAGE)),
          fx.playlists_raw(spark, SF_SMALL))
+
+
+def _run(spark, scratch, db):
+    landing = fx.land(spark, SF_SMALL, f"{scratch}/landing")
+    pipeline.run(spark, landing, db, f"{scratch}/tables", time_buckets=4, ordered=True)
+    return model.fct_plays(fx.plays_li(spark, SF_SMALL))
+
+
+def test_stored_plays_hold_the_keys_text_and_names_its_hash(spark, scratch):
+    fct = _run(spark, scratch, "tb_text")
+    for name in ("tb_text_silver.fct_plays", "tb_text_gold.base_analytics"):
+        files = stored(spark, name)
+        assert "play_id" not in files.columns and "play_id" in spark.table(name).columns
+        texts = files.select(F.sha2("play_key", 256))
+        assert not spark.table(name).select("play_id").exceptAll(texts).count() and files.count() == fct.count()
+    same(spark.table("tb_text_silver.fct_plays"), fct)
+    assert spark.table("tb_text_silver.fct_plays").schema.simpleString() == schemas.FCT_PLAYS.simpleString()
+    assert spark.table("tb_text_gold.base_analytics").schema.simpleString() == schemas.BASE_ANALYTICS.simpleString()
+    same(spark.table("tb_text_gold.base_analytics"), marts.base_analytics(fct, spark.table("tb_text_silver.dim_tracks"),
+                                                                          spark.table("tb_text_silver.dim_artists")))
+
+
+def test_wide_table_of_plays_that_hold_hashes(spark, scratch):
+    fct = _run(spark, scratch, "tb_hashed")
+    load_all({"fct_plays": fct}, "tb_hashed_silver", root=f"{scratch}/tables/silver")        # as another writer stores them
+    pipeline.run_gold(spark, "tb_hashed", f"{scratch}/tables")
+    assert "play_id" in stored(spark, "tb_hashed_gold.base_analytics").columns
+    same(spark.table("tb_hashed_gold.base_analytics"), marts.base_analytics(fct, spark.table("tb_hashed_silver.dim_tracks"),
+                                                                            spark.table("tb_hashed_silver.dim_artists")))
+
+
+def test_keys_of_one_text_are_one_play_whatever_their_parts(spark, scratch):
+    raw = spark.createDataFrame([
+        ("2024-01-01T00:00:00", "Zx", "a", 5), ("2024-01-01T00:00:00Z", "x", "b", 4), ("2024-01-01T00:00:01Z", "y", "a", 3),
+        ("2024-01-01T00:00:01Z", "y", "a", 2), (None, "t", "a", 1), ("2024-01-02T00:00:00Z", None, "b", 1), ("bad", "t", "a", 9),
+        (None, None, None, None)], "played_at string, track_id string, artist_id string, duration_ms bigint").selectExpr(
+        "*", "'n' AS track_name", "'n' AS artist_name", "'c' AS context_type", "'d' AS album_id", "'n' AS album_name")
+    want = raw.selectExpr("played_at || track_id AS k", "try_to_timestamp(played_at) AS t", "track_id", "artist_id", "duration_ms").groupBy("k").agg(
+        F.min(F.struct("t", "track_id", "artist_id", "duration_ms")).alias("s")).select(F.sha2("k", 256), "s.*")
+    for root in (None, scratch):
+        got = model.keyed_plays(model.unkeyed_plays(raw, root)).select("play_id", "play_timestamp", "track_id", "artist_id", "duration_ms")
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and got.count() == 4
+        rows = model.text_keyed_plays(model.unkeyed_plays(raw, root))
+        same(rows.selectExpr(*model.hashed_view(schemas.FCT_PLAYS)), model.fct_plays(raw, root))
+
+
+def test_plays_are_dealt_to_buckets_by_what_they_landed_with(spark, scratch):
+    rows = model.unkeyed_plays(fx.plays_li(spark, SF_SMALL), scratch)
+    assert set(rows.columns) == {"played_at", "track_id", "artist_id", "album_id", "duration_ms", "context_type"}
+
+
+def test_ordered_track_ranking_is_dealt_out_before_names_are_joined(spark, scratch):
+    fct = model.fct_plays(fx.plays_li(spark, SF_SMALL))
+    tracks, artists = model.dim_tracks(fx.tracks_raw(spark, SF_SMALL)), model.dim_artists(fx.artists_raw(spark, SF_SMALL))
+    spark.sql("CREATE SCHEMA IF NOT EXISTS tb_rank")
+    load_all({"tracks": tracks, "base": marts.base_analytics(fct, tracks, artists)}, "tb_rank", root=scratch)
+    base, dim = spark.table("tb_rank.base"), spark.table("tb_rank.tracks")
+    plan = marts.top_tracks(base, True, dim)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftOuter") < plan.index("RepartitionByExpression")
+    want = [tuple(r) for r in marts.top_tracks(base, True).collect()]
+    assert want and [tuple(r) for r in marts.top_tracks(base, True, dim).collect()] == want
+    spark.conf.set("tunestats.broadcast.maxBytes", "-1")
+    try:
+        assert [tuple(r) for r in marts.top_tracks(base, True, dim).collect()] == want
+    finally:
+        spark.conf.unset("tunestats.broadcast.maxBytes")
+
+
+def test_pages_are_dealt_without_a_column_for_the_page(spark):
+    items = fx.playlist_item_pages(spark, SF_SMALL)
+    dealt = items._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1]
+    assert "_page" not in dealt and items._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_catalogue_rows_that_occur_once_are_not_shuffled(spark, scratch):
+    raw = fx.playlists_raw(spark, SF_SMALL)
+    again = raw.unionByName(raw.where("playlist_id LIKE '%7'").withColumn("playlist_name", F.lit("!")))
+    same(model.dim_playlists(again, scratch), model.dim_playlists(again))
+    once = raw.where("playlist_id NOT LIKE '%7'").dropDuplicates(["playlist_id"])
+    load_all({"once": once}, "default", root=scratch)
+    assert "Exchange" not in model.dim_playlists(spark.table("default.once"), scratch)._jdf.queryExecution().executedPlan().toString()

@@ -8,6 +8,7 @@ from tunestats.sinks.tables import (  # noqa: F401
     in_file_order,
     load_all,
     publish,
+    stored,
     switch,
     write_table,
     write_version,
