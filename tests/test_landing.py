@@ -12,6 +12,7 @@ import __spark_entry__ as entry
 from tunestats import fixtures as fx
 from tunestats import schemas
 from tunestats.plans import marts, model, pipeline, refresh
+from tunestats.session import SCALE_CONF
 from tunestats.sinks import load_all, stored
 from tunestats.sources import flatten_play_history, flatten_playlist_tracks, flatten_playlists, parse_pages
 
@@ -168,3 +169,20 @@ def test_catalogue_rows_that_occur_once_are_not_shuffled(spark, scratch):
     once = raw.where("playlist_id NOT LIKE '%7'").dropDuplicates(["playlist_id"])
     load_all({"once": once}, "default", root=scratch)
     assert "Exchange" not in model.dim_playlists(spark.table("default.once"), scratch)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_artist_ranking_counts_tracks_without_carrying_sums(spark, scratch):
+    tracks, artists = model.dim_tracks(fx.tracks_raw(spark, SF_SMALL)), model.dim_artists(fx.artists_raw(spark, SF_SMALL))
+    base = marts.base_analytics(model.fct_plays(fx.plays_li(spark, SF_SMALL)), tracks, artists)
+    # an artist none of whose plays has a track
+    only = base.select("artist_id").where("artist_id IS NOT NULL").first()[0]
+    base = base.withColumn("track_id", F.when(F.col("artist_id") != only, F.col("track_id")))
+    got = marts.top_artists(base, artists=artists)
+    same(got, marts.top_artists(base))
+    assert got.schema.simpleString() == schemas.GOLD_TOP_ARTISTS.simpleString() and got.where(F.col("artist_id") == only).first()["unique_tracks"] == 0
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("sum(" in line and "track_id" in line.split("]")[0] for line in plan.split("\n") if "Aggregate [" in line)
+
+
+def test_a_task_reads_a_bounded_share_of_the_stored_plays():
+    assert SCALE_CONF["spark.sql.files.maxPartitionBytes"] == "32m"
