@@ -10,6 +10,7 @@ from tunestats.sinks.tables import (  # noqa: F401
     publish,
     stored,
     switch,
+    write_parts,
     write_table,
     write_version,
     write_with_schema,
